@@ -122,7 +122,7 @@ def stringify(c: ColumnOrName, null_literal: str | None = "nan") -> Column:
 def strict_date(c: ColumnOrName, fmt: str = "yyyy-MM-dd") -> Column:
     """Parse a date with one format per column; NULL kept, bad text fails."""
     t = _text(c)
-    d = F.try_to_date(t, F.lit(fmt))
+    d = F.try_to_date(t, fmt)
     return F.when(t.isNotNull() & d.isNull(), _fail("bad date: ", t).cast("date")).otherwise(d)
 
 

@@ -33,14 +33,14 @@ def feed_name_date(name: ColumnOrName, prefix: str) -> Column:
     """
     pattern = re.escape(prefix.upper()) + "_([0-9]{4}-[0-9]{2}-[0-9]{2})"
     found = F.regexp_extract(F.upper(as_col(name)), pattern, 1)
-    return F.try_to_date(F.nullif(found, F.lit("")), F.lit("yyyy-MM-dd"))
+    return F.try_to_date(F.nullif(found, F.lit("")), "yyyy-MM-dd")
 
 
 def summary_name_date(name: ColumnOrName, label: str) -> Column:
     """Date of a name that starts with ``yyyymmdd- <LABEL>`` (case-folded)."""
     pattern = "^([0-9]{8})- " + re.escape(label.upper())
     found = F.regexp_extract(F.upper(as_col(name)), pattern, 1)
-    return F.try_to_date(F.nullif(found, F.lit("")), F.lit("yyyyMMdd"))
+    return F.try_to_date(F.nullif(found, F.lit("")), "yyyyMMdd")
 
 
 def has_feed_pattern(name: ColumnOrName, prefix: str) -> Column:

@@ -5,8 +5,7 @@ by ``scripts/check_oracle.py``."""
 from __future__ import annotations
 
 from snapfeed.plans import adapters as A
-
-ORACLE: dict[str, str] = {}
+from snapfeed.plans.registry import ORACLE
 
 FILL_COLS = ["De_identified_Patient_ID", "Rx_Number", "Dispense_Date", "Serial__", "Script_Status",
              "Copay", "CLOSED_STATUS", "NDC", "row_order", "_snapshot_date"]

@@ -3,9 +3,7 @@ the driver's tables. The DuckDB twin of each lives in :mod:`snapfeed.plans.oracl
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapfeed.operators.merge import merge_upsert
@@ -13,18 +11,9 @@ from snapfeed.operators.snapshot import distinct_rows, exclude_keys, in_list, la
 from snapfeed.operators.windows import add_dup_count, dedup_latest, refill_numbering
 from snapfeed.plans import adapters as A
 from snapfeed.plans import rx
+from snapfeed.plans.registry import register
 from snapfeed.session import read_table
 
-Query = Callable[[SparkSession, str], DataFrame]
-REGISTRY: dict[str, Query] = {}
-
-
-def register(name: str):
-    def deco(fn: Query) -> Query:
-        REGISTRY[name] = fn
-        return fn
-    return deco
-
 
 # --- snapshot stage ----------------------------------------------------------
 
