@@ -125,11 +125,15 @@ def dedup_latest(df: DataFrame, keys: list[str], order: list, count_col: str | N
 
 
 def number_within_group(df: DataFrame, group: list[str], order_col: str, out: str = "seq",
-                        bucket_bits: int = BUCKET_BITS) -> DataFrame:
-    """``row_number() over (partition by group order by order_col)`` (1-based) for
-    an integral ``order_col``, computed bucket by bucket so no task holds more
-    than ``2**bucket_bits`` order values of one group."""
-    b = F.shiftright(F.col(order_col), bucket_bits)
+                        bucket_bits: int = BUCKET_BITS, bucket_col: str | None = None) -> DataFrame:
+    """``row_number() over (partition by group order by bucket, order_col)``
+    (1-based), computed bucket by bucket so no task numbers a whole hot group.
+
+    Buckets are ``order_col >> bucket_bits`` for an integral order, or an
+    explicit ``bucket_col`` (for CSV input: the split start, so the order
+    within a split is the scan order).
+    """
+    b = F.col(bucket_col) if bucket_col else F.shiftright(F.col(order_col), bucket_bits)
     bucketed = df.withColumn("__b", b)
     parts = group + ["__b"]
     local = bucketed.withColumn(
@@ -144,29 +148,33 @@ def number_within_group(df: DataFrame, group: list[str], order_col: str, out: st
 
 def refill_numbering(df: DataFrame, patient: str, serial: str, dispensed: str, ndc: str,
                      order_col: str, ndc_value, placeholder: str, prefix: str = "NI",
-                     out: str = "modified_serial_id") -> DataFrame:
+                     out: str = "modified_serial_id", group_extra: list[str] = (),
+                     bucket_col: str | None = None) -> DataFrame:
     """Number refills of a patient's single original serial.
 
     Per non-NULL patient: if exactly one distinct serial starts with ``prefix``,
     rows that are dispensed, of NDC ``ndc_value`` and have a blank serial or one
     containing ``placeholder`` get ``<serial>refill<i>``, ``i = 1..`` in
     ``order_col`` order. Every other row keeps its serial in ``out``.
+    ``group_extra`` (e.g. the source file) narrows the group further.
     """
+    group = [patient] + list(group_extra)
     s = F.col(serial)
     stripped = F.coalesce(py_strip(s), F.lit(""))
     candidate = (F.col(dispensed).isNotNull() & (F.col(ndc) == F.lit(ndc_value))
                  & ((stripped == F.lit("")) | stripped.contains(placeholder)))
     original = F.when(F.coalesce(s, F.lit("")).startswith(prefix), s)
     stats = (df.where(F.col(patient).isNotNull())
-             .groupBy(patient)
+             .groupBy(*group)
              .agg(F.min(original).alias("__lo"), F.max(original).alias("__hi")))
     cols = [c for c in df.columns if c != out]
-    base = df.join(stats, patient, "left").select(
+    base = df.join(stats, group, "left").select(
         *cols, "__lo",
         F.coalesce(candidate & F.col("__lo").isNotNull() & (F.col("__lo") == F.col("__hi")),
                    F.lit(False)).alias("__refill"))
     keep = base.where(~F.col("__refill")).select(*cols, s.alias(out))
-    refills = number_within_group(base.where(F.col("__refill")), [patient], order_col, "__i")
+    refills = number_within_group(base.where(F.col("__refill")), group, order_col, "__i",
+                                  bucket_col=bucket_col)
     numbered = refills.select(*cols, F.concat(F.col("__lo"), F.lit("refill"),
                                                     F.col("__i").cast("string")).alias(out))
     return keep.unionByName(numbered)

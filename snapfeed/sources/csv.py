@@ -113,3 +113,17 @@ def load_csv(spark: SparkSession, path: str, schema: T.StructType, target: str,
         return n_bad
     finally:
         flagged.unpersist()
+
+
+SOURCE_FILE = "_source_file"
+SPLIT_START = "_split_start"
+ROW_IN_SPLIT = "_row_in_split"
+
+
+def with_file_order(df: DataFrame) -> DataFrame:
+    """Tag rows of a file scan with their position: file name, split start and
+    a counter increasing within the split. Call directly on the scan, before
+    any shuffle; (file, split start, counter) sorts rows in file order."""
+    return df.select("*", F.col("_metadata.file_name").alias(SOURCE_FILE),
+                     F.col("_metadata.file_block_start").alias(SPLIT_START),
+                     F.monotonically_increasing_id().alias(ROW_IN_SPLIT))
