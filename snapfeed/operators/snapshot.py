@@ -15,9 +15,11 @@ SNAPSHOT_COL = "_snapshot_date"
 INLINE_KEY_LIMIT = 256
 
 
-def stamp_snapshot(df: DataFrame, day: _dt.date | str, col: str = SNAPSHOT_COL) -> DataFrame:
-    """Add the load date; the date is a parameter, never the wall clock."""
-    return df.withColumn(col, F.lit(str(day)).cast("date"))
+def stamp_snapshot(df: DataFrame, day: _dt.date | str | Column, col: str = SNAPSHOT_COL) -> DataFrame:
+    """Add the load date; the date is a parameter (or a column, e.g. the date in
+    the source file name), never the wall clock."""
+    value = day if isinstance(day, Column) else F.lit(str(day))
+    return df.withColumn(col, value.cast("date"))
 
 
 def latest_snapshot(df: DataFrame, col: str = SNAPSHOT_COL) -> DataFrame:

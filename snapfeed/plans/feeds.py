@@ -45,7 +45,7 @@ NO_CLAIM_LABEL = "no data"
 NO_REGION_LABEL = "N/A"
 
 
-def clean_rx(raw: DataFrame, snapshot_day: _dt.date | str, *, ndc_value, placeholder: str,
+def clean_rx(raw: DataFrame, snapshot_day, *, ndc_value, placeholder: str,
              order_col: str, prefix: str = "NI", date_fmt: str = "yyyy-MM-dd",
              group_extra: list[str] = (), bucket_col: str | None = None,
              carry: list[str] = ()) -> DataFrame:
@@ -83,7 +83,7 @@ def clean_rx(raw: DataFrame, snapshot_day: _dt.date | str, *, ndc_value, placeho
     return df.select(*RX_COLUMNS, *carry)
 
 
-def clean_summary(raw: DataFrame, snapshot_day: _dt.date | str,
+def clean_summary(raw: DataFrame, snapshot_day,
                   ts_fmt: str = "yyyy-MM-dd HH:mm:ss",
                   fallback_fmts: tuple[str, ...] = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd")) -> DataFrame:
     """Clean a benefit summary read as text with its original headers."""

@@ -39,12 +39,14 @@ def derive_rx_columns(df: DataFrame, base_amount: float, status_detail: str = "C
 
 def rx_source(snapshots: DataFrame, *, base_amount: float, statuses: list[str],
               excluded_keys: list[tuple] = (), status_col: str = "Script_Status",
-              tie_break: list[str] = (), latest: bool = True,
+              tie_break: list[str] = (), latest: bool = True, per_snapshot: bool = False,
               snapshot_col: str = SNAPSHOT_COL) -> DataFrame:
     """The MERGE source: one row per key with ``dup_count``.
 
     ``tie_break`` columns (ascending) make the winner among equal dispense
-    dates deterministic.
+    dates deterministic. ``per_snapshot`` (with ``latest=False``) gives what
+    merging each snapshot in date order would leave: per key, the row and
+    count of its newest snapshot.
     """
     df = latest_snapshot(snapshots, snapshot_col) if latest else snapshots
     df = derive_rx_columns(df, base_amount)
@@ -52,7 +54,10 @@ def rx_source(snapshots: DataFrame, *, base_amount: float, statuses: list[str],
     df = in_list(df, status_col, statuses)
     df = distinct_rows(df)
     order = [f"{DISPENSE} desc"] + list(tie_break)
-    return dedup_latest(df, RX_KEYS, order, count_col="dup_count")
+    if not per_snapshot:
+        return dedup_latest(df, RX_KEYS, order, count_col="dup_count")
+    per_day = dedup_latest(df, RX_KEYS + [snapshot_col], order, count_col="dup_count")
+    return dedup_latest(per_day, RX_KEYS, [f"{snapshot_col} desc"])
 
 
 def rx_upsert(target: DataFrame, snapshots: DataFrame, **source_args) -> DataFrame:
