@@ -13,8 +13,11 @@ from pyspark.sql import functions as F
 
 from snapfeed.functions.common import as_col, ColumnOrName
 
-# Characters Python's str.strip() removes (str.isspace()), written as
-# one regex character class usable by Java and by RE2.
+# Characters Python's str.strip() removes (str.isspace()).
+PY_WHITESPACE_CHARS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+                       + "".join(chr(c) for c in range(0x2000, 0x200B))
+                       + "\u2028\u2029\u202f\u205f\u3000")
+# The same set as one regex character class usable by Java and by RE2.
 PY_WHITESPACE_CLASS = (
     "[\\t\\n\\x0B\\f\\r\\x1C\\x1D\\x1E\\x1F \\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}"
     "\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]"
@@ -36,9 +39,9 @@ def _fail(message: str, c: Column) -> Column:
 
 
 def py_strip(c: ColumnOrName) -> Column:
-    """str.strip(): remove leading and trailing whitespace (Unicode set)."""
-    cls = PY_WHITESPACE_CLASS
-    return F.regexp_replace(_text(c), f"^{cls}+|{cls}+$", "")
+    """str.strip(): remove leading and trailing whitespace (Unicode set).
+    Only the two ends of the text are examined."""
+    return F.btrim(_text(c), F.lit(PY_WHITESPACE_CHARS))
 
 
 def int_or_default(c: ColumnOrName, default: int = 0, decimal_text: str = "truncate") -> Column:

@@ -124,6 +124,17 @@ def dedup_latest(df: DataFrame, keys: list[str], order: list, count_col: str | N
     return ranked.where(F.col("__rn") == 1).drop("__rn")
 
 
+def _bucket(order_col: str, bucket_bits: int, bucket_col: str | None) -> Column:
+    return F.col(bucket_col) if bucket_col else F.shiftright(F.col(order_col), bucket_bits)
+
+
+def _bucket_offsets(per_bucket: DataFrame, group: list[str], count_col: str) -> DataFrame:
+    """Per (group, bucket): rows of ``count_col`` in all earlier buckets of the group.
+    Works on the small per-bucket table only."""
+    before = Window.partitionBy(*group).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    return per_bucket.withColumn("__off", F.coalesce(F.sum(count_col).over(before), F.lit(0)))
+
+
 def number_within_group(df: DataFrame, group: list[str], order_col: str, out: str = "seq",
                         bucket_bits: int = BUCKET_BITS, bucket_col: str | None = None) -> DataFrame:
     """``row_number() over (partition by group order by bucket, order_col)``
@@ -131,25 +142,23 @@ def number_within_group(df: DataFrame, group: list[str], order_col: str, out: st
 
     Buckets are ``order_col >> bucket_bits`` for an integral order, or an
     explicit ``bucket_col`` (for CSV input: the split start, so the order
-    within a split is the scan order).
+    within a split is the scan order). One shuffle of the rows on
+    (group, bucket); the offsets come from a table with one row per bucket.
     """
-    b = F.col(bucket_col) if bucket_col else F.shiftright(F.col(order_col), bucket_bits)
-    bucketed = df.withColumn("__b", b)
     parts = group + ["__b"]
-    local = bucketed.withColumn(
-        "__local", F.row_number().over(Window.partitionBy(*parts).orderBy(F.col(order_col))))
-    sizes = bucketed.groupBy(*_renamed_keys(parts, "g")).agg(F.count(F.lit(1)).alias("__n"))
-    tags = [f"__g{i}" for i in range(len(parts))]
-    before = Window.partitionBy(*tags[:-1]).orderBy(tags[-1]).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*tags, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
-    joined = local.join(offsets, _on_renamed(parts, "g"), "inner")
-    return joined.select(*df.columns, (F.col("__off") + F.col("__local")).cast("bigint").alias(out))
+    local = (df.withColumn("__b", _bucket(order_col, bucket_bits, bucket_col))
+             .withColumn("__local", F.row_number().over(Window.partitionBy(*parts).orderBy(F.col(order_col)))))
+    sizes = local.groupBy(*parts).agg(F.max("__local").alias("__n"))
+    offsets = _bucket_offsets(sizes, group, "__n").drop("__n")
+    joined = local.join(offsets, parts, "left")
+    return joined.select(*df.columns, (F.coalesce(F.col("__off"), F.lit(0)) + F.col("__local"))
+                         .cast("bigint").alias(out))
 
 
 def refill_numbering(df: DataFrame, patient: str, serial: str, dispensed: str, ndc: str,
                      order_col: str, ndc_value, placeholder: str, prefix: str = "NI",
                      out: str = "modified_serial_id", group_extra: list[str] = (),
-                     bucket_col: str | None = None) -> DataFrame:
+                     bucket_col: str | None = None, bucket_bits: int = BUCKET_BITS) -> DataFrame:
     """Number refills of a patient's single original serial.
 
     Per non-NULL patient: if exactly one distinct serial starts with ``prefix``,
@@ -157,24 +166,33 @@ def refill_numbering(df: DataFrame, patient: str, serial: str, dispensed: str, n
     containing ``placeholder`` get ``<serial>refill<i>``, ``i = 1..`` in
     ``order_col`` order. Every other row keeps its serial in ``out``.
     ``group_extra`` (e.g. the source file) narrows the group further.
+
+    Plan: one shuffle on (patient, order bucket); inside each bucket a running
+    count of candidates and the bucket's smallest / largest original serial;
+    a per-bucket table (tiny) gives the patient's originals and the count of
+    candidates in earlier buckets; it is joined back on (patient, bucket).
     """
     group = [patient] + list(group_extra)
+    parts = group + ["__b"]
     s = F.col(serial)
     stripped = F.coalesce(py_strip(s), F.lit(""))
-    candidate = (F.col(dispensed).isNotNull() & (F.col(ndc) == F.lit(ndc_value))
-                 & ((stripped == F.lit("")) | stripped.contains(placeholder)))
+    candidate = F.coalesce(F.col(dispensed).isNotNull() & (F.col(ndc) == F.lit(ndc_value))
+                           & ((stripped == F.lit("")) | stripped.contains(placeholder)), F.lit(False))
     original = F.when(F.coalesce(s, F.lit("")).startswith(prefix), s)
-    stats = (df.where(F.col(patient).isNotNull())
-             .groupBy(*group)
-             .agg(F.min(original).alias("__lo"), F.max(original).alias("__hi")))
     cols = [c for c in df.columns if c != out]
-    base = df.join(stats, group, "left").select(
-        *cols, "__lo",
-        F.coalesce(candidate & F.col("__lo").isNotNull() & (F.col("__lo") == F.col("__hi")),
-                   F.lit(False)).alias("__refill"))
-    keep = base.where(~F.col("__refill")).select(*cols, s.alias(out))
-    refills = number_within_group(base.where(F.col("__refill")), group, order_col, "__i",
-                                  bucket_col=bucket_col)
-    numbered = refills.select(*cols, F.concat(F.col("__lo"), F.lit("refill"),
-                                                    F.col("__i").cast("string")).alias(out))
-    return keep.unionByName(numbered)
+    running = Window.partitionBy(*parts).orderBy(F.col(order_col)).rowsBetween(Window.unboundedPreceding, 0)
+    x = (df.select(*cols, _bucket(order_col, bucket_bits, bucket_col).alias("__b"),
+                   candidate.cast("int").alias("__cand"), original.alias("__orig"))
+         .withColumn("__run", F.sum("__cand").over(running)))
+    per_bucket = x.groupBy(*parts).agg(F.min("__orig").alias("__lo_b"), F.max("__orig").alias("__hi_b"),
+                                       F.sum("__cand").alias("__n_b"))
+    whole = Window.partitionBy(*group)
+    facts = (_bucket_offsets(per_bucket, group, "__n_b")
+             .select(*parts, "__off", F.min("__lo_b").over(whole).alias("__lo"),
+                     F.max("__hi_b").over(whole).alias("__hi")))
+    j = x.join(facts, parts, "left")
+    refill = (F.col(patient).isNotNull() & (F.col("__cand") == 1) & F.col("__lo").isNotNull()
+              & (F.col("__lo") == F.col("__hi")))
+    number = (F.col("__off") + F.col("__run")).cast("string")
+    value = F.when(refill, F.concat(F.col("__lo"), F.lit("refill"), number)).otherwise(s)
+    return j.select(*cols, value.alias(out))

@@ -13,6 +13,7 @@ from snapfeed.functions.names import normalize_headers
 from snapfeed.operators.schema import rename_map, select_schema
 from snapfeed.operators.snapshot import SNAPSHOT_COL, stamp_snapshot
 from snapfeed.operators.windows import refill_numbering
+from snapfeed.session import spread
 
 # Column names of the cleaned prescription table, in feed order
 # (the last two are added by the cleaner).
@@ -48,7 +49,7 @@ NO_REGION_LABEL = "N/A"
 def clean_rx(raw: DataFrame, snapshot_day, *, ndc_value, placeholder: str,
              order_col: str, prefix: str = "NI", date_fmt: str = "yyyy-MM-dd",
              group_extra: list[str] = (), bucket_col: str | None = None,
-             carry: list[str] = ()) -> DataFrame:
+             carry: list[str] = (), min_partitions: int | None = None) -> DataFrame:
     """Clean a prescription feed read as text.
 
     ``raw`` holds the 34 feed columns first (named by position) and then the
@@ -59,7 +60,7 @@ def clean_rx(raw: DataFrame, snapshot_day, *, ndc_value, placeholder: str,
     if len(raw.columns) != n + len(carry):
         raise ValueError(f"expected {n} feed columns plus {carry}, got {len(raw.columns)} columns")
     df = raw.select(*[F.col(f"`{a}`").alias(b) for a, b in zip(raw.columns[:n], RX_FEED_COLUMNS)], *carry)
-    df = df.withColumns({
+    df = spread(df, min_partitions).withColumns({
         "Provider_NPI": C.first_digits("Provider_NPI"),
         "Total_Fills": C.int_or_default("Total_Fills", 0),
         "Fills_Dispensed": C.int_or_default("Fills_Dispensed", 0),
@@ -85,10 +86,11 @@ def clean_rx(raw: DataFrame, snapshot_day, *, ndc_value, placeholder: str,
 
 def clean_summary(raw: DataFrame, snapshot_day,
                   ts_fmt: str = "yyyy-MM-dd HH:mm:ss",
-                  fallback_fmts: tuple[str, ...] = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd")) -> DataFrame:
+                  fallback_fmts: tuple[str, ...] = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd"),
+                  min_partitions: int | None = None) -> DataFrame:
     """Clean a benefit summary read as text with its original headers."""
     df = rename_map(normalize_headers(raw), SUMMARY_RENAMES)
-    df = select_schema(df, SUMMARY_COLUMNS)
+    df = spread(select_schema(df, SUMMARY_COLUMNS), min_partitions)
     entered = C.strict_timestamp("DATE_ENTERED", ts_fmt)
     cols = {c: C.stringify(c) for c in SUMMARY_STRINGIFIED}
     cols.update({

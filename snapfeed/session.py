@@ -71,3 +71,15 @@ def table_path(sf_dir: str, name: str) -> str:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism) when its scan yields fewer, e.g. one big multi-line
+    CSV or one row group. A no-op for inputs that are already split wider,
+    so it never narrows a large scan. Order-carrying columns must be captured
+    before this call."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
