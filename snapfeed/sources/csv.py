@@ -62,8 +62,10 @@ def read_csv(spark: SparkSession, path: str, columns: list[str] | None = None,
     columns = columns or header_columns(spark, path, sep)
     raw = _raw_reader(spark, columns, True, quoted_newlines, sep).csv(path)
     if fail_on_long_rows:
-        raw = raw.withColumn(OVER_COL, F.when(too_long(raw), F.raise_error(
-            F.concat(F.lit("CSV row longer than header: "), F.coalesce(F.col(CORRUPT_COL), F.col(OVER_COL))))))
+        # A filter predicate is always evaluated (a projected check column would be pruned).
+        raw = raw.where(F.when(too_long(raw), F.raise_error(
+            F.concat(F.lit("CSV row longer than header: "), F.coalesce(F.col(CORRUPT_COL), F.col(OVER_COL)))))
+            .otherwise(F.lit(True)))
     df = raw.select(*columns)
     return drop_all_null(na_to_null(df, tuple(na_literals)))
 

@@ -25,3 +25,22 @@ def split_json_rows(df: DataFrame, value_col: str, schema: T.StructType) -> tupl
     good = p.where(F.col(CORRUPT_COL).isNull()).drop(CORRUPT_COL)
     bad = p.where(F.col(CORRUPT_COL).isNotNull())
     return good, bad
+
+
+def append_json_rows(df: DataFrame, value_col: str, table: str) -> DataFrame:
+    """Insert the JSON rows that parse against ``table``'s schema (by name) and
+    return the rows that did not. The table must exist."""
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(table):
+        raise LookupError(f"table {table} was not found")
+    schema = spark.table(table).schema
+    parsed = parse_json_rows(df.select(value_col), value_col, schema).persist()
+    try:
+        good = parsed.where(F.col(CORRUPT_COL).isNull()).drop(CORRUPT_COL)
+        view = f"__json_rows_{abs(hash(table))}"
+        good.createOrReplaceTempView(view)
+        spark.sql(f"INSERT INTO {table} BY NAME SELECT * FROM {view}")
+        spark.catalog.dropTempView(view)
+        return parsed.where(F.col(CORRUPT_COL).isNotNull()).select(F.col(CORRUPT_COL).alias(value_col))
+    finally:
+        parsed.unpersist()

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 from snapfeed.functions.names import accept_file, normalize_header
 from snapfeed.sources import csv as CSV
 from snapfeed.sources.files import list_files, new_feed_files
-from snapfeed.sources.json_rows import split_json_rows
+from snapfeed.sources.json_rows import append_json_rows, split_json_rows
 from snapfeed.sources.tables import (append_query, ensure_table, export_csv, replace_table, run_query,
                                      run_script)
 
@@ -110,3 +110,11 @@ def test_tables_ddl_append_script_replace(spark, tmp_dir):
     path = export_csv(spark.table("t_replaced"), tmp_dir, "export_", __import__("datetime").date(2024, 3, 9))
     assert path.endswith("export_20240309.csv")
     assert spark.read.option("header", True).csv(path).count() == 1
+
+
+def test_append_json_rows(spark):
+    spark.sql("CREATE TABLE IF NOT EXISTS t_json (k BIGINT, name STRING) USING parquet")
+    df = spark.createDataFrame([('{"k": 1, "name": "a"}',), ("{oops",), ('{"name": "b", "k": 2}',)], "v string")
+    bad = append_json_rows(df, "v", "t_json")
+    assert [r[0] for r in bad.collect()] == ["{oops"]
+    assert sorted(tuple(r) for r in spark.table("t_json").collect()) == [(1, "a"), (2, "b")]
