@@ -74,12 +74,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over at least ``min_partitions`` tasks (default: the
-    cluster's parallelism) when its scan yields fewer, e.g. one big multi-line
-    CSV or one row group. A no-op for inputs that are already split wider,
-    so it never narrows a large scan. Order-carrying columns must be captured
-    before this call."""
+    """Round-robin ``df`` over ``min_partitions`` tasks (default: the cluster's
+    parallelism) when it is read from fewer files than that, e.g. one daily
+    multi-line CSV (a single split) ahead of CPU-heavy cleaning. Inputs made
+    of many files are left alone, so a large scan is never narrowed. The check
+    lists the plan's input files (metadata only, nothing is executed).
+    Order-carrying columns must be captured before this call."""
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    files = df.inputFiles()
+    if not files or len(files) >= target:
         return df
     return df.repartition(target)
