@@ -3,9 +3,8 @@ DataFrame plan.
 
 The result is the new content of the target: matched rows take the source's
 update columns, unmatched source rows are inserted, target-only rows are kept.
-One full outer join on the keys: each side is shuffled once. Rows with a NULL
-key part can never match, so they bypass the join (a NULL key group would
-otherwise pile into one shuffle partition).
+One full outer join on the keys: each side is shuffled at most once, and not
+at all when it is already partitioned on the keys (e.g. a deduplicated source).
 """
 
 from __future__ import annotations
@@ -33,12 +32,20 @@ def check_unique_source(source: DataFrame, keys: list[str]) -> None:
 
 def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str],
                  update_cols: list[str] | None = None, insert_cols: list[str] | None = None,
-                 with_action: bool = False, validate_source: bool = True) -> DataFrame:
+                 with_action: bool = False, validate_source: bool = True,
+                 salt_null_keys: bool | None = None) -> DataFrame:
     """Upsert ``source`` into ``target`` on equal, non-NULL ``keys``.
 
     ``update_cols`` default: every non-key target column the source has.
     ``insert_cols`` default: every target column the source has (others NULL).
     ``with_action`` adds ``_merge_action`` in (update, insert, keep).
+
+    One full outer join. When a key column is nullable, rows with a NULL key
+    part (which can never match) get a content-hash salt as an extra join key,
+    so they spread over all partitions instead of meeting in one; matchable
+    rows have salt 0 on both sides. ``salt_null_keys=None`` decides from the
+    schemas' nullability; pass False when the caller has filtered NULL keys
+    out (the join then reuses an existing partitioning on the keys).
     """
     t_cols = target.columns
     s_set = set(source.columns)
@@ -53,12 +60,22 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str],
         check_unique_source(source, keys)
     types = {f.name: f.dataType for f in target.schema.fields}
     used = [c for c in t_cols if c in set(update_cols) | set(insert_cols) | set(keys)]
-
-    t = target.where(~_any_null(keys)).withColumn("__t", F.lit(True))
-    s = source.where(~_any_null(keys)).select(
-        *[F.col(c).cast(types[c]).alias(f"__s_{c}") for c in used], F.lit(True).alias("__s"))
-    cond = reduce(lambda a, b: a & b, [t[k] == s[f"__s_{k}"] for k in keys])
-    j = t.join(s, cond, "full")
+    nullable = (any(target.schema[k].nullable or source.schema[k].nullable for k in keys)
+                if salt_null_keys is None else salt_null_keys)
+
+    def salt(df: DataFrame, cols: list[str]):
+        return F.when(_any_null(keys), F.xxhash64(*[F.col(c) for c in cols])).otherwise(F.lit(0).cast("bigint"))
+
+    t = target.withColumn("__t", F.lit(True))
+    s = source.select(*[F.col(c).cast(types[c]).alias(f"__s_{c}") for c in used], F.lit(True).alias("__s"))
+    cond = [t[k] == s[f"__s_{k}"] for k in keys]
+    if nullable:
+        t = t.withColumn("__salt_t", salt(target, t_cols))
+        s = s.withColumn("__salt_s", F.when(_any_null([f"__s_{k}" for k in keys]),
+                                            F.xxhash64(*[F.col(f"__s_{c}") for c in used]))
+                         .otherwise(F.lit(0).cast("bigint")))
+        cond = [t[k] == s[f"__s_{k}"] for k in keys] + [t["__salt_t"] == s["__salt_s"]]
+    j = t.join(s, reduce(lambda a, b: a & b, cond), "full")
 
     is_insert = F.col("__t").isNull()
     is_update = F.col("__t").isNotNull() & F.col("__s").isNotNull()
@@ -75,16 +92,7 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str],
         out.append(v.alias(c))
     if with_action:
         out.append(F.when(is_insert, "insert").when(is_update, "update").otherwise("keep").alias(ACTION_COL))
-    merged = j.select(*out)
-
-    kept_nulls = target.where(_any_null(keys))
-    new_nulls = source.where(_any_null(keys)).select(
-        *[(F.col(c).cast(types[c]) if c in insert_cols else F.lit(None).cast(types[c])).alias(c)
-          for c in t_cols])
-    if with_action:
-        kept_nulls = kept_nulls.withColumn(ACTION_COL, F.lit("keep"))
-        new_nulls = new_nulls.withColumn(ACTION_COL, F.lit("insert"))
-    return merged.unionByName(kept_nulls).unionByName(new_nulls)
+    return j.select(*out)
 
 
 def merge_counts(merged_with_action: DataFrame) -> DataFrame:

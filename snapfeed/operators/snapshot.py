@@ -39,10 +39,7 @@ def with_defaults(df: DataFrame, defaults: dict[str, tuple[str, object]]) -> Dat
     """
     cols = {}
     for new, (src, default) in defaults.items():
-        lit = F.lit(default)
-        if isinstance(default, _dt.date):
-            lit = F.lit(default.isoformat()).cast("date")
-        cols[new] = F.coalesce(F.col(src), lit)
+        cols[new] = F.coalesce(F.col(src), F.lit(default))
     return df.withColumns(cols)
 
 

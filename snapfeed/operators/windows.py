@@ -108,12 +108,16 @@ def dedup_latest(df: DataFrame, keys: list[str], order: list, count_col: str | N
     if method == "aggregate" and key is None:
         raise ValueError("order cannot be expressed as a maximum; use method='window'")
     if key is not None:
-        row = F.struct(*[F.col(c) for c in df.columns])
+        rest = [c for c in df.columns if c not in keys]
+        row = F.struct(*[F.col(c) for c in rest])
         aggs = [F.max_by(row, key).alias("__row")]
         if count_col:
             aggs.append(F.count(F.lit(1)).alias(count_col))
-        best = df.groupBy(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]).agg(*aggs)
-        out = [F.col(f"__row.{c}").alias(c) for c in df.columns]
+        # Grouping on the key columns themselves keeps the result hash-partitioned
+        # on them (a later join on the keys needs no new shuffle) and keeps
+        # their nullability.
+        best = df.groupBy(*keys).agg(*aggs)
+        out = [F.col(c) if c in keys else F.col(f"__row.{c}").alias(c) for c in df.columns]
         if count_col:
             out.append(F.col(count_col))
         return best.select(*out)

@@ -63,4 +63,6 @@ def rx_source(snapshots: DataFrame, *, base_amount: float, statuses: list[str],
 def rx_upsert(target: DataFrame, snapshots: DataFrame, **source_args) -> DataFrame:
     """New staging-table content after merging the latest snapshot."""
     source = rx_source(snapshots, **source_args)
-    return merge_upsert(target, source, RX_KEYS, validate_source=False)
+    # Keys are non-NULL here: patient and rx are filtered by the exclusion
+    # step, serial and date are coalesced.
+    return merge_upsert(target, source, RX_KEYS, validate_source=False, salt_null_keys=False)

@@ -105,7 +105,7 @@ class RxFeedIngest:
     def _upsert(self, source: DataFrame) -> None:
         if self.spark.catalog.tableExists(self.staging_table):
             target = self.spark.table(self.staging_table)
-            merged = rx.merge_upsert(target, source, rx.RX_KEYS, validate_source=False)
+            merged = rx.merge_upsert(target, source, rx.RX_KEYS, validate_source=False, salt_null_keys=False)
         else:
             merged = source
         replace_table(self.spark, merged, self.staging_table, self.staging_root)
