@@ -8,7 +8,7 @@ there is no Python in the row path.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapfeed.functions.common import as_col, ColumnOrName
@@ -58,20 +58,29 @@ def _decodable(answer: Column, question: Column, questions: tuple[int, ...]) ->
     return is_digits(answer) & (answer != F.lit("0")) & question.isin(*questions)
 
 
-def decode_baseline(answer: ColumnOrName, question: ColumnOrName) -> Column:
+def with_words(df: DataFrame, answer: str, low: str = "_low", high: str = "_high") -> DataFrame:
+    """Add the two 16-bit words as columns, computed once per row; pass them to
+    the decoders as ``words=(low, high)`` instead of re-deriving them per bit."""
+    lo, hi = split_words(answer)
+    return df.withColumns({low: lo, high: hi})
+
+
+def decode_baseline(answer: ColumnOrName, question: ColumnOrName,
+                    words: tuple[ColumnOrName, ColumnOrName] | None = None) -> Column:
     """Options chosen in a baseline multi-select answer, e.g. ``'1, 4'``.
 
     Other questions, ``'0'`` and non-digit text pass through; NULL stays NULL.
     """
     a, q = as_col(answer), as_col(question)
-    low, _ = split_words(a)
+    low = as_col(words[0]) if words else split_words(a)[0]
     return F.when(_decodable(a, q, BASELINE_QUESTIONS), _bit_list(low, BASELINE_BITS)).otherwise(a)
 
 
-def decode_daily(answer: ColumnOrName, question: ColumnOrName) -> Column:
+def decode_daily(answer: ColumnOrName, question: ColumnOrName,
+                 words: tuple[ColumnOrName, ColumnOrName] | None = None) -> Column:
     """Daily multi-select answers; the flagged question marks high-word options ``h``."""
     a, q = as_col(answer), as_col(question)
-    low, high = split_words(a)
+    low, high = (as_col(words[0]), as_col(words[1])) if words else split_words(a)
     return (F.when(_decodable(a, q, DAILY_PLAIN_QUESTIONS), _bit_list(low, DAILY_PLAIN_BITS))
             .when(_decodable(a, q, DAILY_FLAGGED_QUESTIONS), _bit_list(low, DAILY_FLAGGED_BITS, high))
             .otherwise(a))

@@ -304,9 +304,9 @@ SELECT event_id, question_id, answer,
             ELSE answer END AS decoded
 FROM b""")
 def q_decode_baseline(spark, sf_dir):
-    a = _answers(spark, sf_dir, 10, 5)
+    a = AN.with_words(_answers(spark, sf_dir, 10, 5), "answer")
     return a.select("event_id", "question_id", "answer",
-                    AN.decode_baseline("answer", "question_id").alias("decoded"))
+                    AN.decode_baseline("answer", "question_id", words=("_low", "_high")).alias("decoded"))
 
 
 @register("decode_daily", _answers_sql(56, 8) + f"""
@@ -316,6 +316,6 @@ SELECT event_id, question_id, answer,
             ELSE answer END AS decoded
 FROM b""")
 def q_decode_daily(spark, sf_dir):
-    a = _answers(spark, sf_dir, 56, 8)
+    a = AN.with_words(_answers(spark, sf_dir, 56, 8), "answer")
     return a.select("event_id", "question_id", "answer",
-                    AN.decode_daily("answer", "question_id").alias("decoded"))
+                    AN.decode_daily("answer", "question_id", words=("_low", "_high")).alias("decoded"))
