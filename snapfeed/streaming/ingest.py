@@ -27,7 +27,7 @@ BatchHandler = Callable[[DataFrame, int], None]
 
 
 def csv_file_stream(spark: SparkSession, landing_dir: str, columns: list[str], glob: str | None = None,
-                    max_files_per_trigger: int | None = None, quoted_newlines: bool = True) -> DataFrame:
+                    max_files_per_trigger: int | None = 1000, quoted_newlines: bool = True) -> DataFrame:
     """Stream of text rows from CSV files landing in a folder, tagged with the
     source file and scan position."""
     schema = text_schema(columns + [OVER_COL, CORRUPT_COL])
@@ -91,16 +91,21 @@ class RxFeedIngest:
             done = history.select(F.col(SOURCE_FILE).alias("__done")).distinct()
             rows = rows.join(done, rows[SOURCE_FILE] == done["__done"], "left_anti")
         rows = na_to_null(rows, cols=RX_FEED_COLUMNS)
-        cleaned = clean_rx(rows, feed_name_date(F.col(SOURCE_FILE), self.prefix), order_col=ROW_IN_SPLIT,
-                           group_extra=[SOURCE_FILE], bucket_col=SPLIT_START,
+        day = feed_name_date(F.col(SOURCE_FILE), self.prefix)
+        # One row per new file (bounded by maxFilesPerTrigger): used to read the
+        # batch back from the history with partition pruning.
+        files = rows.select(SOURCE_FILE, day.alias("__day")).distinct().collect()
+        if not files:
+            return
+        cleaned = clean_rx(rows, day, order_col=ROW_IN_SPLIT, group_extra=[SOURCE_FILE], bucket_col=SPLIT_START,
                            carry=[SOURCE_FILE, SPLIT_START, ROW_IN_SPLIT], **self.clean_args)
-        cleaned = cleaned.persist()
-        try:
-            cleaned.write.mode("append").partitionBy(SNAPSHOT_COL).parquet(self.history_path)
-            source = rx.rx_source(cleaned, latest=False, per_snapshot=True, **self.source_args)
-            self._upsert(source.drop(SPLIT_START, ROW_IN_SPLIT))
-        finally:
-            cleaned.unpersist()
+        cleaned.write.mode("append").partitionBy(SNAPSHOT_COL).parquet(self.history_path)
+        # Read the rows just written (lineage cut at the shared table, no cache).
+        written = (self.spark.read.parquet(self.history_path)
+                   .where(F.col(SNAPSHOT_COL).isin(sorted({r["__day"] for r in files}))
+                          & F.col(SOURCE_FILE).isin(sorted(r[SOURCE_FILE] for r in files))))
+        source = rx.rx_source(written, latest=False, per_snapshot=True, **self.source_args)
+        self._upsert(source.drop(SPLIT_START, ROW_IN_SPLIT))
 
     def _upsert(self, source: DataFrame) -> None:
         if self.spark.catalog.tableExists(self.staging_table):
