@@ -68,9 +68,9 @@ def test_reads(spark):
 
 def test_routing_and_lookup(spark):
     rows = spark.createDataFrame([("u1", "hi"), ("u9", "yo")], "userId string, text string")
-    users = spark.createDataFrame([("u1", ("ic-1",))], "key string, intercom struct<id:string>")
-    got = {r["userId"]: r["intercom_id"] for r in D.lookup_nested(rows, users, "userId", "key", "intercom.id",
-                                                                     "intercom_id").collect()}
+    users = spark.createDataFrame([("u1", ("ic-1",))], "key string, chat struct<id:string>")
+    got = {r["userId"]: r["chat_id"] for r in D.lookup_nested(rows, users, "userId", "key", "chat.id",
+                                                                     "chat_id").collect()}
     assert got == {"u1": "ic-1", "u9": None}
     r = D.add_routing(rows, "msgs", "userId").first()["fs_location"]
     assert (r["collection_id"], r["doc_id"]) in {("msgs", "u1"), ("msgs", "u9")}
