@@ -160,3 +160,12 @@ def q_lookup_nested(spark, sf_dir):
     users = read_table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("key"), F.struct(F.col("c_name").alias("id")).alias("chat"))
     return D.lookup_nested(msgs, users, "user_key", "key", "chat.id", "chat_id")
+
+
+@register("missing_ids", """
+SELECT o.o_orderkey AS pos, o.o_custkey AS id FROM orders o
+WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = o.o_custkey AND c.c_mktsegment <> 'HOUSEHOLD')""")
+def q_missing_ids(spark, sf_dir):
+    o = read_table(spark, sf_dir, "orders")
+    ids = o.select(F.col("o_orderkey").alias("pos"), F.col("o_custkey").alias("id"))
+    return D.missing_ids(_customer_docs(spark, sf_dir), ids, key="key", id_col="id")

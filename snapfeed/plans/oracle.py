@@ -116,3 +116,33 @@ mx AS (SELECT max(_snapshot_date) AS m FROM fills),""" + _rx_ranked(
 SELECT {_prefer_source(RX_COLS)}
 FROM (SELECT *, true AS __t FROM tgt) t FULL JOIN (SELECT *, true AS __s FROM src) s
   ON {" AND ".join(f"t.{k} = s.{k}" for k in RX_KEYS)}"""
+
+
+ORACLE["merge_counts"] = f"""
+WITH old AS ({_last_orders_sql(f"o_orderdate < TIMESTAMP '{A.ORDER_SPLIT_DAY}'")}),
+new AS ({_last_orders_sql(f"o_orderdate >= TIMESTAMP '{A.ORDER_SPLIT_DAY}'")})
+SELECT CASE WHEN t.__t IS NULL THEN 'insert' WHEN s.__s THEN 'update' ELSE 'keep' END AS _merge_action,
+       count(*) AS n_rows
+FROM (SELECT *, true AS __t FROM old) t FULL JOIN (SELECT *, true AS __s FROM new) s ON t.o_custkey = s.o_custkey
+GROUP BY 1"""
+
+ORACLE["dedup_latest_window"] = """
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                               ORDER BY l_shipdate DESC NULLS LAST, l_partkey ASC NULLS FIRST,
+                                        l_suppkey ASC NULLS FIRST, l_extendedprice ASC NULLS FIRST) AS rn
+  FROM lineitem) WHERE rn = 1"""
+
+ORACLE["seq_within_group"] = """
+SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS seq FROM events"""
+
+_KEYS = ", ".join(RX_KEYS)
+ORACLE["rx_batch_source"] = WITH_FILLS + "," + _RX_PREP.replace("prep AS", "all_prep AS").format(cond="") + f""",
+per_day AS (SELECT * EXCLUDE (rn) FROM (
+  SELECT *, count(*) OVER (PARTITION BY {_KEYS}, _snapshot_date) AS dup_count,
+         row_number() OVER (PARTITION BY {_KEYS}, _snapshot_date
+                            ORDER BY Dispense_Date DESC NULLS LAST, row_order ASC NULLS FIRST) AS rn
+  FROM all_prep) WHERE rn = 1)
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY {_KEYS} ORDER BY _snapshot_date DESC NULLS LAST) AS rn FROM per_day)
+WHERE rn = 1"""

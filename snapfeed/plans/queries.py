@@ -95,3 +95,31 @@ def rx_flagship(spark, sf_dir):
 
 
 register("rx_upsert")(rx_flagship)
+
+
+# --- further operator views -------------------------------------------------------
+
+@register("merge_counts")
+def q_merge_counts(spark, sf_dir):
+    from snapfeed.operators.merge import merge_counts
+    return merge_counts(q_merge_upsert(spark, sf_dir)).withColumnRenamed("count", "n_rows")
+
+
+@register("dedup_latest_window")
+def q_dedup_latest_window(spark, sf_dir):
+    li = read_table(spark, sf_dir, "lineitem")
+    return dedup_latest(li, LINE_KEYS, LINE_ORDER, method="window")
+
+
+@register("seq_within_group")
+def q_seq_within_group(spark, sf_dir):
+    from snapfeed.operators.windows import number_within_group
+    e = read_table(spark, sf_dir, "events").select("event_id", "user_id")
+    return number_within_group(e, ["user_id"], "event_id", "seq")
+
+
+@register("rx_batch_source")
+def q_rx_batch_source(spark, sf_dir):
+    f = A.fills(spark, sf_dir)
+    return rx.rx_source(f, base_amount=A.BASE_AMOUNT, statuses=A.RX_STATUSES, excluded_keys=A.EXCLUDED_KEYS,
+                        tie_break=["row_order"], latest=False, per_snapshot=True)
