@@ -63,17 +63,16 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str],
     nullable = (any(target.schema[k].nullable or source.schema[k].nullable for k in keys)
                 if salt_null_keys is None else salt_null_keys)
 
-    def salt(df: DataFrame, cols: list[str]):
-        return F.when(_any_null(keys), F.xxhash64(*[F.col(c) for c in cols])).otherwise(F.lit(0).cast("bigint"))
+    def salt(key_cols: list[str], row_cols: list[str]):
+        return (F.when(_any_null(key_cols), F.xxhash64(*[F.col(c) for c in row_cols]))
+                .otherwise(F.lit(0).cast("bigint")))
 
     t = target.withColumn("__t", F.lit(True))
     s = source.select(*[F.col(c).cast(types[c]).alias(f"__s_{c}") for c in used], F.lit(True).alias("__s"))
     cond = [t[k] == s[f"__s_{k}"] for k in keys]
     if nullable:
-        t = t.withColumn("__salt_t", salt(target, t_cols))
-        s = s.withColumn("__salt_s", F.when(_any_null([f"__s_{k}" for k in keys]),
-                                            F.xxhash64(*[F.col(f"__s_{c}") for c in used]))
-                         .otherwise(F.lit(0).cast("bigint")))
+        t = t.withColumn("__salt_t", salt(keys, t_cols))
+        s = s.withColumn("__salt_s", salt([f"__s_{k}" for k in keys], [f"__s_{c}" for c in used]))
         cond = [t[k] == s[f"__s_{k}"] for k in keys] + [t["__salt_t"] == s["__salt_s"]]
     j = t.join(s, reduce(lambda a, b: a & b, cond), "full")
 

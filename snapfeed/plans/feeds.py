@@ -3,8 +3,6 @@ benefit-investigation summary (named columns)."""
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
