@@ -79,10 +79,11 @@ _CUST_CODE_SQL = """CASE WHEN c_mktsegment = 'BUILDING' THEN 'n/a-' || CAST(c_na
 @register("num_or_null", f"""
 WITH t AS (SELECT c_custkey, {_CUST_CODE_SQL} AS txt FROM customer),
 d AS (SELECT c_custkey, txt, TRY_CAST(txt AS DOUBLE) AS v FROM t)
-SELECT c_custkey, txt, CAST(CASE WHEN isnan(v) THEN NULL ELSE v END AS BIGINT) AS code FROM d""")
+SELECT c_custkey, txt, CAST(CAST(CASE WHEN isnan(v) THEN NULL ELSE v END AS BIGINT) AS DOUBLE) AS code FROM d""")
 def q_num_or_null(spark, sf_dir):
     c = read_table(spark, sf_dir, "customer").select("c_custkey", _cust_code().alias("txt"))
-    return c.select("c_custkey", "txt", C.numeric_or_null_int("txt").alias("code"))
+    # Nullable integers are shown as DOUBLE so both engines' row conversions agree.
+    return c.select("c_custkey", "txt", C.numeric_or_null_int("txt").cast("double").alias("code"))
 
 
 @register("fill_label", """
@@ -291,11 +292,11 @@ def _decodable_sql(questions) -> str:
 
 
 @register("split_hex", _answers_sql(10, 5) + """
-SELECT event_id, answer, low, high FROM b""")
+SELECT event_id, answer, CAST(low AS DOUBLE) AS low, CAST(high AS DOUBLE) AS high FROM b""")
 def q_split_hex(spark, sf_dir):
     a = _answers(spark, sf_dir, 10, 5)
     low, high = AN.split_words("answer")
-    return a.select("event_id", "answer", low.alias("low"), high.alias("high"))
+    return a.select("event_id", "answer", low.cast("double").alias("low"), high.cast("double").alias("high"))
 
 
 @register("decode_baseline", _answers_sql(10, 5) + f"""

@@ -107,11 +107,11 @@ def q_bad_records(spark, sf_dir):
 
 @register("json_rows", """
 WITH t AS (SELECT event_id, CASE WHEN event_type = 'error' THEN '{bad' ELSE props END AS v FROM events)
-SELECT event_id, CASE WHEN json_valid(v) THEN TRY_CAST(json_extract_string(v, '$.k') AS BIGINT) END AS k,
+SELECT event_id, CAST(CASE WHEN json_valid(v) THEN TRY_CAST(json_extract_string(v, '$.k') AS BIGINT) END AS DOUBLE) AS k,
        NOT json_valid(v) AS is_corrupt
 FROM t""")
 def q_json_rows(spark, sf_dir):
     e = read_table(spark, sf_dir, "events")
     t = e.select("event_id", F.when(F.col("event_type") == "error", F.lit("{bad")).otherwise(F.col("props")).alias("v"))
     p = parse_json_rows(t, "v", T.StructType([T.StructField("k", T.LongType())]))
-    return p.select("event_id", "k", F.col("_corrupt").isNotNull().alias("is_corrupt"))
+    return p.select("event_id", F.col("k").cast("double").alias("k"), F.col("_corrupt").isNotNull().alias("is_corrupt"))
