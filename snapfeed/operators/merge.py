@@ -97,3 +97,17 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str],
 def merge_counts(merged_with_action: DataFrame) -> DataFrame:
     """Affected-row report: rows per action (partial aggregation, tiny result)."""
     return merged_with_action.groupBy(ACTION_COL).count()
+
+
+def merge_into_table(source: DataFrame, table: str, keys: list[str]) -> None:
+    """MERGE ``source`` into a catalog table that supports row-level changes
+    (e.g. a Delta or Iceberg table): matched rows updated, others inserted,
+    target-only rows untouched; only the files holding touched rows are
+    rewritten. Built-in parquet tables refuse MERGE; for them use
+    :func:`merge_upsert` and write the result with ``replace_table``."""
+    target_alias = table.split(".")[-1]
+    cond = " AND ".join(f"{target_alias}.`{k}` = src.`{k}`" for k in keys)
+    (source.alias("src").mergeInto(table, F.expr(cond))
+     .whenMatched().updateAll()
+     .whenNotMatched().insertAll()
+     .merge())

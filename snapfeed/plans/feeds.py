@@ -47,7 +47,8 @@ NO_REGION_LABEL = "N/A"
 def clean_rx(raw: DataFrame, snapshot_day, *, ndc_value, placeholder: str,
              order_col: str, prefix: str = "NI", date_fmt: str = "yyyy-MM-dd",
              group_extra: list[str] = (), bucket_col: str | None = None,
-             carry: list[str] = (), min_partitions: int | None = None) -> DataFrame:
+             carry: list[str] = (), min_partitions: int | None = None,
+             force_spread: bool = False) -> DataFrame:
     """Clean a prescription feed read as text.
 
     ``raw`` holds the 34 feed columns first (named by position) and then the
@@ -58,7 +59,7 @@ def clean_rx(raw: DataFrame, snapshot_day, *, ndc_value, placeholder: str,
     if len(raw.columns) != n + len(carry):
         raise ValueError(f"expected {n} feed columns plus {carry}, got {len(raw.columns)} columns")
     df = raw.select(*[F.col(f"`{a}`").alias(b) for a, b in zip(raw.columns[:n], RX_FEED_COLUMNS)], *carry)
-    df = spread(df, min_partitions).withColumns({
+    df = spread(df, min_partitions, force=force_spread).withColumns({
         "Provider_NPI": C.first_digits("Provider_NPI"),
         "Total_Fills": C.int_or_default("Total_Fills", 0),
         "Fills_Dispensed": C.int_or_default("Fills_Dispensed", 0),

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapfeed.functions.names import feed_name_date, route_by_name
+from snapfeed.operators.merge import merge_into_table
 from snapfeed.operators.snapshot import SNAPSHOT_COL
 from snapfeed.plans import rx
 from snapfeed.plans.feeds import RX_FEED_COLUMNS, clean_rx
@@ -66,12 +67,15 @@ class RxFeedIngest:
 
     def __init__(self, spark: SparkSession, history_path: str, staging_table: str, staging_root: str,
                  feed_prefix: str, *, ndc_value, placeholder: str, base_amount: float,
-                 statuses: list[str], excluded_keys: list[tuple] = ()):
+                 statuses: list[str], excluded_keys: list[tuple] = (), row_level_table: bool = False):
         self.spark = spark
         self.history_path = history_path
         self.staging_table = staging_table
         self.staging_root = staging_root
         self.prefix = feed_prefix
+        # True when the staging table's format supports MERGE (only touched
+        # files are rewritten); otherwise the merged table is written anew.
+        self.row_level_table = row_level_table
         self.clean_args = dict(ndc_value=ndc_value, placeholder=placeholder)
         self.source_args = dict(base_amount=base_amount, statuses=statuses, excluded_keys=list(excluded_keys),
                                 tie_break=[SOURCE_FILE, ROW_IN_SPLIT])
@@ -82,32 +86,50 @@ class RxFeedIngest:
         except Exception:  # noqa: BLE001 - no history written yet
             return None
 
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        batch = with_row_counter(batch)
-        route = route_by_name(F.col(SOURCE_FILE), [(self.prefix, "rx")])
-        rows = batch.where((route == "rx") & feed_name_date(F.col(SOURCE_FILE), self.prefix).isNotNull())
+    def _new_files(self, batch: DataFrame) -> list:
+        """(name, day) of the batch's valid feed files not yet in the history.
+
+        One row per file reaches the driver (bounded by maxFilesPerTrigger), and
+        the ledger check reads only the history partitions of those days, so
+        its cost does not grow with the history."""
+        n = F.col(SOURCE_FILE)
+        listed = (batch.select(SOURCE_FILE).distinct()
+                  .select(n.alias("name"), feed_name_date(n, self.prefix).alias("day"))
+                  .where((route_by_name(n, [(self.prefix, "rx")]) == "rx") & F.col("day").isNotNull())
+                  .collect())
         history = self._history()
-        if history is not None:
-            done = history.select(F.col(SOURCE_FILE).alias("__done")).distinct()
-            rows = rows.join(done, rows[SOURCE_FILE] == done["__done"], "left_anti")
-        rows = na_to_null(rows, cols=RX_FEED_COLUMNS)
-        day = feed_name_date(F.col(SOURCE_FILE), self.prefix)
-        # One row per new file (bounded by maxFilesPerTrigger): used to read the
-        # batch back from the history with partition pruning.
-        files = rows.select(SOURCE_FILE, day.alias("__day")).distinct().collect()
+        if history is None or not listed:
+            return listed
+        done = {r[0] for r in history.where(F.col(SNAPSHOT_COL).isin(sorted({r["day"] for r in listed}))
+                                            & F.col(SOURCE_FILE).isin([r["name"] for r in listed]))
+                .select(SOURCE_FILE).distinct().collect()}
+        return [r for r in listed if r["name"] not in done]
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        files = self._new_files(batch)
         if not files:
             return
+        names = [r["name"] for r in files]
+        rows = na_to_null(with_row_counter(batch).where(F.col(SOURCE_FILE).isin(names)), cols=RX_FEED_COLUMNS)
+        day = feed_name_date(F.col(SOURCE_FILE), self.prefix)
+        # Few files (multi-line CSV: one split each): spread the cleaning over the cluster.
+        parallelism = self.spark.sparkContext.defaultParallelism
         cleaned = clean_rx(rows, day, order_col=ROW_IN_SPLIT, group_extra=[SOURCE_FILE], bucket_col=SPLIT_START,
-                           carry=[SOURCE_FILE, SPLIT_START, ROW_IN_SPLIT], **self.clean_args)
+                           carry=[SOURCE_FILE, SPLIT_START, ROW_IN_SPLIT],
+                           min_partitions=parallelism if len(files) < parallelism else None,
+                           force_spread=len(files) < parallelism, **self.clean_args)
         cleaned.write.mode("append").partitionBy(SNAPSHOT_COL).parquet(self.history_path)
         # Read the rows just written (lineage cut at the shared table, no cache).
         written = (self.spark.read.parquet(self.history_path)
-                   .where(F.col(SNAPSHOT_COL).isin(sorted({r["__day"] for r in files}))
-                          & F.col(SOURCE_FILE).isin(sorted(r[SOURCE_FILE] for r in files))))
+                   .where(F.col(SNAPSHOT_COL).isin(sorted({r["day"] for r in files}))
+                          & F.col(SOURCE_FILE).isin(names)))
         source = rx.rx_source(written, latest=False, per_snapshot=True, **self.source_args)
         self._upsert(source.drop(SPLIT_START, ROW_IN_SPLIT))
 
     def _upsert(self, source: DataFrame) -> None:
+        if self.row_level_table and self.spark.catalog.tableExists(self.staging_table):
+            merge_into_table(source, self.staging_table, rx.RX_KEYS)
+            return
         if self.spark.catalog.tableExists(self.staging_table):
             target = self.spark.table(self.staging_table)
             merged = rx.merge_upsert(target, source, rx.RX_KEYS, validate_source=False, salt_null_keys=False)

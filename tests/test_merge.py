@@ -56,3 +56,12 @@ def test_update_subset_and_insert_subset(tables):
     m = merge_upsert(t, s2.where(F.col("k").isNotNull()), ["k"], update_cols=["x"], insert_cols=["k", "v"])
     assert content(m) == sorted([(1, "a", 1.0), (2, "b", 7.0), (None, "n", 9.0), (4, "d", 4.0), (3, "C", None)],
                                 key=lambda r: (r[0] is None, r))
+
+
+def test_merge_into_needs_row_level_table(spark, tables):
+    from snapfeed.operators.merge import merge_into_table
+    t, s = tables
+    t.where("k IS NOT NULL").write.mode("overwrite").saveAsTable("t_merge_plain")
+    with pytest.raises(Exception) as err:
+        merge_into_table(s.where("k IS NOT NULL").withColumn("x", F.lit(1.0)), "t_merge_plain", ["k"])
+    assert "MERGE" in str(err.value).upper() or "SUPPORT" in str(err.value).upper()
