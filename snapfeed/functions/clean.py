@@ -122,14 +122,15 @@ def stringify(c: ColumnOrName, null_literal: str | None = "nan") -> Column:
     return t if null_literal is None else F.coalesce(t, F.lit(null_literal))
 
 
-def strict_date(c: ColumnOrName, fmt: str = "yyyy-MM-dd") -> Column:
-    """Parse a date with one format per column; NULL kept, bad text fails."""
+def strict_date(c: ColumnOrName, fmt: str = "yyyy-M-d") -> Column:
+    """Parse a date with one format per column; NULL kept, bad text fails.
+    The default accepts months and days with or without a leading zero."""
     t = _text(c)
     d = F.try_to_date(t, fmt)
     return F.when(t.isNotNull() & d.isNull(), _fail("bad date: ", t).cast("date")).otherwise(d)
 
 
-def strict_timestamp(c: ColumnOrName, fmt: str = "yyyy-MM-dd HH:mm:ss") -> Column:
+def strict_timestamp(c: ColumnOrName, fmt: str = "yyyy-M-d H:m:s") -> Column:
     """Like :func:`strict_date`, to TIMESTAMP_NTZ."""
     t = _text(c)
     d = F.try_to_timestamp(t, F.lit(fmt)).cast("timestamp_ntz")
@@ -138,7 +139,7 @@ def strict_timestamp(c: ColumnOrName, fmt: str = "yyyy-MM-dd HH:mm:ss") -> Colum
 
 
 def timestamp_or_column(c: ColumnOrName, fallback: ColumnOrName,
-                        fmts: tuple[str, ...] = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd")) -> Column:
+                        fmts: tuple[str, ...] = ("yyyy-M-d H:m:s", "yyyy-M-d")) -> Column:
     """Parse with the first format that fits, else take ``fallback``."""
     t = _text(c)
     tries = [F.try_to_timestamp(t, F.lit(f)).cast("timestamp_ntz") for f in fmts]

@@ -45,7 +45,7 @@ NO_REGION_LABEL = "N/A"
 
 
 def clean_rx(raw: DataFrame, snapshot_day, *, ndc_value, placeholder: str,
-             order_col: str, prefix: str = "NI", date_fmt: str = "yyyy-MM-dd",
+             order_col: str, prefix: str = "NI", date_fmt: str = "yyyy-M-d",
              group_extra: list[str] = (), bucket_col: str | None = None,
              carry: list[str] = (), min_partitions: int | None = None,
              force_spread: bool = False) -> DataFrame:
@@ -84,8 +84,8 @@ def clean_rx(raw: DataFrame, snapshot_day, *, ndc_value, placeholder: str,
 
 
 def clean_summary(raw: DataFrame, snapshot_day,
-                  ts_fmt: str = "yyyy-MM-dd HH:mm:ss",
-                  fallback_fmts: tuple[str, ...] = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd"),
+                  ts_fmt: str = "yyyy-M-d H:m:s",
+                  fallback_fmts: tuple[str, ...] = ("yyyy-M-d H:m:s", "yyyy-M-d"),
                   min_partitions: int | None = None) -> DataFrame:
     """Clean a benefit summary read as text with its original headers."""
     df = rename_map(normalize_headers(raw), SUMMARY_RENAMES)

@@ -82,3 +82,10 @@ def test_clean_serial(spark):
 
 def test_py_strip_unicode_space(spark):
     assert run(spark, ["  a b　"], C.py_strip) == ["a b"]
+
+
+def test_default_date_formats_accept_unpadded(spark):
+    assert run(spark, ["2024-1-5", "2024-01-05"], C.strict_date) == [dt.date(2024, 1, 5)] * 2
+    got = run(spark, ["2024-1-5 7:05:00", "2024-01-05"],
+              lambda c: C.timestamp_or_column(c, F.lit(None).cast("timestamp_ntz")))
+    assert got == [dt.datetime(2024, 1, 5, 7, 5), dt.datetime(2024, 1, 5)]
