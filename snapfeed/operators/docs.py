@@ -133,9 +133,13 @@ def missing_ids(coll: DataFrame, ids: DataFrame, key: str = "key", id_col: str =
     return ids.join(coll, ids[id_col] == coll[key], "left_anti")
 
 
-def read_ordered(coll: DataFrame, field: str) -> DataFrame:
-    """Documents having ``field``, ascending by it (a range-partitioned sort)."""
-    return coll.where(F.col(field).isNotNull()).orderBy(F.col(field).asc())
+def read_ordered(coll: DataFrame, field: str, key: str | None = "key") -> DataFrame:
+    """Documents having ``field``, ascending by it, ties by document key.
+
+    A range-partitioned sort; the key tie-break lets the range boundaries split
+    a value shared by very many documents instead of giving them all to one task."""
+    order = [F.col(field).asc()] + ([F.col(key).asc()] if key and key in coll.columns else [])
+    return coll.where(F.col(field).isNotNull()).orderBy(*order)
 
 
 _OPS = {
