@@ -1,8 +1,7 @@
 import os
 
 from snapfeed.plans.feeds import RX_FEED_COLUMNS
-from snapfeed.sources import csv as CSV
-from snapfeed.streaming.ingest import RxFeedIngest, csv_file_stream, run_available
+from snapfeed.streaming.ingest import RxFeedIngest, csv_file_batch, csv_file_stream, run_available
 
 
 def feed_file(path, rows):
@@ -41,7 +40,6 @@ def test_ingest_twice_is_noop(spark, tmp_dir):
     run_available(csv_file_stream(spark, land, RX_FEED_COLUMNS), ckpt, handler)
     assert spark.read.parquet(os.path.join(tmp_dir, "history")).count() == 5
     # A replayed batch (foreachBatch is at-least-once) appends nothing.
-    replay = CSV.with_file_order(spark.read.schema(CSV.text_schema(RX_FEED_COLUMNS)).option("header", True).csv(land))
-    handler(replay, 0)
+    handler(csv_file_batch(spark, land, RX_FEED_COLUMNS), 0)
     assert spark.read.parquet(os.path.join(tmp_dir, "history")).count() == 5
     assert spark.table("rx_staging_t").count() == 4
