@@ -71,6 +71,12 @@ def route_by_name(name: ColumnOrName, routes: list[tuple[str, str]],
     return F.lit(default) if expr is None else expr.otherwise(F.lit(default))
 
 
+def scan_file_name(encoded: ColumnOrName) -> Column:
+    """Plain file name from ``_metadata.file_name``, which is percent-encoded
+    (a space reads ``%20``). A literal ``+`` is kept as ``+``."""
+    return F.url_decode(F.replace(as_col(encoded), F.lit("+"), F.lit("%2B")))
+
+
 def base_name(path: ColumnOrName) -> Column:
     """Last path segment."""
     return F.substring_index(as_col(path), "/", -1)

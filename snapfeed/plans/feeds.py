@@ -86,10 +86,12 @@ def clean_rx(raw: DataFrame, snapshot_day, *, ndc_value, placeholder: str,
 def clean_summary(raw: DataFrame, snapshot_day,
                   ts_fmt: str = "yyyy-M-d H:m:s",
                   fallback_fmts: tuple[str, ...] = ("yyyy-M-d H:m:s", "yyyy-M-d"),
-                  min_partitions: int | None = None) -> DataFrame:
-    """Clean a benefit summary read as text with its original headers."""
+                  min_partitions: int | None = None, force_spread: bool = False,
+                  carry: list[str] = ()) -> DataFrame:
+    """Clean a benefit summary read as text with its original headers;
+    ``carry`` columns (e.g. the source file) pass through unchanged."""
     df = rename_map(normalize_headers(raw), SUMMARY_RENAMES)
-    df = spread(select_schema(df, SUMMARY_COLUMNS), min_partitions)
+    df = spread(select_schema(df, SUMMARY_COLUMNS + list(carry)), min_partitions, force=force_spread)
     entered = C.strict_timestamp("DATE_ENTERED", ts_fmt)
     cols = {c: C.stringify(c) for c in SUMMARY_STRINGIFIED}
     cols.update({

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from snapfeed.functions.names import scan_file_name
+
 # Cell texts a pandas CSV read treats as missing (besides empty).
 NA_LITERALS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
                "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
@@ -126,6 +128,6 @@ def with_file_order(df: DataFrame) -> DataFrame:
     """Tag rows of a file scan with their position: file name, split start and
     a counter increasing within the split. Call directly on the scan, before
     any shuffle; (file, split start, counter) sorts rows in file order."""
-    return df.select("*", F.col("_metadata.file_name").alias(SOURCE_FILE),
+    return df.select("*", scan_file_name("_metadata.file_name").alias(SOURCE_FILE),
                      F.col("_metadata.file_block_start").alias(SPLIT_START),
                      F.monotonically_increasing_id().alias(ROW_IN_SPLIT))

@@ -11,15 +11,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snapfeed.functions.names import feed_name_date, route_by_name
+from snapfeed.functions.names import feed_name_date, route_by_name, scan_file_name, summary_name_date
 from snapfeed.operators.merge import merge_into_table
 from snapfeed.operators.snapshot import SNAPSHOT_COL
 from snapfeed.plans import rx
-from snapfeed.plans.feeds import RX_FEED_COLUMNS, clean_rx
+from snapfeed.plans.feeds import RX_FEED_COLUMNS, clean_rx, clean_summary
 from snapfeed.sources.csv import (CORRUPT_COL, OVER_COL, ROW_IN_SPLIT, SOURCE_FILE, SPLIT_START,
                                   na_to_null, text_schema)
 from snapfeed.sources.tables import replace_table
@@ -42,7 +42,7 @@ def csv_file_stream(spark: SparkSession, landing_dir: str, columns: list[str], g
     df = r.load(landing_dir)
     # The in-split counter is added per micro-batch (see ``with_row_counter``):
     # streaming plans do not allow it.
-    return df.select(*columns, F.col("_metadata.file_name").alias(SOURCE_FILE),
+    return df.select(*columns, scan_file_name("_metadata.file_name").alias(SOURCE_FILE),
                      F.col("_metadata.file_block_start").alias(SPLIT_START))
 
 
@@ -73,25 +73,31 @@ def run_available(stream: DataFrame, checkpoint: str, handler: BatchHandler) ->
     q.awaitTermination()
 
 
-class RxFeedIngest:
-    """Batch handler: clean new prescription files, append them to the snapshot
-    history (one partition per file date) and upsert the staging table."""
+class FeedIngest:
+    """Base batch handler: pick the batch's valid, not yet processed files of
+    one route, clean them, append them to a history partitioned by the file's
+    date, then run :meth:`after_append` on the rows just written."""
 
-    def __init__(self, spark: SparkSession, history_path: str, staging_table: str, staging_root: str,
-                 feed_prefix: str, *, ndc_value, placeholder: str, base_amount: float,
-                 statuses: list[str], excluded_keys: list[tuple] = (), row_level_table: bool = False):
+    route = "feed"
+
+    def __init__(self, spark: SparkSession, history_path: str):
         self.spark = spark
         self.history_path = history_path
-        self.staging_table = staging_table
-        self.staging_root = staging_root
-        self.prefix = feed_prefix
-        # True when the staging table's format supports MERGE (only touched
-        # files are rewritten); otherwise the merged table is written anew.
-        self.row_level_table = row_level_table
-        self.clean_args = dict(ndc_value=ndc_value, placeholder=placeholder)
-        self.source_args = dict(base_amount=base_amount, statuses=statuses, excluded_keys=list(excluded_keys),
-                                tie_break=[SOURCE_FILE, ROW_IN_SPLIT])
 
+    # -- hooks --------------------------------------------------------------
+    def file_date(self, name: Column) -> Column:
+        raise NotImplementedError
+
+    def route_of(self, name: Column) -> Column:
+        raise NotImplementedError
+
+    def clean(self, rows: DataFrame, day: Column, n_files: int) -> DataFrame:
+        raise NotImplementedError
+
+    def after_append(self, written: DataFrame) -> None:
+        """Runs on the rows just appended (read back from the history)."""
+
+    # -- shared -------------------------------------------------------------
     def _history(self) -> DataFrame | None:
         try:
             return self.spark.read.parquet(self.history_path)
@@ -99,15 +105,15 @@ class RxFeedIngest:
             return None
 
     def _new_files(self, batch: DataFrame) -> list:
-        """(name, day) of the batch's valid feed files not yet in the history.
+        """(name, day) of the batch's valid files not yet in the history.
 
         One row per file reaches the driver (bounded by maxFilesPerTrigger), and
         the ledger check reads only the history partitions of those days, so
         its cost does not grow with the history."""
         n = F.col(SOURCE_FILE)
         listed = (batch.select(SOURCE_FILE).distinct()
-                  .select(n.alias("name"), feed_name_date(n, self.prefix).alias("day"))
-                  .where((route_by_name(n, [(self.prefix, "rx")]) == "rx") & F.col("day").isNotNull())
+                  .select(n.alias("name"), self.file_date(n).alias("day"))
+                  .where((self.route_of(n) == self.route) & F.col("day").isNotNull())
                   .collect())
         history = self._history()
         if history is None or not listed:
@@ -122,19 +128,55 @@ class RxFeedIngest:
         if not files:
             return
         names = [r["name"] for r in files]
-        rows = na_to_null(with_row_counter(batch).where(F.col(SOURCE_FILE).isin(names)), cols=RX_FEED_COLUMNS)
-        day = feed_name_date(F.col(SOURCE_FILE), self.prefix)
-        # Few files (multi-line CSV: one split each): spread the cleaning over the cluster.
-        parallelism = self.spark.sparkContext.defaultParallelism
-        cleaned = clean_rx(rows, day, order_col=ROW_IN_SPLIT, group_extra=[SOURCE_FILE], bucket_col=SPLIT_START,
-                           carry=[SOURCE_FILE, SPLIT_START, ROW_IN_SPLIT],
-                           min_partitions=parallelism if len(files) < parallelism else None,
-                           force_spread=len(files) < parallelism, **self.clean_args)
+        rows = with_row_counter(batch).where(F.col(SOURCE_FILE).isin(names))
+        cleaned = self.clean(rows, self.file_date(F.col(SOURCE_FILE)), len(files))
         cleaned.write.mode("append").partitionBy(SNAPSHOT_COL).parquet(self.history_path)
         # Read the rows just written (lineage cut at the shared table, no cache).
         written = (self.spark.read.parquet(self.history_path)
                    .where(F.col(SNAPSHOT_COL).isin(sorted({r["day"] for r in files}))
                           & F.col(SOURCE_FILE).isin(names)))
+        self.after_append(written)
+
+    def _spread_args(self, n_files: int) -> dict:
+        # Few files (multi-line CSV: one split each): spread the cleaning over the cluster.
+        parallelism = self.spark.sparkContext.defaultParallelism
+        few = n_files < parallelism
+        return dict(min_partitions=parallelism if few else None, force_spread=few)
+
+
+class RxFeedIngest(FeedIngest):
+    """Prescription files: clean, append to the snapshot history (one partition
+    per file date) and upsert the staging table."""
+
+    route = "rx"
+
+    def __init__(self, spark: SparkSession, history_path: str, staging_table: str, staging_root: str,
+                 feed_prefix: str, *, ndc_value, placeholder: str, base_amount: float,
+                 statuses: list[str], excluded_keys: list[tuple] = (), row_level_table: bool = False):
+        super().__init__(spark, history_path)
+        self.staging_table = staging_table
+        self.staging_root = staging_root
+        self.prefix = feed_prefix
+        # True when the staging table's format supports MERGE (only touched
+        # files are rewritten); otherwise the merged table is written anew.
+        self.row_level_table = row_level_table
+        self.clean_args = dict(ndc_value=ndc_value, placeholder=placeholder)
+        self.source_args = dict(base_amount=base_amount, statuses=statuses, excluded_keys=list(excluded_keys),
+                                tie_break=[SOURCE_FILE, ROW_IN_SPLIT])
+
+    def file_date(self, name: Column) -> Column:
+        return feed_name_date(name, self.prefix)
+
+    def route_of(self, name: Column) -> Column:
+        return route_by_name(name, [(self.prefix, self.route)])
+
+    def clean(self, rows: DataFrame, day: Column, n_files: int) -> DataFrame:
+        rows = na_to_null(rows, cols=RX_FEED_COLUMNS)
+        return clean_rx(rows, day, order_col=ROW_IN_SPLIT, group_extra=[SOURCE_FILE], bucket_col=SPLIT_START,
+                        carry=[SOURCE_FILE, SPLIT_START, ROW_IN_SPLIT], **self._spread_args(n_files),
+                        **self.clean_args)
+
+    def after_append(self, written: DataFrame) -> None:
         source = rx.rx_source(written, latest=False, per_snapshot=True, **self.source_args)
         self._upsert(source.drop(SPLIT_START, ROW_IN_SPLIT))
 
@@ -150,5 +192,31 @@ class RxFeedIngest:
         replace_table(self.spark, merged, self.staging_table, self.staging_root)
 
 
+class SummaryIngest(FeedIngest):
+    """Benefit-summary files (``yyyymmdd- <LABEL>…``): headers normalised,
+    cleaned, appended to the summary history (one partition per file date).
+    The rx label wins when a name carries both markers."""
+
+    route = "summary"
+
+    def __init__(self, spark: SparkSession, history_path: str, label: str, rx_prefix: str | None = None):
+        super().__init__(spark, history_path)
+        self.label = label
+        self.rx_prefix = rx_prefix
+
+    def file_date(self, name: Column) -> Column:
+        return summary_name_date(name, self.label)
+
+    def route_of(self, name: Column) -> Column:
+        routes = ([(self.rx_prefix, "rx")] if self.rx_prefix else []) + [(self.label, self.route)]
+        return route_by_name(name, routes)
+
+    def clean(self, rows: DataFrame, day: Column, n_files: int) -> DataFrame:
+        text = [c for c in rows.columns if c not in (SOURCE_FILE, SPLIT_START, ROW_IN_SPLIT)]
+        rows = na_to_null(rows, cols=text)
+        return clean_summary(rows.select(*text, SOURCE_FILE), day, carry=[SOURCE_FILE],
+                             **self._spread_args(n_files))
+
+
 def rx_file_schema() -> T.StructType:
     return text_schema(RX_FEED_COLUMNS)

@@ -118,3 +118,11 @@ def test_append_json_rows(spark):
     bad = append_json_rows(df, "v", "t_json")
     assert [r[0] for r in bad.collect()] == ["{oops"]
     assert sorted(tuple(r) for r in spark.table("t_json").collect()) == [(1, "a"), (2, "b")]
+
+
+def test_scan_file_name_is_decoded(spark, tmp_dir):
+    d = os.path.join(tmp_dir, "names")
+    os.makedirs(d)
+    write(os.path.join(d, "20240105- A+B summary.csv"), "a\n1\n")
+    df = CSV.with_file_order(spark.read.option("header", True).csv(d))
+    assert df.first()[CSV.SOURCE_FILE] == "20240105- A+B summary.csv"

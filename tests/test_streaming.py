@@ -43,3 +43,33 @@ def test_ingest_twice_is_noop(spark, tmp_dir):
     handler(csv_file_batch(spark, land, RX_FEED_COLUMNS), 0)
     assert spark.read.parquet(os.path.join(tmp_dir, "history")).count() == 5
     assert spark.table("rx_staging_t").count() == 4
+
+
+def test_summary_ingest(spark, tmp_dir):
+    from snapfeed.plans.feeds import SUMMARY_COLUMNS
+    from snapfeed.streaming.ingest import SummaryIngest
+    land = os.path.join(tmp_dir, "summaries")
+    os.makedirs(land)
+    headers = ["RX NUM" if c == "RX_NUM" else "DATE ENTERED" if c == "DATE_ENTERED" else
+               "CLAIM PAYMENT" if c == "MED_CLAIM_PAYMENT" else c for c in SUMMARY_COLUMNS]
+
+    def write(name, rows):
+        lines = [",".join(headers)]
+        for patid, rx_num, entered in rows:
+            cells = [""] * len(headers)
+            cells[0], cells[1], cells[2] = patid, rx_num, entered
+            lines.append(",".join(cells))
+        with open(os.path.join(land, name), "w") as f:
+            f.write("\n".join(lines) + "\n")
+
+    write("20240105- BENEFIT SUMMARY.csv", [("7", "12", "2024-01-04 10:00:00"), ("", "x", "2024-01-04 11:00:00")])
+    write("summary without date.csv", [("8", "1", "2024-01-04 10:00:00")])
+    write("RX_FEED_2024-01-05.csv", [("9", "1", "2024-01-04 10:00:00")])
+    handler = SummaryIngest(spark, os.path.join(tmp_dir, "summary_hist"), "BENEFIT SUMMARY", rx_prefix="RX_FEED")
+    columns = headers
+    run_available(csv_file_stream(spark, land, columns), os.path.join(tmp_dir, "ckpt2"), handler)
+    hist = spark.read.parquet(os.path.join(tmp_dir, "summary_hist"))
+    got = sorted((r["PATID"], r["RX_NUM"], str(r["_snapshot_date"]), r["MED_CLAIM_PAYMENT"]) for r in hist.collect())
+    assert got == [(0, 0, "2024-01-05", "no data"), (7, 12, "2024-01-05", "no data")]
+    handler(csv_file_batch(spark, land, columns), 1)
+    assert spark.read.parquet(os.path.join(tmp_dir, "summary_hist")).count() == 2
