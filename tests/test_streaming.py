@@ -73,3 +73,24 @@ def test_summary_ingest(spark, tmp_dir):
     assert got == [(0, 0, "2024-01-05", "no data"), (7, 12, "2024-01-05", "no data")]
     handler(csv_file_batch(spark, land, columns), 1)
     assert spark.read.parquet(os.path.join(tmp_dir, "summary_hist")).count() == 2
+
+
+def test_cli_sql_script(spark, tmp_dir, capsys):
+    from snapfeed.__main__ import main
+    script = os.path.join(tmp_dir, "s.sql")
+    with open(script, "w") as f:
+        f.write("CREATE TEMPORARY VIEW v AS SELECT 1 AS a;\nSELECT a + 41 AS answer FROM v;")
+    main(["sql", script, "--show", "1"])
+    assert "42" in capsys.readouterr().out
+
+
+def test_cli_ingest_rx(spark, tmp_dir):
+    from snapfeed.__main__ import main
+    land = os.path.join(tmp_dir, "cli_landing")
+    os.makedirs(land)
+    feed_file(os.path.join(land, "RX_FEED_2024-03-01.csv"), [("4", "1", "2024-03-02", "NM-4", "5")])
+    main(["ingest", "rx", "--landing", land, "--checkpoint", os.path.join(tmp_dir, "cli_ckpt"),
+          "--history", os.path.join(tmp_dir, "cli_hist"), "--prefix", "RX_FEED",
+          "--staging-table", "cli_staging", "--staging-root", os.path.join(tmp_dir, "cli_staging"),
+          "--ndc", "5", "--placeholder", "PH", "--base-amount", "100", "--statuses", "click"])
+    assert spark.table("cli_staging").count() == 1
