@@ -101,13 +101,25 @@ def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType, skip_le
     return flag_bad_records(raw, schema, too_long(raw))
 
 
-def load_csv(spark: SparkSession, path: str, schema: T.StructType, target: str, mode: str = "append",
+def infer_csv_schema(spark: SparkSession, path: str, header: bool = True, quoted_newlines: bool = True,
+                     sep: str = ",") -> T.StructType:
+    """Column types detected from the data (one extra pass over the files)."""
+    return (spark.read.option("header", header).option("inferSchema", True).option("multiLine", quoted_newlines)
+            .option("sep", sep).csv(path).schema)
+
+
+def load_csv(spark: SparkSession, path: str, schema: T.StructType | None, target: str, mode: str = "append",
              max_bad_records: int = 10, fmt: str = "parquet", **read_opts) -> int:
     """Load a CSV into a table path, tolerating up to ``max_bad_records`` bad rows.
 
-    The bad-row count is one aggregate; above the limit nothing is written.
-    Returns the number of bad rows skipped.
+    ``schema=None`` detects the column types from the data first. The bad-row
+    count is one aggregate; above the limit nothing is written. Returns the
+    number of bad rows skipped.
     """
+    if schema is None:
+        schema = infer_csv_schema(spark, path, header=read_opts.get("skip_leading_rows", 1) == 1,
+                                  quoted_newlines=read_opts.get("quoted_newlines", True),
+                                  sep=read_opts.get("sep", ","))
     flagged = read_csv_typed(spark, path, schema, **read_opts).persist()
     try:
         n_bad = flagged.where(F.col(BAD_COL)).count()

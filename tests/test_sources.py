@@ -126,3 +126,11 @@ def test_scan_file_name_is_decoded(spark, tmp_dir):
     write(os.path.join(d, "20240105- A+B summary.csv"), "a\n1\n")
     df = CSV.with_file_order(spark.read.option("header", True).csv(d))
     assert df.first()[CSV.SOURCE_FILE] == "20240105- A+B summary.csv"
+
+
+def test_load_csv_detects_schema(spark, tmp_dir):
+    p = write(os.path.join(tmp_dir, "auto.csv"), "id,amt,note\n1,2.5,a\n2,3.5,b\n")
+    out = os.path.join(tmp_dir, "auto_out")
+    assert CSV.load_csv(spark, p, None, out) == 0
+    df = spark.read.parquet(out)
+    assert dict(df.dtypes) == {"id": "int", "amt": "double", "note": "string"}
