@@ -99,9 +99,12 @@ def dedup_latest(df: DataFrame, keys: list[str], order: list, count_col: str | N
     ``count_col`` also returns how many rows the key had. ``order`` must break
     all ties for a deterministic winner.
 
-    ``method='aggregate'`` runs one partially aggregated ``max_by`` per key;
-    ``'window'`` runs ``row_number`` (Spark adds a map-side group limit when no
-    count is asked for). ``'auto'`` picks the aggregate when the order allows it.
+    ``method='aggregate'`` runs one partially aggregated ``max_by`` per key
+    (safe for a hot key). ``'window'`` runs ``row_number``: faster on even
+    data, and Spark adds a map-side group limit when no count is asked for,
+    but with a count a hot key's whole group is sorted in one task.
+    ``'auto'`` picks the aggregate when the order allows it (ascending text
+    order parts do not; those fall back to the window).
     """
     parsed = parse_order(order)
     key = _max_key(df, parsed) if method in ("auto", "aggregate") else None
@@ -133,8 +136,8 @@ def _bucket(order_col: str, bucket_bits: int, bucket_col: str | None) -> Column:
 
 
 def _bucket_offsets(per_bucket: DataFrame, group: list[str], count_col: str) -> DataFrame:
-    """Per (group, bucket): rows of ``count_col`` in all earlier buckets of the group.
-    Works on the small per-bucket table only."""
+    """Per (group, bucket): the sum of ``count_col`` over all earlier buckets of
+    the group. Works on the small per-bucket table only."""
     before = Window.partitionBy(*group).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     return per_bucket.withColumn("__off", F.coalesce(F.sum(count_col).over(before), F.lit(0)))
 
