@@ -45,31 +45,43 @@ def _order_columns(order: list[tuple[str, bool]]) -> list[Column]:
     return [F.col(c).desc_nulls_last() if d else F.col(c).asc_nulls_first() for c, d in order]
 
 
-def _max_key(df: DataFrame, order: list[tuple[str, bool]]) -> Column | None:
-    """A struct whose maximum is the first row of ``order``, or None if a part
-    cannot be expressed that way (ascending text)."""
+def _negated(col: Column, t: T.DataType) -> Column | None:
+    if isinstance(t, _NEGATABLE):
+        return -col
+    if isinstance(t, T.DateType):
+        return -F.unix_date(col)
+    if isinstance(t, T.TimestampType):
+        return -F.unix_micros(col)
+    if isinstance(t, T.BooleanType):
+        return -col.cast("int")
+    return None
+
+
+def _extreme_key(df: DataFrame, order: list[tuple[str, bool]]) -> tuple[Column, str] | None:
+    """A struct whose maximum (or minimum) is the first row of ``order``, and
+    which extreme to take; None when neither works (text ordered both ways).
+
+    Spark orders NULL lowest inside structs. Max form: a DESC part is the column
+    itself (NULL loses: NULLS LAST); an ASC part is (is NULL, negated value)
+    (NULL wins: NULLS FIRST). Min form: mirror image, so ASC text works there.
+    """
     types = {f.name: f.dataType for f in df.schema.fields}
-    parts = []
-    for i, (c, desc) in enumerate(order):
-        col, t = F.col(c), types[c]
-        if desc:
-            # NULL compares lowest, so the maximum skips it: DESC NULLS LAST.
-            parts.append(col.alias(f"k{i}"))
-            continue
-        if isinstance(t, _NEGATABLE):
-            neg = -col
-        elif isinstance(t, T.DateType):
-            neg = -F.unix_date(col)
-        elif isinstance(t, T.TimestampType):
-            neg = -F.unix_micros(col)
-        elif isinstance(t, T.BooleanType):
-            neg = -col.cast("int")
+    for extreme, plain_when_desc in (("max", True), ("min", False)):
+        parts = []
+        for i, (c, desc) in enumerate(order):
+            col = F.col(c)
+            if desc == plain_when_desc:
+                parts.append(col.alias(f"k{i}"))
+                continue
+            neg = _negated(col, types[c])
+            if neg is None:
+                break
+            flag = col.isNull() if extreme == "max" else col.isNotNull()
+            parts.append(flag.alias(f"n{i}"))
+            parts.append(neg.alias(f"k{i}"))
         else:
-            return None
-        # ASC NULLS FIRST: a NULL value wins, then the smallest value.
-        parts.append(col.isNull().alias(f"n{i}"))
-        parts.append(neg.alias(f"k{i}"))
-    return F.struct(*parts)
+            return F.struct(*parts), extreme
+    return None
 
 
 def _renamed_keys(keys: list[str], tag: str) -> list:
@@ -103,17 +115,19 @@ def dedup_latest(df: DataFrame, keys: list[str], order: list, count_col: str | N
     (safe for a hot key). ``'window'`` runs ``row_number``: faster on even
     data, and Spark adds a map-side group limit when no count is asked for,
     but with a count a hot key's whole group is sorted in one task.
-    ``'auto'`` picks the aggregate when the order allows it (ascending text
-    order parts do not; those fall back to the window).
+    ``'auto'`` picks the aggregate when the order allows it (text columns
+    ordered in both directions do not; those fall back to the window).
     """
     parsed = parse_order(order)
-    key = _max_key(df, parsed) if method in ("auto", "aggregate") else None
-    if method == "aggregate" and key is None:
-        raise ValueError("order cannot be expressed as a maximum; use method='window'")
-    if key is not None:
+    found = _extreme_key(df, parsed) if method in ("auto", "aggregate") else None
+    if method == "aggregate" and found is None:
+        raise ValueError("order cannot be expressed as a maximum or minimum; use method='window'")
+    if found is not None:
+        key, extreme = found
         rest = [c for c in df.columns if c not in keys]
         row = F.struct(*[F.col(c) for c in rest])
-        aggs = [F.max_by(row, key).alias("__row")]
+        pick = F.max_by if extreme == "max" else F.min_by
+        aggs = [pick(row, key).alias("__row")]
         if count_col:
             aggs.append(F.count(F.lit(1)).alias(count_col))
         # Grouping on the key columns themselves keeps the result hash-partitioned

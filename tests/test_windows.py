@@ -28,9 +28,16 @@ def test_dedup_ascending_nulls_first(spark):
     assert rows_of(a, ["k", "i"]) == [(1, 1), (2, 4)]
 
 
-def test_dedup_text_ascending_falls_back_to_window(spark):
-    df = spark.createDataFrame([(1, "b"), (1, "a"), (2, "c")], "k int, s string")
-    assert rows_of(dedup_latest(df, ["k"], ["s"]), ["k", "s"]) == [(1, "a"), (2, "c")]
+def test_dedup_text_orders(spark):
+    df = spark.createDataFrame([(1, "b", 1), (1, "a", 2), (1, None, 3), (2, "c", 4), (2, "c", 5)],
+                               "k int, s string, i int")
+    for method in ("aggregate", "window"):
+        # ASC text (min form), NULLS FIRST
+        assert rows_of(dedup_latest(df, ["k"], ["s", "i desc"], method=method), ["k", "i"]) == [(1, 3), (2, 5)]
+        # DESC text (max form), NULLS LAST
+        assert rows_of(dedup_latest(df, ["k"], ["s desc", "i"], method=method), ["k", "i"]) == [(1, 1), (2, 4)]
+    both = dedup_latest(df, ["k"], ["s", "s desc"])  # text both ways: window fallback
+    assert both.count() == 2
 
 
 def test_dup_count_null_keys(spark):
