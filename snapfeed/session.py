@@ -75,17 +75,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def spread(df: DataFrame, min_partitions: int | None = None, force: bool = False) -> DataFrame:
     """Round-robin ``df`` over ``min_partitions`` tasks (default: the cluster's
-    parallelism) when it is read from fewer files than that, e.g. one daily
-    multi-line CSV (a single split) ahead of CPU-heavy cleaning. Inputs made
-    of many files are left alone, so a large scan is never narrowed. The check
-    lists the plan's input files (metadata only, nothing is executed); a
-    caller that knows its input is small (a micro-batch of a few files, whose
-    plan lists no files) passes ``force``.
+    parallelism) when its scan yields fewer, e.g. one daily multi-line CSV (a
+    single split) ahead of CPU-heavy cleaning. A scan that is already split
+    wider is left alone, so a large input is never narrowed.
+
+    Call it on the scan side (before any shuffle): the partition count of such
+    a plan comes from planning alone (file splits), with nothing executed and
+    one call to the JVM whatever the number of files. A caller that knows its
+    input is small (a micro-batch of a few files) passes ``force``.
     Order-carrying columns must be captured before this call."""
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if force:
+    if force or df.rdd.getNumPartitions() < target:
         return df.repartition(target)
-    files = df.inputFiles()
-    if not files or len(files) >= target:
-        return df
-    return df.repartition(target)
+    return df
