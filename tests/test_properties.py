@@ -84,3 +84,23 @@ def test_merge_matches_model(spark, tkeys, skeys):
         if k is None or k not in tset:
             want.append((str(k), v, "None"))
     assert got == sorted(want)
+
+
+text_rows = st.lists(st.tuples(st.sampled_from([1, 1, 1, 2, None]), st.sampled_from([None, "a", "b", "c"]),
+                               st.sampled_from([None, 1, 2])), min_size=1, max_size=30)
+
+
+@settings(max_examples=25, deadline=None)
+@given(text_rows)
+def test_dedup_text_ascending_matches_model(spark, raw):
+    rows = [(k, s, d, i) for i, (k, s, d) in enumerate(raw)]
+    df = spark.createDataFrame(rows, "k long, s string, d long, i long")
+    got = sorted(((r["k"] is None, r["k"] or 0), r["i"])
+                 for r in dedup_latest(df, ["k"], ["s", "d desc", "i"]).collect())
+    want = []
+    for key in {r[0] for r in rows}:
+        group = [r for r in rows if r[0] == key]
+        # s ASC NULLS FIRST, d DESC NULLS LAST, i ASC
+        best = sorted(group, key=lambda r: (r[1] is not None, r[1] or "", r[2] is None, -(r[2] or 0), r[3]))[0]
+        want.append(((key is None, key or 0), best[3]))
+    assert got == sorted(want)
