@@ -63,7 +63,10 @@ def _extreme_key(df: DataFrame, order: list[tuple[str, bool]]) -> tuple[Column,
 
     Spark orders NULL lowest inside structs. Max form: a DESC part is the column
     itself (NULL loses: NULLS LAST); an ASC part is (is NULL, negated value)
-    (NULL wins: NULLS FIRST). Min form: mirror image, so ASC text works there.
+    (NULL wins: NULLS FIRST). Min form: an ASC part is the column itself (NULL
+    wins: NULLS FIRST); a DESC part is (is NULL, negated value) (NULL loses:
+    NULLS LAST). So text can be ordered DESC in the max form and ASC in the
+    min form.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
     for extreme, plain_when_desc in (("max", True), ("min", False)):
@@ -76,8 +79,9 @@ def _extreme_key(df: DataFrame, order: list[tuple[str, bool]]) -> tuple[Column,
             neg = _negated(col, types[c])
             if neg is None:
                 break
-            flag = col.isNull() if extreme == "max" else col.isNotNull()
-            parts.append(flag.alias(f"n{i}"))
+            # (is NULL, negated): in the max form NULL wins (ASC NULLS FIRST),
+            # in the min form NULL loses (DESC NULLS LAST).
+            parts.append(col.isNull().alias(f"n{i}"))
             parts.append(neg.alias(f"k{i}"))
         else:
             return F.struct(*parts), extreme
