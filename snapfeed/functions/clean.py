@@ -77,8 +77,9 @@ def _coerce_double(c: ColumnOrName) -> Column:
 
 
 def numeric_or_zero_int(c: ColumnOrName) -> Column:
-    """Coerce to number, missing -> 0, truncate to integer."""
-    return F.coalesce(_coerce_double(c), F.lit(0.0)).cast("bigint")
+    """Coerce to number, missing -> 0, truncate to integer. A number outside
+    the 64-bit range counts as not a number (0) rather than failing the job."""
+    return F.coalesce(_coerce_double(c).try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def numeric_or_null_int(c: ColumnOrName) -> Column:

@@ -53,7 +53,7 @@ def q_first_digits(spark, sf_dir):
 @register("num_or_zero", f"""
 WITH t AS (SELECT p_partkey, {_PART_TXT_SQL} AS txt FROM part),
 d AS (SELECT p_partkey, txt, TRY_CAST(txt AS DOUBLE) AS v FROM t)
-SELECT p_partkey, txt, CAST(trunc(coalesce(CASE WHEN isnan(v) THEN NULL ELSE v END, 0)) AS BIGINT) AS num_zero FROM d""")
+SELECT p_partkey, txt, coalesce(TRY_CAST(trunc(CASE WHEN isnan(v) THEN NULL ELSE v END) AS BIGINT), 0) AS num_zero FROM d""")
 def q_num_or_zero(spark, sf_dir):
     p = read_table(spark, sf_dir, "part").select("p_partkey", _part_txt().alias("txt"))
     return p.select("p_partkey", "txt", C.numeric_or_zero_int("txt").alias("num_zero"))
