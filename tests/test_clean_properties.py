@@ -57,3 +57,34 @@ def test_int_text_mode_matches_python_int(spark, values):
 @given(st.lists(num_text, min_size=1, max_size=25))
 def test_numeric_or_zero_matches_pandas(spark, values):
     assert evaluate(spark, values, C.numeric_or_zero_int) == [pd_num_or_zero(v) for v in values]
+
+
+MONEY_ALPHABET = "$(),.0123456789 -"
+money_text = st.one_of(st.none(), st.text(alphabet=MONEY_ALPHABET, max_size=9))
+
+
+def py_money(v):
+    """None -> 0.0; strip the marks, float(); NaN -> 0.0; raises on other text."""
+    if v is None:
+        return 0.0
+    x = float(re.sub(r"[$(),]", "", v))
+    return 0.0 if x != x else x
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(money_text, min_size=1, max_size=25))
+def test_money_matches_python(spark, values):
+    ok, bad = [], []
+    for v in values:
+        try:
+            ok.append((v, py_money(v)))
+        except ValueError:
+            bad.append(v)
+    if ok:
+        assert evaluate(spark, [v for v, _ in ok], C.money) == [w for _, w in ok]
+    for v in bad[:1]:
+        try:
+            evaluate(spark, [v], C.money)
+        except Exception:  # noqa: BLE001 - the job must fail on unparsable text
+            continue
+        raise AssertionError(f"money({v!r}) should fail")

@@ -104,3 +104,38 @@ def test_dedup_text_ascending_matches_model(spark, raw):
         best = sorted(group, key=lambda r: (r[1] is not None, r[1] or "", r[2] is None, -(r[2] or 0), r[3]))[0]
         want.append(((key is None, key or 0), best[3]))
     assert got == sorted(want)
+
+
+vals = st.sampled_from(["a", "b", "c", None])
+coll_arrays = st.lists(st.one_of(st.none(), st.lists(vals, max_size=4)), min_size=1, max_size=4)
+edit_lists = st.lists(st.tuples(st.integers(0, 4), st.lists(vals, max_size=3)), max_size=6)
+
+
+def model_add(arr, edits):
+    out = list(arr or [])
+    for _, values in edits:
+        seen = []
+        for v in values:
+            if v not in seen:
+                seen.append(v)
+        for v in seen:
+            if v not in out:
+                out.append(v)
+    return out if (arr is not None or edits) else None
+
+
+@settings(max_examples=25, deadline=None)
+@given(coll_arrays, edit_lists)
+def test_array_add_and_remove_match_model(spark, arrays, edits):
+    from snapfeed.operators import docs as D
+    coll = spark.createDataFrame([(i, a) for i, a in enumerate(arrays)], "key int, tags array<string>")
+    rows = [(k, v, seq) for seq, (k, v) in enumerate(edits)]
+    ed = spark.createDataFrame(rows, "key int, values array<string>, seq int")
+    added = {r["key"]: r["tags"] for r in D.array_add(coll, ed, "tags", seq="seq").collect()}
+    removed = {r["key"]: r["tags"] for r in D.array_remove(coll, ed, "tags").collect()}
+    for i, a in enumerate(arrays):
+        mine = [(seq, v) for seq, (k, v) in enumerate(edits) if k == i]
+        assert added[i] == model_add(a, mine), (a, mine)
+        gone = {v for _, vs in mine for v in vs}
+        want = None if a is None else [x for x in a if x not in gone]
+        assert removed[i] == want, (a, mine)
