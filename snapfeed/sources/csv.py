@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapfeed.functions.names import scan_file_name
+from snapfeed.session import cut_lineage
 
 # Cell texts a pandas CSV read treats as missing (besides empty).
 NA_LITERALS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
@@ -120,15 +121,14 @@ def load_csv(spark: SparkSession, path: str, schema: T.StructType | None, target
         schema = infer_csv_schema(spark, path, header=read_opts.get("skip_leading_rows", 1) == 1,
                                   quoted_newlines=read_opts.get("quoted_newlines", True),
                                   sep=read_opts.get("sep", ","))
-    flagged = read_csv_typed(spark, path, schema, **read_opts).persist()
-    try:
-        n_bad = flagged.where(F.col(BAD_COL)).count()
-        if n_bad > max_bad_records:
-            raise ValueError(f"{n_bad} bad records in {path} (limit {max_bad_records})")
-        flagged.where(~F.col(BAD_COL)).drop(BAD_COL).write.mode(mode).format(fmt).save(target)
-        return n_bad
-    finally:
-        flagged.unpersist()
+    # Parse once into the shared checkpoint folder: the count and the write
+    # read the same rows, and a lost executor costs no re-parse.
+    flagged = cut_lineage(read_csv_typed(spark, path, schema, **read_opts))
+    n_bad = flagged.where(F.col(BAD_COL)).count()
+    if n_bad > max_bad_records:
+        raise ValueError(f"{n_bad} bad records in {path} (limit {max_bad_records})")
+    flagged.where(~F.col(BAD_COL)).drop(BAD_COL).write.mode(mode).format(fmt).save(target)
+    return n_bad
 
 
 SOURCE_FILE = "_source_file"

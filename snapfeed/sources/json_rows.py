@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from snapfeed.session import cut_lineage
+
 CORRUPT_COL = "_corrupt"
 
 
@@ -34,13 +36,12 @@ def append_json_rows(df: DataFrame, value_col: str, table: str) -> DataFrame:
     if not spark.catalog.tableExists(table):
         raise LookupError(f"table {table} was not found")
     schema = spark.table(table).schema
-    parsed = parse_json_rows(df.select(value_col), value_col, schema).persist()
-    try:
-        good = parsed.where(F.col(CORRUPT_COL).isNull()).drop(CORRUPT_COL)
-        view = f"__json_rows_{abs(hash(table))}"
-        good.createOrReplaceTempView(view)
-        spark.sql(f"INSERT INTO {table} BY NAME SELECT * FROM {view}")
-        spark.catalog.dropTempView(view)
-        return parsed.where(F.col(CORRUPT_COL).isNotNull()).select(F.col(CORRUPT_COL).alias(value_col))
-    finally:
-        parsed.unpersist()
+    # Parsed once into the shared checkpoint folder: the insert and the
+    # returned bad rows come from the same data.
+    parsed = cut_lineage(parse_json_rows(df.select(value_col), value_col, schema))
+    good = parsed.where(F.col(CORRUPT_COL).isNull()).drop(CORRUPT_COL)
+    view = f"__json_rows_{abs(hash(table))}"
+    good.createOrReplaceTempView(view)
+    spark.sql(f"INSERT INTO {table} BY NAME SELECT * FROM {view}")
+    spark.catalog.dropTempView(view)
+    return parsed.where(F.col(CORRUPT_COL).isNotNull()).select(F.col(CORRUPT_COL).alias(value_col))
