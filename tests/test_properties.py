@@ -139,3 +139,25 @@ def test_array_add_and_remove_match_model(spark, arrays, edits):
         gone = {v for _, vs in mine for v in vs}
         want = None if a is None else [x for x in a if x not in gone]
         assert removed[i] == want, (a, mine)
+
+
+def test_results_independent_of_input_partitioning(spark):
+    from pyspark.sql import functions as F
+    from conftest import SF_SMALL
+    from snapfeed.plans import adapters as A
+    from snapfeed.plans import rx as RX
+    f = A.fills(spark, SF_SMALL)
+    args = dict(base_amount=A.BASE_AMOUNT, statuses=A.RX_STATUSES, excluded_keys=A.EXCLUDED_KEYS,
+                tie_break=["row_order"])
+
+    def content(df):
+        return sorted(tuple(str(v) for v in r) for r in df.collect())
+
+    layouts = [f, f.repartition(1), f.repartition(7), f.repartition(5, "Serial__"), f.orderBy(F.rand(3))]
+    staging = RX.rx_source(f.where("_snapshot_date < DATE'2024-01-21'"), latest=False, **args)
+    results = [content(RX.rx_upsert(staging, x, **args)) for x in layouts]
+    assert all(r == results[0] for r in results[1:])
+    refills = [content(refill_numbering(x, "De_identified_Patient_ID", "Serial__", "Dispense_Date", "NDC",
+                                        "row_order", ndc_value=A.REFILL_NDC, placeholder=A.PLACEHOLDER))
+               for x in layouts]
+    assert all(r == refills[0] for r in refills[1:])
