@@ -22,7 +22,8 @@ def _ingest(args) -> None:
     if args.feed == "rx":
         handler = RxFeedIngest(spark, args.history, args.staging_table, args.staging_root, args.prefix,
                                ndc_value=args.ndc, placeholder=args.placeholder, base_amount=args.base_amount,
-                               statuses=args.statuses.split(","), row_level_table=args.row_level_table)
+                               statuses=args.statuses.split(","), row_level_table=args.row_level_table,
+                               partition_by_month=args.partition_by_month)
         columns = RX_FEED_COLUMNS
         glob = f"*{args.prefix}*"
     else:
@@ -63,6 +64,8 @@ def main(argv: list[str] | None = None) -> None:
     ing.add_argument("--base-amount", type=float, default=0.0)
     ing.add_argument("--statuses", default="")
     ing.add_argument("--row-level-table", action="store_true")
+    ing.add_argument("--partition-by-month", action="store_true",
+                     help="stage by dispense month; an upsert rewrites only the months it touches")
     ing.add_argument("--max-files", type=int, default=1000)
     ing.set_defaults(run=_ingest)
 

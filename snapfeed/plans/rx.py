@@ -60,6 +60,14 @@ def rx_source(snapshots: DataFrame, *, base_amount: float, statuses: list[str],
     return dedup_latest(per_day, RX_KEYS, [f"{snapshot_col} desc"])
 
 
+# Staging partition derived from a key (a key never changes partition).
+DISPENSE_MONTH = "_dispense_month"
+
+
+def with_dispense_month(df: DataFrame) -> DataFrame:
+    return df.withColumn(DISPENSE_MONTH, F.trunc(F.col(DISPENSE_C), "month"))
+
+
 def rx_upsert(target: DataFrame, snapshots: DataFrame, **source_args) -> DataFrame:
     """New staging-table content after merging the latest snapshot."""
     source = rx_source(snapshots, **source_args)

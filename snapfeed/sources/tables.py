@@ -124,3 +124,53 @@ def replace_table(spark: SparkSession, df: DataFrame, table: str, base_location:
     else:
         spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{location}'")
     return location
+
+
+def _partition_literal(value) -> str:
+    if isinstance(value, (int, float)) and not isinstance(value, bool):
+        return str(value)
+    return "'" + str(value).replace("'", "''") + "'"
+
+
+def upsert_partitions(spark: SparkSession, table: str, source: DataFrame, keys: list[str], partition_col: str,
+                      root: str, **merge_args) -> list:
+    """MERGE ``source`` into a table partitioned by ``partition_col``, rewriting
+    only the partitions the source touches.
+
+    ``partition_col`` must be a function of the keys (e.g. the month of a key
+    date), so a key never changes partition and the untouched partitions stay
+    correct. The touched partitions are read with partition pruning, merged,
+    written to a fresh location and swapped in one by one
+    (``ALTER TABLE … PARTITION … SET LOCATION`` / ``ADD PARTITION``): years of
+    untouched history are neither read nor rewritten. Only the list of touched
+    partition values reaches the driver (bounded by the table's partition
+    count). Returns that list.
+    """
+    from snapfeed.operators.merge import merge_upsert
+
+    touched = sorted(r[0] for r in source.select(partition_col).distinct().collect())
+    if any(v is None for v in touched):
+        raise ValueError(f"{partition_col} must not be NULL")
+    location = f"{root.rstrip('/')}/v-{uuid.uuid4().hex}"
+    if not spark.catalog.tableExists(table):
+        source.write.partitionBy(partition_col).parquet(location)
+        spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{location}'")
+        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+        return touched
+    if not touched:
+        return touched
+    current = spark.table(table)
+    target = current.where(current[partition_col].isin(touched))
+    merged = merge_upsert(target, source.select(*current.columns), keys, **merge_args)
+    merged.write.partitionBy(partition_col).parquet(location)
+    existing = {row[0] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    for v in touched:
+        spec = f"{partition_col}={v}"
+        path = f"{location}/{spec}"
+        clause = f"PARTITION ({partition_col} = {_partition_literal(v)})"
+        if spec in existing:
+            spark.sql(f"ALTER TABLE {table} {clause} SET LOCATION '{path}'")
+        else:
+            spark.sql(f"ALTER TABLE {table} ADD {clause} LOCATION '{path}'")
+    spark.catalog.refreshTable(table)
+    return touched

@@ -22,7 +22,7 @@ from snapfeed.plans import rx
 from snapfeed.plans.feeds import RX_FEED_COLUMNS, clean_rx, clean_summary
 from snapfeed.sources.csv import (CORRUPT_COL, OVER_COL, ROW_IN_SPLIT, SOURCE_FILE, SPLIT_START,
                                   na_to_null, text_schema)
-from snapfeed.sources.tables import replace_table
+from snapfeed.sources.tables import replace_table, upsert_partitions
 
 BatchHandler = Callable[[DataFrame, int], None]
 
@@ -152,8 +152,12 @@ class RxFeedIngest(FeedIngest):
 
     def __init__(self, spark: SparkSession, history_path: str, staging_table: str, staging_root: str,
                  feed_prefix: str, *, ndc_value, placeholder: str, base_amount: float,
-                 statuses: list[str], excluded_keys: list[tuple] = (), row_level_table: bool = False):
+                 statuses: list[str], excluded_keys: list[tuple] = (), row_level_table: bool = False,
+                 partition_by_month: bool = False):
         super().__init__(spark, history_path)
+        # Staging partitioned by the month of the key's dispense date: an
+        # upsert rewrites only the months the batch touches.
+        self.partition_by_month = partition_by_month
         self.staging_table = staging_table
         self.staging_root = staging_root
         self.prefix = feed_prefix
@@ -181,6 +185,10 @@ class RxFeedIngest(FeedIngest):
         self._upsert(source.drop(SPLIT_START, ROW_IN_SPLIT))
 
     def _upsert(self, source: DataFrame) -> None:
+        if self.partition_by_month:
+            upsert_partitions(self.spark, self.staging_table, rx.with_dispense_month(source), rx.RX_KEYS,
+                              rx.DISPENSE_MONTH, self.staging_root, validate_source=False, salt_null_keys=False)
+            return
         if self.row_level_table and self.spark.catalog.tableExists(self.staging_table):
             merge_into_table(source, self.staging_table, rx.RX_KEYS)
             return

@@ -65,3 +65,23 @@ def test_merge_into_needs_row_level_table(spark, tables):
     with pytest.raises(Exception) as err:
         merge_into_table(s.where("k IS NOT NULL").withColumn("x", F.lit(1.0)), "t_merge_plain", ["k"])
     assert "MERGE" in str(err.value).upper() or "SUPPORT" in str(err.value).upper()
+
+
+def test_upsert_partitions_rewrites_only_touched(spark, tmp_dir):
+    import os
+    from snapfeed.operators.merge import merge_upsert as whole_merge
+    from snapfeed.sources.tables import upsert_partitions
+    root = os.path.join(tmp_dir, "staged")
+    base = spark.createDataFrame([(k, f"v{k}", k % 3) for k in range(12)], "k int, v string, p int")
+    upsert_partitions(spark, "t_parts", base, ["k"], "p", root)
+    untouched = sorted(spark.table("t_parts").where("p = 2").inputFiles())
+    src = spark.createDataFrame([(0, "new0", 0), (4, "new4", 1), (13, "ins13", 1)], "k int, v string, p int")
+    touched = upsert_partitions(spark, "t_parts", src, ["k"], "p", root, validate_source=True)
+    assert touched == [0, 1]
+    assert sorted(spark.table("t_parts").where("p = 2").inputFiles()) == untouched
+    want = sorted(tuple(r) for r in whole_merge(base, src, ["k"]).collect())
+    assert sorted(tuple(r) for r in spark.table("t_parts").select("k", "v", "p").collect()) == want
+    # a brand-new partition value is added
+    upsert_partitions(spark, "t_parts", spark.createDataFrame([(15, "x", 5)], "k int, v string, p int"),
+                      ["k"], "p", root)
+    assert spark.table("t_parts").where("p = 5").count() == 1

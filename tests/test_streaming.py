@@ -16,7 +16,11 @@ def feed_file(path, rows):
         f.write("\n".join(lines) + "\n")
 
 
-def test_ingest_twice_is_noop(spark, tmp_dir):
+import pytest
+
+
+@pytest.mark.parametrize("by_month", [False, True])
+def test_ingest_twice_is_noop(spark, tmp_dir, by_month):
     land = os.path.join(tmp_dir, "landing")
     os.makedirs(land)
     feed_file(os.path.join(land, "RX_FEED_2024-01-01.csv"),
@@ -24,15 +28,17 @@ def test_ingest_twice_is_noop(spark, tmp_dir):
     feed_file(os.path.join(land, "RX_FEED_2024-01-02.csv"),
               [("1", "10", "2024-01-02", "NI-1", "5"), ("3", "12", "2024-01-04", "NM-3", "6")])
     feed_file(os.path.join(land, "unrelated.csv"), [("9", "9", "2024-01-02", "NI-9", "5")])
-    handler = RxFeedIngest(spark, os.path.join(tmp_dir, "history"), "rx_staging_t", os.path.join(tmp_dir, "staging"),
-                           "RX_FEED", ndc_value=5, placeholder="PH", base_amount=100.0, statuses=["click"])
+    table = f"rx_staging_{int(by_month)}"
+    handler = RxFeedIngest(spark, os.path.join(tmp_dir, "history"), table, os.path.join(tmp_dir, "staging"),
+                           "RX_FEED", ndc_value=5, placeholder="PH", base_amount=100.0, statuses=["click"],
+                           partition_by_month=by_month)
     ckpt = os.path.join(tmp_dir, "ckpt")
     run_available(csv_file_stream(spark, land, RX_FEED_COLUMNS), ckpt, handler)
     history = spark.read.parquet(os.path.join(tmp_dir, "history"))
     assert history.count() == 5
     refills = [r[0] for r in history.select("modified_serial_id").collect() if r[0] and "refill" in r[0]]
     assert refills == ["NI-1refill1"]
-    staging = sorted(tuple(r) for r in spark.table("rx_staging_t").select("De_identified_Patient_ID", "Rx_Number",
+    staging = sorted(tuple(r) for r in spark.table(table).select("De_identified_Patient_ID", "Rx_Number",
                                                                           "_source_file").collect())
     # (1, 10, NI-1, 01-02) is in both files: the newer file wins; the other keys come from their own file.
     assert staging == [("1", 10, "RX_FEED_2024-01-01.csv"), ("1", 10, "RX_FEED_2024-01-02.csv"),
@@ -42,7 +48,7 @@ def test_ingest_twice_is_noop(spark, tmp_dir):
     # A replayed batch (foreachBatch is at-least-once) appends nothing.
     handler(csv_file_batch(spark, land, RX_FEED_COLUMNS), 0)
     assert spark.read.parquet(os.path.join(tmp_dir, "history")).count() == 5
-    assert spark.table("rx_staging_t").count() == 4
+    assert spark.table(table).count() == 4
 
 
 def test_summary_ingest(spark, tmp_dir):
