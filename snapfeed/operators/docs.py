@@ -68,14 +68,17 @@ def _value_rows(edits: DataFrame, key: str, values: str, seq: str | None) -> Dat
         arr = F.col(values)
     else:
         raise TypeError(f"array edit values must be an array or a struct, got {vtype.simpleString()}")
+    # posexplode_outer keeps an edit with an empty list as one marker row (NULL
+    # position), so the key still counts as edited.
     exploded = edits.select(F.col(key).alias("__k"), _seq_col(seq).alias("__s"),
-                            F.posexplode(arr).alias("__p", "__v"))
-    return (exploded.groupBy("__k", "__v")
+                            F.posexplode_outer(arr).alias("__p", "__v"))
+    return (exploded.groupBy("__k", "__v", F.col("__p").isNull().alias("__m"))
             .agg(F.min(F.struct("__s", "__p")).alias("__first")))
 
 
 def _per_key_list(rows: DataFrame) -> DataFrame:
-    gathered = rows.groupBy("__k").agg(F.array_sort(F.collect_list(F.struct("__first", "__v"))).alias("__l"))
+    entry = F.when(~F.col("__m"), F.struct("__first", "__v"))  # markers add no value
+    gathered = rows.groupBy("__k").agg(F.array_sort(F.collect_list(entry)).alias("__l"))
     return gathered.select("__k", F.transform("__l", lambda x: x["__v"]).alias("__vals"))
 
 
@@ -92,8 +95,9 @@ def _apply(coll: DataFrame, per_key: DataFrame, key: str, field: str, fn) -> Dat
 def array_add(coll: DataFrame, edits: DataFrame, field: str, key: str = "key",
               values: str = "values", seq: str | None = None) -> DataFrame:
     """Append each distinct edit value not already in the array (existing
-    elements, duplicates included, stay as they are). Edits of keys absent from
-    the collection do nothing."""
+    elements, duplicates included, stay as they are). A missing array becomes
+    an array on its first edit. Edits of keys absent from the collection do
+    nothing."""
     per_key = _per_key_list(_value_rows(edits, key, values, seq))
 
     def add(a, vals):
@@ -105,10 +109,12 @@ def array_add(coll: DataFrame, edits: DataFrame, field: str, key: str = "key",
 
 def array_remove(coll: DataFrame, edits: DataFrame, field: str, key: str = "key",
                  values: str = "values", seq: str | None = None) -> DataFrame:
-    """Remove every occurrence of each edit value; order of the rest is kept."""
+    """Remove every occurrence of each edit value; order of the rest is kept.
+    A missing array becomes an empty array when edited."""
     per_key = _per_key_list(_value_rows(edits, key, values, seq))
+    empty = F.array().cast(coll.schema[field].dataType)
     return _apply(coll, per_key, key, field,
-                  lambda a, vals: F.filter(a, lambda x: ~_null_safe_in(vals, x)))
+                  lambda a, vals: F.filter(F.coalesce(a, empty), lambda x: ~_null_safe_in(vals, x)))
 
 
 def array_archive(coll: DataFrame, edits: DataFrame, field: str, **kw) -> DataFrame:
