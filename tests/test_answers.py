@@ -1,8 +1,12 @@
+import os
+
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from snapfeed.functions import answers as AN
 
+EXAMPLES = int(os.environ.get("SNAPFEED_PROPERTY_EXAMPLES", "25"))
+
 
 def py_words(answer):
     if answer is None or not answer.isascii() or not answer.isdigit():
@@ -53,7 +57,7 @@ def test_decoders_match_python(spark):
         assert r[1] == py_decode(a, q, DAILY), (a, q)
 
 
-@settings(max_examples=30, deadline=None)
+@settings(max_examples=EXAMPLES, deadline=None)
 @given(st.lists(st.integers(min_value=0, max_value=10 ** 40), min_size=1, max_size=20))
 def test_words_property(spark, numbers):
     answers = [str(n) for n in numbers]

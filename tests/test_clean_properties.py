@@ -4,6 +4,9 @@ import re
 
 import pandas as pd
 from hypothesis import given, settings, strategies as st
+import os
+
+EXAMPLES = int(os.environ.get("SNAPFEED_PROPERTY_EXAMPLES", "25"))
 from pyspark.sql import functions as F
 
 from snapfeed.functions import clean as C
@@ -40,20 +43,20 @@ def evaluate(spark, values, fn):
     return [r[0] for r in df.select(fn(F.col("v"))).collect()]
 
 
-@settings(max_examples=40, deadline=None)
+@settings(max_examples=EXAMPLES, deadline=None)
 @given(st.lists(serial_text, min_size=1, max_size=25))
 def test_clean_serial_matches_python(spark, values):
     assert evaluate(spark, values, C.clean_serial) == [py_clean_serial(v) for v in values]
 
 
-@settings(max_examples=40, deadline=None)
+@settings(max_examples=EXAMPLES, deadline=None)
 @given(st.lists(num_text, min_size=1, max_size=25))
 def test_int_text_mode_matches_python_int(spark, values):
     got = evaluate(spark, values, lambda c: C.int_or_default(c, -7, decimal_text="default"))
     assert got == [py_int_text(v, -7) for v in values]
 
 
-@settings(max_examples=40, deadline=None)
+@settings(max_examples=EXAMPLES, deadline=None)
 @given(st.lists(num_text, min_size=1, max_size=25))
 def test_numeric_or_zero_matches_pandas(spark, values):
     assert evaluate(spark, values, C.numeric_or_zero_int) == [pd_num_or_zero(v) for v in values]
@@ -71,7 +74,7 @@ def py_money(v):
     return 0.0 if x != x else x
 
 
-@settings(max_examples=40, deadline=None)
+@settings(max_examples=EXAMPLES, deadline=None)
 @given(st.lists(money_text, min_size=1, max_size=25))
 def test_money_matches_python(spark, values):
     ok, bad = [], []

@@ -2,6 +2,9 @@
 (with a hot key, NULL keys and ties broken by an explicit order column)."""
 
 from hypothesis import given, settings, strategies as st
+import os
+
+EXAMPLES = int(os.environ.get("SNAPFEED_PROPERTY_EXAMPLES", "25"))
 
 from snapfeed.operators.merge import merge_upsert
 from snapfeed.operators.windows import dedup_latest, refill_numbering
@@ -34,7 +37,7 @@ def model_refill(rows):
     return out
 
 
-@settings(max_examples=25, deadline=None)
+@settings(max_examples=EXAMPLES, deadline=None)
 @given(rows_strategy)
 def test_refill_numbering_matches_model(spark, raw):
     rows = [(i * 3 + 1, p, s, "2024-01-01" if d else None, n) for i, (p, s, d, n) in enumerate(raw)]
@@ -48,7 +51,7 @@ dedup_rows = st.lists(st.tuples(st.sampled_from([None, 1, 1, 1, 2, 3]), st.sampl
                       min_size=1, max_size=40)
 
 
-@settings(max_examples=25, deadline=None)
+@settings(max_examples=EXAMPLES, deadline=None)
 @given(dedup_rows)
 def test_dedup_matches_model(spark, raw):
     rows = [(k, d, i) for i, (k, d) in enumerate(raw)]
@@ -67,7 +70,7 @@ def test_dedup_matches_model(spark, raw):
 merge_keys = st.sampled_from([None, 1, 2, 3, 4, 5])
 
 
-@settings(max_examples=25, deadline=None)
+@settings(max_examples=EXAMPLES, deadline=None)
 @given(st.lists(merge_keys, max_size=8, unique=True), st.lists(merge_keys, max_size=8, unique=True))
 def test_merge_matches_model(spark, tkeys, skeys):
     target = [(k, f"t{k}", 1.0) for k in tkeys] + [(None, "tn", 2.0)]
@@ -90,7 +93,7 @@ text_rows = st.lists(st.tuples(st.sampled_from([1, 1, 1, 2, None]), st.sampled_f
                                st.sampled_from([None, 1, 2])), min_size=1, max_size=30)
 
 
-@settings(max_examples=25, deadline=None)
+@settings(max_examples=EXAMPLES, deadline=None)
 @given(text_rows)
 def test_dedup_text_ascending_matches_model(spark, raw):
     rows = [(k, s, d, i) for i, (k, s, d) in enumerate(raw)]
@@ -124,7 +127,7 @@ def model_add(arr, edits):
     return out if (arr is not None or edits) else None
 
 
-@settings(max_examples=25, deadline=None)
+@settings(max_examples=EXAMPLES, deadline=None)
 @given(coll_arrays, edit_lists)
 def test_array_add_and_remove_match_model(spark, arrays, edits):
     from snapfeed.operators import docs as D
