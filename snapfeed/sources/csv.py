@@ -56,21 +56,31 @@ def too_long(df: DataFrame) -> Column:
 
 def read_csv(spark: SparkSession, path: str, columns: list[str] | None = None,
              quoted_newlines: bool = True, sep: str = ",", na_literals=NA_LITERALS,
-             fail_on_long_rows: bool = True) -> DataFrame:
+             fail_on_long_rows: bool = True, file_order: bool = False) -> DataFrame:
     """Header CSV as all-text columns: missing literals -> NULL, short rows
     padded, all-empty rows dropped; a row longer than the header fails the job.
 
     ``quoted_newlines`` allows newlines inside quoted cells (one split per file).
+    ``file_order`` adds the source file, split start and in-split counter
+    (see :func:`with_file_order`), taken at the scan.
     """
     columns = columns or header_columns(spark, path, sep)
     raw = _raw_reader(spark, columns, True, quoted_newlines, sep).csv(path)
+    if file_order:
+        raw = with_file_order(raw)
     if fail_on_long_rows:
         # A filter predicate is always evaluated (a projected check column would be pruned).
         raw = raw.where(F.when(too_long(raw), F.raise_error(
             F.concat(F.lit("CSV row longer than header: "), F.coalesce(F.col(CORRUPT_COL), F.col(OVER_COL)))))
             .otherwise(F.lit(True)))
-    df = raw.select(*columns)
-    return drop_all_null(na_to_null(df, tuple(na_literals)))
+    order_cols = [SOURCE_FILE, SPLIT_START, ROW_IN_SPLIT] if file_order else []
+    lits = list(na_literals)
+    # The all-empty test is written on the raw cells (before the literal
+    # mapping), so the optimizer does not carry it through 34 aliased CASE
+    # expressions when the result is later joined with itself.
+    missing = [F.col(c).isNull() | F.col(c).isin(lits) for c in columns]
+    kept = raw.where(~reduce(lambda a, b: a & b, missing))
+    return na_to_null(kept.select(*columns, *order_cols), tuple(na_literals), cols=columns)
 
 
 def type_text(df: DataFrame, schema: T.StructType) -> tuple[list[Column], Column]:

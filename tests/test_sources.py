@@ -134,3 +134,23 @@ def test_load_csv_detects_schema(spark, tmp_dir):
     assert CSV.load_csv(spark, p, None, out) == 0
     df = spark.read.parquet(out)
     assert dict(df.dtypes) == {"id": "int", "amt": "double", "note": "string"}
+
+
+def test_read_csv_with_file_order_feeds_clean_rx(spark, tmp_dir):
+    from snapfeed.plans.feeds import RX_FEED_COLUMNS, clean_rx
+    header = ",".join(RX_FEED_COLUMNS)
+    rows = []
+    for i, serial in enumerate(["NI-1", "", "", "NM-2"]):
+        cells = [""] * len(RX_FEED_COLUMNS)
+        cells[0], cells[1], cells[2], cells[3], cells[4], cells[32] = "1", str(i), "2024-01-01", "2024-01-02", serial, "5"
+        rows.append(",".join(cells))
+    p = write(os.path.join(tmp_dir, "RX_FEED_2024-01-03.csv"), header + "\n" + "\n".join(rows) + "\n")
+    raw = CSV.read_csv(spark, p, file_order=True)
+    carry = [CSV.SOURCE_FILE, CSV.SPLIT_START, CSV.ROW_IN_SPLIT]
+    # min_partitions=1: no spreading shuffle, so the whole read + clean + refill
+    # plan is optimized as one piece (this once exhausted the optimizer).
+    out = clean_rx(raw, "2024-01-03", ndc_value=5, placeholder="PH", order_col=CSV.ROW_IN_SPLIT,
+                   bucket_col=CSV.SPLIT_START, group_extra=[CSV.SOURCE_FILE], carry=carry, min_partitions=1)
+    assert len(out._jdf.queryExecution().optimizedPlan().toString()) < 200_000
+    got = sorted((r["Rx_Number"], r["modified_serial_id"]) for r in out.collect())
+    assert got == [(0, "NI-1"), (1, "NI-1refill1"), (2, "NI-1refill2"), (3, "NM-2")]
