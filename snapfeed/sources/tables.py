@@ -110,13 +110,21 @@ def export_csv(df: DataFrame, base_dir: str, prefix: str, day: _dt.date) -> str:
     return path
 
 
+def _absolute(root: str) -> str:
+    """Table and partition locations must be absolute paths or URIs: a relative
+    one would be resolved differently for tables and for partitions."""
+    if "://" not in root and not root.startswith("/") and not root.startswith("file:"):
+        raise ValueError(f"location must be an absolute path or URI, got {root!r}")
+    return root.rstrip("/")
+
+
 def replace_table(spark: SparkSession, df: DataFrame, table: str, base_location: str) -> str:
     """Write ``df`` to a fresh location and repoint ``table`` at it.
 
     ``df`` may read ``table`` itself (a MERGE result): the old files are never
     overwritten while being read.
     """
-    location = f"{base_location.rstrip('/')}/v-{uuid.uuid4().hex}"
+    location = f"{_absolute(base_location)}/v-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(location)
     if spark.catalog.tableExists(table):
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
@@ -151,12 +159,10 @@ def upsert_partitions(spark: SparkSession, table: str, source: DataFrame, keys:
     touched = sorted(r[0] for r in source.select(partition_col).distinct().collect())
     if any(v is None for v in touched):
         raise ValueError(f"{partition_col} must not be NULL")
-    location = f"{root.rstrip('/')}/v-{uuid.uuid4().hex}"
+    root = _absolute(root)
+    location = f"{root}/v-{uuid.uuid4().hex}"
     if not spark.catalog.tableExists(table):
-        source.write.partitionBy(partition_col).parquet(location)
-        spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{location}'")
-        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
-        return touched
+        ensure_table(spark, table, source.schema, partition_col=partition_col, location=f"{root}/base")
     if not touched:
         return touched
     current = spark.table(table)

@@ -85,3 +85,15 @@ def test_upsert_partitions_rewrites_only_touched(spark, tmp_dir):
     upsert_partitions(spark, "t_parts", spark.createDataFrame([(15, "x", 5)], "k int, v string, p int"),
                       ["k"], "p", root)
     assert spark.table("t_parts").where("p = 5").count() == 1
+
+
+def test_upsert_partitions_first_batch_empty(spark, tmp_dir):
+    import os
+    from snapfeed.sources.tables import upsert_partitions
+    root = os.path.join(tmp_dir, "staged_empty")
+    empty = spark.createDataFrame([], "k int, v string, p int")
+    assert upsert_partitions(spark, "t_parts_empty", empty, ["k"], "p", root) == []
+    assert spark.table("t_parts_empty").count() == 0
+    upsert_partitions(spark, "t_parts_empty", spark.createDataFrame([(1, "a", 1)], "k int, v string, p int"),
+                      ["k"], "p", root)
+    assert [tuple(r) for r in spark.table("t_parts_empty").select("k", "v", "p").collect()] == [(1, "a", 1)]
