@@ -97,3 +97,19 @@ def test_upsert_partitions_first_batch_empty(spark, tmp_dir):
     upsert_partitions(spark, "t_parts_empty", spark.createDataFrame([(1, "a", 1)], "k int, v string, p int"),
                       ["k"], "p", root)
     assert [tuple(r) for r in spark.table("t_parts_empty").select("k", "v", "p").collect()] == [(1, "a", 1)]
+
+
+def test_null_key_salting_in_plan(spark, tables):
+    import contextlib
+    import io
+    t, s = tables
+
+    def plan(df):
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            df.explain("formatted")
+        return buf.getvalue()
+
+    assert "__salt_t" in plan(merge_upsert(t, s, ["k"]))          # nullable keys: NULL rows spread
+    no_salt = merge_upsert(t.where("k IS NOT NULL"), s.where("k IS NOT NULL"), ["k"], salt_null_keys=False)
+    assert "__salt" not in plan(no_salt)
