@@ -31,7 +31,9 @@ def docs_upsert(coll: DataFrame, edits: DataFrame, key: str = "key", seq: str |
 
     Edit fields are the edit frame's columns other than ``key``/``seq``. With
     several edits of one key the last by ``seq`` wins (partially aggregated
-    ``max_by``). ``null_means_absent`` treats a NULL edit value as "not given".
+    ``max_by``); a DataFrame has no row order, so pass ``seq`` whenever a key
+    can be edited more than once (without it, one of the edits is taken).
+    ``null_means_absent`` treats a NULL edit value as "not given".
     """
     fields = [c for c in edits.columns if c not in (key, seq)]
     unknown = [c for c in fields if c not in coll.columns]
@@ -95,8 +97,9 @@ def _apply(coll: DataFrame, per_key: DataFrame, key: str, field: str, fn) -> Dat
 def array_add(coll: DataFrame, edits: DataFrame, field: str, key: str = "key",
               values: str = "values", seq: str | None = None) -> DataFrame:
     """Append each distinct edit value not already in the array (existing
-    elements, duplicates included, stay as they are). A missing array becomes
-    an array on its first edit. Edits of keys absent from the collection do
+    elements, duplicates included, stay as they are), in order of first
+    appearance by (``seq``, position in the edit). A missing array becomes an
+    array on its first edit. Edits of keys absent from the collection do
     nothing."""
     per_key = _per_key_list(_value_rows(edits, key, values, seq))
 
