@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from snapfeed.session import ensure_checkpoint_dir
@@ -130,7 +131,7 @@ class Block:
     (one more entry than documents), ``doc``: the document of each word."""
 
     def __init__(self, texts: pa.Array):
-        texts = pa.compute.fill_null(texts.cast(pa.large_string()), "")
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
         raw = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset:texts.offset + len(texts) + 1]
         data = texts.buffers()[2]
         self.n = len(texts)
@@ -179,7 +180,7 @@ def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Itera
     longer text comes alone)."""
     if not batch.num_rows:
         return
-    sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     total, start = np.cumsum(sizes, dtype=np.int64), 0
     while start < batch.num_rows:
         limit = (int(total[start - 1]) if start else 0) + most

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snapfeed.llm import bpe
+from snapfeed.llm import bpe, katz, minhash
 from snapfeed.llm.registry import ORACLE, REGISTRY, query  # noqa: F401
 from snapfeed.session import read_table
 
@@ -19,3 +19,13 @@ def tokenizer_path() -> str:
 @query("op3_bpe")
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query("op9_minhash_dedup")
+def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+@query("op10_katz_lm")
+def op10_katz_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score(read_table(spark, sf_dir, "documents"))

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import functools
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,8 +14,33 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this library's modules to the executors once per application (they
+    run its Arrow functions and need not have it installed)."""
+    sc = spark.sparkContext
+    if any(str(f).rpartition("/")[2] == _ARCHIVE for f in sc.listFiles):
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = os.path.join(tempfile.mkdtemp(prefix="snapfeed-zip-"), _ARCHIVE)
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(package)))
+    sc.addPyFile(archive)
+
+
+_ARCHIVE = "snapfeed_modules.zip"
+
+
 def query(name: str, sql: str | None = None):
-    def add(fn):
+    def add(run):
+        @functools.wraps(run)
+        def fn(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return run(spark, sf_dir)
+
         REGISTRY[name] = fn
         if sql is not None:
             ORACLE[name] = sql
