@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from snapfeed.llm import bpe, katz, minhash
+from snapfeed.llm import bpe, katz, minhash, pairwise, rules
 from snapfeed.llm.registry import ORACLE, REGISTRY, query  # noqa: F401
 from snapfeed.session import read_table
 
@@ -29,3 +30,17 @@ def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_katz_lm")
 def op10_katz_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz.score(read_table(spark, sf_dir, "documents"))
+
+
+@query("op6_quality_rules")
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = rules.judge(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query("op8_quality_classifier")
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    ranker = pairwise.train(docs, read_table(spark, sf_dir, "labels"))
+    scored = pairwise.classify(docs, ranker, ["doc_id"])
+    return scored.select("doc_id", (~pairwise.training_fold(F.col("doc_id"))).alias("held_out"), "score", "predicted")
