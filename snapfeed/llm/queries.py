@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapfeed.llm import bpe, katz, minhash, pairwise, rules
+from snapfeed.llm import bpe, katz, minhash, mixing, pairwise, rules
 from snapfeed.llm.registry import ORACLE, REGISTRY, query  # noqa: F401
 from snapfeed.session import read_table
 
@@ -44,3 +44,8 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranker = pairwise.train(docs, read_table(spark, sf_dir, "labels"))
     scored = pairwise.classify(docs, ranker, ["doc_id"])
     return scored.select("doc_id", (~pairwise.training_fold(F.col("doc_id"))).alias("held_out"), "score", "predicted")
+
+
+@query("op5_mixing")
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken_words(read_table(spark, sf_dir, "documents"))
