@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapfeed.llm import bpe, katz, minhash, mixing, pairwise, rules
+from snapfeed.llm import bpe, flatgraph, katz, minhash, mixing, pairwise, rules, warc
 from snapfeed.llm.registry import ORACLE, REGISTRY, query  # noqa: F401
 from snapfeed.session import read_table
 
@@ -49,3 +49,26 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_mixing")
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(read_table(spark, sf_dir, "documents"))
+
+
+_OP2_SQL = """
+with p as (
+    select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes, sha1(coalesce(html, '')) as payload_digest from pages
+), d as (
+    select payload_digest as digest, max(page_id) as first from p where payload_bytes >= 1000 group by 1 having count(*) > 1
+)
+select page_id, payload_bytes, payload_digest,
+       case when first is not null and page_id <> first then 'revisit' else 'response' end as record_type,
+       case when page_id <> first then first end as refers_to
+from p left join d on payload_digest = digest and payload_bytes >= 1000
+"""
+
+
+@query("op1_vector_dedup")
+def op1_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flatgraph.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
+@query("op2_warc", _OP2_SQL)
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(read_table(spark, sf_dir, "pages"))
