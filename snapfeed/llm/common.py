@@ -128,9 +128,10 @@ class Block:
 
     ``buf``: the bytes, ``offsets``: where each document starts in them,
     ``starts`` / ``ends``: of each word, ``first``: each document's first word
-    (one more entry than documents), ``doc``: the document of each word."""
+    (one more entry than documents), ``doc``: the document of each word. ``gaps``:
+    the bytes that separate words (white space unless given)."""
 
-    def __init__(self, texts: pa.Array):
+    def __init__(self, texts: pa.Array, gaps: np.ndarray = IS_SPACE):
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         raw = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset:texts.offset + len(texts) + 1]
         data = texts.buffers()[2]
@@ -139,7 +140,7 @@ class Block:
         high = int(raw[-1]) if self.n else 0
         self.buf = np.frombuffer(data, dtype=np.uint8)[low:high] if data is not None and high > low else np.zeros(0, np.uint8)
         self.offsets = raw - low if self.n else np.zeros(1, dtype=np.int64)
-        inside = ~IS_SPACE[self.buf]
+        inside = ~gaps[self.buf]
         begins = inside.copy()
         begins[1:] &= ~inside[:-1]
         cuts = self.offsets[:-1]

@@ -98,4 +98,4 @@ def text_counts(docs: DataFrame, keep: list[str], text_col: str = "text") -> Dat
                 got = counts(Block(part.column(text_col)))
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *(pa.array(got[c], pa.int64()) for c in COUNTS)], [*keep, *COUNTS])
 
-    return docs.select(*keep, text_col).mapInArrow(run, ", ".join([kinds, *(f"{c} bigint" for c in COUNTS)]))
+    return docs.select(*dict.fromkeys([*keep, text_col])).mapInArrow(run, ", ".join([kinds, *(f"{c} bigint" for c in COUNTS)]))

@@ -55,7 +55,7 @@ def count_words(docs: DataFrame, keep: list[str]) -> DataFrame:
                 counts = Block(part.column("text")).counts
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(counts, pa.int64())], [*keep, "size"])
 
-    return docs.select(*keep, "text").mapInArrow(run, f"{kinds}, size bigint")
+    return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, f"{kinds}, size bigint")
 
 
 def targets(sizes: DataFrame) -> DataFrame:
@@ -201,3 +201,44 @@ def taken_words(docs: DataFrame) -> DataFrame:
     rows = placed.join(used, same, "left").select("doc_id", "source", "size", F.coalesce("words", F.lit(0)).alias("taken"))
     sources = sources.select(F.col("source").alias("of_source"), "source_size", "target")
     return rows.join(sources, F.col("source").eqNullSafe(F.col("of_source"))).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Replace the text by the words of ``spans`` (first, words), in order."""
+    for batch in batches:
+        at = batch.schema.get_field_index("text")
+        texts = []
+        for text, size, spans in zip(batch.column("text"), batch.column("size").to_pylist(), batch.column("spans").to_pylist(), strict=True):
+            joined: list[list[int]] = []
+            for s in sorted(spans, key=lambda s: s["first"]):
+                if joined and joined[-1][1] == s["first"]:
+                    joined[-1][1] += s["words"]
+                else:
+                    joined.append([s["first"], s["first"] + s["words"]])
+            if joined == [[0, size]]:
+                texts.append(text.as_py())
+                continue
+            block = Block(pa.array([text.as_py() or ""], pa.string()))
+            raw = block.buf.tobytes()
+            texts.append("\n".join(raw[block.starts[a]:block.ends[b - 1]].decode() for a, b in joined))
+        batch = batch.set_column(at, "text", pa.array(texts, pa.string()))
+        yield batch.drop_columns(["spans", "size"])
+
+
+def mixed_documents(docs: DataFrame) -> DataFrame:
+    """The mix as rows with the columns of ``docs`` (doc_id, text, source, n_chars,
+    ...): for each document and epoch a row with the words that the mix takes of it
+    there; parts that do not follow each other are joined by a line end."""
+    placed, _, slots = plan(docs)
+    spans = mix(placed, slots).groupBy(*(F.col(k).alias(f"of_{k}") for k in ("doc_id", "source", "size", "copy")), "epoch")
+    spans = spans.agg(F.collect_list(F.struct("first", "words")).alias("spans"))  # at most one a block of the document
+    kinds = {f.name: f.dataType for f in docs.schema}
+    rows = count_words(docs.withColumns({"doc_id": F.col("doc_id").cast("long"), "source": F.col("source").cast("string"), "text": F.col("text").cast("string")}), docs.columns)
+    rows = rows.withColumn("copy", F.row_number().over(Window.partitionBy("doc_id", "source", "size").orderBy(F.xxhash64("text"))))
+    same = [F.col(k).eqNullSafe(F.col(f"of_{k}")) for k in ("doc_id", "source", "size", "copy")]
+    rows = rows.join(spans, same).select(*docs.columns, "size", "spans")
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name not in ("spans", "size"))
+    out = rows.mapInArrow(_cut, ddl)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.length("text"))
+    return out.select(*(F.col(c).cast(kinds[c]) for c in docs.columns))

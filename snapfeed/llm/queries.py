@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapfeed.llm import bpe, flatgraph, katz, minhash, mixing, pairwise, rules, warc
+from snapfeed.llm import bpe, flatgraph, katz, licenses, minhash, mixing, pairwise, rules, warc, wrapper
 from snapfeed.llm.registry import ORACLE, REGISTRY, query  # noqa: F401
 from snapfeed.session import read_table
 
@@ -72,3 +72,22 @@ def op1_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_warc", _OP2_SQL)
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(read_table(spark, sf_dir, "pages"))
+
+
+@query("op4_html_text")
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrapper.extract(read_table(spark, sf_dir, "pages"))
+
+
+@query("op7_license_scan")
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = licenses.document_files(read_table(spark, sf_dir, "documents"))
+    found = licenses.inherit(licenses.scan(files, keep=("doc_id", "path")))
+    return found.select("doc_id", "path", "license", "how", "from_dir", F.round("cosine", 6).alias("cosine"))
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)

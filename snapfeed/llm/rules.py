@@ -138,12 +138,18 @@ def choose_cutoffs(counted: DataFrame, labels: DataFrame) -> dict[tuple[str, str
     return {k: v for k, v in out.items()} | {(ALL, m): out[ALL, m] for m in MEASURES if (ALL, m) in out}
 
 
-def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs``: (doc_id, text, lang, ...); ``labels``: (doc_id, quality, ...).
-    One row per document with the counts, base_failed and kept."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("stratum"), F.col("text").cast("string").alias("text"))
-    counted = stored(text_counts(docs, ["doc_id", "stratum"]), "counted")
-    cutoffs = choose_cutoffs(counted, labels)
+def with_stratum(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("stratum", F.coalesce(F.col("lang").cast("string"), F.lit("")))
+
+
+def count_documents(docs: DataFrame) -> DataFrame:
+    """(doc_id, stratum, counts) of every document, stored."""
+    docs = with_stratum(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", F.col("text").cast("string").alias("text")))
+    return stored(text_counts(docs, ["doc_id", "stratum"]), "counted")
+
+
+def verdict(counted: DataFrame, cutoffs: dict[tuple[str, str], Cutoff]) -> DataFrame:
+    """Adds base_failed and kept to rows with counts and stratum."""
     strata = {s for s, _ in cutoffs} - {ALL}
     rejected = F.lit(False)
     for measure in MEASURES:
@@ -153,3 +159,17 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
         if (ALL, measure) in cutoffs:  # strata without labels
             rejected |= ~F.col("stratum").isin(*strata) & (grid_value(measure) > cutoffs[ALL, measure].step)
     return counted.withColumn("base_failed", F.expr(BASE_FAILED)).withColumn("kept", ~F.col("base_failed") & ~rejected)
+
+
+def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``docs``: (doc_id, text, lang, ...); ``labels``: (doc_id, quality, ...).
+    One row per document with the counts, base_failed and kept."""
+    counted = count_documents(docs)
+    return verdict(counted, choose_cutoffs(counted, labels))
+
+
+def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are kept, with their own columns. The counts are made
+    a second time beside the text, which costs less than joining texts by doc_id."""
+    cutoffs = choose_cutoffs(count_documents(docs), labels)
+    return verdict(text_counts(with_stratum(docs), [*docs.columns, "stratum"]), cutoffs).where("kept").select(*docs.columns)
