@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from snapfeed.llm import bpe, minhash, mixing, pairwise, rules
-from snapfeed.llm.common import shared_folder
+from snapfeed.llm.common import aside, shared_folder
 from snapfeed.llm.queries import tokenizer_path
 from snapfeed.llm.registry import ship
 from snapfeed.session import read_table
@@ -29,7 +29,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """Documents predicted to be of low quality go."""
     ship(spark)
     ranker = pairwise.train(docs, read_table(spark, sf_dir, "labels"))
-    return pairwise.classify(docs, ranker, docs.columns).where("predicted = 1").select(*docs.columns)
+    renamed, restore = aside(docs, ["doc_id", "text"])
+    return restore(pairwise.classify(renamed, ranker, renamed.columns).where("predicted = 1"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ treated as equal when their 64-bit hashes are equal.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -62,6 +62,17 @@ def release_shuffles(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def aside(df: DataFrame, needed: list[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``df`` with every column but ``needed`` under a name that no operator uses, and
+    a function that selects the original columns again: extra columns may have any name."""
+    names = {c: c if c in needed else f"_{i}" for i, c in enumerate(df.columns)}
+
+    def restore(out: DataFrame) -> DataFrame:
+        return out.select(*(out[new].alias(old) for old, new in names.items()))
+
+    return df.toDF(*names.values()), restore
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """Finalise 64-bit hashes (in place)."""
     x ^= x >> U64(30)

@@ -254,8 +254,8 @@ class Model:
     def __init__(self, words: np.ndarray, pairs: np.ndarray, n: int):
         self.n, self.v = n, int(words.sum())
         self.words, self.pairs = discounts(words), discounts(pairs)
-        kept = n - sum(r * float(words[r]) * (1 - self.words[r]) for r in range(1, DISCOUNTED + 1))
-        self.unknown = 1 - kept / (n + RESERVE)
+        freed = sum(r * float(words[r]) * (1 - self.words[r]) for r in range(1, DISCOUNTED + 1))
+        self.unknown = (freed + RESERVE) / (n + RESERVE)
 
     def p_word(self, c: np.ndarray) -> np.ndarray:
         d = np.where(c > DISCOUNTED, 1.0, self.words[np.minimum(c, DISCOUNTED)])

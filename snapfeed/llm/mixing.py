@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from snapfeed.llm.common import Block, slices, stored
+from snapfeed.llm.common import Block, aside, slices, stored
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
@@ -230,15 +230,16 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     ...): for each document and epoch a row with the words that the mix takes of it
     there; parts that do not follow each other are joined by a line end."""
     placed, _, slots = plan(docs)
-    spans = mix(placed, slots).groupBy(*(F.col(k).alias(f"of_{k}") for k in ("doc_id", "source", "size", "copy")), "epoch")
+    keys = ["doc_id", "source", "size", "copy"]
+    spans = mix(placed, slots).groupBy(*(F.col(k).alias(f"of_{k}") for k in keys), "epoch")
     spans = spans.agg(F.collect_list(F.struct("first", "words")).alias("spans"))  # at most one a block of the document
-    kinds = {f.name: f.dataType for f in docs.schema}
-    rows = count_words(docs.withColumns({"doc_id": F.col("doc_id").cast("long"), "source": F.col("source").cast("string"), "text": F.col("text").cast("string")}), docs.columns)
+    renamed, restore = aside(docs, ["doc_id", "source", "text", "n_chars"])
+    rows = renamed.withColumns({"doc_id": F.col("doc_id").cast("long"), "source": F.col("source").cast("string"), "text": F.col("text").cast("string")})
+    rows = count_words(rows, renamed.columns)
     rows = rows.withColumn("copy", F.row_number().over(Window.partitionBy("doc_id", "source", "size").orderBy(F.xxhash64("text"))))
-    same = [F.col(k).eqNullSafe(F.col(f"of_{k}")) for k in ("doc_id", "source", "size", "copy")]
-    rows = rows.join(spans, same).select(*docs.columns, "size", "spans")
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name not in ("spans", "size"))
-    out = rows.mapInArrow(_cut, ddl)
+    rows = rows.join(spans, [F.col(k).eqNullSafe(F.col(f"of_{k}")) for k in keys]).select(*renamed.columns, "size", "spans")
+    out = rows.mapInArrow(_cut, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name not in ("spans", "size")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text"))
-    return out.select(*(F.col(c).cast(kinds[c]) for c in docs.columns))
+    kinds = dict(zip(renamed.columns, (f.dataType for f in docs.schema), strict=True))
+    return restore(out.select(*(F.col(c).cast(k).alias(c) for c, k in kinds.items())))

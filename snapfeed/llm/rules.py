@@ -36,7 +36,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapfeed.llm.common import stored
+from snapfeed.llm.common import aside, stored
 from snapfeed.llm.features import text_counts
 
 RISK = 0.05
@@ -172,4 +172,5 @@ def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are kept, with their own columns. The counts are made
     a second time beside the text, which costs less than joining texts by doc_id."""
     cutoffs = choose_cutoffs(count_documents(docs), labels)
-    return verdict(text_counts(with_stratum(docs), [*docs.columns, "stratum"]), cutoffs).where("kept").select(*docs.columns)
+    renamed, restore = aside(docs, ["doc_id", "text", "lang"])
+    return restore(verdict(text_counts(with_stratum(renamed), [*renamed.columns, "stratum"]), cutoffs).where("kept"))
