@@ -9,6 +9,8 @@ treated as equal when their 64-bit hashes are equal.
 
 from __future__ import annotations
 
+import gc
+import time
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -54,12 +56,14 @@ def drop_stored(spark: SparkSession, *frames: DataFrame) -> None:
 
 
 def release_shuffles(spark: SparkSession) -> None:
-    """Shuffle files go when the driver's JVM drops the plans that wrote them;
-    ask for that after a step is stored instead of at the next full collection."""
-    import gc
-
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Shuffle files go when the driver's JVM drops the plans that wrote them; ask
+    for that after a step is stored instead of at the next full collection. Two
+    rounds with a pause, as Python hands over what it dropped with a delay."""
+    for _ in range(2):
+        gc.collect()
+        time.sleep(0.25)
+        spark.sparkContext._jvm.System.gc()
+    time.sleep(0.25)
 
 
 def aside(df: DataFrame, needed: list[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:

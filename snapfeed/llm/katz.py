@@ -348,6 +348,20 @@ def _finish(model: Model):
     return run
 
 
+def _count(chunks: DataFrame, buckets: int) -> DataFrame:
+    """Answers, count tables and statistics of all buckets, stored."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                yield from _row(COUNTS, _Chunk(row).requests(row["chunk"], buckets)).to_batches()
+
+    light = chunks.withColumns({"doc_ids": F.lit(None).cast("array<bigint>"), "held": F.lit(None).cast("array<boolean>")})
+    asked = light.mapInArrow(ask, COUNTS)
+    return stored(asked.groupBy("kind", "bucket").applyInArrow(_merge, COUNTS), "counts", ["role"])
+
+
 def held_out(doc_id: Column, folds: int = 5, fold: int = 1) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds == fold
 
@@ -361,15 +375,7 @@ def score(docs: DataFrame, held: Column | None = None) -> DataFrame:
     tokens = chunks.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
     buckets = max(1, -(-tokens // BUCKET_TOKENS))
 
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1).to_pylist()[0]
-                yield from _row(COUNTS, _Chunk(row).requests(row["chunk"], buckets)).to_batches()
-
-    light = chunks.withColumns({"doc_ids": F.lit(None).cast("array<bigint>"), "held": F.lit(None).cast("array<boolean>")})
-    asked = light.mapInArrow(ask, COUNTS)
-    counts = stored(asked.groupBy("kind", "bucket").applyInArrow(_merge, COUNTS), "counts", ["role"])
+    counts = _count(chunks, buckets)
     drop_stored(spark)
     names = [f"n{r}" for r in range(DISCOUNTED + 3)] + ["total"]
     listed = counts.where(F.col("role") == STATS).mapInArrow(_statistics, "kind int, " + ", ".join(f"{x} bigint" for x in names))
@@ -379,9 +385,8 @@ def score(docs: DataFrame, held: Column | None = None) -> DataFrame:
     model = Model(np.array(words[:-1], dtype=float), np.array(stats.get(PAIR, nothing)[:-1], dtype=float), words[-1])
 
     answers = counts.where(F.col("role") == ANSWER)
-    partial = chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_evaluate(model, buckets), PARTIAL)
-    partial = stored(partial, "partial", ["role"])
-    drop_stored(spark, chunks)
+    partial = stored(chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_evaluate(model, buckets), PARTIAL), "partial", ["role"])
+    drop_stored(spark, chunks, counts)
     sums = partial.where(F.col("role") == REQUEST).select("role", "kind", "bucket", "chunk", "payload")
     alphas = sums.groupBy("bucket").applyInArrow(_alphas, COUNTS)
     rest = partial.where(F.col("role") == REST).groupBy("chunk")
