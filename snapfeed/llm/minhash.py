@@ -13,8 +13,8 @@
 4. Lists are merged in two passes. The first compares each member of a list
    with the list's smallest member only, which is linear in the postings and
    joins the members of a large group of copies. The second compares the pairs
-   of a list that are still in different components, and only those. Pairs of
-   one component need no further link.
+   of a list that are still in different components, and only those, by blocks
+   of the list inside the tasks. Pairs of one component need no further link.
 5. Pairs with at least ``MATCHES`` equal coordinates are confirmed on the full
    shingle sets (100 * intersection >= 75 * union).
 
@@ -44,6 +44,7 @@ WORDS = 5
 COORDINATES = 64
 MATCHES = 36
 SIMILARITY_PERCENT = 75
+LIST_BLOCK, DOC_BLOCK = 1024, 256
 
 _STEP = U64(0x9E3779B97F4A7C15)
 _XORS = mixed(np.arange(1, COORDINATES + 1, dtype=U64) * _STEP)
@@ -106,15 +107,18 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([s.tobytes() for s in sets], pa.binary())], ["doc_id", "shingles"])
 
 
+def _similar(x: np.ndarray, y: np.ndarray) -> bool:
+    if 100 * min(len(x), len(y)) < SIMILARITY_PERCENT * max(len(x), len(y)):
+        return False
+    common = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * common >= SIMILARITY_PERCENT * (len(x) + len(y) - common)
+
+
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keep = np.zeros(batch.num_rows, dtype=bool)
         for i, (a, b) in enumerate(zip(batch.column("a"), batch.column("b"), strict=True)):
-            x, y = (np.frombuffer(v.as_buffer(), dtype=U64) for v in (a, b))
-            if 100 * min(len(x), len(y)) < SIMILARITY_PERCENT * max(len(x), len(y)):
-                continue
-            common = len(np.intersect1d(x, y, assume_unique=True))
-            keep[i] = 100 * common >= SIMILARITY_PERCENT * (len(x) + len(y) - common)
+            keep[i] = _similar(np.frombuffer(a.as_buffer(), dtype=U64), np.frombuffer(b.as_buffer(), dtype=U64))
         yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v")], ["u", "v"]).filter(pa.array(keep))
 
 
@@ -145,12 +149,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     joined = stored(connected_components(first), "components")
 
     member = prefix.join(joined, prefix.rep == joined.node, "left").select("token", "rep", F.coalesce("component", "rep").alias("c"))
-    split = member.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("token")
-    member = stored(member.join(split, "token", "left_semi"), "unjoined")
-    other = member.select("token", F.col("rep").alias("v"), F.col("c").alias("d"))
-    pairs = member.join(other, "token").where("c < d").select(F.greatest("rep", "v").alias("u"), F.least("rep", "v").alias("v")).distinct()
-    tested = smallest.join(prefix, "token").where("rep <> v").select(F.col("rep").alias("u"), "v").distinct()
-    second = _confirmed(docs, sigs, pairs.join(tested, ["u", "v"], "left_anti"))
+    split = member.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("n")).where("low < high").select("token", "n")
+    member = stored(member.join(split, "token"), "unjoined")
+    second = _across(docs, sigs, prefix, member)
     if not second.isEmpty():
         joined = stored(connected_components(first.unionByName(second)), "components")
 
@@ -161,6 +162,82 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return rows.withColumn("kept", F.expr("doc_id is null or doc_id = component_id"))
 
 
+def _meet(blocks: int):
+    """Pairs of one posting list (one block of it against another) that are in
+    different components and have enough equal coordinates, as lists for each pair of
+    document blocks. Of the lists where a pair meets, that of its first common
+    prefix coordinate reports it."""
+
+    def run(table: pa.Table) -> pa.Table:
+        rep, c, side = (table.column(x).to_numpy() for x in ("rep", "c", "side"))
+        sig = np.stack([np.frombuffer(x, dtype=np.int32) for x in table.column("sig").to_pylist()])
+        mask = table.column("mask").to_numpy().view(U64)[:, None] >> np.arange(COORDINATES, dtype=U64) & U64(1) > 0
+        k = int(table.column("token")[0].as_py()) >> 32 & COORDINATES - 1
+        left = np.flatnonzero(side != 1)
+        right = np.flatnonzero(side != 0)
+        found = []
+        for i in range(0, len(left), 64):
+            rows = left[i:i + 64]
+            able = c[rows][:, None] != c[right][None]
+            if len(rows) and (side == 2).all():
+                able &= rep[rows][:, None] < rep[right][None]
+            same = np.zeros(able.shape, dtype=np.uint8)
+            for j in range(COORDINATES):
+                same += sig[rows, j][:, None] == sig[right, j][None]
+            x, y = np.nonzero(able & (same >= MATCHES))
+            x, y = rows[x], right[y]
+            common = (sig[x] == sig[y]) & mask[x] & mask[y]
+            here = common.argmax(1) == k if len(x) else np.zeros(0, dtype=bool)
+            found.append((x[here], y[here]))
+        x, y = (np.concatenate([f[n] for f in found]) for n in (0, 1))
+        u, v = np.maximum(rep[x], rep[y]), np.minimum(rep[x], rep[y])
+        bu, bv = ((mixed(z.astype(U64)) % U64(blocks)).astype(np.int64) for z in (u, v))
+        order = np.lexsort((bv, bu))
+        u, v, key = u[order], v[order], bu[order] * blocks + bv[order]
+        keys, starts = np.unique(key, return_index=True)
+        cut = np.append(starts, len(key))
+        lists = lambda z: pa.array([z[cut[i]:cut[i + 1]] for i in range(len(keys))], pa.list_(pa.int64()))
+        return pa.table({"bu": pa.array(keys // blocks), "bv": pa.array(keys % blocks), "us": lists(u), "vs": lists(v)})
+    return run
+
+
+def _confirm_lists(pairs: pa.Table, sets: pa.Table) -> pa.Table:
+    of = {d: np.frombuffer(x.as_buffer(), dtype=U64) for d, x in zip(sets.column("doc").to_pylist(), sets.column("shingles"), strict=True)}
+    out = []
+    for us, vs in zip(pairs.column("us").to_pylist(), pairs.column("vs").to_pylist(), strict=True):
+        out += [(u, v) for u, v in zip(us, vs, strict=True) if _similar(of[u], of[v])]
+    return pa.table({"u": pa.array([u for u, _ in out], pa.int64()), "v": pa.array([v for _, v in out], pa.int64())})
+
+
+def _across(docs: DataFrame, sigs: DataFrame, prefix: DataFrame, member: DataFrame) -> DataFrame:
+    """Confirmed pairs (u, v) between different components that share a prefix
+    value. Lists are compared in blocks of ``LIST_BLOCK`` members, and what passes is
+    confirmed in pairs of blocks of documents, so no step has a row a pair."""
+    packed = sigs.join(member.select("rep").distinct(), "rep", "left_semi").mapInArrow(_pack_signature, "rep bigint, sig binary")
+    masks = prefix.groupBy("rep").agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftright(token, 32) & {COORDINATES - 1} as int))")).alias("mask"))
+    described = stored(packed.join(masks, "rep"), "unjoined-signatures")
+    blocks = max(1, -(-described.count() // DOC_BLOCK))
+    rows = member.join(described, "rep").withColumn("parts", F.ceil(F.col("n") / LIST_BLOCK).cast("int"))
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
+    rows = rows.select("token", "rep", "c", "sig", "mask", "part", other)
+    rows = rows.withColumns({"i": F.least("part", "other"), "j": F.greatest("part", "other"), "side": F.expr("cast(if(part = other, 2, if(part < other, 0, 1)) as int)")})
+    lists = rows.groupBy("token", "i", "j").applyInArrow(_meet(blocks), "bu bigint, bv bigint, us array<bigint>, vs array<bigint>")
+    lists = stored(lists, "meetings")
+    need = lists.select("bu", "bv", F.explode(F.array_union("us", "vs")).alias("doc")).distinct()
+    wanted = need.select(F.col("doc").alias("doc_id")).distinct()
+    sets = docs.join(wanted, "doc_id", "left_semi").mapInArrow(_sets, "doc_id bigint, shingles binary").dropDuplicates(["doc_id"])
+    sets = need.join(sets, F.col("doc") == F.col("doc_id")).select(F.col("bu").alias("with_u"), F.col("bv").alias("with_v"), "doc", "shingles")
+    confirmed = lists.groupBy("bu", "bv").cogroup(sets.groupBy("with_u", "with_v")).applyInArrow(_confirm_lists, "u bigint, v bigint")
+    return stored(confirmed, "confirmed")
+
+
+def _pack_signature(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sigs = [np.array(x, dtype=np.int32).tobytes() for x in batch.column("signature").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array(sigs, pa.binary())], ["rep", "sig"])
+
+
 def _confirmed(docs: DataFrame, sigs: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (u, v) with enough equal coordinates and similar full sets."""
     a, b = sigs.select(F.col("rep").alias("u"), F.col("signature").alias("a")), sigs.select(F.col("rep").alias("v"), F.col("signature").alias("b"))
