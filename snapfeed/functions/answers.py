@@ -29,7 +29,7 @@ _TAIL_DIGITS = 32
 
 
 def is_digits(answer: ColumnOrName) -> Column:
-    return as_col(answer).rlike("^[0-9]+$")
+    return as_col(answer).rlike(r"\A[0-9]+\z")
 
 
 def _low32(answer: ColumnOrName) -> Column:

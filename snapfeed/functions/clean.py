@@ -77,9 +77,13 @@ def _coerce_double(c: ColumnOrName) -> Column:
 
 
 def numeric_or_zero_int(c: ColumnOrName) -> Column:
-    """Coerce to number, missing -> 0, truncate to integer. A number outside
-    the 64-bit range counts as not a number (0) rather than failing the job."""
-    return F.coalesce(_coerce_double(c).try_cast("bigint"), F.lit(0).cast("bigint"))
+    """Coerce to number, missing -> 0, truncate to integer. A number outside the
+    64-bit range fails the job, as it has no integer here."""
+    d = _coerce_double(c)
+    n = d.try_cast("bigint")
+    return (F.when(d.isNull(), F.lit(0).cast("bigint"))
+            .when(n.isNull(), _fail("number outside 64 bits: ", _text(c)).cast("bigint"))
+            .otherwise(n))
 
 
 def numeric_or_null_int(c: ColumnOrName) -> Column:
@@ -123,18 +127,22 @@ def stringify(c: ColumnOrName, null_literal: str | None = "nan") -> Column:
     return t if null_literal is None else F.coalesce(t, F.lit(null_literal))
 
 
-def strict_date(c: ColumnOrName, fmt: str = "yyyy-M-d") -> Column:
-    """Parse a date with one format per column; NULL kept, bad text fails.
+def _formats(fmt: str | tuple[str, ...]) -> tuple[str, ...]:
+    return (fmt,) if isinstance(fmt, str) else tuple(fmt)
+
+
+def strict_date(c: ColumnOrName, fmt: str | tuple[str, ...] = "yyyy-M-d") -> Column:
+    """Parse a date with the first format that fits; NULL kept, other text fails.
     The default accepts months and days with or without a leading zero."""
     t = _text(c)
-    d = F.try_to_date(t, fmt)
+    d = F.coalesce(*[F.try_to_date(t, f) for f in _formats(fmt)])
     return F.when(t.isNotNull() & d.isNull(), _fail("bad date: ", t).cast("date")).otherwise(d)
 
 
-def strict_timestamp(c: ColumnOrName, fmt: str = "yyyy-M-d H:m:s") -> Column:
+def strict_timestamp(c: ColumnOrName, fmt: str | tuple[str, ...] = "yyyy-M-d H:m:s") -> Column:
     """Like :func:`strict_date`, to TIMESTAMP_NTZ."""
     t = _text(c)
-    d = F.try_to_timestamp(t, F.lit(fmt)).cast("timestamp_ntz")
+    d = F.coalesce(*[F.try_to_timestamp(t, F.lit(f)).cast("timestamp_ntz") for f in _formats(fmt)])
     return (F.when(t.isNotNull() & d.isNull(), _fail("bad timestamp: ", t).cast("timestamp_ntz"))
             .otherwise(d))
 

@@ -25,6 +25,13 @@ def normalize_headers(df: DataFrame) -> DataFrame:
     return df.toDF(*[normalize_header(c) for c in df.columns])
 
 
+def normalize_header_col(name: Column) -> Column:
+    """:func:`normalize_header` of a header cell read as data."""
+    for old, new in HEADER_REPLACEMENTS:
+        name = F.replace(name, F.lit(old), F.lit(new))
+    return name
+
+
 def feed_name_date(name: ColumnOrName, prefix: str) -> Column:
     """Date in ``<PREFIX>_yyyy-mm-dd`` found anywhere in the name (case-folded).
 

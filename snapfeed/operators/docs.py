@@ -30,19 +30,25 @@ def docs_upsert(coll: DataFrame, edits: DataFrame, key: str = "key", seq: str |
     a missing one is created from the edit alone (other fields NULL).
 
     Edit fields are the edit frame's columns other than ``key``/``seq``. With
-    several edits of one key the last by ``seq`` wins (partially aggregated
-    ``max_by``); a DataFrame has no row order, so pass ``seq`` whenever a key
-    can be edited more than once (without it, one of the edits is taken).
-    ``null_means_absent`` treats a NULL edit value as "not given".
+    several edits of one key the last by ``seq`` wins, a NULL ``seq`` counting
+    as before all others (partially aggregated ``max_by``); without ``seq``,
+    several edits of a key fail the job, as a DataFrame has no row order.
+    Edits without a key name no document and are ignored; documents without a
+    key stay as they are. ``null_means_absent`` treats a NULL edit value as
+    "not given".
     """
     fields = [c for c in edits.columns if c not in (key, seq)]
     unknown = [c for c in fields if c not in coll.columns]
     if unknown:
         raise KeyError(f"edit fields not in collection: {unknown}")
-    last = (edits.groupBy(F.col(key).alias("__ek"))
-            .agg(F.max_by(F.struct(*[F.col(c) for c in fields]), _seq_col(seq)).alias("__e")))
-    c = coll.withColumn("__c", F.lit(True))
-    j = c.join(last, c[key] == last["__ek"], "full")
+    order = F.struct(F.col(seq).isNotNull(), F.col(seq)) if seq else F.lit(True)
+    last = (edits.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__ek"))
+            .agg(F.max_by(F.struct(*[F.col(c) for c in fields]), order).alias("__e"), F.count(F.lit(1)).alias("__n")))
+    if not seq:
+        last = last.where(F.when(F.col("__n") == 1, F.lit(True)).otherwise(F.raise_error(
+            F.concat(F.lit("several edits without an order for document "), F.col("__ek").cast("string"))).cast("boolean")))
+    with_key = coll.where(F.col(key).isNotNull()).withColumn("__c", F.lit(True))
+    j = with_key.join(last, with_key[key] == last["__ek"], "full")
     types = {f.name: f.dataType for f in coll.schema.fields}
     out = []
     for name in coll.columns:
@@ -56,7 +62,8 @@ def docs_upsert(coll: DataFrame, edits: DataFrame, key: str = "key", seq: str |
             out.append(F.when(given, new).otherwise(F.col(name)).alias(name))
         else:
             out.append(F.when(F.col("__c").isNotNull(), F.col(name)).alias(name))
-    return j.select(*out)
+    edited = j.select(*out)
+    return edited.unionByName(coll.where(F.col(key).isNull())) if coll.schema[key].nullable else edited
 
 
 def _value_rows(edits: DataFrame, key: str, values: str, seq: str | None) -> DataFrame:
@@ -105,7 +112,7 @@ def array_add(coll: DataFrame, edits: DataFrame, field: str, key: str = "key",
 
     def add(a, vals):
         base = F.coalesce(a, F.array().cast(coll.schema[field].dataType))
-        return F.concat(base, F.filter(vals, lambda x: ~_null_safe_in(base, x)))
+        return F.concat(base, F.array_except(vals, base))  # the values are distinct already
 
     return _apply(coll, per_key, key, field, add)
 
@@ -113,11 +120,19 @@ def array_add(coll: DataFrame, edits: DataFrame, field: str, key: str = "key",
 def array_remove(coll: DataFrame, edits: DataFrame, field: str, key: str = "key",
                  values: str = "values", seq: str | None = None) -> DataFrame:
     """Remove every occurrence of each edit value; order of the rest is kept.
-    A missing array becomes an empty array when edited."""
+    A missing array becomes an empty array when edited.
+
+    An array of distinct elements is reduced by one hashed set difference; only
+    an array with repeats looks each element up in what stays."""
     per_key = _per_key_list(_value_rows(edits, key, values, seq))
     empty = F.array().cast(coll.schema[field].dataType)
-    return _apply(coll, per_key, key, field,
-                  lambda a, vals: F.filter(F.coalesce(a, empty), lambda x: ~_null_safe_in(vals, x)))
+
+    def remove(a, vals):
+        base = F.coalesce(a, empty)
+        left = F.array_except(base, vals)
+        return F.when(F.size(F.array_distinct(base)) == F.size(base), left).otherwise(F.filter(base, lambda x: _null_safe_in(left, x)))
+
+    return _apply(coll, per_key, key, field, remove)
 
 
 def array_archive(coll: DataFrame, edits: DataFrame, field: str, **kw) -> DataFrame:
@@ -163,6 +178,8 @@ _OPS = {
     "array-contains": lambda c, v: F.array_contains(c, F.lit(v)),
     "array-contains-any": lambda c, v: reduce(lambda a, b: a | b, [F.array_contains(c, F.lit(x)) for x in v]),
 }
+# The same operators under the names that callers of document stores use too.
+_OPS |= {name.replace("-", "_"): op for name, op in _OPS.items() if "-" in name}
 
 
 def read_where(coll: DataFrame, field_path: str, op: str, value) -> DataFrame:

@@ -21,24 +21,34 @@ def _any_null(cols: list[str]):
     return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols])
 
 
-def check_unique_source(source: DataFrame, keys: list[str]) -> None:
-    """Fail when one key has several source rows (a MERGE may not update a
-    target row twice). One partially aggregated count; at most one row comes back."""
-    dup = (source.where(~_any_null(keys)).groupBy(*keys).count()
-           .where(F.col("count") > 1).limit(1).collect())
-    if dup:
-        raise ValueError(f"MERGE source has several rows for key {dup[0].asDict()}")
+def check_unique_source(source: DataFrame, keys: list[str]) -> DataFrame:
+    """The source with a check in its plan: the job fails when one key has several
+    rows (a MERGE may not update a target row twice). One partially aggregated
+    grouping on the keys, whose partitioning the merge join reuses; rows with a
+    NULL key part can never match and are not grouped."""
+    rest = [c for c in source.columns if c not in keys]
+    row = F.struct(*rest) if rest else F.lit(True)
+    grouped = source.where(~_any_null(keys)).groupBy(*keys).agg(F.first(row).alias("__row"), F.count(F.lit(1)).alias("__n"))
+    key_text = F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])
+    grouped = grouped.where(F.when(F.col("__n") == 1, F.lit(True)).otherwise(
+        F.raise_error(F.concat(F.lit("MERGE source has several rows for key "), key_text)).cast("boolean")))
+    checked = grouped.select(*[F.col(c) if c in keys else F.col(f"__row.{c}").alias(c) for c in source.columns])
+    if any(source.schema[k].nullable for k in keys):
+        checked = checked.unionByName(source.where(_any_null(keys)))
+    return checked
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str],
                  update_cols: list[str] | None = None, insert_cols: list[str] | None = None,
                  with_action: bool = False, validate_source: bool = True,
-                 salt_null_keys: bool | None = None) -> DataFrame:
+                 salt_null_keys: bool | None = None, newer_by: str | None = None) -> DataFrame:
     """Upsert ``source`` into ``target`` on equal, non-NULL ``keys``.
 
     ``update_cols`` default: every non-key target column the source has.
     ``insert_cols`` default: every target column the source has (others NULL).
     ``with_action`` adds ``_merge_action`` in (update, insert, keep).
+    ``newer_by`` names a column by which a target row that is newer than its
+    source row is kept.
 
     One full outer join. When a key column is nullable, rows with a NULL key
     part (which can never match) get a content-hash salt as an extra join key,
@@ -57,9 +67,9 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str],
     if insert_cols is None:
         insert_cols = [c for c in t_cols if c in s_set]
     if validate_source:
-        check_unique_source(source, keys)
+        source = check_unique_source(source, keys)
     types = {f.name: f.dataType for f in target.schema.fields}
-    used = [c for c in t_cols if c in set(update_cols) | set(insert_cols) | set(keys)]
+    used = [c for c in t_cols if c in set(update_cols) | set(insert_cols) | set(keys) | {newer_by}]
     nullable = (any(target.schema[k].nullable or source.schema[k].nullable for k in keys)
                 if salt_null_keys is None else salt_null_keys)
 
@@ -78,6 +88,8 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str],
 
     is_insert = F.col("__t").isNull()
     is_update = F.col("__t").isNotNull() & F.col("__s").isNotNull()
+    if newer_by:
+        is_update &= F.coalesce(F.col(newer_by) <= F.col(f"__s_{newer_by}"), F.lit(True))
     out = []
     for c in t_cols:
         tv = F.col(c)
@@ -99,7 +111,7 @@ def merge_counts(merged_with_action: DataFrame) -> DataFrame:
     return merged_with_action.groupBy(ACTION_COL).count()
 
 
-def merge_into_table(source: DataFrame, table: str, keys: list[str]) -> None:
+def merge_into_table(source: DataFrame, table: str, keys: list[str], newer_by: str | None = None) -> None:
     """MERGE ``source`` into a catalog table that supports row-level changes
     (e.g. a Delta or Iceberg table): matched rows updated, others inserted,
     target-only rows untouched; only the files holding touched rows are
@@ -107,7 +119,8 @@ def merge_into_table(source: DataFrame, table: str, keys: list[str]) -> None:
     :func:`merge_upsert` and write the result with ``replace_table``."""
     target_alias = table.split(".")[-1]
     cond = " AND ".join(f"{target_alias}.`{k}` = src.`{k}`" for k in keys)
+    newer = F.expr(f"coalesce({target_alias}.`{newer_by}` <= src.`{newer_by}`, true)") if newer_by else F.lit(True)
     (source.alias("src").mergeInto(table, F.expr(cond))
-     .whenMatched().updateAll()
+     .whenMatched(newer).updateAll()
      .whenNotMatched().insertAll()
      .merge())

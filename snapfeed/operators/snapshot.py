@@ -10,9 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SNAPSHOT_COL = "_snapshot_date"
-# Inline key exclusion up to this many keys; longer lists become a broadcast
-# anti join (the list is driver-side input, so its size is known).
-INLINE_KEY_LIMIT = 256
 
 
 def stamp_snapshot(df: DataFrame, day: _dt.date | str | Column, col: str = SNAPSHOT_COL) -> DataFrame:
@@ -51,27 +48,31 @@ def exclude_keys(df: DataFrame, cols: list[str], keys: list[tuple], drop_null_ke
     """Remove rows whose composite key equals one of ``keys``.
 
     Keys are compared column by column (no string concatenation, so distinct
-    keys cannot collide). With ``drop_null_keys`` rows with a NULL key part are
-    dropped too, which is what a ``concat(...) != literal`` filter does.
+    keys cannot collide), as a null-safe anti join with the list as a table of
+    the columns' types; Spark chooses the join by the list's size. Key parts may
+    be given as values or as text. With ``drop_null_keys`` rows with a NULL key
+    part are dropped too, which is what a ``concat(...) != literal`` filter does.
     """
-    keep = all_not_null(cols) if drop_null_keys else F.lit(True)
+    rows = df.where(all_not_null(cols)) if drop_null_keys else df
     if not keys:
-        return df.where(keep)
-    if len(keys) <= INLINE_KEY_LIMIT:
-        hits = [reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(cols, k)])
-                for k in keys]
-        return df.where(keep & ~reduce(lambda a, b: a | b, hits))
-    spark = df.sparkSession
-    schema = df.select(*cols).schema
-    excluded = spark.createDataFrame(list(keys), schema=schema)
-    cond = reduce(lambda a, b: a & b, [df[c].eqNullSafe(excluded[c]) for c in cols])
-    return df.where(keep).join(F.broadcast(excluded), cond, "left_anti")
+        return rows
+    names = [f"__x{i}" for i in range(len(cols))]
+    text = [tuple(None if v is None else str(v) for v in key) for key in keys]
+    listed = df.sparkSession.createDataFrame(text, ", ".join(f"{n} string" for n in names))
+    listed = listed.select(*[F.col(n).cast(df.schema[c].dataType).alias(n) for n, c in zip(names, cols)])
+    return rows.join(listed, [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(cols, names)], "left_anti")
 
 
 def in_list(df: DataFrame, col: str, values: list) -> DataFrame:
     return df.where(F.col(col).isin(list(values)))
 
 
-def distinct_rows(df: DataFrame) -> DataFrame:
-    """Exact-duplicate removal over all columns (partial aggregation map-side)."""
-    return df.dropDuplicates()
+def distinct_rows(df: DataFrame, position: list[str] = ()) -> DataFrame:
+    """Exact-duplicate removal (partial aggregation map-side). ``position`` columns
+    (source file, row number ...) say where a row stood and don't make rows
+    different; of equal rows the first position is kept."""
+    if not position:
+        return df.dropDuplicates()
+    same = [c for c in df.columns if c not in position]
+    first = df.groupBy(*same).agg(F.min(F.struct(*position)).alias("__first"))
+    return first.select(*[F.col(f"__first.{c}").alias(c) if c in position else F.col(c) for c in df.columns])

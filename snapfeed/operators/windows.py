@@ -109,7 +109,7 @@ def add_dup_count(df: DataFrame, keys: list[str], name: str = "dup_count") -> Da
 
 
 def dedup_latest(df: DataFrame, keys: list[str], order: list, count_col: str | None = None,
-                 method: str = "auto") -> DataFrame:
+                 method: str = "aggregate") -> DataFrame:
     """Keep the first row per key under ``order`` (``row_number() = 1``).
 
     ``count_col`` also returns how many rows the key had. ``order`` must break
@@ -118,14 +118,13 @@ def dedup_latest(df: DataFrame, keys: list[str], order: list, count_col: str | N
     ``method='aggregate'`` runs one partially aggregated ``max_by`` per key
     (safe for a hot key). ``'window'`` runs ``row_number``: faster on even
     data, and Spark adds a map-side group limit when no count is asked for,
-    but with a count a hot key's whole group is sorted in one task.
-    ``'auto'`` picks the aggregate when the order allows it (text columns
-    ordered in both directions do not; those fall back to the window).
+    but with a count a hot key's whole group is sorted in one task; it is never
+    chosen silently.
     """
     parsed = parse_order(order)
-    found = _extreme_key(df, parsed) if method in ("auto", "aggregate") else None
+    found = _extreme_key(df, parsed) if method == "aggregate" else None
     if method == "aggregate" and found is None:
-        raise ValueError("order cannot be expressed as a maximum or minimum; use method='window'")
+        raise ValueError("text is ordered in both directions, which no maximum or minimum expresses; choose method='window'")
     if found is not None:
         key, extreme = found
         rest = [c for c in df.columns if c not in keys]

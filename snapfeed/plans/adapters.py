@@ -18,13 +18,17 @@ from snapfeed.session import read_table
 SNAPSHOT_ORIGIN = "2024-01-01"
 SNAPSHOT_DAYS = 10
 RX_MODULUS = 50
-REFILL_NDC = 90017578200
-OTHER_NDC = 12345678901
+REFILL_NDC = 10020030040
+OTHER_NDC = 50060070080
 PLACEHOLDER = "PENDING-LOT"
 BASE_AMOUNT = 100.0
 RX_STATUSES = ["click", "error", "signup"]
-# One key excluded by the SQL stage (patient, rx, serial, dispense date).
-EXCLUDED_KEYS = [(118, 35, "Unknown", _dt.date(1000, 1, 1))]
+# Keys excluded by the SQL stage (patient, rx, serial, dispense date); both have
+# rows at every scale.
+EXCLUDED_KEYS = [(2, 37, "Unknown", _dt.date(1000, 1, 1)), (3, 9, "Unknown", _dt.date(1000, 1, 1))]
+EXCLUDED_SERIALS = [(0, 12, "NI-0"), (1, 37, "NM-1"), (1, 38, "NM-1")]
+# Added to row_order for further copies of a row.
+COPY_OFFSET = 10 ** 9
 # Orders before this day form the staging table, later ones the upsert batch.
 ORDER_SPLIT_DAY = "1999-01-01"
 

@@ -253,14 +253,16 @@ def _answer_text():
     return (F.when(et == "error", F.concat(F.lit("x"), F.col("event_id").cast("string")))
             .when((et == "purchase") & (F.col("value") < 10), F.lit("00"))
             .when((et == "purchase") & (F.col("value") < 20), F.lit("0"))
+            .when((et == "purchase") & (F.col("value") < 40), F.concat(F.lit("5"), F.lit("\n")))
             .when(et == "view", F.concat(F.col("event_id").cast("string"), F.lit("000000000000000000001")))
             .otherwise((F.col("event_id") * F.lit(9876543210) + F.lit(12345)).cast("string")))
 _ANSWER_SQL = """CASE WHEN event_type = 'error' THEN 'x' || CAST(event_id AS VARCHAR)
      WHEN event_type = 'purchase' AND value < 10 THEN '00'
      WHEN event_type = 'purchase' AND value < 20 THEN '0'
+     WHEN event_type = 'purchase' AND value < 40 THEN '5' || chr(10)
      WHEN event_type = 'view' THEN CAST(event_id AS VARCHAR) || '000000000000000000001'
      ELSE CAST(event_id * 9876543210 + 12345 AS VARCHAR) END"""
-_WORDS_SQL = """CASE WHEN regexp_matches(answer, '^[0-9]+$')
+_WORDS_SQL = """CASE WHEN regexp_full_match(answer, '[0-9]+')
      THEN CAST(CAST(right(answer, 32) AS HUGEINT) % 4294967296 AS BIGINT) END"""
 
 
@@ -288,7 +290,7 @@ def _bits_sql(bits: int, flagged: bool = False) -> str:
 
 def _decodable_sql(questions) -> str:
     qs = ", ".join(str(q) for q in questions)
-    return f"regexp_matches(answer, '^[0-9]+$') AND answer <> '0' AND question_id IN ({qs})"
+    return f"regexp_full_match(answer, '[0-9]+') AND answer <> '0' AND question_id IN ({qs})"
 
 
 @register("split_hex", _answers_sql(10, 5) + """

@@ -22,22 +22,36 @@ def _split():
 
 
 def _customer_docs(spark, sf_dir):
-    c = read_table(spark, sf_dir, "customer")
-    return (c.where(F.col("c_mktsegment") != "HOUSEHOLD")
-            .select(F.col("c_custkey").alias("key"), "c_name", "c_acctbal", "c_mktsegment"))
+    return read_table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key"), "c_name", "c_acctbal", "c_mktsegment")
 
 
-@register("docs_upsert", """
-WITH coll AS (SELECT c_custkey AS key, c_name, c_acctbal, c_mktsegment FROM customer WHERE c_mktsegment <> 'HOUSEHOLD'),
-last AS (SELECT o_custkey AS key, arg_max(o_totalprice, o_orderkey) AS c_acctbal FROM orders
-         WHERE o_orderstatus = 'O' GROUP BY o_custkey)
+# Every order names a document: its customer, or, for the orders of one
+# priority, an id beyond all customers (a document that does not exist yet).
+BEYOND = 10 ** 9
+
+
+def _named(column: str = "o_custkey"):
+    return F.when(F.col("o_orderpriority") == "5-LOW", F.col(column) + BEYOND).otherwise(F.col(column))
+
+
+_NAMED_SQL = f"CASE WHEN o_orderpriority = '5-LOW' THEN o_custkey + {BEYOND} ELSE o_custkey END"
+
+
+@register("docs_upsert", f"""
+WITH coll AS (SELECT c_custkey AS key, c_name, c_acctbal, c_mktsegment FROM customer),
+e AS (SELECT {_NAMED_SQL} AS key, o_totalprice, CASE WHEN o_orderstatus <> 'P' THEN o_orderkey END AS seq, o_orderkey FROM orders
+      WHERE o_orderstatus <> 'P' OR o_orderkey IN (SELECT max(o_orderkey) FROM orders WHERE o_orderstatus = 'P' GROUP BY {_NAMED_SQL})),
+last AS (SELECT key, arg_max(o_totalprice, coalesce(seq, -1)) AS c_acctbal FROM e GROUP BY key)
 SELECT coalesce(c.key, l.key) AS key, c.c_name,
        CASE WHEN l.key IS NOT NULL THEN l.c_acctbal ELSE c.c_acctbal END AS c_acctbal, c.c_mktsegment
 FROM coll c FULL JOIN last l ON c.key = l.key""")
 def q_docs_upsert(spark, sf_dir):
-    o = read_table(spark, sf_dir, "orders")
-    edits = o.where(F.col("o_orderstatus") == "O").select(
-        F.col("o_custkey").alias("key"), F.col("o_totalprice").alias("c_acctbal"), F.col("o_orderkey").alias("seq"))
+    # Every order is an edit. Those of status 'P' have no sequence number: of a
+    # document only the newest of them comes in, as two would have no order.
+    o = read_table(spark, sf_dir, "orders").withColumn("key", _named())
+    unordered = F.col("o_orderstatus") == "P"
+    newest = o.where(unordered).groupBy("key").agg(F.max_by("o_totalprice", "o_orderkey").alias("c_acctbal")).withColumn("seq", F.lit(None).cast("long"))
+    edits = o.where(~unordered).select("key", F.col("o_totalprice").alias("c_acctbal"), F.col("o_orderkey").alias("seq")).unionByName(newest)
     return D.docs_upsert(_customer_docs(spark, sf_dir), edits, key="key", seq="seq")
 
 
@@ -114,14 +128,13 @@ def q_array_unarchive(spark, sf_dir):
     return out.select("key", F.array_join("tags_archive", "|").alias("tags_archive_text"))
 
 
-@register("read_by_ids", """
+@register("read_by_ids", f"""
 SELECT o.o_orderkey AS pos, c.c_custkey AS key, c.c_name, c.c_acctbal, c.c_mktsegment
-FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
-WHERE c.c_mktsegment <> 'HOUSEHOLD'""")
+FROM orders o JOIN customer c ON {_NAMED_SQL} = c.c_custkey""")
 def q_read_by_ids(spark, sf_dir):
     # Request list: the customer of every order, in order-key order.
     o = read_table(spark, sf_dir, "orders")
-    ids = o.select(F.col("o_orderkey").alias("pos"), F.col("o_custkey").alias("id"))
+    ids = o.select(F.col("o_orderkey").alias("pos"), _named().alias("id"))
     return D.read_by_ids(_customer_docs(spark, sf_dir), ids, key="key", id_col="id", pos_col="pos")
 
 
@@ -162,10 +175,10 @@ def q_lookup_nested(spark, sf_dir):
     return D.lookup_nested(msgs, users, "user_key", "key", "chat.id", "chat_id")
 
 
-@register("missing_ids", """
-SELECT o.o_orderkey AS pos, o.o_custkey AS id FROM orders o
-WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = o.o_custkey AND c.c_mktsegment <> 'HOUSEHOLD')""")
+@register("missing_ids", f"""
+SELECT pos, id FROM (SELECT o_orderkey AS pos, {_NAMED_SQL} AS id FROM orders)
+WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = id)""")
 def q_missing_ids(spark, sf_dir):
     o = read_table(spark, sf_dir, "orders")
-    ids = o.select(F.col("o_orderkey").alias("pos"), F.col("o_custkey").alias("id"))
+    ids = o.select(F.col("o_orderkey").alias("pos"), _named().alias("id"))
     return D.missing_ids(_customer_docs(spark, sf_dir), ids, key="key", id_col="id")

@@ -11,7 +11,7 @@ from snapfeed.functions.names import normalize_headers
 from snapfeed.operators.schema import rename_map, select_schema
 from snapfeed.operators.snapshot import SNAPSHOT_COL, stamp_snapshot
 from snapfeed.operators.windows import refill_numbering
-from snapfeed.session import spread
+from snapfeed.session import materialise, spread
 
 # Column names of the cleaned prescription table, in feed order
 # (the last two are added by the cleaner).
@@ -40,26 +40,33 @@ SUMMARY_RENAMES = {"CLAIM_PAYMENT": "MED_CLAIM_PAYMENT", "APPLIED_DEDUCTIBLE": "
                    "PAT_COPAY_COINS": "MED_PAT_COPAY_CO_INS"}
 SUMMARY_STRINGIFIED = ["SUPPORT_DOCS_MD_MED_BI", "TRIED_FAILED_BI", "DATE_APPL_FAXED_HCP_MED_BI",
                        "DATE_APPL_FAXED_INS_MED_BI", "DATE_APPL_DENIED_MED_BI"]
+# Date texts that the feeds use: year first or US order, with or without a time.
+RX_DATE_FORMATS = ("yyyy-M-d", "M/d/yyyy", "yyyy-M-d H:m:s", "M/d/yyyy H:m", "M/d/yyyy H:m:s")
+SUMMARY_TIMESTAMP_FORMATS = ("yyyy-M-d H:m:s", "yyyy-M-d", "M/d/yyyy H:m:s", "M/d/yyyy H:m", "M/d/yyyy")
 NO_CLAIM_LABEL = "no data"
 NO_REGION_LABEL = "N/A"
 
 
 def clean_rx(raw: DataFrame, snapshot_day, *, ndc_value, placeholder: str,
-             order_col: str, prefix: str = "NI", date_fmt: str = "yyyy-M-d",
+             order_col: str, prefix: str = "NI", date_formats: tuple[str, ...] = RX_DATE_FORMATS,
              group_extra: list[str] = (), bucket_col: str | None = None,
-             carry: list[str] = (), min_partitions: int | None = None,
-             force_spread: bool = False) -> DataFrame:
+             carry: list[str] = (), partitions: int | None = None) -> DataFrame:
     """Clean a prescription feed read as text.
 
     ``raw`` holds the 34 feed columns first (named by position) and then the
-    ``carry`` columns (row order, source file ...), which pass through.
+    ``carry`` columns (row order, source file ...), which pass through. AGE and
+    NDC stay as read; the refill rule compares NDC as a number. The cleaned rows
+    are written once to the shared scratch folder, so the raw feed is read and
+    cleaned once although refill numbering reads its rows twice. ``partitions``
+    spreads an input of few splits over that many tasks.
     """
     carry = list(carry)
     n = len(RX_FEED_COLUMNS)
     if len(raw.columns) != n + len(carry):
         raise ValueError(f"expected {n} feed columns plus {carry}, got {len(raw.columns)} columns")
     df = raw.select(*[F.col(f"`{a}`").alias(b) for a, b in zip(raw.columns[:n], RX_FEED_COLUMNS)], *carry)
-    df = spread(df, min_partitions, force=force_spread).withColumns({
+    df = spread(df, partitions).withColumns({
+        "__ndc": F.col("NDC").try_cast("double"),
         "Provider_NPI": C.first_digits("Provider_NPI"),
         "Total_Fills": C.int_or_default("Total_Fills", 0),
         "Fills_Dispensed": C.int_or_default("Fills_Dispensed", 0),
@@ -69,30 +76,29 @@ def clean_rx(raw: DataFrame, snapshot_day, *, ndc_value, placeholder: str,
         "Patient_OOP": C.money("Patient_OOP"),
         "Copay": C.money("Copay"),
         "Region": C.fill_label("Region", NO_REGION_LABEL),
-        "Received_Date": C.strict_date("Received_Date", date_fmt),
-        "Dispense_Date": C.strict_date("Dispense_Date", date_fmt),
-        "Date_Written": C.strict_date("Date_Written", date_fmt),
+        "Received_Date": C.strict_date("Received_Date", date_formats),
+        "Dispense_Date": C.strict_date("Dispense_Date", date_formats),
+        "Date_Written": C.strict_date("Date_Written", date_formats),
         "Serial__": C.clean_serial("Serial__"),
-        "AGE": C.numeric_or_null_int("AGE"),
-        "NDC": C.numeric_or_null_int("NDC"),
     })
-    df = refill_numbering(df, "De_identified_Patient_ID", "Serial__", "Dispense_Date", "NDC", order_col,
-                          ndc_value=ndc_value, placeholder=placeholder, prefix=prefix,
+    df = materialise(df, "cleaned")
+    df = refill_numbering(df, "De_identified_Patient_ID", "Serial__", "Dispense_Date", "__ndc", order_col,
+                          ndc_value=float(ndc_value), placeholder=placeholder, prefix=prefix,
                           group_extra=list(group_extra), bucket_col=bucket_col)
     df = stamp_snapshot(df, snapshot_day, SNAPSHOT_COL)
     return df.select(*RX_COLUMNS, *carry)
 
 
 def clean_summary(raw: DataFrame, snapshot_day,
-                  ts_fmt: str = "yyyy-M-d H:m:s",
-                  fallback_fmts: tuple[str, ...] = ("yyyy-M-d H:m:s", "yyyy-M-d"),
-                  min_partitions: int | None = None, force_spread: bool = False,
+                  ts_fmts: tuple[str, ...] = SUMMARY_TIMESTAMP_FORMATS,
+                  fallback_fmts: tuple[str, ...] = SUMMARY_TIMESTAMP_FORMATS,
+                  partitions: int | None = None,
                   carry: list[str] = ()) -> DataFrame:
     """Clean a benefit summary read as text with its original headers;
     ``carry`` columns (e.g. the source file) pass through unchanged."""
     df = rename_map(normalize_headers(raw), SUMMARY_RENAMES)
-    df = spread(select_schema(df, SUMMARY_COLUMNS + list(carry)), min_partitions, force=force_spread)
-    entered = C.strict_timestamp("DATE_ENTERED", ts_fmt)
+    df = spread(select_schema(df, SUMMARY_COLUMNS + list(carry)), partitions)
+    entered = C.strict_timestamp("DATE_ENTERED", ts_fmts)
     cols = {c: C.stringify(c) for c in SUMMARY_STRINGIFIED}
     cols.update({
         "MED_CLAIM_PAYMENT": C.fill_label("MED_CLAIM_PAYMENT", NO_CLAIM_LABEL),

@@ -37,8 +37,7 @@ SELECT row_order, Script_Status FROM fills WHERE Script_Status IN ({STATUSES})""
 ORACLE["key_exclusion"] = WITH_FILLS + """
 SELECT row_order, De_identified_Patient_ID, Rx_Number, Serial__ FROM fills
 WHERE De_identified_Patient_ID IS NOT NULL AND Rx_Number IS NOT NULL AND Serial__ IS NOT NULL
-  AND NOT ((De_identified_Patient_ID = 118 AND Rx_Number = 35 AND Serial__ = 'NM-118')
-        OR (De_identified_Patient_ID = 118 AND Rx_Number = 35 AND Serial__ = 'NI-1'))"""
+  AND (De_identified_Patient_ID, Rx_Number, Serial__) NOT IN ((0, 12, 'NI-0'), (1, 37, 'NM-1'), (1, 38, 'NM-1'))"""
 
 ORACLE["dup_count"] = """
 SELECT *, count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS dup_count FROM lineitem"""
@@ -86,17 +85,17 @@ SELECT {_prefer_source(_ORDER_COLS)},
   CASE WHEN t.__t IS NULL THEN 'insert' WHEN s.__s THEN 'update' ELSE 'keep' END AS _merge_action
 FROM (SELECT *, true AS __t FROM old) t FULL JOIN (SELECT *, true AS __s FROM new) s ON t.o_custkey = s.o_custkey"""
 
-_EXCL = A.EXCLUDED_KEYS[0]
+_SAME = [c for c in FILL_COLS if c != "row_order"]
+_EXCLUDED = " OR ".join(f"""(De_identified_Patient_ID = {k[0]} AND Rx_Number = {k[1]} AND coalesce(Serial__, 'Unknown') = '{k[2]}'
+             AND coalesce(Dispense_Date, DATE '1000-01-01') = DATE '{k[3].isoformat()}')""" for k in A.EXCLUDED_KEYS)
 _RX_PREP = f"""
 prep AS (
-  SELECT DISTINCT *, CLOSED_STATUS AS substatus, {A.BASE_AMOUNT} - Copay AS by_copay,
+  SELECT *, CLOSED_STATUS AS substatus, {A.BASE_AMOUNT} - Copay AS by_copay,
          coalesce(Serial__, 'Unknown') AS Serial_coalesce,
          coalesce(Dispense_Date, DATE '1000-01-01') AS Dispense_Date_coalesce
-  FROM fills
+  FROM (SELECT {", ".join(_SAME)}, min(row_order) AS row_order FROM fills GROUP BY ALL)
   WHERE De_identified_Patient_ID IS NOT NULL AND Rx_Number IS NOT NULL
-    AND NOT (De_identified_Patient_ID = {_EXCL[0]} AND Rx_Number = {_EXCL[1]}
-             AND coalesce(Serial__, 'Unknown') = '{_EXCL[2]}'
-             AND coalesce(Dispense_Date, DATE '1000-01-01') = DATE '{_EXCL[3].isoformat()}')
+    AND NOT ({_EXCLUDED})
     AND Script_Status IN ({STATUSES}) {{cond}})"""
 
 
@@ -136,6 +135,12 @@ SELECT * EXCLUDE (rn) FROM (
 ORACLE["seq_within_group"] = """
 SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS seq FROM events"""
 
+ORACLE["rx_exact_duplicates"] = WITH_FILLS.replace("fills AS (", "single AS (", 1) + f""",
+fills AS (SELECT * FROM single UNION ALL
+          SELECT * EXCLUDE (k) REPLACE (row_order + k * {A.COPY_OFFSET} AS row_order) FROM single, (VALUES (1), (2)) n(k) WHERE Script_Status = 'error'),
+mx AS (SELECT max(_snapshot_date) AS m FROM fills),""" + _rx_ranked("src", "AND _snapshot_date = (SELECT m FROM mx)") + """
+SELECT * FROM src"""
+
 _KEYS = ", ".join(RX_KEYS)
 ORACLE["rx_batch_source"] = WITH_FILLS + "," + _RX_PREP.replace("prep AS", "all_prep AS").format(cond="") + f""",
 per_day AS (SELECT * EXCLUDE (rn) FROM (

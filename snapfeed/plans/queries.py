@@ -42,8 +42,7 @@ def q_in_list(spark, sf_dir):
 @register("key_exclusion")
 def q_key_exclusion(spark, sf_dir):
     f = A.fills(spark, sf_dir)
-    keys = [(k[0], k[1], s) for k in A.EXCLUDED_KEYS for s in ("NM-118", "NI-1")]
-    return exclude_keys(f, [rx.PATIENT, rx.RX, "Serial__"], keys).select("row_order", rx.PATIENT, rx.RX, "Serial__")
+    return exclude_keys(f, [rx.PATIENT, rx.RX, "Serial__"], A.EXCLUDED_SERIALS).select("row_order", rx.PATIENT, rx.RX, "Serial__")
 
 
 # --- windows / dedup / merge -------------------------------------------------
@@ -88,7 +87,7 @@ def q_merge_upsert(spark, sf_dir):
 def rx_flagship(spark, sf_dir):
     f = A.fills(spark, sf_dir)
     args = dict(base_amount=A.BASE_AMOUNT, statuses=A.RX_STATUSES, excluded_keys=A.EXCLUDED_KEYS,
-                tie_break=["row_order"])
+                position=["row_order"])
     latest = f.select(F.max("_snapshot_date")).scalar()
     staging = rx.rx_source(f.where(F.col("_snapshot_date") < latest), latest=False, **args)
     return rx.rx_upsert(staging, f, **args)
@@ -118,8 +117,18 @@ def q_seq_within_group(spark, sf_dir):
     return number_within_group(e, ["user_id"], "event_id", "seq")
 
 
+@register("rx_exact_duplicates")
+def q_rx_exact_duplicates(spark, sf_dir):
+    """Every error fill stands in the feed three times, at three positions."""
+    f = A.fills(spark, sf_dir)
+    again = f.where(F.col("Script_Status") == "error")
+    for k in (1, 2):
+        f = f.unionByName(again.withColumn("row_order", F.col("row_order") + k * A.COPY_OFFSET))
+    return rx.rx_source(f, base_amount=A.BASE_AMOUNT, statuses=A.RX_STATUSES, excluded_keys=A.EXCLUDED_KEYS, position=["row_order"])
+
+
 @register("rx_batch_source")
 def q_rx_batch_source(spark, sf_dir):
     f = A.fills(spark, sf_dir)
     return rx.rx_source(f, base_amount=A.BASE_AMOUNT, statuses=A.RX_STATUSES, excluded_keys=A.EXCLUDED_KEYS,
-                        tie_break=["row_order"], latest=False, per_snapshot=True)
+                        position=["row_order"], latest=False, per_snapshot=True)

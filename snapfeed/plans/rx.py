@@ -39,12 +39,14 @@ def derive_rx_columns(df: DataFrame, base_amount: float, status_detail: str = "C
 
 def rx_source(snapshots: DataFrame, *, base_amount: float, statuses: list[str],
               excluded_keys: list[tuple] = (), status_col: str = "Script_Status",
-              tie_break: list[str] = (), latest: bool = True, per_snapshot: bool = False,
+              position: list[str] = (), latest: bool = True, per_snapshot: bool = False,
               snapshot_col: str = SNAPSHOT_COL) -> DataFrame:
-    """The MERGE source: one row per key with ``dup_count``.
+    """The MERGE source: one row per key with ``dup_count``, the number of its
+    different rows.
 
-    ``tie_break`` columns (ascending) make the winner among equal dispense
-    dates deterministic. ``per_snapshot`` (with ``latest=False``) gives what
+    ``position`` columns (where a row stood) are left out when exact duplicates
+    are removed; ascending, they make the winner among equal dispense dates
+    deterministic. ``per_snapshot`` (with ``latest=False``) gives what
     merging each snapshot in date order would leave: per key, the row and
     count of its newest snapshot.
     """
@@ -52,8 +54,8 @@ def rx_source(snapshots: DataFrame, *, base_amount: float, statuses: list[str],
     df = derive_rx_columns(df, base_amount)
     df = exclude_keys(df, RX_KEYS, list(excluded_keys), drop_null_keys=True)
     df = in_list(df, status_col, statuses)
-    df = distinct_rows(df)
-    order = [f"{DISPENSE} desc"] + list(tie_break)
+    df = distinct_rows(df, list(position))
+    order = [f"{DISPENSE} desc"] + list(position)
     if not per_snapshot:
         return dedup_latest(df, RX_KEYS, order, count_col="dup_count")
     per_day = dedup_latest(df, RX_KEYS + [snapshot_col], order, count_col="dup_count")
@@ -64,8 +66,15 @@ def rx_source(snapshots: DataFrame, *, base_amount: float, statuses: list[str],
 DISPENSE_MONTH = "_dispense_month"
 
 
-def with_dispense_month(df: DataFrame) -> DataFrame:
-    return df.withColumn(DISPENSE_MONTH, F.trunc(F.col(DISPENSE_C), "month"))
+# Rows without a dispense date are spread over this many partitions by their key,
+# as they would otherwise be one partition that every batch rewrites.
+UNDISPENSED_PARTS = 64
+
+
+def with_dispense_month(df: DataFrame, undispensed_parts: int = UNDISPENSED_PARTS) -> DataFrame:
+    part = F.pmod(F.xxhash64(PATIENT, RX), F.lit(undispensed_parts)).cast("string")
+    month = F.when(F.col(DISPENSE_C) == F.lit(NO_DATE), F.concat(F.lit("none-"), part)).otherwise(F.date_format(DISPENSE_C, "yyyy-MM"))
+    return df.withColumn(DISPENSE_MONTH, month)
 
 
 def rx_upsert(target: DataFrame, snapshots: DataFrame, **source_args) -> DataFrame:

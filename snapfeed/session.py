@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,17 +39,18 @@ def get_session(master: str | None = None, app: str = "snapfeed",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's shared checkpoint folder.
+    """The cluster's shared checkpoint folder, named by ``spark.checkpoint.dir``.
 
-    The folder named by ``spark.checkpoint.dir`` wins. Only when nothing is set
-    (local tests) do we create one of our own.
-    """
+    A local session without one (tests) gets a temporary folder; on a cluster
+    that would be one machine's disk, so there it is an error."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="snapfeed-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -59,6 +62,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return base.rstrip("/") + "/" + name
 
 
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet below the shared checkpoint folder and read it
+    back: what follows reads only the columns it needs, and nothing above runs
+    again. The folder is removed when the application ends."""
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint into the shared folder (never a local checkpoint)."""
     ensure_checkpoint_dir(df.sparkSession)
@@ -73,18 +88,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-def spread(df: DataFrame, min_partitions: int | None = None, force: bool = False) -> DataFrame:
-    """Round-robin ``df`` over ``min_partitions`` tasks (default: the cluster's
-    parallelism) when its scan yields fewer, e.g. one daily multi-line CSV (a
-    single split) ahead of CPU-heavy cleaning. A scan that is already split
-    wider is left alone, so a large input is never narrowed.
-
-    Call it on the scan side (before any shuffle): the partition count of such
-    a plan comes from planning alone (file splits), with nothing executed and
-    one call to the JVM whatever the number of files. A caller that knows its
-    input is small (a micro-batch of a few files) passes ``force``.
-    Order-carrying columns must be captured before this call."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if force or df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+def spread(df: DataFrame, partitions: int | None) -> DataFrame:
+    """Round-robin ``df`` over ``partitions`` tasks (None: as it is), e.g. one daily
+    multi-line CSV, a single split, ahead of CPU-heavy cleaning. Columns that
+    carry an order must be captured before this call."""
+    return df.repartition(partitions) if partitions else df

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapfeed.functions.names import scan_file_name
-from snapfeed.session import cut_lineage
+from snapfeed.session import materialise
 
 # Cell texts a pandas CSV read treats as missing (besides empty).
 NA_LITERALS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
@@ -18,6 +18,7 @@ NA_LITERALS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-n
 OVER_COL = "_over"
 CORRUPT_COL = "_corrupt"
 BAD_COL = "_bad"
+TEXT_COL = "_text"
 
 
 def header_columns(spark: SparkSession, path: str, sep: str = ",") -> list[str]:
@@ -54,6 +55,23 @@ def too_long(df: DataFrame) -> Column:
     return F.col(CORRUPT_COL).isNull() | F.col(OVER_COL).isNotNull()
 
 
+def fail_long_rows(raw: DataFrame) -> DataFrame:
+    """Refuse rows with more cells than the header. A filter predicate is always
+    evaluated (a projected check column would be pruned)."""
+    return raw.where(F.when(too_long(raw), F.raise_error(
+        F.concat(F.lit("CSV row longer than header: "), F.coalesce(F.col(CORRUPT_COL), F.col(OVER_COL)))))
+        .otherwise(F.lit(True)))
+
+
+def keep_filled_rows(raw: DataFrame, columns: list[str], na_literals=NA_LITERALS) -> DataFrame:
+    """Drop rows whose cells are all missing. Written on the raw cells (before the
+    literal mapping), so the optimizer does not carry it through 34 aliased CASE
+    expressions when the result is later joined with itself."""
+    lits = list(na_literals)
+    missing = [F.col(c).isNull() | F.col(c).isin(lits) for c in columns]
+    return raw.where(~reduce(lambda a, b: a & b, missing))
+
+
 def read_csv(spark: SparkSession, path: str, columns: list[str] | None = None,
              quoted_newlines: bool = True, sep: str = ",", na_literals=NA_LITERALS,
              fail_on_long_rows: bool = True, file_order: bool = False) -> DataFrame:
@@ -69,17 +87,9 @@ def read_csv(spark: SparkSession, path: str, columns: list[str] | None = None,
     if file_order:
         raw = with_file_order(raw)
     if fail_on_long_rows:
-        # A filter predicate is always evaluated (a projected check column would be pruned).
-        raw = raw.where(F.when(too_long(raw), F.raise_error(
-            F.concat(F.lit("CSV row longer than header: "), F.coalesce(F.col(CORRUPT_COL), F.col(OVER_COL)))))
-            .otherwise(F.lit(True)))
+        raw = fail_long_rows(raw)
     order_cols = [SOURCE_FILE, SPLIT_START, ROW_IN_SPLIT] if file_order else []
-    lits = list(na_literals)
-    # The all-empty test is written on the raw cells (before the literal
-    # mapping), so the optimizer does not carry it through 34 aliased CASE
-    # expressions when the result is later joined with itself.
-    missing = [F.col(c).isNull() | F.col(c).isin(lits) for c in columns]
-    kept = raw.where(~reduce(lambda a, b: a & b, missing))
+    kept = keep_filled_rows(raw, columns, na_literals)
     return na_to_null(kept.select(*columns, *order_cols), tuple(na_literals), cols=columns)
 
 
@@ -96,20 +106,22 @@ def type_text(df: DataFrame, schema: T.StructType) -> tuple[list[Column], Column
     return typed, any_failed
 
 
-def flag_bad_records(df: DataFrame, schema: T.StructType, extra_bad: Column | None = None) -> DataFrame:
+def flag_bad_records(df: DataFrame, schema: T.StructType, extra_bad: Column | None = None, text: Column | None = None) -> DataFrame:
     """Typed columns plus ``_bad``: a cell failed to convert (or ``extra_bad``)."""
     typed, failed = type_text(df, schema)
     bad = failed if extra_bad is None else (failed | extra_bad)
-    return df.select(*typed, bad.alias(BAD_COL))
+    return df.select(*typed, bad.alias(BAD_COL), *([] if text is None else [text]))
 
 
 def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType, skip_leading_rows: int = 1,
-                   quoted_newlines: bool = True, sep: str = ",") -> DataFrame:
-    """Typed CSV read with the ``_bad`` flag; jagged (short) rows are accepted."""
+                   quoted_newlines: bool = True, sep: str = ",", with_text: bool = False) -> DataFrame:
+    """Typed CSV read with the ``_bad`` flag; jagged (short) rows are accepted.
+    ``with_text`` adds the cells as read."""
     if skip_leading_rows not in (0, 1):
         raise ValueError("skip_leading_rows must be 0 or 1")
     raw = _raw_reader(spark, schema.fieldNames(), skip_leading_rows == 1, quoted_newlines, sep).csv(path)
-    return flag_bad_records(raw, schema, too_long(raw))
+    flagged = flag_bad_records(raw, schema, too_long(raw), F.struct(*raw.columns).alias(TEXT_COL) if with_text else None)
+    return flagged
 
 
 def infer_csv_schema(spark: SparkSession, path: str, header: bool = True, quoted_newlines: bool = True,
@@ -120,25 +132,30 @@ def infer_csv_schema(spark: SparkSession, path: str, header: bool = True, quoted
 
 
 def load_csv(spark: SparkSession, path: str, schema: T.StructType | None, target: str, mode: str = "append",
-             max_bad_records: int = 10, fmt: str = "parquet", **read_opts) -> int:
-    """Load a CSV into a table path, tolerating up to ``max_bad_records`` bad rows.
+             max_bad_records: int = 0, fmt: str = "parquet", reject_path: str | None = None, **read_opts) -> dict[str, int]:
+    """Load a CSV into a table path; returns {"rows": loaded, "bad": refused}.
 
-    ``schema=None`` detects the column types from the data first. The bad-row
-    count is one aggregate; above the limit nothing is written. Returns the
-    number of bad rows skipped.
+    More than ``max_bad_records`` bad rows fail the load and nothing is written.
+    Up to that many are written to ``reject_path`` as text (required for a limit
+    above 0), so no row is lost. ``schema=None`` detects the column types first.
     """
+    if max_bad_records and not reject_path:
+        raise ValueError("a limit of bad records needs a reject_path to keep them")
     if schema is None:
         schema = infer_csv_schema(spark, path, header=read_opts.get("skip_leading_rows", 1) == 1,
                                   quoted_newlines=read_opts.get("quoted_newlines", True),
                                   sep=read_opts.get("sep", ","))
-    # Parse once into the shared checkpoint folder: the count and the write
-    # read the same rows, and a lost executor costs no re-parse.
-    flagged = cut_lineage(read_csv_typed(spark, path, schema, **read_opts))
-    n_bad = flagged.where(F.col(BAD_COL)).count()
+    # Parse once into the shared scratch folder: the count and the writes read
+    # the same rows, and a lost executor costs no re-parse.
+    flagged = materialise(read_csv_typed(spark, path, schema, with_text=True, **read_opts), "typed")
+    counts = {r[BAD_COL]: r["count"] for r in flagged.groupBy(BAD_COL).count().collect()}
+    n_bad = counts.get(True, 0)
     if n_bad > max_bad_records:
         raise ValueError(f"{n_bad} bad records in {path} (limit {max_bad_records})")
-    flagged.where(~F.col(BAD_COL)).drop(BAD_COL).write.mode(mode).format(fmt).save(target)
-    return n_bad
+    flagged.where(~F.col(BAD_COL)).drop(BAD_COL, TEXT_COL).write.mode(mode).format(fmt).save(target)
+    if n_bad:
+        flagged.where(F.col(BAD_COL)).select(F.to_json(TEXT_COL).alias("cells")).write.mode(mode).format("text").save(reject_path)
+    return {"rows": counts.get(False, 0), "bad": n_bad}
 
 
 SOURCE_FILE = "_source_file"

@@ -4,7 +4,9 @@ appends, exports and a safe whole-table replacement."""
 from __future__ import annotations
 
 import datetime as _dt
+import time
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -76,9 +78,26 @@ def run_query(spark: SparkSession, sql: str, args: dict | None = None,
     return spark.sql(sql, args=args) if args else spark.sql(sql)
 
 
-def run_script(spark: SparkSession, script: str | list[str]) -> DataFrame | None:
+def affected_rows(result: DataFrame) -> int | None:
+    """Rows that a write statement run by ``spark.sql`` wrote, from its own plan
+    (nothing runs again); None for statements that write no rows."""
+    plan = result._jdf.queryExecution().executedPlan()
+    if plan.getClass().getSimpleName() != "CommandResultExec":
+        return None
+    ran = plan.commandPhysicalPlan()
+    if ran.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+        ran = ran.executedPlan()
+    if ran.getClass().getSimpleName() == "ResultQueryStageExec":
+        ran = ran.plan()
+    metric = ran.metrics().get("numOutputRows")
+    return int(metric.get().value()) if metric.isDefined() else None
+
+
+def run_script(spark: SparkSession, script: str | list[str], counts: list | None = None) -> DataFrame | None:
     """Run statements in order. A list runs statement by statement; a string is
-    run as one SQL script (``BEGIN ... END``). Returns the last result."""
+    run as one SQL script (``BEGIN ... END``). Returns the last result.
+    ``counts``, for a list of statements, receives the affected rows of each
+    (None where a statement writes none)."""
     if isinstance(script, str):
         body = script.strip().rstrip(";")
         if not body.upper().startswith("BEGIN"):
@@ -87,12 +106,14 @@ def run_script(spark: SparkSession, script: str | list[str]) -> DataFrame | None
     result = None
     for stmt in script:
         result = spark.sql(stmt)
+        if counts is not None:
+            counts.append(affected_rows(result))
     return result
 
 
-def append_query(spark: SparkSession, sql: str, table: str) -> None:
-    """Append a query's rows to a table, matching columns by name."""
-    spark.sql(f"INSERT INTO {table} BY NAME {sql}")
+def append_query(spark: SparkSession, sql: str, table: str) -> int | None:
+    """Append a query's rows to a table, matching columns by name; returns how many."""
+    return affected_rows(spark.sql(f"INSERT INTO {table} BY NAME {sql}"))
 
 
 def appended(target: DataFrame, rows: DataFrame) -> DataFrame:
@@ -110,6 +131,12 @@ def export_csv(df: DataFrame, base_dir: str, prefix: str, day: _dt.date) -> str:
     return path
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists; any other failure (permission, network) is raised."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def _absolute(root: str) -> str:
     """Table and partition locations must be absolute paths or URIs: a relative
     one would be resolved differently for tables and for partitions."""
@@ -118,28 +145,41 @@ def _absolute(root: str) -> str:
     return root.rstrip("/")
 
 
-def replace_table(spark: SparkSession, df: DataFrame, table: str, base_location: str) -> str:
-    """Write ``df`` to a fresh location and repoint ``table`` at it.
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def _location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'").collect()
+    return rows[0]["data_type"]
+
+
+def replace_table(spark: SparkSession, df: DataFrame, table: str, base_location: str, keep_versions: int = 1) -> str:
+    """Write ``df`` to a fresh location and repoint ``table`` at it, in one catalog
+    change: a reader sees the old or the new content.
 
     ``df`` may read ``table`` itself (a MERGE result): the old files are never
-    overwritten while being read.
+    overwritten while being read. Of the earlier versions below
+    ``base_location`` the newest ``keep_versions`` stay (for readers that have
+    begun); older ones are deleted.
     """
-    location = f"{_absolute(base_location)}/v-{uuid.uuid4().hex}"
+    root = _absolute(base_location)
+    location = f"{root}/v-{time.time_ns():020d}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(location)
     if spark.catalog.tableExists(table):
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
         spark.catalog.refreshTable(table)
     else:
         spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{location}'")
+    fs = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    listed = fs.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(fs)
+    old = sorted(x.getPath().toString() for x in listed if x.getPath().getName().startswith("v-"))[:-1]
+    for path in old[:max(0, len(old) - keep_versions)]:
+        _delete(spark, path)
     return location
 
 
-def _partition_literal(value) -> str:
-    if isinstance(value, (int, float)) and not isinstance(value, bool):
-        return str(value)
-    return "'" + str(value).replace("'", "''") + "'"
-
-
 def upsert_partitions(spark: SparkSession, table: str, source: DataFrame, keys: list[str], partition_col: str,
                       root: str, **merge_args) -> list:
     """MERGE ``source`` into a table partitioned by ``partition_col``, rewriting
@@ -147,36 +187,46 @@ def upsert_partitions(spark: SparkSession, table: str, source: DataFrame, keys:
 
     ``partition_col`` must be a function of the keys (e.g. the month of a key
     date), so a key never changes partition and the untouched partitions stay
-    correct. The touched partitions are read with partition pruning, merged,
-    written to a fresh location and swapped in one by one
-    (``ALTER TABLE … PARTITION … SET LOCATION`` / ``ADD PARTITION``): years of
-    untouched history are neither read nor rewritten. Only the list of touched
-    partition values reaches the driver (bounded by the table's partition
-    count). Returns that list.
+    correct. ``table`` is a view on the current version, a partitioned table of
+    which every version lists all partitions: untouched ones at their old place,
+    touched ones newly written. Replacing the view is one catalog change, so a
+    reader never sees some partitions swapped and others not; a crash before it
+    leaves the old version. What reaches the driver is catalog metadata: the
+    values of the touched and existing partitions. Returns the touched ones as
+    text.
     """
     from snapfeed.operators.merge import merge_upsert
 
-    touched = sorted(r[0] for r in source.select(partition_col).distinct().collect())
-    if any(v is None for v in touched):
-        raise ValueError(f"{partition_col} must not be NULL")
     root = _absolute(root)
-    location = f"{root}/v-{uuid.uuid4().hex}"
-    if not spark.catalog.tableExists(table):
-        ensure_table(spark, table, source.schema, partition_col=partition_col, location=f"{root}/base")
-    if not touched:
-        return touched
-    current = spark.table(table)
-    target = current.where(current[partition_col].isin(touched))
-    merged = merge_upsert(target, source.select(*current.columns), keys, **merge_args)
+    if source.where(source[partition_col].isNull()).limit(1).count():
+        raise ValueError(f"{partition_col} must not be NULL")
+    version = f"{table}__v{time.time_ns():020d}"
+    location = f"{root}/{version.rsplit('.')[-1]}"
+    exists = spark.catalog.tableExists(table)
+    before = spark.sql(f"SHOW TBLPROPERTIES {table}").where("key = 'version_table'").collect()[0]["value"] if exists else None
+    touched_rows = source.select(partition_col).distinct()
+    if exists:
+        current = spark.table(before)
+        target = current.join(touched_rows, partition_col, "left_semi").select(*current.columns)
+        merged = merge_upsert(target, source.select(*current.columns), keys, **merge_args)
+    else:
+        merged = source
+    merged = merged.select(*[c for c in merged.columns if c != partition_col], partition_col)
     merged.write.partitionBy(partition_col).parquet(location)
-    existing = {row[0] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()}
-    for v in touched:
-        spec = f"{partition_col}={v}"
-        path = f"{location}/{spec}"
-        clause = f"PARTITION ({partition_col} = {_partition_literal(v)})"
-        if spec in existing:
-            spark.sql(f"ALTER TABLE {table} {clause} SET LOCATION '{path}'")
-        else:
-            spark.sql(f"ALTER TABLE {table} ADD {clause} LOCATION '{path}'")
-    spark.catalog.refreshTable(table)
-    return touched
+    spark.sql(f"CREATE TABLE {version} ({ddl_columns(merged.schema)}) USING parquet PARTITIONED BY (`{partition_col}`) LOCATION '{location}'")
+    spark.sql(f"MSCK REPAIR TABLE {version}")
+    touched = {r[0] for r in spark.sql(f"SHOW PARTITIONS {version}").collect()}
+    if exists:
+        for spec in {r[0] for r in spark.sql(f"SHOW PARTITIONS {before}").collect()} - touched:
+            value = unquote(spec.partition("=")[2])
+            clause = f"PARTITION (`{partition_col}` = {_text_literal(value)})"
+            place = spark.sql(f"DESCRIBE FORMATTED {before} {clause}").where("col_name = 'Location'").collect()[0]["data_type"]
+            spark.sql(f"ALTER TABLE {version} ADD {clause} LOCATION '{place}'")
+    spark.sql(f"CREATE OR REPLACE VIEW {table} TBLPROPERTIES ('version_table' = '{version}') AS SELECT * FROM {version}")
+    if before:
+        spark.sql(f"DROP TABLE {before}")  # the metadata only: its files belong to later versions too
+    return sorted(unquote(x.partition("=")[2]) for x in touched)
+
+
+def _text_literal(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"

@@ -67,3 +67,9 @@ def test_words_property(spark, numbers):
     assert got == [py_words(a) for a in answers]
     dec = [r[0] for r in df.select(AN.decode_daily("answer", F.lit(60))).collect()]
     assert dec == [py_decode(a, 60, DAILY) for a in answers]
+
+
+def test_final_newline_is_no_digit(spark):
+    from snapfeed.functions import answers as AN
+    df = spark.createDataFrame([("5\n", 12), ("5", 12), ("\n5", 12)], "answer string, question_id int")
+    assert [r[0] for r in df.select(AN.decode_baseline("answer", "question_id")).collect()] == ["5\n", "1, 4", "\n5"]

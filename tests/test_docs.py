@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from snapfeed.operators import docs as D
@@ -93,3 +94,31 @@ def test_read_ordered_hot_value_is_split_and_ordered(spark):
     assert [r["n"] for r in rows] == sorted(r["n"] for r in rows)
     hot = [r["key"] for r in rows if r["n"] == 5]
     assert hot == sorted(hot)
+
+
+def test_upsert_null_seq_and_missing_order(spark):
+    c = spark.createDataFrame([("a", 1, "x"), (None, 2, "y")], "key string, n int, note string")
+    edits = spark.createDataFrame([("a", 5, None), (None, 9, 1), (None, 8, 2)], "key string, n int, seq int")
+    got = sorted((tuple(r) for r in D.docs_upsert(c, edits, seq="seq").collect()), key=str)
+    assert got == [("a", 5, "x"), (None, 2, "y")]  # a lone edit without seq counts; edits without key don't
+    later = spark.createDataFrame([("a", 5, None), ("a", 6, 1)], "key string, n int, seq int")
+    assert {r["n"] for r in D.docs_upsert(c, later, seq="seq").where("key = 'a'").collect()} == {6}
+    with pytest.raises(Exception, match="several edits without an order"):
+        D.docs_upsert(c, later.drop("seq")).collect()
+
+
+def test_read_where_names(spark):
+    c = spark.createDataFrame([("a", [1, 2]), ("b", [3]), ("c", None)], "key string, t array<int>")
+    for op in ("array-contains", "array_contains"):
+        assert [r["key"] for r in D.read_where(c, "t", op, 3).collect()] == ["b"]
+    for op in ("array-contains-any", "array_contains_any"):
+        assert sorted(r["key"] for r in D.read_where(c, "t", op, [1, 3]).collect()) == ["a", "b"]
+
+
+def test_array_edits_have_no_nested_lookup_for_adds(spark):
+    c = spark.createDataFrame([("a", ["x", "x", None])], "key string, tags array<string>")
+    e = spark.createDataFrame([("a", ["y", None, "x"], 1)], "key string, values array<string>, seq int")
+    added = D.array_add(c, e, "tags", seq="seq")
+    assert added.first()["tags"] == ["x", "x", None, "y"]
+    assert "exists(" not in added._jdf.queryExecution().optimizedPlan().toString()
+    assert D.array_remove(c, e.withColumn("values", F.array(F.lit("y"), F.lit(None).cast("string"))), "tags").first()["tags"] == ["x", "x"]

@@ -152,7 +152,7 @@ def test_results_independent_of_input_partitioning(spark):
     from snapfeed.plans import rx as RX
     f = A.fills(spark, SF_SMALL)
     args = dict(base_amount=A.BASE_AMOUNT, statuses=A.RX_STATUSES, excluded_keys=A.EXCLUDED_KEYS,
-                tie_break=["row_order"])
+                position=["row_order"])
 
     def content(df):
         return sorted(tuple(str(v) for v in r) for r in df.collect())

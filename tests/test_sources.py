@@ -1,3 +1,4 @@
+import json
 import os
 
 import pytest
@@ -46,10 +47,16 @@ def test_typed_csv_flags_bad_and_long_rows(spark, tmp_dir):
 def test_load_csv_limit(spark, tmp_dir):
     p = write(os.path.join(tmp_dir, "d.csv"), "id,amt,note\n1,2.5,a\nx,1,b\ny,1,c\n")
     out = os.path.join(tmp_dir, "out")
-    assert CSV.load_csv(spark, p, SCHEMA, out, max_bad_records=2) == 2
+    rejects = os.path.join(tmp_dir, "rejects")
+    assert CSV.load_csv(spark, p, SCHEMA, out, max_bad_records=2, reject_path=rejects) == {"rows": 1, "bad": 2}
     assert spark.read.parquet(out).count() == 1
-    with pytest.raises(ValueError):
-        CSV.load_csv(spark, p, SCHEMA, os.path.join(tmp_dir, "out2"), max_bad_records=1)
+    kept = sorted(json.loads(r[0])["_corrupt"] for r in spark.read.text(rejects).collect())
+    assert kept == ["x,1,b", "y,1,c"]  # refused rows are kept as read
+    for limit, path in ((1, rejects), (0, None)):
+        with pytest.raises(ValueError):
+            CSV.load_csv(spark, p, SCHEMA, os.path.join(tmp_dir, "out2"), max_bad_records=limit, reject_path=path)
+    with pytest.raises(ValueError, match="reject_path"):
+        CSV.load_csv(spark, p, SCHEMA, out, max_bad_records=2)
 
 
 def test_file_order_columns(spark, tmp_dir):
@@ -66,6 +73,15 @@ def test_json_rows(spark):
     assert [r["id"] for r in bad.collect()] == [2]
 
 
+def test_json_rows_without_content_or_with_unknown_fields(spark):
+    df = spark.createDataFrame([(1, None), (2, " "), (3, "[1]"), (4, '{"k": 1, "z": 2, "y": {}}'), (5, "{}"), (6, '{"k": "x"}'), (7, "7")], "id int, v string")
+    good, bad = split_json_rows(df, "v", T.StructType([T.StructField("k", T.LongType())]))
+    assert [tuple(r) for r in good.collect()] == [(5, None)]
+    errors = {r["id"]: r["_error"] for r in bad.collect()}
+    assert set(errors) == {1, 2, 3, 4, 6, 7}
+    assert errors[1] == errors[2] == "no content" and errors[4] == "unknown fields: z, y"
+
+
 def test_header_normalization():
     assert normalize_header("PAT COPAY/COINS") == "PAT_COPAY_COINS"
     assert normalize_header("SCA _ APPROVED DATE") == "SCA__APPROVED_DATE"
@@ -97,9 +113,11 @@ def test_tables_ddl_append_script_replace(spark, tmp_dir):
                            T.StructField("d", T.DateType())])
     assert ensure_table(spark, "t_stage", schema, partition_col="d", cluster_cols=["k"], buckets=4)
     assert not ensure_table(spark, "t_stage", schema, partition_col="d")
-    append_query(spark, "SELECT 'x' AS v, DATE'2024-01-01' AS d, 1L AS k", "t_stage")
+    assert append_query(spark, "SELECT 'x' AS v, DATE'2024-01-01' AS d, 1L AS k", "t_stage") == 1
     assert run_query(spark, "SELECT count(*) FROM t_stage WHERE k = :k", args={"k": 1}).first()[0] == 1
-    run_script(spark, ["INSERT INTO t_stage BY NAME SELECT 2L AS k, 'y' AS v, DATE'2024-01-02' AS d"])
+    counts = []
+    run_script(spark, ["INSERT INTO t_stage BY NAME SELECT 2L AS k, 'y' AS v, DATE'2024-01-02' AS d", "SELECT 1"], counts)
+    assert counts == [1, None]
     assert spark.table("t_stage").count() == 2
     res = run_script(spark, "SELECT 1; SELECT 2 AS two").first()[0]
     assert res == 2
@@ -114,9 +132,9 @@ def test_tables_ddl_append_script_replace(spark, tmp_dir):
 
 def test_append_json_rows(spark):
     spark.sql("CREATE TABLE IF NOT EXISTS t_json (k BIGINT, name STRING) USING parquet")
-    df = spark.createDataFrame([('{"k": 1, "name": "a"}',), ("{oops",), ('{"name": "b", "k": 2}',)], "v string")
+    df = spark.createDataFrame([('{"k": 1, "name": "a"}',), ("{oops",), ('{"name": "b", "k": 2}',), (None,), ('{"k": 3, "extra": 1}',)], "v string")
     bad = append_json_rows(df, "v", "t_json")
-    assert [r[0] for r in bad.collect()] == ["{oops"]
+    assert sorted(r["v"] for r in bad.collect()) == ["", "{oops", '{"k": 3, "extra": 1}'][:1] + sorted(["{oops", '{"k": 3, "extra": 1}'])
     assert sorted(tuple(r) for r in spark.table("t_json").collect()) == [(1, "a"), (2, "b")]
 
 
@@ -131,7 +149,7 @@ def test_scan_file_name_is_decoded(spark, tmp_dir):
 def test_load_csv_detects_schema(spark, tmp_dir):
     p = write(os.path.join(tmp_dir, "auto.csv"), "id,amt,note\n1,2.5,a\n2,3.5,b\n")
     out = os.path.join(tmp_dir, "auto_out")
-    assert CSV.load_csv(spark, p, None, out) == 0
+    assert CSV.load_csv(spark, p, None, out) == {"rows": 2, "bad": 0}
     df = spark.read.parquet(out)
     assert dict(df.dtypes) == {"id": "int", "amt": "double", "note": "string"}
 
@@ -147,10 +165,8 @@ def test_read_csv_with_file_order_feeds_clean_rx(spark, tmp_dir):
     p = write(os.path.join(tmp_dir, "RX_FEED_2024-01-03.csv"), header + "\n" + "\n".join(rows) + "\n")
     raw = CSV.read_csv(spark, p, file_order=True)
     carry = [CSV.SOURCE_FILE, CSV.SPLIT_START, CSV.ROW_IN_SPLIT]
-    # min_partitions=1: no spreading shuffle, so the whole read + clean + refill
-    # plan is optimized as one piece (this once exhausted the optimizer).
     out = clean_rx(raw, "2024-01-03", ndc_value=5, placeholder="PH", order_col=CSV.ROW_IN_SPLIT,
-                   bucket_col=CSV.SPLIT_START, group_extra=[CSV.SOURCE_FILE], carry=carry, min_partitions=1)
+                   bucket_col=CSV.SPLIT_START, group_extra=[CSV.SOURCE_FILE], carry=carry)
     assert len(out._jdf.queryExecution().optimizedPlan().toString()) < 200_000
     got = sorted((r["Rx_Number"], r["modified_serial_id"]) for r in out.collect())
     assert got == [(0, "NI-1"), (1, "NI-1refill1"), (2, "NI-1refill2"), (3, "NM-2")]

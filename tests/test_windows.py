@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -36,8 +38,9 @@ def test_dedup_text_orders(spark):
         assert rows_of(dedup_latest(df, ["k"], ["s", "i desc"], method=method), ["k", "i"]) == [(1, 3), (2, 5)]
         # DESC text (max form), NULLS LAST
         assert rows_of(dedup_latest(df, ["k"], ["s desc", "i"], method=method), ["k", "i"]) == [(1, 1), (2, 4)]
-    both = dedup_latest(df, ["k"], ["s", "s desc"])  # text both ways: window fallback
-    assert both.count() == 2
+    with pytest.raises(ValueError, match="method='window'"):  # text both ways: never a silent window
+        dedup_latest(df, ["k"], ["s", "s desc"])
+    assert dedup_latest(df, ["k"], ["s", "s desc"], method="window").count() == 2
 
 
 def test_dup_count_null_keys(spark):
