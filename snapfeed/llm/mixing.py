@@ -41,7 +41,7 @@ SHARE = 1.5
 MOST_EPOCHS = 2
 BLOCK = 128
 SHARDS = 64
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 2_000
 SEED = 20_26
 
 
