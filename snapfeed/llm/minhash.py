@@ -136,7 +136,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     sigs = classes.select("rep", "signature").dropDuplicates(["rep"])
 
     posted = sigs.select("rep", F.posexplode("signature").alias("k", "value"))
-    posted = posted.select("rep", (F.shiftleft(F.col("k").cast("long"), 32) + F.col("value")).alias("token"))
+    posted = posted.select("rep", (F.shiftleft(F.col("k").cast("long"), 32) + F.col("value").cast("long").bitwiseAND(0xFFFFFFFF)).alias("token"))
     shared = posted.groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
     lists = posted.join(shared, "token").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("tokens"))
     lists = lists.where(F.size("tokens") >= MATCHES)
@@ -162,43 +162,42 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return rows.withColumn("kept", F.expr("doc_id is null or doc_id = component_id"))
 
 
-def _meet(blocks: int):
+def _meet(table: pa.Table) -> pa.Table:
     """Pairs of one posting list (one block of it against another) that are in
     different components and have enough equal coordinates, as lists for each pair of
     document blocks. Of the lists where a pair meets, that of its first common
     prefix coordinate reports it."""
-
-    def run(table: pa.Table) -> pa.Table:
-        rep, c, side = (table.column(x).to_numpy() for x in ("rep", "c", "side"))
-        sig = np.stack([np.frombuffer(x, dtype=np.int32) for x in table.column("sig").to_pylist()])
-        mask = table.column("mask").to_numpy().view(U64)[:, None] >> np.arange(COORDINATES, dtype=U64) & U64(1) > 0
-        k = int(table.column("token")[0].as_py()) >> 32 & COORDINATES - 1
-        left = np.flatnonzero(side != 1)
-        right = np.flatnonzero(side != 0)
-        found = []
-        for i in range(0, len(left), 64):
-            rows = left[i:i + 64]
-            able = c[rows][:, None] != c[right][None]
-            if len(rows) and (side == 2).all():
-                able &= rep[rows][:, None] < rep[right][None]
-            same = np.zeros(able.shape, dtype=np.uint8)
-            for j in range(COORDINATES):
-                same += sig[rows, j][:, None] == sig[right, j][None]
-            x, y = np.nonzero(able & (same >= MATCHES))
-            x, y = rows[x], right[y]
-            common = (sig[x] == sig[y]) & mask[x] & mask[y]
-            here = common.argmax(1) == k if len(x) else np.zeros(0, dtype=bool)
-            found.append((x[here], y[here]))
-        x, y = (np.concatenate([f[n] for f in found]) for n in (0, 1))
-        u, v = np.maximum(rep[x], rep[y]), np.minimum(rep[x], rep[y])
-        bu, bv = ((mixed(z.astype(U64)) % U64(blocks)).astype(np.int64) for z in (u, v))
-        order = np.lexsort((bv, bu))
-        u, v, key = u[order], v[order], bu[order] * blocks + bv[order]
-        keys, starts = np.unique(key, return_index=True)
-        cut = np.append(starts, len(key))
-        lists = lambda z: pa.array([z[cut[i]:cut[i + 1]] for i in range(len(keys))], pa.list_(pa.int64()))
-        return pa.table({"bu": pa.array(keys // blocks), "bv": pa.array(keys % blocks), "us": lists(u), "vs": lists(v)})
-    return run
+    rep, c, side = (table.column(x).to_numpy() for x in ("rep", "c", "side"))
+    sig = np.stack([np.frombuffer(x, dtype=np.int32) for x in table.column("sig").to_pylist()])
+    mask = table.column("mask").to_numpy().view(U64)[:, None] >> np.arange(COORDINATES, dtype=U64) & U64(1) > 0
+    k = int(table.column("token")[0].as_py()) >> 32 & COORDINATES - 1
+    left = np.flatnonzero(side != 1)
+    right = np.flatnonzero(side != 0)
+    found = [(left[:0], left[:0])]
+    for i in range(0, len(left), 64):
+        rows = left[i:i + 64]
+        able = c[rows][:, None] != c[right][None]
+        if (side == 2).all():
+            able &= rep[rows][:, None] < rep[right][None]
+        same = np.zeros(able.shape, dtype=np.uint8)
+        for j in range(COORDINATES):
+            same += sig[rows, j][:, None] == sig[right, j][None]
+        x, y = np.nonzero(able & (same >= MATCHES))
+        x, y = rows[x], right[y]
+        common = (sig[x] == sig[y]) & mask[x] & mask[y]
+        here = common.argmax(1) == k if len(x) else np.zeros(0, dtype=bool)
+        found.append((x[here], y[here]))
+    x, y = (np.concatenate([f[n] for f in found]) for n in (0, 1))
+    u, v = np.maximum(rep[x], rep[y]), np.minimum(rep[x], rep[y])
+    block = table.column("block").to_numpy()
+    of_u = rep[x] > rep[y]
+    bu, bv = np.where(of_u, block[x], block[y]), np.where(of_u, block[y], block[x])
+    order = np.lexsort((bv, bu))
+    u, v, bu, bv = u[order], v[order], bu[order], bv[order]
+    starts = np.flatnonzero(np.append(True, (bu[1:] != bu[:-1]) | (bv[1:] != bv[:-1]))) if len(u) else np.zeros(0, dtype=np.int64)
+    cut = np.append(starts, len(u))
+    lists = lambda z: pa.array([z[cut[i]:cut[i + 1]] for i in range(len(starts))], pa.list_(pa.int64()))
+    return pa.table({"bu": pa.array(bu[starts], pa.int64()), "bv": pa.array(bv[starts], pa.int64()), "us": lists(u), "vs": lists(v)})
 
 
 def _confirm_lists(pairs: pa.Table, sets: pa.Table) -> pa.Table:
@@ -216,13 +215,12 @@ def _across(docs: DataFrame, sigs: DataFrame, prefix: DataFrame, member: DataFra
     packed = sigs.join(member.select("rep").distinct(), "rep", "left_semi").mapInArrow(_pack_signature, "rep bigint, sig binary")
     masks = prefix.groupBy("rep").agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftright(token, 32) & {COORDINATES - 1} as int))")).alias("mask"))
     described = stored(packed.join(masks, "rep"), "unjoined-signatures")
-    blocks = max(1, -(-described.count() // DOC_BLOCK))
-    rows = member.join(described, "rep").withColumn("parts", F.ceil(F.col("n") / LIST_BLOCK).cast("int"))
+    rows = member.join(described, "rep").join(_document_blocks(member), "rep").withColumn("parts", F.ceil(F.col("n") / LIST_BLOCK).cast("int"))
     rows = rows.withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
-    rows = rows.select("token", "rep", "c", "sig", "mask", "part", other)
+    rows = rows.select("token", "rep", "c", "sig", "mask", "block", "part", other)
     rows = rows.withColumns({"i": F.least("part", "other"), "j": F.greatest("part", "other"), "side": F.expr("cast(if(part = other, 2, if(part < other, 0, 1)) as int)")})
-    lists = rows.groupBy("token", "i", "j").applyInArrow(_meet(blocks), "bu bigint, bv bigint, us array<bigint>, vs array<bigint>")
+    lists = rows.groupBy("token", "i", "j").applyInArrow(_meet, "bu bigint, bv bigint, us array<bigint>, vs array<bigint>")
     lists = stored(lists, "meetings")
     need = lists.select("bu", "bv", F.explode(F.array_union("us", "vs")).alias("doc")).distinct()
     wanted = need.select(F.col("doc").alias("doc_id")).distinct()
@@ -232,6 +230,21 @@ def _across(docs: DataFrame, sigs: DataFrame, prefix: DataFrame, member: DataFra
     return stored(confirmed, "confirmed")
 
 
+def _document_blocks(member: DataFrame) -> DataFrame:
+    """(rep, block): blocks of about DOC_BLOCK documents that share posting lists, so
+    that the pairs of a group of copies lie in few pairs of blocks. A document's
+    label is the smallest one within two steps of shared lists; documents of one
+    label are cut by hash. The blocks decide only where a pair is confirmed."""
+    label = member.select("token", "rep", F.col("rep").alias("label"))
+    for _ in range(2):
+        lowest = label.groupBy("token").agg(F.min("label").alias("low"))
+        own = label.join(lowest, "token").groupBy("rep").agg(F.min("low").alias("label"))
+        label = stored(label.select("token", "rep").join(own, "rep"), "labels")
+    of = label.groupBy("rep").agg(F.min("label").alias("label"))
+    size = of.groupBy("label").agg(F.ceil(F.count("*") / DOC_BLOCK).alias("parts"))
+    return stored(of.join(size, "label").select("rep", F.xxhash64("label", F.pmod(F.xxhash64("rep"), F.col("parts"))).alias("block")), "blocks")
+
+
 def _pack_signature(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sigs = [np.array(x, dtype=np.int32).tobytes() for x in batch.column("signature").to_pylist()]

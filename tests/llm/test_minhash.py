@@ -38,6 +38,11 @@ def test_groups_of_near_copies(spark):
         for _ in range(rnd.randint(0, 4)):
             copy[rnd.randrange(len(copy))] = word()
         docs.append(" ".join(copy))
+    for i in range(90):  # many of them similar to some others only
+        copy = list(base)
+        for _ in range(rnd.randint(0, 14)):
+            copy[rnd.randrange(len(copy))] = word()
+        docs.append(" ".join(copy))
     for i in range(40):
         docs.append(" ".join([*(word() for _ in range(100)), *passage, *(word() for _ in range(100))]))
     chain = [word() for _ in range(200)]
