@@ -19,7 +19,7 @@ def test_headers_files_and_inheritance(spark):
 
 
 def test_whole_documents(spark):
-    from snapfeed.llm.registry import REGISTRY
+    from snapfeed.llm.queries import REGISTRY
     from snapfeed.session import read_table
 
     sf = "/root/testdata/sf0.01"

@@ -1,5 +1,5 @@
 import corpus_pipeline
-from snapfeed.llm.registry import REGISTRY
+from snapfeed.llm.queries import REGISTRY
 
 from llm_cases import SF_SMALL
 

@@ -44,7 +44,7 @@ def test_whole_table(spark):
 def test_archives(spark, pages, tmp_dir, level):
     warc.register(spark)
     path = os.path.join(tmp_dir, f"level{level}")
-    warc.page_records(pages).write.format("warc").mode("append").option("level", level).option("roll_bytes", 5000).save(path)
+    warc.page_records(pages).write.format("warc").mode("append").option("level", level).option("roll_bytes", 500).save(path)
     files = [f for f in os.listdir(path) if f.endswith((".warc", ".warc.gz"))]
     assert len(files) > 1
     records = spark.read.format("warc").option("partition_bytes", 1000).load(path)

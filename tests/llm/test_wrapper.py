@@ -41,16 +41,16 @@ def test_simple_tree_matching():
 
 def test_constant_slots_go(spark):
     """Same-host pages without telling names: the slots that repeat are template."""
-    pages = []
+    pages, much = [], " and so on with more to tell" * 6  # template is a small part of a page
     for i in range(30):
-        pages.append((i, f"http://h.example/{i}", f"<body><div class=k1>Welcome to us</div><div class=k2><p>Story {i} begins<p>and goes on {i * 7}</div><div class=k3>Read our terms {i % 2}</div></body>"))
-        pages.append((100 + i, f"http://g.example/{i}", f"<article><p>Only {i}</p><div class=zz>Like this? Tell a friend</div><p>More of {i * 3}</p></article>"))
+        pages.append((i, f"http://h.example/{i}", f"<body><div class=k1>Welcome to us</div><div class=k2><p>Story {i} begins{much}<p>and goes on {i * 7}</div><div class=k3>Read our terms {i % 2}</div></body>"))
+        pages.append((100 + i, f"http://g.example/{i}", f"<article><p>Only {i}{much}</p><div class=zz>Like this? Tell a friend</div><p>More of {i * 3}</p></article>"))
     pages += [(200, None, "<p>alone"), (201, "http://one.example/", "<p>single page"), (202, "x", None), (202, "x", ""), (None, "http://h.example/x", "<div class=k2><p>odd")]
     df = spark.createDataFrame([(*p, "s") for p in pages], "page_id long, url string, html string, slot string")
     rows = wrapper.extract(df).collect()
     got = {r.page_id: r.text for r in rows}
     assert len(rows) == len(pages) and all(r.n_chars == len(r.text) for r in rows)
-    assert got[3] == "Story 3 begins\n\nand goes on 21" and got[104] == "Only 4\n\nMore of 12"
+    assert got[3] == f"Story 3 begins{much}\n\nand goes on 21" and got[104] == f"Only 4{much}\n\nMore of 12"
     assert got[200] == "alone" and got[201] == "single page" and got[202] == "" and got[None] == "odd"
     assert wrapper.extract(df.where("false")).count() == 0
 
