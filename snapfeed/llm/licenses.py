@@ -1,14 +1,27 @@
 """License scan: TF-IDF cosine to license templates, inherited down directories.
 
-Templates are short texts of known licenses. Words are runs of letters and
-digits (A-Z folded); a word's weight is its inverse document frequency among the
-templates, and a word that no template has weighs as the rarest. Every line of
-every whole text (a header or notice) and every whole text (a license file) is
-compared with every template by the cosine of sparse TF-IDF vectors, computed
-from the template words it has. The best line at ``HEADER`` or above gives a
-file its own license. A text at ``FILE`` or above as a whole is a license file
-of its directory; a file without an own license inherits from the nearest
-directory above it that has one.
+There are two sets of templates: ``TEMPLATES``, the short notices and headers that
+files carry, and the whole license texts of the folder ``license_texts``. Words
+are runs of letters and digits (A-Z folded); a word's weight is its inverse
+document frequency among the templates of its set, and a word that no template
+has weighs as the rarest. Passages are compared with templates by the cosine of
+sparse TF-IDF vectors, computed from the template words they have.
+
+* Headers: the passages are every line, and every window of as many consecutive
+  words as a notice has, from every word that the notice has too. A notice is found
+  wrapped over lines, inside a longer line or between sentences; comment markers
+  don't count (signs are no words, and the words of ``MARKERS`` are left out at
+  line starts). The best passage at ``HEADER`` or above gives a file its own
+  license. The opening that the BSD licenses share (``OPENING``) says "BSD" where
+  nothing else is found.
+* License files: whole texts, without lines that name a copyright holder, are
+  compared with notices and whole license texts. A
+  text at ``FILE`` or above is a license file of its directory; a file without an
+  own license inherits from the nearest directory above it that has one.
+
+Windows are first bounded from above: the dot product is a difference of running
+sums, and the squared length is at least the sum of squared weights. Only windows
+whose bound passes, best bounds first, are compared exactly.
 
 Inheritance is a join of paths: the distinct directories of the files, with each
 of their ancestors, meet the directories of license files, and the deepest
@@ -23,8 +36,10 @@ license by name; repeated rows are separate files; extra columns are ignored.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
+from importlib import resources
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +51,7 @@ from snapfeed.llm.common import FOLDED_WORD_BYTES, Block, slices, span_hashes, s
 HEADER = 0.75
 FILE = 0.75
 
-# The usual short notices of these licenses.
+# The usual short notices and headers of these licenses.
 TEMPLATES = [
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
@@ -56,7 +71,30 @@ TEMPLATES = [
     ("BSD-2-Clause", "Licensed under the BSD 2-Clause License."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("Apache-2.0", "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation."),
+    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License version 3 as published by the Free Software Foundation."),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    ("LGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("BSD-2-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\""),
+    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\""),
 ]
+OPENING = [("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met")]
+MARKERS = ["rem", "dnl", "c"]
+WINDOWS_AT_ONCE, WORDS_AT_ONCE = 4096, 1 << 19
+
+
+def license_texts() -> list[tuple[str, str]]:
+    """(name, whole text) of the folder ``license_texts``; read on the driver. The AGPL-3.0
+    is the GPL-3.0 with its own name in place of the GPL's."""
+    files = sorted((f for f in resources.files("snapfeed.llm").joinpath("license_texts").iterdir() if f.name.endswith(".txt")), key=lambda f: f.name)
+    texts = [(f.name.removesuffix(".txt"), f.read_text(encoding="utf-8")) for f in files]
+    gpl = dict(texts)["GPL-3.0"]
+    agpl = re.sub("GNU(\\s+)GENERAL PUBLIC LICENSE", r"GNU\1AFFERO GENERAL PUBLIC LICENSE", gpl)
+    return [*texts, ("AGPL-3.0", re.sub("GNU(\\s+)General(\\s+)Public(\\s+)License", r"GNU\1Affero General\2Public\3License", agpl))]
 
 GAPS = np.ones(256, dtype=bool)
 GAPS[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
@@ -68,6 +106,15 @@ def words_of(texts: list[str]) -> tuple[Block, np.ndarray]:
     return block, span_hashes(block.buf, WORD_TABLE, block.starts)
 
 
+def holder_lines(buf: np.ndarray, starts: np.ndarray, first: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """First words of lines that only name a holder: "Copyright" with a year or sign, "All rights"."""
+    copyright, c, everything, rights = words_of(["copyright c all rights"])[1]
+    begin = np.flatnonzero(first[:-1])
+    one, two, byte = hashes[begin], hashes[begin + 1], buf[starts[begin + 1]]
+    signed = (two == c) | (byte >= 128) | (byte >= 48) & (byte <= 57)
+    return begin[(one == copyright) & signed | (one == everything) & (two == rights)]
+
+
 class Templates:
     """Template vectors over the sorted template vocabulary."""
 
@@ -75,6 +122,7 @@ class Templates:
         self.names = [n for n, _ in templates]
         block, hashes = words_of([t for _, t in templates])
         each = [Counter(hashes[a:b].tolist()) for a, b in zip(block.first[:-1], block.first[1:], strict=True)]
+        self.lengths = block.counts
         seen = Counter(w for c in each for w in c)
         self.vocabulary = np.array(sorted(seen), dtype=np.uint64)
         n = len(templates)
@@ -115,18 +163,71 @@ class Templates:
         local = np.full(n, -1)
         local[able] = np.arange(len(able))
         take = local[at] >= 0
-        vectors = np.zeros((len(able), top))
-        vectors[local[at[take]], word[take]] = weight[take]
-        scores = vectors @ self.matrix / np.sqrt(square[able] + unknown[able])[:, None]
+        row, word, weight = local[at[take]], word[take], weight[take]
+        length = np.sqrt(square[able] + unknown[able])
+        scores = np.stack([np.bincount(row, weights=weight * self.matrix[word, j], minlength=len(able)) for j in range(len(self.names))], axis=1)
+        scores /= length[:, None]
         which[able], cosine[able] = scores.argmax(1), scores.max(1)
         return which, cosine
 
+    def windows(self, doc: np.ndarray, n: int, hashes: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+        """Best template and cosine of the windows of each of ``n`` documents, for those
+        that have a window at ``least`` or above (-1 and 0: none). ``doc``: of each word, ascending."""
+        which, cosine = np.full(n, -1), np.zeros(n)
+        place = np.searchsorted(self.vocabulary, hashes)
+        place[place == len(self.vocabulary)] = 0
+        known = self.vocabulary[place] == hashes
+        squares = np.concatenate([[0.0], np.cumsum(np.where(known, self.idf[place], self.unknown) ** 2)])
+        stop = np.searchsorted(doc, doc, side="right")
+        # running sums over known words only; ``before``: known words before a word
+        at, before = np.flatnonzero(known), np.concatenate([[0], np.cumsum(known)])
+        place = place[at]
+        found = []
+        for j, size in enumerate(self.lengths.tolist()):
+            value = (self.idf * self.matrix[:, j])[place]
+            dots = np.concatenate([[0.0], np.cumsum(value)])
+            start = np.flatnonzero(value)
+            begin = at[start]
+            end = np.minimum(begin + size, stop[begin])
+            dot, square = dots[before[end]] - dots[start], squares[end] - squares[begin]
+            take = np.flatnonzero(dot * dot >= (least * least - 1e-9) * square)
+            bound = np.minimum(dot[take] / np.sqrt(square[take]), 1)
+            found.append((begin[take], end[take], bound, np.full(len(take), j)))
+        begin, end, bound, of = (np.concatenate(f) for f in zip(*found, strict=True))
+        owner = doc[begin]
+        order = np.lexsort((begin, of, -bound, owner))
+        begin, end, bound, owner = begin[order], end[order], bound[order], owner[order]
+        few = 2
+        while len(begin):
+            # the best few bounds of each document, then more of what can still beat its best
+            few *= 2
+            rank = np.arange(len(owner)) - np.searchsorted(owner, owner)
+            now = np.flatnonzero(rank < few)[:WINDOWS_AT_ONCE]
+            now = now[:max(1, int(np.searchsorted(np.cumsum(end[now] - begin[now]), WORDS_AT_ONCE)))]
+            size = end[now] - begin[now]
+            group = np.repeat(np.arange(len(now)), size)
+            words = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(begin[now], size)
+            template, score = self.best(group, len(now), hashes[words])
+            score = np.round(score, 12)
+            best = np.lexsort((template, -score, owner[now]))
+            best = best[np.append(True, owner[now][best][1:] != owner[now][best][:-1])]
+            mine = owner[now][best]
+            better = (score[best] >= least) & (score[best] > cosine[mine])
+            which[mine[better]], cosine[mine[better]] = template[best][better], score[best][better]
+            left = np.ones(len(begin), dtype=bool)
+            left[now] = False
+            left &= bound > cosine[owner]
+            begin, end, bound, owner = begin[left], end[left], bound[left], owner[left]
+        return which, cosine
+
 
-def scan(files: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, keep: tuple[str, ...] = ("path",)) -> DataFrame:
-    """``keep`` columns and per file: own license (best line), its cosine, and the
-    license and cosine of the whole text."""
+def scan(files: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, keep: tuple[str, ...] = ("path",), whole: list[tuple[str, str]] | None = None) -> DataFrame:
+    """``keep`` columns and per file: own license (best line or window), its cosine, and
+    the license and cosine of the whole text. ``whole``: license texts (None: ``license_texts``)."""
     kinds = ", ".join(f"`{c}` {files.schema[c].dataType.simpleString()}" for c in keep)
-    known = Templates(templates)
+    known, opening = Templates(templates), Templates(OPENING)
+    texts = Templates([*templates, *OPENING, *(license_texts() if whole is None else whole)])
+    markers = words_of(MARKERS)[1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -143,11 +244,20 @@ def scan(files: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, keep: t
                 own = np.full(block.n, -1)
                 hits = np.flatnonzero((cosine >= HEADER) & (cosine == best[owner]))[::-1]
                 own[owner[hits]] = which[hits]
-                file_which, file_cosine = known.best(doc, block.n, hashes)
-                name = lambda i: known.names[i] if i >= 0 else None
+                first = np.append(True, lines[1:] != lines[:-1])[:len(lines)]
+                says = ~(first & np.isin(hashes, markers))
+                near, near_cosine = known.windows(doc[says], block.n, hashes[says], HEADER)
+                better = near_cosine > best
+                own[better], best[better] = near[better], near_cosine[better]
+                names = [known.names[i] if i >= 0 else None for i in own]
+                open_which, open_cosine = opening.windows(doc[says], block.n, hashes[says], HEADER)
+                for i in np.flatnonzero((own < 0) & (open_which >= 0)):
+                    names[i], best[i] = opening.names[open_which[i]], open_cosine[i]
+                told = ~np.isin(lines, lines[holder_lines(block.buf, block.starts, first, hashes)])
+                file_which, file_cosine = texts.best(doc[told], block.n, hashes[told])
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c) for c in keep), pa.array([name(i) for i in own], pa.string()), pa.array(best),
-                     pa.array([name(i) if c >= FILE else None for i, c in zip(file_which, file_cosine, strict=True)], pa.string()), pa.array(file_cosine)],
+                    [*(part.column(c) for c in keep), pa.array(names, pa.string()), pa.array(best),
+                     pa.array([texts.names[i] if c >= FILE else None for i, c in zip(file_which, file_cosine, strict=True)], pa.string()), pa.array(file_cosine)],
                     [*keep, "own_license", "cosine", "file_license", "file_cosine"])
 
     return files.select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, f"{kinds}, own_license string, cosine double, file_license string, file_cosine double")
