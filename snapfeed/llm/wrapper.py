@@ -1,11 +1,12 @@
 """Main text of web pages by wrapper induction.
 
-1. Every page is parsed once into blocks (runs of text between block elements)
+1. Every page is parsed once into pieces (runs of text between block elements)
    and a skeleton: the tree of its block elements with equal siblings folded into
-   one repeating slot, so a page has as many nodes as distinct places.
-   Elements that state their role (nav, footer, aside, form, script, ..., ARIA
-   roles, class and id words such as ``ad`` or ``comments``, hidden elements) are
-   left out. If the page marks its article or main part, only that is read.
+   one repeating slot, so a page has as many nodes as distinct places. Only what a
+   browser doesn't show as text (scripts, styles, controls, embedded media) is left
+   out. Elements that state another role (nav, footer, aside, form, ..., ARIA roles,
+   class and id words such as ``ad`` or ``comments``, hidden elements) are hinted:
+   marked in the skeleton, their text is kept.
 2. Skeletons of one host are aligned by simple tree matching (the largest order-
    preserving match of equal labels, top down) and merged into the host's
    template tree; unmatched nodes are added in place. A host may have a third of
@@ -13,7 +14,12 @@
    parts' templates.
 3. All pages' texts are counted per template slot. Slots whose texts are constant
    over the host's pages (``is_template``) are template; varying slots are content.
-4. A page's text is its blocks in content slots, in page order.
+4. A hint is a vote against the varying slots below its element. It fails
+   (``stays``) where the element holds most of the host's varying text; hinted
+   elements inside of it vote for themselves.
+5. A page's text is its pieces in content slots, in page order. Hosts of fewer than
+   ``FEWEST_PAGES`` pages have nothing to compare: there a page's article or main
+   part is read alone if it has at least half of the remaining text.
 
 Defined results: null and empty pages give the empty text; a null url is a host of
 its own; white space inside a block becomes one space, character references are
@@ -48,8 +54,10 @@ RAW = _words("script style title textarea xmp iframe noembed noframes plaintext"
 ENDS_PARAGRAPH = _words("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section summary table ul")
 SAME_ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}),
              "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
-# Elements, roles and class or id words that are not the article.
-NOT_TEXT = _words("head script style noscript template nav footer aside form button select textarea iframe object svg canvas audio video dialog menu map title noembed noframes")
+# Elements whose content a page doesn't show as text.
+NOT_TEXT = _words("head script style noscript template select textarea iframe object svg canvas audio video map title noembed noframes")
+# Elements, roles and class or id words that hint at something else than the article.
+NOT_ARTICLE = _words("nav footer aside form button dialog menu")
 NOT_ROLES = _words("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar")
 NOT_WORDS = _words("""ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion promotions banner nav navbar navigation menu breadcrumb
     breadcrumbs masthead topbar footer sidebar aside rail widget widgets notice notices cookie cookies consent gdpr alert alerts popup modal overlay newsletter subscribe
@@ -70,9 +78,9 @@ def attributes(text: str) -> dict[str, str]:
     return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(text)}
 
 
-def is_noise(tag: str, attrs: dict[str, str], inside: bool) -> bool:
+def is_hinted(tag: str, attrs: dict[str, str], inside: bool) -> bool:
     """Whether the element says that it isn't part of the article."""
-    if tag in NOT_TEXT or tag == "header" and not inside:
+    if tag in NOT_ARTICLE or tag == "header" and not inside:
         return True
     if not attrs or tag in ("html", "body"):
         return False
@@ -95,14 +103,32 @@ def label(tag: str, attrs: dict[str, str]) -> str:
 
 
 class Page:
-    """One parsed page: ``blocks`` of (node, text) and the skeleton."""
+    """One parsed page: ``pieces`` of (node, paragraph, text, in the article) and the
+    skeleton. A hinted element's label starts with "!"; hinted inline elements are
+    pieces of their own inside a paragraph."""
 
     def __init__(self, source: str):
-        self.labels, self.parents, self.children = [""], [-1], [{}]
-        self.blocks: list[tuple[int, str, bool]] = []
+        self.labels, self.parents, self.children, self.hinted = [""], [-1], [{}], [False]
+        self.pieces: list[tuple[int, int, str, bool]] = []
         self.read(source)
-        if any(main for _, _, main in self.blocks):
-            self.blocks = [b for b in self.blocks if b[2]]
+
+    @property
+    def blocks(self) -> list[tuple[int, str, bool]]:
+        """(node, text, in the article) as the page alone tells: without what is hinted
+        at, and the article alone if most of the text is in it."""
+        plain = [p for p in self.pieces if not self.hinted[p[0]]]
+        inside = sum(len(t) * (1 if main else -1) for _, _, t, main in plain)
+        if inside >= 0 and any(main for *_, main in plain):
+            plain = [p for p in plain if p[3]]
+        out: list[tuple[int, str, bool]] = []
+        last = -1
+        for node, paragraph, text, main in plain:
+            if paragraph == last:
+                out[-1] = (out[-1][0], f"{out[-1][1]} {text}", main)
+            else:
+                out.append((node, text, main))
+            last = paragraph
+        return out
 
     def node(self, parent: int, name: str) -> int:
         found = self.children[parent].get(name)
@@ -111,19 +137,29 @@ class Page:
             self.labels.append(name)
             self.parents.append(parent)
             self.children.append({})
+            self.hinted.append(self.hinted[parent] or name.startswith("!"))
         return found
 
+    def place(self, parent: int, tag: str, attrs: dict[str, str], hinted: bool, depth: int) -> int:
+        """The element's node; too deep, its parent's, but for the outermost hinted element."""
+        if depth > MOST_DEPTH and (not hinted or self.hinted[parent]):
+            return parent
+        return self.node(parent, "!" * hinted + label(tag, attrs))
+
     def read(self, source: str) -> None:
-        # open elements: (tag, node, whether it is left out, whether in the article)
-        stack: list[tuple[str, int, bool, bool]] = [("", 0, False, False)]
+        # open elements: (tag, node, whether it is left out, whether in the article, inline elements among them)
+        stack: list[tuple[str, int, bool, bool, int]] = [("", 0, False, False, 0)]
         run: list[str] = []
+        paragraph = 0
 
-        def flush():
+        def flush(ends: bool = True):
+            nonlocal paragraph
             if run:
                 text = " ".join("".join(run).split())
                 run.clear()
                 if text:
-                    self.blocks.append((stack[-1][1], text, stack[-1][3]))
+                    self.pieces.append((stack[-1][1], paragraph, text, stack[-1][3]))
+            paragraph += ends
 
         def close(at: int):
             flush()
@@ -151,10 +187,12 @@ class Page:
                 continue
             tag, rest = m[2].lower(), m[3]
             if m[1]:
-                if tag in INLINE and not stack[-1][2]:
+                if tag in INLINE and not stack[-1][4]:
                     continue
                 if found := nearest((tag,)):
-                    if tag in INLINE:  # ends a part left out of a running block
+                    if tag in INLINE:  # ends a piece of a running block, or a part left out of it
+                        if stack[-1][1] != stack[found - 1][1]:
+                            flush(False)
                         del stack[found:]
                     else:
                         close(found)
@@ -177,11 +215,12 @@ class Page:
                 continue
             outer = stack[-1]
             if tag in INLINE:
-                if outer[2] or is_noise(tag, attrs, outer[3]):
-                    if not outer[2]:
-                        run.append(" ")
-                    if not rest.endswith("/"):
-                        stack.append((tag, outer[1], True, outer[3]))
+                hinted = not outer[2] and is_hinted(tag, attrs, outer[3])
+                if hinted and not rest.endswith("/"):
+                    flush(False)
+                    stack.append((tag, self.place(outer[1], tag, attrs, True, len(stack)), False, outer[3], outer[4] + 1))
+                elif (outer[2] or outer[4]) and not rest.endswith("/"):
+                    stack.append((tag, outer[1], outer[2], outer[3], outer[4] + 1))
                 continue
             if tag in RAW:
                 shut = re.compile(f"</{tag}", re.I).search(source, at)
@@ -195,10 +234,10 @@ class Page:
                 close(found)
             flush()
             outer = stack[-1]
-            left_out = outer[2] or is_noise(tag, attrs, outer[3])
+            left_out = outer[2] or tag in NOT_TEXT
             inside = outer[3] or tag in MAIN or attrs.get("role") == "main" or attrs.get("itemprop") == "articleBody"
-            place = outer[1] if left_out or len(stack) > MOST_DEPTH else self.node(outer[1], label(tag, attrs))
-            stack.append((tag, place, left_out, inside and not left_out))
+            place = outer[1] if left_out else self.place(outer[1], tag, attrs, is_hinted(tag, attrs, outer[3]), len(stack))
+            stack.append((tag, place, left_out, inside and not left_out, outer[4]))
         flush()
 
     def skeleton(self) -> tuple[str, list[int]]:
@@ -306,23 +345,35 @@ def merged(skeletons: list[str]) -> str:
     return write_skeleton(template)
 
 
-PARSED = "page_id bigint, url string, host string, skeleton string, node array<int>, text array<string>, hash array<bigint>, main array<boolean>"
+def hinted_above(skeleton: str, slots: list[int]) -> list[list[int]]:
+    """The slots of the hinted elements that each line lies in, itself included."""
+    out, path = [], [[]]
+    for row, slot in zip(skeleton.split("\n"), slots, strict=True):
+        depth, _, name = row.partition(" ")
+        del path[int(depth) + 1:]
+        path.append([*path[-1], slot] if name.startswith("!") else path[-1])
+        out.append(path[-1])
+    return out
+
+
+PARSED = "page_id bigint, url string, host string, skeleton string, node array<int>, paragraph array<int>, text array<string>, hash array<bigint>, main array<boolean>"
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import xxhash
 
     for batch in batches:
-        out = {c: [] for c in ("skeleton", "node", "text", "hash", "main")}
+        out = {c: [] for c in ("skeleton", "node", "paragraph", "text", "hash", "main")}
         for value in batch.column("html"):
             page = Page(value.as_py() or "")
             skeleton, line_of = page.skeleton()
             out["skeleton"].append(skeleton)
-            out["node"].append([line_of[n] for n, _, _ in page.blocks])
-            out["text"].append([t for _, t, _ in page.blocks])
-            out["hash"].append([xxhash.xxh3_64_intdigest(t) - (1 << 63) for _, t, _ in page.blocks])
-            out["main"].append([m for _, _, m in page.blocks])
-        kinds = (pa.string(), pa.list_(pa.int32()), pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.bool_()))
+            out["node"].append([line_of[n] for n, *_ in page.pieces])
+            out["paragraph"].append([p for _, p, _, _ in page.pieces])
+            out["text"].append([t for _, _, t, _ in page.pieces])
+            out["hash"].append([xxhash.xxh3_64_intdigest(t) - (1 << 63) for _, _, t, _ in page.pieces])
+            out["main"].append([m for *_, m in page.pieces])
+        kinds = (pa.string(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.bool_()))
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("page_id", "url", "host")), *(pa.array(out[c], k) for c, k in zip(out, kinds, strict=True))],
                                          ["page_id", "url", "host", *out])
 
@@ -335,7 +386,9 @@ def _templates(table: pa.Table) -> pa.Table:
 def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         slots = [align(parse_skeleton(t), parse_skeleton(s)) for t, s in zip(batch.column("template").to_pylist(), batch.column("skeleton").to_pylist(), strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column("host"), batch.column("skeleton"), pa.array(slots, pa.list_(pa.int32()))], ["host", "skeleton", "slots"])
+        hints = [hinted_above(s, at) for s, at in zip(batch.column("skeleton").to_pylist(), slots, strict=True)]
+        columns = [batch.column("host"), batch.column("skeleton"), pa.array(slots, pa.list_(pa.int32())), pa.array(hints, pa.list_(pa.list_(pa.int32())))]
+        yield pa.RecordBatch.from_arrays(columns, ["host", "skeleton", "slots", "hints"])
 
 
 def is_template(pages="pages", texts="texts", different="different", chars="chars", all_chars="all_chars", main="main") -> str:
@@ -344,6 +397,13 @@ def is_template(pages="pages", texts="texts", different="different", chars="char
     return f"{pages} >= {FEWEST_PAGES} and {chars} < {MOST_SHARE} * {all_chars} and {different} <= greatest(1, texts * if({main}, {INSIDE_DISTINCT}, {OUTSIDE_DISTINCT}))"
 
 
+def stays(held="held", all_varying="all_varying", known="known", holds_main="holds_main", plain_main="plain_main") -> str:
+    """SQL of the vote on a hinted element: it stays if it holds most of the host's varying
+    text. On hosts of few pages, where nothing is known to vary, it must also hold
+    the article, or no article lies outside of hinted elements."""
+    return f"2 * {held} > {all_varying} and ({known} or {holds_main} or {plain_main} = 0)"
+
+
 def extract(pages: DataFrame) -> DataFrame:
     """``pages``: (page_id, url, html, ...). One row per page: page_id, url, text, n_chars."""
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
@@ -355,21 +415,36 @@ def extract(pages: DataFrame) -> DataFrame:
     shape = "host string, skeleton string, n bigint"
     parts = distinct.withColumn("part", part).groupBy("host", "part").applyInArrow(_templates, shape)
     templates = parts.groupBy("host").applyInArrow(_templates, shape).select(F.col("host").alias("of"), F.col("skeleton").alias("template"))
-    aligned = distinct.join(templates, F.col("host") == F.col("of")).select("host", "skeleton", "template").mapInArrow(_align, "host string, skeleton string, slots array<int>")
+    aligned = distinct.join(templates, F.col("host") == F.col("of")).select("host", "skeleton", "template").mapInArrow(_align, "host string, skeleton string, slots array<int>, hints array<array<int>>")
     aligned = stored(aligned, "aligned")
 
     slots = aligned.withColumnsRenamed({"host": "h", "skeleton": "s"})
     each = parsed.select("host", "skeleton", F.explode(F.arrays_zip("node", "hash", "main", F.transform("text", F.length).alias("size"), F.transform("node", lambda x, i: i == F.array_position("node", x) - 1).alias("first"))).alias("t"))
     each = each.join(slots, [F.col("host") == F.col("h"), F.col("skeleton") == F.col("s")])
-    each = each.select("host", F.element_at("slots", F.col("t.node") + 1).alias("slot"), "t.hash", "t.main", F.col("t.size").cast("long").alias("size"), F.col("t.first").cast("long").alias("first"))
-    texts = each.groupBy("host", "slot", "hash").agg(F.count("*").alias("n"), F.sum("size").alias("chars"), F.sum("first").alias("pages"), F.max("main").alias("main"))
-    counts = texts.groupBy("host", "slot").agg(F.sum("n").alias("texts"), F.count("*").alias("different"), F.sum("chars").alias("chars"), F.sum("pages").alias("pages"), F.max("main").alias("main"))
+    each = each.select("host", F.element_at("slots", F.col("t.node") + 1).alias("slot"), F.element_at("hints", F.col("t.node") + 1).alias("hints"), "t.hash", "t.main", F.col("t.size").cast("long").alias("size"), F.col("t.first").cast("long").alias("first"))
+    texts = each.groupBy("host", "slot", "hash").agg(F.count("*").alias("n"), F.sum("size").alias("chars"), F.sum("first").alias("pages"), F.max("main").alias("main"), F.max("hints").alias("hints"))
+    counts = texts.groupBy("host", "slot").agg(F.sum("n").alias("texts"), F.count("*").alias("different"), F.sum("chars").alias("chars"), F.sum("pages").alias("pages"), F.max("main").alias("main"), F.max("hints").alias("hints"))
     whole = counts.groupBy(F.col("host").alias("of_host")).agg(F.sum("chars").alias("all_chars"))
-    constant = counts.join(whole, F.col("host") == F.col("of_host")).where(is_template()).select("host", F.col("slot").alias("dropped"))
-
-    lines = aligned.select("host", "skeleton", F.posexplode("slots").alias("line", "dropped")).join(constant, ["host", "dropped"])
-    drops = lines.groupBy(F.col("host").alias("h"), F.col("skeleton").alias("s")).agg(F.collect_set("line").alias("drop"))
+    judged = counts.join(whole, F.col("host") == F.col("of_host")).withColumn("constant", F.expr(is_template())).drop("of_host")
+    judged = stored(judged, "slots")
+
+    # votes: a hinted element stays if it holds most of the host's varying text
+    hosts = parsed.groupBy("host").agg((F.count("*") >= FEWEST_PAGES).alias("known"))
+    varying = judged.where("not constant").groupBy("host").agg(F.sum("chars").alias("all_varying"), F.sum(F.expr("if(main and size(hints) = 0, chars, 0)")).alias("plain_main"))
+    votes = judged.where("not constant").select("host", F.explode("hints").alias("hint"), "chars", "main").groupBy("host", "hint")
+    votes = votes.agg(F.sum("chars").alias("held"), F.max("main").alias("holds_main")).join(varying, "host").join(hosts, "host")
+    votes = votes.where(stays()).groupBy("host").agg(F.collect_set("hint").alias("stay"))
+    hosts = hosts.join(votes, "host", "left").withColumn("stay", F.coalesce("stay", F.array().cast("array<int>")))
+    dropped = judged.join(hosts, "host").where("constant or size(array_except(hints, stay)) > 0").select("host", F.col("slot").alias("dropped"))
+
+    lines = aligned.select("host", "skeleton", F.posexplode("slots").alias("line", "dropped")).join(dropped, ["host", "dropped"])
+    drops = lines.groupBy("host", "skeleton").agg(F.collect_set("line").alias("drop"))
+    drops = aligned.select("host", "skeleton").join(drops, ["host", "skeleton"], "left").join(hosts.select("host", "known"), "host")
+    drops = drops.select(F.col("host").alias("h"), F.col("skeleton").alias("s"), F.coalesce("drop", F.array().cast("array<int>")).alias("drop"), "known")
     rows = parsed.join(drops, [F.col("host") == F.col("h"), F.col("skeleton") == F.col("s")], "left")
-    kept = F.filter(F.arrays_zip("node", "text"), lambda x: ~F.array_contains(F.coalesce("drop", F.array().cast("array<int>")), x["node"]))
-    rows = rows.select("page_id", "url", F.array_join(F.transform(kept, lambda x: x["text"]), "\n\n").alias("text"))
+    rows = rows.withColumn("kept", F.filter(F.arrays_zip("node", "paragraph", "text", "main"), lambda x: ~F.array_contains("drop", x["node"])))
+    rows = rows.withColumn("inside", F.expr("aggregate(kept, 0L, (s, x) -> s + length(x.text) * if(x.main, 1, -1))"))
+    rows = rows.withColumn("kept", F.expr("if(not known and inside >= 0 and exists(kept, x -> x.main), filter(kept, x -> x.main), kept)"))
+    rows = rows.select("page_id", "url", F.expr("""array_join(transform(kept, (x, i) ->
+        concat(if(i = 0, '', if(x.paragraph = get(kept, i - 1).paragraph, ' ', '\\n\\n')), x.text)), '')""").alias("text"))
     return rows.withColumn("n_chars", F.length("text").cast("long"))

@@ -62,3 +62,22 @@ def test_given_pages(spark):
         article = re.search(r"<article>(.*?)(?:</article>|<footer|$)", p.html, re.S)[1]
         parts = (" ".join(html.unescape(re.sub(r"<[^>]*>", "", b.replace("<br>", " "))).split()) for b in re.split(r"</?(?:p|h1)>", article))
         assert got[p.page_id] == "\n\n".join(x for x in parts if x)
+
+
+def test_hints_are_votes(spark):
+    """Hinted wrappers, text outside of the article and small articles beside it keep their varying text."""
+    pages, much = [], " and so on with more to tell" * 6
+    for i in range(12):
+        story = f"<h1>Head {i}</h1><p>Story {i} begins{much}"
+        pages += [(i, f"http://wrap.example/{i}", f"<nav>Go {i}</nav><div class='content-sidebar-wrap'><article>{story}</article><aside>Aside {i}</aside></div><div>All rights</div>"),
+                  (100 + i, f"http://form.example/{i}", f"<form><div class='page sidebar-right'>{story}<p>Then <span class=ad>buy {i}</span> more</div></form><footer>Foot {i}</footer>"),
+                  (200 + i, f"http://teaser.example/{i}", f"<article>Short {i}</article><div id=story>{story}</div><div>Terms of use</div>")]
+    pages += [(300, "http://few.example/", f"<nav>Go</nav><div class='content-sidebar-wrap'><article><p>One{much}</article><aside>no</aside></div><p>out"),
+              (400, "http://two.example/", f"<article>Small</article><div><p>Much{much}</div><footer>no</footer>")]
+    got = {r.page_id: r.text for r in wrapper.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    for i in range(12):
+        story = f"Head {i}\n\nStory {i} begins{much}"
+        assert got[i] == story
+        assert got[100 + i] == f"{story}\n\nThen more"
+        assert got[200 + i] == f"Short {i}\n\n{story}"
+    assert got[300] == f"One{much}" and got[400] == f"Small\n\nMuch{much}"
