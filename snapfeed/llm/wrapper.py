@@ -12,13 +12,15 @@
    template tree; unmatched nodes are added in place. A host may have a third of
    all pages: its distinct skeletons are merged in hashed parts first, then the
    parts' templates.
-3. All pages' texts are counted per template slot. Slots whose texts are constant
-   over the host's pages (``is_template``) are template; varying slots are content.
+3. The texts of all distinct articles are counted per template slot: pages that
+   are copies of one article (``Page.article``) count as one page. Slots whose texts
+   are constant over the host's articles (``is_template``) are template; varying
+   slots are content.
 4. A hint is a vote against the varying slots below its element. It fails
    (``stays``) where the element holds most of the host's varying text; hinted
    elements inside of it vote for themselves.
 5. A page's text is its pieces in content slots, in page order. Hosts of fewer than
-   ``FEWEST_PAGES`` pages have nothing to compare: there a page's article or main
+   ``FEWEST_PAGES`` articles have nothing to compare: there a page's article or main
    part is read alone if it has at least half of the remaining text.
 
 Defined results: null and empty pages give the empty text; a null url is a host of
@@ -32,6 +34,7 @@ from __future__ import annotations
 
 import html
 import re
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -130,6 +133,14 @@ class Page:
             last = paragraph
         return out
 
+    def article(self) -> str:
+        """What copies of the article have in common: ``blocks``, or all pieces where
+        those are the smaller part of the page's text."""
+        texts = [t for _, t, _ in self.blocks]
+        if 2 * sum(map(len, texts)) < sum(len(t) for _, _, t, _ in self.pieces):
+            texts = [t for _, _, t, _ in self.pieces]
+        return "\n".join(texts)
+
     def node(self, parent: int, name: str) -> int:
         found = self.children[parent].get(name)
         if found is None:
@@ -356,24 +367,28 @@ def hinted_above(skeleton: str, slots: list[int]) -> list[list[int]]:
     return out
 
 
-PARSED = "page_id bigint, url string, host string, skeleton string, node array<int>, paragraph array<int>, text array<string>, hash array<bigint>, main array<boolean>"
+# ``sid``: hash of the skeleton; ``text``: a page's pieces, one a line (none holds a line end), deflated.
+PARSED = "page_id bigint, url string, host string, skeleton string, sid bigint, node array<int>, paragraph array<int>, text binary, size array<int>, hash array<bigint>, main array<boolean>, article binary"
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import xxhash
 
     for batch in batches:
-        out = {c: [] for c in ("skeleton", "node", "paragraph", "text", "hash", "main")}
+        out = {c: [] for c in ("skeleton", "sid", "node", "paragraph", "text", "size", "hash", "main", "article")}
         for value in batch.column("html"):
             page = Page(value.as_py() or "")
             skeleton, line_of = page.skeleton()
             out["skeleton"].append(skeleton)
+            out["sid"].append(xxhash.xxh3_64_intdigest(skeleton) - (1 << 63))
             out["node"].append([line_of[n] for n, *_ in page.pieces])
             out["paragraph"].append([p for _, p, _, _ in page.pieces])
-            out["text"].append([t for _, _, t, _ in page.pieces])
+            out["text"].append(zlib.compress("\n".join(t for _, _, t, _ in page.pieces).encode()))
+            out["size"].append([len(t) for _, _, t, _ in page.pieces])
             out["hash"].append([xxhash.xxh3_64_intdigest(t) - (1 << 63) for _, _, t, _ in page.pieces])
             out["main"].append([m for *_, m in page.pieces])
-        kinds = (pa.string(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.bool_()))
+            out["article"].append(xxhash.xxh3_128_digest(page.article()))
+        kinds = (pa.string(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.binary())
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("page_id", "url", "host")), *(pa.array(out[c], k) for c, k in zip(out, kinds, strict=True))],
                                          ["page_id", "url", "host", *out])
 
@@ -387,12 +402,31 @@ def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         slots = [align(parse_skeleton(t), parse_skeleton(s)) for t, s in zip(batch.column("template").to_pylist(), batch.column("skeleton").to_pylist(), strict=True)]
         hints = [hinted_above(s, at) for s, at in zip(batch.column("skeleton").to_pylist(), slots, strict=True)]
-        columns = [batch.column("host"), batch.column("skeleton"), pa.array(slots, pa.list_(pa.int32())), pa.array(hints, pa.list_(pa.list_(pa.int32())))]
-        yield pa.RecordBatch.from_arrays(columns, ["host", "skeleton", "slots", "hints"])
+        columns = [batch.column("host"), batch.column("sid"), pa.array(slots, pa.list_(pa.int32())), pa.array(hints, pa.list_(pa.list_(pa.int32())))]
+        yield pa.RecordBatch.from_arrays(columns, ["host", "sid", "slots", "hints"])
+
+
+def _write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = zip(*(batch.column(c).to_pylist() for c in ("text", "node", "paragraph", "main", "drop", "known")), strict=True)
+        texts = []
+        for packed, nodes, paragraphs, mains, drop, known in rows:
+            drop = set(drop)
+            pieces = zip(zlib.decompress(packed).decode().split("\n"), nodes, paragraphs, mains, strict=True) if nodes else ()
+            kept = [(t, p, m) for t, n, p, m in pieces if n not in drop]
+            if not known and any(m for *_, m in kept) and sum(len(t) * (1 if m else -1) for t, _, m in kept) >= 0:
+                kept = [k for k in kept if k[2]]
+            out, last = [], None
+            for text, paragraph, _ in kept:
+                out += [" " if paragraph == last else "\n\n", text] if out else [text]
+                last = paragraph
+            texts.append("".join(out))
+        yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
+                                         ["page_id", "url", "text", "n_chars"])
 
 
 def is_template(pages="pages", texts="texts", different="different", chars="chars", all_chars="all_chars", main="main") -> str:
-    """SQL of the rule: enough pages, a small part of the host's text, and texts
+    """SQL of the rule: enough distinct articles, a small part of the host's text, and texts
     that repeat; within the article nearly all must be equal."""
     return f"{pages} >= {FEWEST_PAGES} and {chars} < {MOST_SHARE} * {all_chars} and {different} <= greatest(1, texts * if({main}, {INSIDE_DISTINCT}, {OUTSIDE_DISTINCT}))"
 
@@ -410,17 +444,20 @@ def extract(pages: DataFrame) -> DataFrame:
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
     parsed = stored(pages.withColumn("host", host).mapInArrow(_parse, PARSED), "parsed")
 
-    distinct = parsed.groupBy("host", "skeleton").agg(F.count("*").alias("n"))
+    distinct = parsed.groupBy("host", "sid").agg(F.count("*").alias("n"), F.min("skeleton").alias("skeleton"))
     part = F.pmod(F.xxhash64("skeleton"), F.lit(PARTS))
     shape = "host string, skeleton string, n bigint"
     parts = distinct.withColumn("part", part).groupBy("host", "part").applyInArrow(_templates, shape)
     templates = parts.groupBy("host").applyInArrow(_templates, shape).select(F.col("host").alias("of"), F.col("skeleton").alias("template"))
-    aligned = distinct.join(templates, F.col("host") == F.col("of")).select("host", "skeleton", "template").mapInArrow(_align, "host string, skeleton string, slots array<int>, hints array<array<int>>")
+    aligned = distinct.join(templates, F.col("host") == F.col("of")).select("host", "sid", "skeleton", "template").mapInArrow(_align, "host string, sid bigint, slots array<int>, hints array<array<int>>")
     aligned = stored(aligned, "aligned")
 
-    slots = aligned.withColumnsRenamed({"host": "h", "skeleton": "s"})
-    each = parsed.select("host", "skeleton", F.explode(F.arrays_zip("node", "hash", "main", F.transform("text", F.length).alias("size"), F.transform("node", lambda x, i: i == F.array_position("node", x) - 1).alias("first"))).alias("t"))
-    each = each.join(slots, [F.col("host") == F.col("h"), F.col("skeleton") == F.col("s")])
+    slots = aligned.withColumnsRenamed({"host": "h", "sid": "s"})
+    # copies of an article count once, by the smallest of their pages
+    page = F.struct("sid", "node", "hash", "main", "size")
+    articles = stored(parsed.groupBy("host", "article").agg(F.min(page).alias("page")).select("host", "page.*"), "articles")
+    each = articles.select("host", "sid", F.explode(F.arrays_zip("node", "hash", "main", "size", F.transform("node", lambda x, i: i == F.array_position("node", x) - 1).alias("first"))).alias("t"))
+    each = each.join(slots, [F.col("host") == F.col("h"), F.col("sid") == F.col("s")])
     each = each.select("host", F.element_at("slots", F.col("t.node") + 1).alias("slot"), F.element_at("hints", F.col("t.node") + 1).alias("hints"), "t.hash", "t.main", F.col("t.size").cast("long").alias("size"), F.col("t.first").cast("long").alias("first"))
     texts = each.groupBy("host", "slot", "hash").agg(F.count("*").alias("n"), F.sum("size").alias("chars"), F.sum("first").alias("pages"), F.max("main").alias("main"), F.max("hints").alias("hints"))
     counts = texts.groupBy("host", "slot").agg(F.sum("n").alias("texts"), F.count("*").alias("different"), F.sum("chars").alias("chars"), F.sum("pages").alias("pages"), F.max("main").alias("main"), F.max("hints").alias("hints"))
@@ -429,7 +466,7 @@ def extract(pages: DataFrame) -> DataFrame:
     judged = stored(judged, "slots")
 
     # votes: a hinted element stays if it holds most of the host's varying text
-    hosts = parsed.groupBy("host").agg((F.count("*") >= FEWEST_PAGES).alias("known"))
+    hosts = articles.groupBy("host").agg((F.count("*") >= FEWEST_PAGES).alias("known"))
     varying = judged.where("not constant").groupBy("host").agg(F.sum("chars").alias("all_varying"), F.sum(F.expr("if(main and size(hints) = 0, chars, 0)")).alias("plain_main"))
     votes = judged.where("not constant").select("host", F.explode("hints").alias("hint"), "chars", "main").groupBy("host", "hint")
     votes = votes.agg(F.sum("chars").alias("held"), F.max("main").alias("holds_main")).join(varying, "host").join(hosts, "host")
@@ -437,14 +474,10 @@ def extract(pages: DataFrame) -> DataFrame:
     hosts = hosts.join(votes, "host", "left").withColumn("stay", F.coalesce("stay", F.array().cast("array<int>")))
     dropped = judged.join(hosts, "host").where("constant or size(array_except(hints, stay)) > 0").select("host", F.col("slot").alias("dropped"))
 
-    lines = aligned.select("host", "skeleton", F.posexplode("slots").alias("line", "dropped")).join(dropped, ["host", "dropped"])
-    drops = lines.groupBy("host", "skeleton").agg(F.collect_set("line").alias("drop"))
-    drops = aligned.select("host", "skeleton").join(drops, ["host", "skeleton"], "left").join(hosts.select("host", "known"), "host")
-    drops = drops.select(F.col("host").alias("h"), F.col("skeleton").alias("s"), F.coalesce("drop", F.array().cast("array<int>")).alias("drop"), "known")
-    rows = parsed.join(drops, [F.col("host") == F.col("h"), F.col("skeleton") == F.col("s")], "left")
-    rows = rows.withColumn("kept", F.filter(F.arrays_zip("node", "paragraph", "text", "main"), lambda x: ~F.array_contains("drop", x["node"])))
-    rows = rows.withColumn("inside", F.expr("aggregate(kept, 0L, (s, x) -> s + length(x.text) * if(x.main, 1, -1))"))
-    rows = rows.withColumn("kept", F.expr("if(not known and inside >= 0 and exists(kept, x -> x.main), filter(kept, x -> x.main), kept)"))
-    rows = rows.select("page_id", "url", F.expr("""array_join(transform(kept, (x, i) ->
-        concat(if(i = 0, '', if(x.paragraph = get(kept, i - 1).paragraph, ' ', '\\n\\n')), x.text)), '')""").alias("text"))
-    return rows.withColumn("n_chars", F.length("text").cast("long"))
+    lines = aligned.select("host", "sid", F.posexplode("slots").alias("line", "dropped")).join(dropped, ["host", "dropped"])
+    drops = lines.groupBy("host", "sid").agg(F.collect_set("line").alias("drop"))
+    drops = aligned.select("host", "sid").join(drops, ["host", "sid"], "left").join(hosts.select("host", "known"), "host")
+    drops = drops.select(F.col("host").alias("h"), F.col("sid").alias("s"), F.coalesce("drop", F.array().cast("array<int>")).alias("drop"), "known")
+    rows = parsed.join(drops, [F.col("host") == F.col("h"), F.col("sid") == F.col("s")])
+    rows = rows.select("page_id", "url", "text", "node", "paragraph", "main", "drop", "known")
+    return rows.mapInArrow(_write, "page_id bigint, url string, text string, n_chars bigint")

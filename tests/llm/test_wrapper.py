@@ -81,3 +81,20 @@ def test_hints_are_votes(spark):
         assert got[100 + i] == f"{story}\n\nThen more"
         assert got[200 + i] == f"Short {i}\n\n{story}"
     assert got[300] == f"One{much}" and got[400] == f"Small\n\nMuch{much}"
+
+
+def test_copies_count_once(spark):
+    """A host of copies of one article keeps it whole; copies beside other articles don't make slots constant."""
+    pages, much = [], " and so on with more to tell" * 6
+
+    def page(i, host, n, at):
+        return i, f"http://{host}.example/{i}", f"<nav>Go {at}</nav><article><h1>Head {n}</h1><ul><li>Point {n}</ul><p>Story {n}{much}</p><div class=zz>Tell a friend</div></article><div>Seen in {n}</div>"
+
+    pages += [page(i, "one", 0, i) for i in range(40)]
+    pages += [page(100 + 60 * n + i, "many", n, i) for n in range(10) for i in range(60)]
+    got = {r.page_id: r.text for r in wrapper.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert len(got) == len(pages)
+    for i in range(40):  # one article: nothing to compare it with
+        assert got[i] == f"Head 0\n\nPoint 0\n\nStory 0{much}\n\nTell a friend"
+    for n in range(10):
+        assert {got[100 + 60 * n + i] for i in range(60)} == {f"Head {n}\n\nPoint {n}\n\nStory {n}{much}\n\nSeen in {n}"}
