@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapfeed.llm import bpe, flatgraph, katz, licenses, minhash, mixing, pairwise, repair, rules, warc, wrapper
+from snapfeed.llm import blockrank, bpe, flatgraph, katz, licenses, minhash, mixing, pairwise, repair, rules, warc, wrapper
 from snapfeed.llm.registry import ORACLE, REGISTRY, query  # noqa: F401
 from snapfeed.session import read_table
 
@@ -170,6 +170,37 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repair(repair.damage(read_table(spark, sf_dir, "conversations")))
 
 
+_OP13_SQL = r"""
+with d as (
+    select row_number() over () as ref, doc_id,
+           regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as terms
+    from documents
+), q as (
+    select distinct item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+    from benchmark
+), s as (
+    select count(*) as n, cast(sum(len(terms)) as bigint) as total from d where len(terms) > 0
+), p as (
+    select ref, any_value(doc_id) as doc_id, term, count(*) as tf, any_value(size) as size
+    from (select ref, doc_id, len(terms) as size, unnest(terms) as term from d) group by ref, term
+), w as (
+    select term, cast(floor(1000 * ln((2.0 * any_value(n) + 2) / (2 * count(*) + 1))) as bigint) as w from p, s group by term
+), scored as (
+    select item_id, any_value(doc_id) as doc_id, cast(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * size * n) // total)))) as bigint) as score
+    from q join p using (term) join w using (term), s group by item_id, ref
+), ranked as (
+    select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id) as int) as rank, doc_id, score from scored where score > 0
+)
+select * from ranked where rank <= 50
+"""
+
+
+@query("op13_lexical_search", _OP13_SQL)
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return blockrank.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
