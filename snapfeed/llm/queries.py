@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapfeed.llm import blockrank, bpe, flatgraph, katz, licenses, minhash, mixing, pairwise, repair, rules, warc, wrapper
+from snapfeed.llm import blockrank, bpe, flatgraph, guesscost, katz, licenses, minhash, mixing, pairwise, repair, rules, warc, wrapper
 from snapfeed.llm.registry import ORACLE, REGISTRY, query  # noqa: F401
 from snapfeed.session import read_table
 
@@ -170,6 +170,11 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repair(repair.damage(read_table(spark, sf_dir, "conversations")))
 
 
+@query("op11_secret_scan")
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return guesscost.report(read_table(spark, sf_dir, "documents"))
+
+
 _OP13_SQL = r"""
 with d as (
     select row_number() over () as ref, doc_id,
