@@ -25,8 +25,8 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Iterator
-from itertools import chain
+import struct
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,8 +39,8 @@ WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s
 PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
 NEVER = 1 << 60
-LATER = 1 << 61
-CACHE_PIECES = 500_000  # about 125 MB a Python worker, which keeps it between tasks
+CACHE_PIECES = 300_000  # in each of two generations, about 130 MB in all; dropped at the end of a task
+CACHE_ARCS = 500_000
 
 
 def byte_characters() -> dict[str, int]:
@@ -96,21 +96,17 @@ class Automaton:
             self.left[whole], self.born[whole], self.target[whole] = first, rank, goes_to
             labels_to[goes_to] += 1
         self.words = {self.label[i]: i for i in self.target}
-        self.by_state: dict[int, dict[int, int]] = {}
-        for key, when in self.removed.items():
-            self.by_state.setdefault(key >> 20 << 20, {})[key & 0xFFFFF] = when
-        self.rows: dict[int, dict[int, int]] = {}  # rows of the transition table used so far
-        self.step: dict[int, int] = {}  # token trie: node << 8 | byte -> node
-        self.token_at = [-1]
-        for word, i in self.words.items():
-            node = 0
-            for byte in word:
-                child = self.step.get(node << 8 | byte)
-                if child is None:
-                    child = self.step[node << 8 | byte] = len(self.token_at)
-                    self.token_at.append(-1)
-                node = child
-            self.token_at[node] = i
+        self.arcs: dict[int, bool] = {}  # state << 20 | token -> whether there is an arc, as used so far
+        self.trie: dict[int, tuple] = {}  # byte -> (token or -1, the same for the next byte or None)
+        for word, i in sorted(self.words.items(), key=lambda w: -len(w[0])):  # longer ones first, so a leaf stays one
+            node = self.trie
+            for byte in word[:-1]:
+                token, below = node.get(byte, (-1, None))
+                if below is None:
+                    below = {}
+                    node[byte] = (token, below)
+                node = below
+            node[word[-1]] = (i, node.get(word[-1], (-1, None))[1])
 
     def has_arc(self, state: int, token: int) -> bool:
         """An arc exists if it was never removed and, when it was added, the arc of
@@ -127,64 +123,75 @@ class Automaton:
                 return True
             limit, token = born[token], first
 
-    def row(self, state: int) -> dict[int, int]:
-        """Label -> merge that took the state's arc away, own and inherited."""
-        lacks = self.rows.get(state)
-        if lacks is None:
-            lacks = self.rows[state] = {}
-            for at, until in self.chains[state]:
-                for token, when in self.by_state.get(at, {}).items():
-                    if when <= until and when < lacks.get(token, NEVER):
-                        lacks[token] = when
-        return lacks
-
     def encode_word(self, word: bytes) -> list[int]:
         """The only accepted path whose labels spell ``word``: follow the longest
-        label that the state has an arc for, and step back from dead ends; a dead
-        (position, state) is entered once, so the steps are bounded by positions
-        x label lengths."""
+        label that the state has an arc for; a word that runs into a dead end is
+        searched prefix by prefix."""
         whole = self.words.get(word)
         if whole is not None:
             return [whole]
-        n, step, token_at, target, left, born = len(word), self.step, self.token_at, self.target, self.left, self.born
+        n, trie, target, arcs = len(word), self.trie, self.target, self.arcs
+        if len(arcs) > CACHE_ARCS:
+            arcs.clear()
         path: list[int] = []
         at = state = 0
-        choices: list[list[tuple[int, int]]] = []
-        before: list[tuple[int, int]] = []
-        dead: set[tuple[int, int]] = set()
-        while True:
-            if len(choices) == len(before):
-                node, here = 0, []
-                for i in range(at, n):
-                    node = step.get(node << 8 | word[i])
-                    if node is None:
-                        break
-                    if (token := token_at[node]) >= 0:
-                        here.append((token, i + 1))
-                choices.append(here)
-            here, lacks = choices[-1], self.row(state)
+        while at < n:
+            node, here = trie, []
+            for i in range(at, n):
+                found = node.get(word[i])
+                if found is None:
+                    break
+                token, node = found
+                if token >= 0:
+                    here.append((token, i + 1))
+                if node is None:
+                    break
             while here:
                 token, end = here.pop()
-                x, limit = token, NEVER
-                while x >= 0 and lacks.get(x, LATER) > limit:
-                    limit, x = born[x], left[x]
-                if x < 0 and (not dead or (end, target[token]) not in dead):
+                key = state << 20 | token
+                if (there := arcs.get(key)) is None:
+                    there = arcs[key] = self.has_arc(state, token)
+                if there:
                     break
             else:
-                if not path:
-                    raise ValueError(f"no token path for {word!r}; the vocabulary lacks single bytes")
-                dead.add((at, state))
-                choices.pop(), path.pop()
-                at, state = before.pop()
-                continue
+                return self.search(word)
             path.append(token)
-            if end == n:
-                return path
-            before.append((at, state))
             at, state = end, target[token]
+        return path
+
+    def search(self, word: bytes) -> list[int]:
+        """The accepted path by the last label of each prefix: a prefix has exactly
+        one accepted path too, so a label that ends it is its last one if the path
+        of what stands before has an arc for it."""
+        n, trie, target, arcs = len(word), self.trie, self.target, self.arcs
+        last = [-1] * (n + 1)
+        for at in range(n):
+            if at and last[at] < 0:
+                continue
+            state = target[last[at]] << 20 if at else 0
+            node = trie
+            for i in range(at, n):
+                found = node.get(word[i])
+                if found is None:
+                    break
+                token, node = found
+                if token >= 0 and last[i + 1] < 0:
+                    if (there := arcs.get(state | token)) is None:
+                        there = arcs[state | token] = self.has_arc(state >> 20, token)
+                    if there:
+                        last[i + 1] = token
+                if node is None:
+                    break
+        path: list[int] = []
+        while n:
+            if last[n] < 0:
+                raise ValueError(f"no token path for {word!r}; the vocabulary lacks single bytes")
+            path.append(last[n])
+            n -= len(self.label[last[n]])
+        return path[::-1]
 
     def __getstate__(self):
-        return self.__dict__ | {"rows": {}, "removed": {}, "lacking": set()}
+        return self.__dict__ | {"arcs": {}, "lacking": set()}
 
 
 def load_automaton(path: str) -> Automaton:
@@ -194,50 +201,90 @@ def load_automaton(path: str) -> Automaton:
     return Automaton(spec["model"]["vocab"], spec["model"]["merges"], {t["content"]: t["id"] for t in spec.get("added_tokens", [])})
 
 
+class _Recent(dict):
+    """Results of ``make`` for recent keys: two generations of at most ``most``
+    keys, so that what is used again stays. Long keys are not kept."""
+
+    def __init__(self, make: Callable[[str], bytes], most: int):
+        super().__init__()
+        self.make, self.most, self.before = make, most, {}
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.before.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(key) < 64:
+            if len(self) >= self.most:
+                self.before = dict(self)
+                self.clear()
+            self[key] = value
+        return value
+
+
 class Codec:
-    """Encodes and decodes texts with an automaton; keeps the ids of pieces it has
-    seen, up to ``CACHE_PIECES``.
+    """Encodes and decodes texts with an automaton; keeps the ids of recent pieces,
+    as packed little-endian 32-bit numbers.
 
     Pre-splitting: a word of the pattern starts at every single space that has
     visible characters on both sides, and a single line feed between visible
     characters is a word of its own. So a text is cut there first, and each
-    distinct piece is split by the pattern and encoded once. Lines with other
-    white space at a cut go through the pattern as a whole."""
+    distinct piece is split by the pattern and encoded once. A text with other
+    white space at a cut is cut before each run of white space instead: no word
+    of the pattern reaches over that place."""
 
     def __init__(self, automaton: Automaton):
         self.automaton = automaton
         self.find = regex.compile(WORD_PATTERN).findall
+        self.runs_of = regex.compile(r"\s*\S+|\s+").findall
         specials = sorted(automaton.specials, key=len, reverse=True)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, specials)) + ")") if specials else None
-        self.words = _Words(automaton)
-        self.spaced, self.bare = _Pieces(self, " "), _Pieces(self, "")
-        self.feed = automaton.encode_word(b"\n")
+        self.spaced = _Recent(self._spaced, CACHE_PIECES)
+        self.bare = _Recent(self._bare, CACHE_PIECES // 4)
+        self.runs = _Recent(self._split, CACHE_PIECES // 4)
+        self.feed = self._word("\n")
+
+    def _word(self, word: str) -> bytes:
+        ids = self.automaton.encode_word(word.encode())
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _split(self, piece: str) -> bytes:
+        words = self.find(piece)
+        if len(words) == 1:
+            return self._word(piece)
+        return b"".join([self.spaced[w[1:]] if w[0] == " " and len(w) > 1 and not w[1].isspace() else self._word(w) for w in words])
+
+    def _spaced(self, piece: str) -> bytes:
+        if not piece or piece[0].isspace() or piece[-1].isspace():
+            raise _WhiteSpaceAtCut
+        return self._split(" " + piece)
 
-    def encode(self, text: str) -> list[int]:
-        if len(self.spaced) + len(self.bare) + len(self.words) > CACHE_PIECES:
-            self.spaced.clear(), self.bare.clear(), self.words.clear()
+    def _bare(self, piece: str) -> bytes:
+        if not piece or piece[0].isspace() or piece[-1].isspace():
+            raise _WhiteSpaceAtCut
+        return self._split(piece)
+
+    def packed(self, text: str) -> bytes:
+        """The ids of a text as little-endian unsigned 32-bit numbers."""
         if self.cut is None or not any(s in text for s in self.automaton.specials):
-            return self.encode_plain(text)
-        ids: list[int] = []
-        for part in self.cut.split(text):
-            if part in self.automaton.specials:
-                ids.append(self.automaton.specials[part])
-            else:
-                ids += self.encode_plain(part)
-        return ids
+            return self._plain(text)
+        specials = self.automaton.specials
+        return b"".join([struct.pack("<I", specials[part]) if part in specials else self._plain(part) for part in self.cut.split(text) if part])
+
+    def encode(self, text: str) -> list[int]:
+        return np.frombuffer(self.packed(text), dtype="<u4").tolist()
 
-    def encode_plain(self, text: str) -> list[int]:
+    def _plain(self, text: str) -> bytes:
         try:
-            ids: list[int] = []
+            out: list[bytes] = []
             for k, line in enumerate(text.split("\n")):
                 if k:
-                    ids += self.feed
+                    out.append(self.feed)
                 first, *others = line.split(" ")
-                ids += self.bare[first]
-                ids += chain.from_iterable(map(self.spaced.__getitem__, others))
-            return ids
+                out.append(self.bare[first])
+                out += map(self.spaced.__getitem__, others)
+            return b"".join(out)
         except _WhiteSpaceAtCut:
-            return list(chain.from_iterable(map(self.words.__getitem__, self.find(text))))
+            return b"".join(map(self.runs.__getitem__, self.runs_of(text)))
 
     def decode(self, ids) -> str:
         return b"".join(map(self.automaton.label.__getitem__, ids)).decode("utf-8", "replace")
@@ -247,45 +294,6 @@ class _WhiteSpaceAtCut(Exception):
     pass
 
 
-class _Words(dict):
-    def __init__(self, automaton: Automaton):
-        super().__init__()
-        self.automaton = automaton
-
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        ids = tuple(self.automaton.encode_word(word.encode()))
-        if len(word) < 64:
-            self[word] = ids
-        return ids
-
-
-class _Pieces(dict):
-    def __init__(self, codec: Codec, before: str):
-        super().__init__()
-        self.codec, self.before = codec, before
-
-    def __missing__(self, piece: str) -> tuple[int, ...]:
-        if not piece or piece[0].isspace() or piece[-1].isspace():
-            raise _WhiteSpaceAtCut
-        words = self.codec.find(self.before + piece)
-        known = self.codec.words
-        ids = known[words[0]] if len(words) == 1 else tuple(chain.from_iterable(map(known.__getitem__, words)))
-        if len(piece) < 64:
-            self[piece] = ids
-        return ids
-
-
-_codecs: dict[int, Codec] = {}
-
-
-def _codec(shared) -> Codec:
-    """One codec per broadcast automaton and Python worker."""
-    if shared.value is not None and (key := id(shared.value)) not in _codecs:
-        _codecs.clear()
-        _codecs[key] = Codec(shared.value)
-    return _codecs[id(shared.value)]
-
-
 def share_automaton(spark: SparkSession, path: str):
     """Broadcast the compiled automaton; its size is fixed by the vocabulary
     (a few MB for 50,000 merges), not by the data."""
@@ -297,9 +305,9 @@ def encode(df: DataFrame, path: str, text_col: str = "text", id_col: str = "doc_
     shared = share_automaton(df.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(shared)
+        codec = Codec(shared.value)
         for batch in batches:
-            ids = [codec.encode(t or "") for t in batch.column(1).to_pylist()]
+            ids = [np.frombuffer(codec.packed(t or ""), dtype="<u4") for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], [id_col, ids_col])
 
     kind = df.schema[id_col].dataType.simpleString()
@@ -311,7 +319,7 @@ def decode(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids
     shared = share_automaton(df.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(shared)
+        codec = Codec(shared.value)
         for batch in batches:
             texts = [codec.decode(x or ()) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], [id_col, text_col])
@@ -328,13 +336,14 @@ def digests(df: DataFrame, path: str, text_col: str = "text", id_col: str = "doc
     shared = share_automaton(df.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(shared)
+        codec = Codec(shared.value)
         for batch in batches:
             counts, of_ids, of_text = [], [], []
             for value in batch.column(1):
-                ids = codec.encode(value.as_py() or "")
+                packed = codec.packed(value.as_py() or "")
+                ids = np.frombuffer(packed, dtype="<u4").tolist()
                 counts.append(len(ids))
-                of_ids.append(hashlib.sha256(np.array(ids, dtype="<u4").tobytes()).hexdigest())
+                of_ids.append(hashlib.sha256(packed).hexdigest())
                 of_text.append(hashlib.sha256(codec.decode(ids).encode()).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())],
