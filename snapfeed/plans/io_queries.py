@@ -140,32 +140,51 @@ _SUPPLIER_TEXT_SQL = """t AS (SELECT CASE WHEN s_acctbal < 0 THEN 'NA' ELSE s_na
                   CASE WHEN s_acctbal < 0 THEN '' ELSE CAST(CAST(s_acctbal AS DECIMAL(12,2)) AS VARCHAR) END AS bal FROM supplier)"""
 
 
+def _hard_name():
+    """Names with quotes, separators, backslashes, line ends and outer blanks, by nation."""
+    kind, name = F.col("s_nationkey") % 4, F.col("s_name")
+    return (F.when(kind == 0, F.concat(F.lit('say "'), name, F.lit('", C:\\dir\\')))
+            .when(kind == 1, F.concat(name, F.lit(',\n"second" line\\')))
+            .when(kind == 2, F.concat(F.lit('  5" of '), name, F.lit(" "))).otherwise(name))
+
+
+_HARD_NAME_SQL = r"""CASE s_nationkey % 4 WHEN 0 THEN 'say "' || s_name || '", C:\dir\' WHEN 1 THEN s_name || ',' || chr(10) || '"second" line\'
+                   WHEN 2 THEN '  5" of ' || s_name || ' ' ELSE s_name END"""
+
+
 @register("read_csv", f"""
-WITH {_SUPPLIER_TEXT_SQL}
-SELECT name, nation, bal FROM t WHERE NOT (name = 'NA' AND nation = 'n/a' AND bal = '')""")
+SELECT {_HARD_NAME_SQL} AS name, CAST(s_nationkey AS VARCHAR) AS nation, CAST(CAST(s_acctbal AS DECIMAL(12,2)) AS VARCHAR) AS bal
+FROM supplier WHERE s_acctbal >= 0""")
 def q_read_csv(spark, sf_dir):
-    """All suppliers through CSV files: missing literals become NULL, all-empty rows go."""
+    """All suppliers through CSV files: cells come back as they were, missing literals
+    become NULL, all-empty rows go."""
     path = _new_path(spark, "csv")
-    _supplier_text(read_table(spark, sf_dir, "supplier")).write.option("header", True).csv(path)
-    return CSV.read_csv(spark, path, ["name", "nation", "bal"], quoted_newlines=False)
+    s = read_table(spark, sf_dir, "supplier")
+    missing = _supplier_text(s.where("s_acctbal < 0"))
+    filled = _supplier_text(s.where("s_acctbal >= 0").withColumn("s_name", _hard_name()))
+    CSV.csv_writer(filled.unionByName(missing)).csv(path)
+    return CSV.read_csv(spark, path, ["name", "nation", "bal"])
 
 
-@register("load_csv", """
-SELECT * FROM (SELECT CASE WHEN s_nationkey IN (3, 7) THEN 'refused' ELSE 'loaded' END AS part, count(*) AS n,
-                      CAST(sum(s_suppkey) AS DOUBLE) AS keys FROM supplier GROUP BY 1)""")
+@register("load_csv", f"""
+SELECT CASE WHEN s_nationkey IN (3, 7, 11) THEN 'refused' ELSE 'loaded' END AS part, count(*) AS n,
+       CAST(sum(s_suppkey) AS DOUBLE) AS keys, CAST(sum(length({_HARD_NAME_SQL})) AS DOUBLE) AS name_chars FROM supplier GROUP BY 1""")
 def q_load_csv(spark, sf_dir):
-    """Rows whose balance doesn't convert are refused and kept as text."""
+    """Rows whose balance doesn't convert, and rows of too many cells of which the first
+    further one is empty, are refused and kept as text."""
     s = read_table(spark, sf_dir, "supplier")
-    bad = F.col("s_nationkey").isin(3, 7)
-    text = s.select(F.col("s_suppkey").cast("string").alias("s_suppkey"), "s_name",
-                    F.when(bad, F.lit("x")).otherwise(F.col("s_acctbal").cast("decimal(12,2)").cast("string")).alias("s_acctbal"))
+    bad, wide = F.col("s_nationkey").isin(3, 7), F.col("s_nationkey") == 11
+    name = F.concat(F.lit('"'), F.replace(_hard_name(), F.lit('"'), F.lit('""')), F.lit('"'))
+    balance = F.when(bad, F.lit("x")).otherwise(F.col("s_acctbal").cast("decimal(12,2)").cast("string"))
+    line = F.concat_ws(",", F.col("s_suppkey").cast("string"), name, balance, F.when(wide, F.lit(",lost")))
     source, target, rejects = (_new_path(spark, n) for n in ("csv", "loaded", "refused"))
-    text.write.option("header", True).csv(source)
-    CSV.load_csv(spark, source, SUPPLIER_SCHEMA, target, max_bad_records=s.count(), reject_path=rejects, quoted_newlines=False)
-    loaded = spark.read.parquet(target).select(F.lit("loaded").alias("part"), "s_suppkey")
-    refused = spark.read.schema("value string").text(rejects).select(F.lit("refused").alias("part"), F.get_json_object("value", "$.s_suppkey").cast("long").alias("s_suppkey"))
-    both = loaded.unionByName(refused).groupBy("part").agg(F.count("*").alias("n"), F.sum("s_suppkey").alias("keys"))
-    return both.withColumn("keys", F.col("keys").cast("double"))
+    s.select(line).write.text(source)
+    CSV.load_csv(spark, source, SUPPLIER_SCHEMA, target, max_bad_records=s.count(), reject_path=rejects, skip_leading_rows=0)
+    loaded = spark.read.parquet(target).select(F.lit("loaded").alias("part"), "s_suppkey", "s_name")
+    cell = lambda c: F.get_json_object("value", f"$.{c}")
+    refused = spark.read.schema("value string").text(rejects).select(F.lit("refused").alias("part"), cell("s_suppkey").cast("long").alias("s_suppkey"), cell("s_name").alias("s_name"))
+    both = loaded.unionByName(refused).groupBy("part").agg(F.count("*").alias("n"), F.sum("s_suppkey").alias("keys"), F.sum(F.length("s_name")).alias("name_chars"))
+    return both.withColumns({c: F.col(c).cast("double") for c in ("keys", "name_chars")})
 
 
 @register("insert_query", """

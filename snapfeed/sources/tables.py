@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from snapfeed.operators.schema import enforce_schema
+from snapfeed.sources.csv import csv_writer
 
 WRITE_MODES = {"truncate": "overwrite", "overwrite": "overwrite", "append": "append"}
 
@@ -125,9 +126,9 @@ def appended(target: DataFrame, rows: DataFrame) -> DataFrame:
 
 def export_csv(df: DataFrame, base_dir: str, prefix: str, day: _dt.date) -> str:
     """Header CSV, UTF-8, into ``<base_dir>/<prefix><yyyymmdd>.csv`` (a directory
-    of part files, written in parallel)."""
+    of part files, written in parallel), quoted as RFC 4180 has it."""
     path = f"{base_dir.rstrip('/')}/{prefix}{day.strftime('%Y%m%d')}.csv"
-    df.write.mode("overwrite").option("header", True).option("encoding", "UTF-8").csv(path)
+    csv_writer(df).mode("overwrite").csv(path)
     return path
 
 

@@ -32,7 +32,7 @@ from snapfeed.plans import rx
 from snapfeed.plans.feeds import RX_DATE_FORMATS, RX_FEED_COLUMNS, SUMMARY_COLUMNS, SUMMARY_RENAMES, SUMMARY_TIMESTAMP_FORMATS, clean_rx, clean_summary
 from snapfeed.session import materialise
 from snapfeed.sources.csv import (CORRUPT_COL, OVER_COL, ROW_IN_SPLIT, SOURCE_FILE, SPLIT_START, fail_long_rows, keep_filled_rows, na_to_null,
-                                  text_schema, with_file_order)
+                                  record_options, text_schema, with_cells, with_file_order)
 from snapfeed.sources.tables import path_exists, replace_table, upsert_partitions
 
 BatchHandler = Callable[[DataFrame, int], None]
@@ -45,8 +45,7 @@ def cell_columns(n: int) -> list[str]:
 
 
 def _csv_options(reader, columns: list[str], header: bool, quoted_newlines: bool):
-    return (reader.schema(text_schema(columns + [OVER_COL, CORRUPT_COL])).option("header", header).option("enforceSchema", True)
-            .option("multiLine", quoted_newlines).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT_COL))
+    return record_options(with_cells(reader.schema(text_schema(columns + [OVER_COL, CORRUPT_COL]))), header, quoted_newlines)
 
 
 def csv_file_stream(spark: SparkSession, landing_dir: str, columns: list[str], glob: str | None = None,
@@ -189,7 +188,7 @@ class RxFeedIngest(FeedIngest):
         return route_by_name(name, [(self.prefix, self.route)])
 
     def text_rows(self, rows: DataFrame) -> DataFrame:
-        rows = keep_filled_rows(fail_long_rows(rows), RX_FEED_COLUMNS)
+        rows = keep_filled_rows(fail_long_rows(rows, len(RX_FEED_COLUMNS)), RX_FEED_COLUMNS)
         return na_to_null(rows, cols=RX_FEED_COLUMNS).select(*RX_FEED_COLUMNS, *POSITION)
 
     def clean(self, rows: DataFrame, day: Column) -> DataFrame:
@@ -244,8 +243,8 @@ class SummaryIngest(FeedIngest):
     def text_rows(self, rows: DataFrame) -> DataFrame:
         """Match each row's cells to its file's header: the file's first row. A cell
         beyond the header, or a missing column, fails the batch."""
-        rows = fail_long_rows(rows)
         cells = [c for c in rows.columns if c not in (OVER_COL, CORRUPT_COL, *POSITION)]
+        rows = fail_long_rows(rows, len(cells))
         place = F.struct(SPLIT_START, ROW_IN_SPLIT)
         names = F.array(*(normalize_header_col(F.col(c)) for c in cells))
         heads = rows.groupBy(F.col(SOURCE_FILE).alias("of_file")).agg(F.min(place).alias("first"), F.min_by(names, place).alias("names"))
