@@ -44,6 +44,27 @@ def py_strip(c: ColumnOrName) -> Column:
     return F.btrim(_text(c), F.lit(PY_WHITESPACE_CHARS))
 
 
+# What counts as a number's text: blanks around it, a sign, digits with or without a point,
+# an exponent. Spark's own cast also takes type suffixes (``5d``, ``7f``) and words.
+_BLANKS = "[ \\t\\n\\x0B\\f\\r]*"
+_INTEGER = f"^{_BLANKS}[+-]?[0-9]+{_BLANKS}$"
+_NUMBER = f"^{_BLANKS}[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?{_BLANKS}$"
+
+
+def number_text(c: ColumnOrName) -> Column:
+    """The text where it is a number's, else NULL."""
+    t = _text(c)
+    return F.when(t.rlike(_NUMBER), t)
+
+
+def _truncated(c: ColumnOrName) -> Column:
+    """A number's text as an integer, the fraction dropped; exact for integers of any
+    length that fit 64 bits. NULL for other text and beyond 64 bits."""
+    t = _text(c)
+    whole = F.when(t.rlike(_INTEGER), t).try_cast("bigint")
+    return F.when(t.rlike(_INTEGER), whole).otherwise(number_text(t).try_cast("double").try_cast("bigint"))
+
+
 def int_or_default(c: ColumnOrName, default: int = 0, decimal_text: str = "truncate") -> Column:
     """Lenient integer: parse, else ``default``.
 
@@ -51,53 +72,57 @@ def int_or_default(c: ColumnOrName, default: int = 0, decimal_text: str = "trunc
     result a numeric column gives; ``'default'`` rejects it like int('3.7').
     Surrounding blanks are accepted, as int(' 4 ') does.
     """
-    t = _text(c)
     if decimal_text == "truncate":
-        parsed = t.try_cast("decimal(38,6)").try_cast("bigint")
+        parsed = _truncated(c)
     elif decimal_text == "default":
-        parsed = t.try_cast("bigint")
+        parsed = _text(c).try_cast("bigint")
     else:
         raise ValueError("decimal_text must be 'truncate' or 'default'")
     return F.coalesce(parsed, F.lit(default).cast("bigint"))
 
 
 def strict_int_null0(c: ColumnOrName) -> Column:
-    """NULL -> 0; integer or integral text -> value; anything else fails the job."""
+    """NULL -> 0; a number's text -> its integer, a fraction dropped as a numeric
+    column's cast does; anything else, and a number beyond 64 bits, fails the job."""
     t = _text(c)
-    parsed = t.try_cast("decimal(38,6)").try_cast("bigint")
+    parsed = _truncated(t)
     return (F.when(t.isNull(), F.lit(0).cast("bigint"))
             .when(parsed.isNull(), _fail("not an integer: ", t).cast("bigint"))
             .otherwise(parsed))
 
 
 def _coerce_double(c: ColumnOrName) -> Column:
-    """to_numeric(errors='coerce'): parse as double, NaN and bad text -> NULL."""
-    d = _text(c).try_cast("double")
-    return F.when(~F.isnan(d), d)
+    """to_numeric(errors='coerce'): a number's text as double, all else NULL."""
+    return number_text(c).try_cast("double")
 
 
 def numeric_or_zero_int(c: ColumnOrName) -> Column:
     """Coerce to number, missing -> 0, truncate to integer. A number outside the
     64-bit range fails the job, as it has no integer here."""
-    d = _coerce_double(c)
-    n = d.try_cast("bigint")
-    return (F.when(d.isNull(), F.lit(0).cast("bigint"))
-            .when(n.isNull(), _fail("number outside 64 bits: ", _text(c)).cast("bigint"))
+    t = number_text(c)
+    n = _truncated(c)
+    return (F.when(t.isNull(), F.lit(0).cast("bigint"))
+            .when(n.isNull(), _fail("number outside 64 bits: ", t).cast("bigint"))
             .otherwise(n))
 
 
 def numeric_or_null_int(c: ColumnOrName) -> Column:
-    """Coerce to number keeping NULL; a fractional value fails the job."""
-    d = _coerce_double(c)
+    """Coerce to number keeping NULL; a fractional value, or one outside the 64-bit
+    range, fails the job."""
+    d, n = _coerce_double(c), _truncated(c)
     return (F.when(d.isNull(), F.lit(None).cast("bigint"))
-            .when(d != F.floor(d), _fail("fraction in integer column: ", d).cast("bigint"))
-            .otherwise(d.cast("bigint")))
+            .when(n.isNull(), _fail("number outside 64 bits: ", _text(c)).cast("bigint"))
+            .when(d != F.floor(d), _fail("fraction in integer column: ", _text(c)).cast("bigint"))
+            .otherwise(n))
 
 
 def first_digits(c: ColumnOrName, default: int = 0) -> Column:
-    """First run of ASCII digits as an integer, else ``default``."""
+    """First run of ASCII digits as an integer, else ``default``. A run that doesn't
+    fit 64 bits fails the job."""
     digits = F.regexp_extract(_text(c), "([0-9]+)", 1)
-    return F.coalesce(digits.try_cast("bigint"), F.lit(default).cast("bigint"))
+    value = digits.try_cast("bigint")
+    return (F.when(F.coalesce(digits, F.lit("")) == "", F.lit(default).cast("bigint"))
+            .when(value.isNull(), _fail("digits outside 64 bits: ", digits).cast("bigint")).otherwise(value))
 
 
 def money(c: ColumnOrName, accounting_negatives: bool = False) -> Column:
@@ -107,8 +132,8 @@ def money(c: ColumnOrName, accounting_negatives: bool = False) -> Column:
     ``accounting_negatives=True`` a parenthesised amount is negative.
     """
     t = _text(c)
-    v = F.regexp_replace(t, MONEY_STRIP, "").try_cast("double")
-    v = F.nanvl(v, F.lit(0.0))
+    bare = F.regexp_replace(t, MONEY_STRIP, "")
+    v = F.when(F.lower(py_strip(bare)) == "nan", F.lit(0.0)).otherwise(_coerce_double(bare))
     if accounting_negatives:
         v = F.when(F.trim(t).rlike("^\\(.*\\)$"), -v).otherwise(v)
     return (F.when(t.isNull(), F.lit(0.0))

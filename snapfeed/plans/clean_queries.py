@@ -18,11 +18,13 @@ from snapfeed.session import read_table
 # --- integers -----------------------------------------------------------------
 
 def _part_txt():
-    return (F.when(F.col("p_type") == "ECONOMY", F.concat(F.col("p_size").cast("string"), F.lit(".7")))
+    return (F.when(F.col("p_type") == "ECONOMY", F.concat(F.col("p_size").cast("string"), F.lit(".9999999")))
+            .when((F.col("p_type") == "SMALL") & (F.col("p_size") % 2 == 0), F.concat(F.lit("0"), F.col("p_size").cast("string"), F.lit("D")))
             .when(F.col("p_type") == "SMALL", F.concat(F.lit(" "), F.col("p_size").cast("string"), F.lit(" ")))
             .when(F.col("p_type") == "PROMO", F.lit(None).cast("string"))
             .otherwise(F.col("p_brand")))
-_PART_TXT_SQL = """CASE WHEN p_type = 'ECONOMY' THEN CAST(p_size AS VARCHAR) || '.7'
+_PART_TXT_SQL = """CASE WHEN p_type = 'ECONOMY' THEN CAST(p_size AS VARCHAR) || '.9999999'
+            WHEN p_type = 'SMALL' AND p_size % 2 = 0 THEN '0' || CAST(p_size AS VARCHAR) || 'D'
             WHEN p_type = 'SMALL' THEN ' ' || CAST(p_size AS VARCHAR) || ' '
             WHEN p_type = 'PROMO' THEN NULL ELSE p_brand END"""
 
@@ -30,7 +32,7 @@ _PART_TXT_SQL = """CASE WHEN p_type = 'ECONOMY' THEN CAST(p_size AS VARCHAR) ||
 @register("int_or_zero", f"""
 WITH t AS (SELECT p_partkey, p_brand, {_PART_TXT_SQL} AS txt FROM part)
 SELECT p_partkey, txt,
-       coalesce(CAST(trunc(TRY_CAST(txt AS DECIMAL(38,6))) AS BIGINT), 0) AS lenient,
+       coalesce(CAST(trunc(TRY_CAST(txt AS DOUBLE)) AS BIGINT), 0) AS lenient,
        coalesce(CASE WHEN regexp_matches(txt, '^\\s*[+-]?[0-9]+\\s*$') THEN TRY_CAST(trim(txt) AS BIGINT) END, -1) AS lenient_text,
        coalesce(TRY_CAST(regexp_extract(p_brand, '([0-9]+)', 1) AS BIGINT), 0) AS brand_num
 FROM t""")

@@ -66,7 +66,7 @@ def clean_rx(raw: DataFrame, snapshot_day, *, ndc_value, placeholder: str,
         raise ValueError(f"expected {n} feed columns plus {carry}, got {len(raw.columns)} columns")
     df = raw.select(*[F.col(f"`{a}`").alias(b) for a, b in zip(raw.columns[:n], RX_FEED_COLUMNS)], *carry)
     df = spread(df, partitions).withColumns({
-        "__ndc": F.col("NDC").try_cast("double"),
+        "__ndc": C.number_text("NDC").try_cast("double"),
         "Provider_NPI": C.first_digits("Provider_NPI"),
         "Total_Fills": C.int_or_default("Total_Fills", 0),
         "Fills_Dispensed": C.int_or_default("Fills_Dispensed", 0),
