@@ -4,9 +4,9 @@ A collection is a DataFrame with a key column and one column per field (struct
 columns for nested fields). A batch of per-document edits is a DataFrame too;
 an optional sequence column orders several edits of one key.
 
-Array edits are pre-aggregated per (key, value) before anything is grouped per
-key, so a key with a huge edit batch is reduced map-side; what is finally
-gathered per key is the document's own array (its distinct values).
+Array edits are pre-aggregated per (key, value) and meet the elements of the
+arrays by (key, value), so a key with a huge edit batch or array is spread over
+tasks; what is finally gathered per document is what its array gets or keeps.
 """
 
 from __future__ import annotations
@@ -85,36 +85,52 @@ def _value_rows(edits: DataFrame, key: str, values: str, seq: str | None) -> Dat
             .agg(F.min(F.struct("__s", "__p")).alias("__first")))
 
 
-def _per_key_list(rows: DataFrame) -> DataFrame:
-    entry = F.when(~F.col("__m"), F.struct("__first", "__v"))  # markers add no value
-    gathered = rows.groupBy("__k").agg(F.array_sort(F.collect_list(entry)).alias("__l"))
-    return gathered.select("__k", F.transform("__l", lambda x: x["__v"]).alias("__vals"))
+def _elements(coll: DataFrame, key: str, field: str, edited: DataFrame) -> DataFrame:
+    """(key, array digest, position, value): a row per element of the documents that
+    are edited. The digest tells rows apart that share a key."""
+    named = coll.select(F.col(key).alias("__ck"), _digest(field).alias("__h"), F.col(field).alias("__a"))
+    return named.join(edited, F.col("__ck") == F.col("__k"), "left_semi").select("__ck", "__h", F.posexplode("__a").alias("__p", "__v")).distinct()
 
 
-def _null_safe_in(arr: Column, x: Column) -> Column:
-    return F.coalesce(F.exists(arr, lambda y: y.eqNullSafe(x)), F.lit(False))
+def _digest(field: str) -> Column:
+    return F.sha2(F.coalesce(F.to_json(F.struct(F.col(field).alias("a"))), F.lit("")), 256)
 
 
-def _apply(coll: DataFrame, per_key: DataFrame, key: str, field: str, fn) -> DataFrame:
-    j = coll.join(per_key, coll[key] == per_key["__k"], "left")
-    new = F.when(F.col("__k").isNotNull(), fn(F.col(field), F.col("__vals"))).otherwise(F.col(field))
+def _with_gathered(coll: DataFrame, edited: DataFrame, lists: DataFrame, key: str, field: str, fn) -> DataFrame:
+    """``coll`` with ``fn(array, gathered values)`` in the documents that are edited."""
+    j = coll.withColumn("__d", _digest(field)).join(edited, F.col(key) == F.col("__k"), "left")
+    j = j.join(lists, (F.col(key) == F.col("__lk")) & (F.col("__d") == F.col("__lh")), "left")
+    new = F.when(F.col("__k").isNotNull(), fn(F.col(field), F.coalesce("__vals", F.array().cast(coll.schema[field].dataType)))).otherwise(F.col(field))
     return j.select(*[new.alias(c) if c == field else F.col(c) for c in coll.columns])
 
 
+def _gathered(rows: DataFrame, place: list[str]) -> DataFrame:
+    """Lists of ``__v`` per document in the order of ``place``."""
+    entry = F.struct(*[F.col(p) for p in place], F.col("__v").alias("v"))
+    lists = rows.groupBy(F.col("__ck").alias("__lk"), F.col("__h").alias("__lh")).agg(F.array_sort(F.collect_list(entry)).alias("__l"))
+    return lists.select("__lk", "__lh", F.transform("__l", lambda x: x["v"]).alias("__vals"))
+
+
 def array_add(coll: DataFrame, edits: DataFrame, field: str, key: str = "key",
               values: str = "values", seq: str | None = None) -> DataFrame:
     """Append each distinct edit value not already in the array (existing
     elements, duplicates included, stay as they are), in order of first
     appearance by (``seq``, position in the edit). A missing array becomes an
     array on its first edit. Edits of keys absent from the collection do
-    nothing."""
-    per_key = _per_key_list(_value_rows(edits, key, values, seq))
-
-    def add(a, vals):
-        base = F.coalesce(a, F.array().cast(coll.schema[field].dataType))
-        return F.concat(base, F.array_except(vals, base))  # the values are distinct already
-
-    return _apply(coll, per_key, key, field, add)
+    nothing.
+
+    Element by element: the edits' values are rows per (key, value), those that the
+    document has already go by an anti join on both, and only values that come in
+    are gathered."""
+    each = _value_rows(edits, key, values, seq)
+    edited = each.select("__k").distinct()
+    have = _elements(coll, key, field, edited).select("__ck", "__h", F.col("__v").alias("__has"))
+    documents = coll.select(F.col(key).alias("__ck"), _digest(field).alias("__h")).distinct()
+    fresh = each.where(~F.col("__m")).join(documents, F.col("__k") == F.col("__ck")).select("__ck", "__h", "__v", "__first")
+    known = [fresh[c] == have[c] for c in ("__ck", "__h")] + [F.col("__v").eqNullSafe(F.col("__has"))]
+    lists = _gathered(fresh.join(have, known, "left_anti"), ["__first"])
+    empty = F.array().cast(coll.schema[field].dataType)
+    return _with_gathered(coll, edited, lists, key, field, lambda a, new: F.concat(F.coalesce(a, empty), new))
 
 
 def array_remove(coll: DataFrame, edits: DataFrame, field: str, key: str = "key",
@@ -122,17 +138,13 @@ def array_remove(coll: DataFrame, edits: DataFrame, field: str, key: str = "key"
     """Remove every occurrence of each edit value; order of the rest is kept.
     A missing array becomes an empty array when edited.
 
-    An array of distinct elements is reduced by one hashed set difference; only
-    an array with repeats looks each element up in what stays."""
-    per_key = _per_key_list(_value_rows(edits, key, values, seq))
-    empty = F.array().cast(coll.schema[field].dataType)
-
-    def remove(a, vals):
-        base = F.coalesce(a, empty)
-        left = F.array_except(base, vals)
-        return F.when(F.size(F.array_distinct(base)) == F.size(base), left).otherwise(F.filter(base, lambda x: _null_safe_in(left, x)))
-
-    return _apply(coll, per_key, key, field, remove)
+    Element by element: elements and edit values meet by (key, value), and only what
+    stays is gathered, by its positions."""
+    each = _value_rows(edits, key, values, seq)
+    edited = each.select("__k").distinct()
+    gone = each.where(~F.col("__m")).select(F.col("__k").alias("__gk"), F.col("__v").alias("__gv"))
+    stay = _elements(coll, key, field, edited).join(gone, (F.col("__ck") == F.col("__gk")) & F.col("__v").eqNullSafe(F.col("__gv")), "left_anti")
+    return _with_gathered(coll, edited, _gathered(stay, ["__p"]), key, field, lambda _, left: left)
 
 
 def array_archive(coll: DataFrame, edits: DataFrame, field: str, **kw) -> DataFrame:

@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from snapfeed.sources.counts import Counts, counted
+
 SNAPSHOT_COL = "_snapshot_date"
 
 
@@ -52,6 +54,7 @@ def exclude_keys(df: DataFrame, cols: list[str], keys: list[tuple], drop_null_ke
     the columns' types; Spark chooses the join by the list's size. Key parts may
     be given as values or as text. With ``drop_null_keys`` rows with a NULL key
     part are dropped too, which is what a ``concat(...) != literal`` filter does.
+    :func:`exclude_keys_counted` also counts what is dropped.
     """
     rows = df.where(all_not_null(cols)) if drop_null_keys else df
     if not keys:
@@ -63,6 +66,14 @@ def exclude_keys(df: DataFrame, cols: list[str], keys: list[tuple], drop_null_ke
     return rows.join(listed, [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(cols, names)], "left_anti")
 
 
+def exclude_keys_counted(df: DataFrame, cols: list[str], keys: list[tuple], drop_null_keys: bool = True) -> tuple[DataFrame, Counts, Counts]:
+    """:func:`exclude_keys` with the counts of the rows that came in (``rows``, and
+    ``null_keys`` among them) and went out (``rows``), taken while they pass."""
+    incoming, before = counted(df, null_keys=~all_not_null(cols))
+    kept, after = counted(exclude_keys(incoming, cols, keys, drop_null_keys))
+    return kept, before, after
+
+
 def in_list(df: DataFrame, col: str, values: list) -> DataFrame:
     return df.where(F.col(col).isin(list(values)))
 

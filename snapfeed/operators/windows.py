@@ -57,34 +57,44 @@ def _negated(col: Column, t: T.DataType) -> Column | None:
     return None
 
 
+def inverted_text(col: Column) -> Column:
+    """A text that sorts in the opposite order of ``col`` (text or binary): its bytes'
+    hex digits inverted, with an end mark above all digits, so that a text sorts
+    after those it begins."""
+    return F.concat(F.translate(F.hex(col), "0123456789ABCDEF", "FEDCBA9876543210"), F.lit("G"))
+
+
 def _extreme_key(df: DataFrame, order: list[tuple[str, bool]]) -> tuple[Column, str] | None:
     """A struct whose maximum (or minimum) is the first row of ``order``, and
-    which extreme to take; None when neither works (text ordered both ways).
+    which extreme to take; None when a type has no opposite order.
 
     Spark orders NULL lowest inside structs. Max form: a DESC part is the column
     itself (NULL loses: NULLS LAST); an ASC part is (is NULL, negated value)
     (NULL wins: NULLS FIRST). Min form: an ASC part is the column itself (NULL
     wins: NULLS FIRST); a DESC part is (is NULL, negated value) (NULL loses:
-    NULLS LAST). So text can be ordered DESC in the max form and ASC in the
-    min form.
+    NULLS LAST). So text that is ordered in one direction goes as it is; ordered
+    both ways, its opposite order is ``inverted_text``.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
-    for extreme, plain_when_desc in (("max", True), ("min", False)):
-        parts = []
-        for i, (c, desc) in enumerate(order):
-            col = F.col(c)
-            if desc == plain_when_desc:
-                parts.append(col.alias(f"k{i}"))
-                continue
-            neg = _negated(col, types[c])
-            if neg is None:
-                break
-            # (is NULL, negated): in the max form NULL wins (ASC NULLS FIRST),
-            # in the min form NULL loses (DESC NULLS LAST).
-            parts.append(col.isNull().alias(f"n{i}"))
-            parts.append(neg.alias(f"k{i}"))
-        else:
-            return F.struct(*parts), extreme
+    for invert in (False, True):
+        for extreme, plain_when_desc in (("max", True), ("min", False)):
+            parts = []
+            for i, (c, desc) in enumerate(order):
+                col = F.col(c)
+                if desc == plain_when_desc:
+                    parts.append(col.alias(f"k{i}"))
+                    continue
+                neg = _negated(col, types[c])
+                if neg is None and invert and isinstance(types[c], (T.StringType, T.BinaryType)):
+                    neg = inverted_text(col)
+                if neg is None:
+                    break
+                # (is NULL, negated): in the max form NULL wins (ASC NULLS FIRST),
+                # in the min form NULL loses (DESC NULLS LAST).
+                parts.append(col.isNull().alias(f"n{i}"))
+                parts.append(neg.alias(f"k{i}"))
+            else:
+                return F.struct(*parts), extreme
     return None
 
 
@@ -124,7 +134,7 @@ def dedup_latest(df: DataFrame, keys: list[str], order: list, count_col: str | N
     parsed = parse_order(order)
     found = _extreme_key(df, parsed) if method == "aggregate" else None
     if method == "aggregate" and found is None:
-        raise ValueError("text is ordered in both directions, which no maximum or minimum expresses; choose method='window'")
+        raise ValueError("a column of the order has no opposite order in an aggregate; choose method='window'")
     if found is not None:
         key, extreme = found
         rest = [c for c in df.columns if c not in keys]

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from snapfeed.functions import clean as C
 from snapfeed.functions.names import normalize_headers
+from snapfeed.operators.dates import parse_dates
 from snapfeed.operators.schema import rename_map, select_schema
 from snapfeed.operators.snapshot import SNAPSHOT_COL, stamp_snapshot
 from snapfeed.operators.windows import refill_numbering
@@ -40,6 +41,7 @@ SUMMARY_RENAMES = {"CLAIM_PAYMENT": "MED_CLAIM_PAYMENT", "APPLIED_DEDUCTIBLE": "
                    "PAT_COPAY_COINS": "MED_PAT_COPAY_CO_INS"}
 SUMMARY_STRINGIFIED = ["SUPPORT_DOCS_MD_MED_BI", "TRIED_FAILED_BI", "DATE_APPL_FAXED_HCP_MED_BI",
                        "DATE_APPL_FAXED_INS_MED_BI", "DATE_APPL_DENIED_MED_BI"]
+RX_DATE_COLUMNS = ["Received_Date", "Dispense_Date", "Date_Written"]
 # Date texts that the feeds use: year first or US order, with or without a time.
 RX_DATE_FORMATS = ("yyyy-M-d", "M/d/yyyy", "yyyy-M-d H:m:s", "M/d/yyyy H:m", "M/d/yyyy H:m:s")
 SUMMARY_TIMESTAMP_FORMATS = ("yyyy-M-d H:m:s", "yyyy-M-d", "M/d/yyyy H:m:s", "M/d/yyyy H:m", "M/d/yyyy")
@@ -58,14 +60,16 @@ def clean_rx(raw: DataFrame, snapshot_day, *, ndc_value, placeholder: str,
     NDC stay as read; the refill rule compares NDC as a number. The cleaned rows
     are written once to the shared scratch folder, so the raw feed is read and
     cleaned once although refill numbering reads its rows twice. ``partitions``
-    spreads an input of few splits over that many tasks.
+    spreads an input of few splits over that many tasks. A date column has one
+    format per file (``group_extra``), elected from all its values.
     """
     carry = list(carry)
     n = len(RX_FEED_COLUMNS)
     if len(raw.columns) != n + len(carry):
         raise ValueError(f"expected {n} feed columns plus {carry}, got {len(raw.columns)} columns")
     df = raw.select(*[F.col(f"`{a}`").alias(b) for a, b in zip(raw.columns[:n], RX_FEED_COLUMNS)], *carry)
-    df = spread(df, partitions).withColumns({
+    df = parse_dates(spread(df, partitions), RX_DATE_COLUMNS, date_formats, list(group_extra))
+    df = df.withColumns({
         "__ndc": C.number_text("NDC").try_cast("double"),
         "Provider_NPI": C.first_digits("Provider_NPI"),
         "Total_Fills": C.int_or_default("Total_Fills", 0),
@@ -76,9 +80,6 @@ def clean_rx(raw: DataFrame, snapshot_day, *, ndc_value, placeholder: str,
         "Patient_OOP": C.money("Patient_OOP"),
         "Copay": C.money("Copay"),
         "Region": C.fill_label("Region", NO_REGION_LABEL),
-        "Received_Date": C.strict_date("Received_Date", date_formats),
-        "Dispense_Date": C.strict_date("Dispense_Date", date_formats),
-        "Date_Written": C.strict_date("Date_Written", date_formats),
         "Serial__": C.clean_serial("Serial__"),
     })
     df = materialise(df, "cleaned")
@@ -95,15 +96,16 @@ def clean_summary(raw: DataFrame, snapshot_day,
                   partitions: int | None = None,
                   carry: list[str] = ()) -> DataFrame:
     """Clean a benefit summary read as text with its original headers;
-    ``carry`` columns (e.g. the source file) pass through unchanged."""
+    ``carry`` columns (e.g. the source file) pass through unchanged, and DATE_ENTERED
+    has one format for each of their values."""
     df = rename_map(normalize_headers(raw), SUMMARY_RENAMES)
     df = spread(select_schema(df, SUMMARY_COLUMNS + list(carry)), partitions)
-    entered = C.strict_timestamp("DATE_ENTERED", ts_fmts)
+    df = parse_dates(df, ["DATE_ENTERED"], ts_fmts, list(carry), "timestamp")
+    entered = F.col("DATE_ENTERED")
     cols = {c: C.stringify(c) for c in SUMMARY_STRINGIFIED}
     cols.update({
         "MED_CLAIM_PAYMENT": C.fill_label("MED_CLAIM_PAYMENT", NO_CLAIM_LABEL),
         "RX_NUM": C.numeric_or_zero_int("RX_NUM"),
-        "DATE_ENTERED": entered,
         "DATEWRITTEN": C.timestamp_or_column("DATEWRITTEN", entered, fallback_fmts),
         "WE_DATE_ENTERED_MED_BI": C.timestamp_or_column("WE_DATE_ENTERED_MED_BI", entered, fallback_fmts),
         "MIDAS_CODE_BI": C.strict_int_null0("MIDAS_CODE_BI"),

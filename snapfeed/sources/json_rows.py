@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,8 +60,34 @@ def append_json_rows(df: DataFrame, value_col: str, table: str) -> DataFrame:
     # bad rows come from the same data.
     parsed = materialise(parse_json_rows(df.select(value_col), value_col, schema), "json-rows")
     good = parsed.where(F.col(ERROR_COL).isNull()).drop(CORRUPT_COL, ERROR_COL)
-    view = f"__json_rows_{abs(hash(table))}"
+    view = f"__json_rows_{uuid.uuid4().hex}"
     good.createOrReplaceTempView(view)
     spark.sql(f"INSERT INTO {table} BY NAME SELECT * FROM {view}")
     spark.catalog.dropTempView(view)
     return parsed.where(F.col(ERROR_COL).isNotNull()).select(F.col(CORRUPT_COL).alias(value_col), ERROR_COL)
+
+
+BATCH_COL = "_batch"
+
+
+def json_rows_sink(schema: T.StructType, path: str, reject_path: str, value_col: str = "value"):
+    """A ``foreachBatch`` function that appends the JSON rows that fit ``schema`` to the
+    table at ``path`` and the others, with their text and reason, to ``reject_path``.
+
+    Both are partitioned by the batch's id, and a batch overwrites its own partition: a
+    batch that comes again, after a crash anywhere, leaves its rows once. A batch
+    without good (or bad) rows leaves no partition. The text is parsed once."""
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        parsed = materialise(parse_json_rows(batch.select(value_col), value_col, schema), "json-rows").withColumn(BATCH_COL, F.lit(batch_id).cast("bigint"))
+        good, bad = F.col(ERROR_COL).isNull(), F.col(ERROR_COL).isNotNull()
+        for rows, target in ((parsed.where(good).drop(CORRUPT_COL, ERROR_COL), path),
+                             (parsed.where(bad).select(F.col(CORRUPT_COL).alias(value_col), ERROR_COL, BATCH_COL), reject_path)):
+            (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BATCH_COL).parquet(target))
+    return sink
+
+
+def append_json_stream(stream: DataFrame, schema: T.StructType, path: str, reject_path: str, checkpoint: str, value_col: str = "value") -> None:
+    """Append all JSON rows that have arrived on a stream, then stop."""
+    query = (stream.writeStream.foreachBatch(json_rows_sink(schema, path, reject_path, value_col))
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    query.awaitTermination()

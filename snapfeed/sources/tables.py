@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from snapfeed.operators.schema import enforce_schema
+from snapfeed.sources.counts import Counts, counted, run_counted
 from snapfeed.sources.csv import csv_writer
 
 WRITE_MODES = {"truncate": "overwrite", "overwrite": "overwrite", "append": "append"}
@@ -79,6 +80,12 @@ def run_query(spark: SparkSession, sql: str, args: dict | None = None,
     return spark.sql(sql, args=args) if args else spark.sql(sql)
 
 
+def run_query_counted(spark: SparkSession, sql: str, args: dict | None = None, views: dict[str, DataFrame] | None = None) -> tuple[DataFrame, Counts]:
+    """:func:`run_query` with its row count (``counts["rows"]``), known once the rows
+    have been read."""
+    return counted(run_query(spark, sql, args, views))
+
+
 def affected_rows(result: DataFrame) -> int | None:
     """Rows that a write statement run by ``spark.sql`` wrote, from its own plan
     (nothing runs again); None for statements that write no rows."""
@@ -98,12 +105,17 @@ def run_script(spark: SparkSession, script: str | list[str], counts: list | None
     """Run statements in order. A list runs statement by statement; a string is
     run as one SQL script (``BEGIN ... END``). Returns the last result.
     ``counts``, for a list of statements, receives the affected rows of each
-    (None where a statement writes none)."""
+    (None where a statement writes none); for a script text, a
+    :class:`~snapfeed.sources.counts.Statement` of each write that it ran."""
     if isinstance(script, str):
         body = script.strip().rstrip(";")
         if not body.upper().startswith("BEGIN"):
             body = f"BEGIN\n{body};\nEND"
-        return spark.sql(body)
+        if counts is None:
+            return spark.sql(body)
+        result, statements = run_counted(spark, lambda: spark.sql(body))
+        counts.extend(statements)
+        return result
     result = None
     for stmt in script:
         result = spark.sql(stmt)
@@ -173,12 +185,54 @@ def replace_table(spark: SparkSession, df: DataFrame, table: str, base_location:
         spark.catalog.refreshTable(table)
     else:
         spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{location}'")
+    _drop_versions(spark, root, keep_versions)
+    return location
+
+
+def write_buckets(df: DataFrame, table: str, keys: list[str], buckets: int, location: str) -> None:
+    """Write ``df`` as a catalog table of sorted buckets of ``keys``. A frame that is
+    already hash-partitioned into that many parts writes one file a bucket."""
+    df.write.bucketBy(buckets, *keys).sortBy(*keys).option("path", location).saveAsTable(table)
+
+
+def merge_into_buckets(spark: SparkSession, table: str, source: DataFrame, keys: list[str], buckets: int, root: str, **merge_args) -> str:
+    """MERGE ``source`` into a table kept in ``buckets`` sorted buckets of ``keys``.
+
+    Only the source is shuffled, once, into the same buckets; then every task joins
+    one bucket of the table with its counterpart and writes that bucket of the next
+    version, without an exchange on the table's side. The table is repointed in one
+    catalog change, as by :func:`replace_table`; the first call creates it. Rows with
+    a NULL key part never match; they stay in the bucket that their other parts give.
+    Returns the new location."""
+    from snapfeed.operators.merge import merge_upsert
+
+    root = _absolute(root)
+    name = f"{table}__{uuid.uuid4().hex}"
+    location, staged = f"{root}/v-{time.time_ns():020d}-{uuid.uuid4().hex}", f"{root}/staged-{uuid.uuid4().hex}"
+    exists = spark.catalog.tableExists(table)
+    if exists:
+        write_buckets(source, f"{name}_source", keys, buckets, staged)
+        merged = merge_upsert(spark.table(table), spark.table(f"{name}_source"), keys, salt_null_keys=False, **merge_args)
+    else:
+        merged = source
+    write_buckets(merged, name if exists else table, keys, buckets, location)
+    if exists:
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
+        spark.catalog.refreshTable(table)
+        for done in (name, f"{name}_source"):  # names only: the files are below root
+            spark.sql(f"DROP TABLE {done}")
+        _delete(spark, staged)
+        _drop_versions(spark, root, keep=1)
+    return location
+
+
+def _drop_versions(spark: SparkSession, root: str, keep: int) -> None:
+    """Delete the versions below ``root`` but the current one and ``keep`` earlier ones."""
     fs = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
     listed = fs.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(fs)
     old = sorted(x.getPath().toString() for x in listed if x.getPath().getName().startswith("v-"))[:-1]
-    for path in old[:max(0, len(old) - keep_versions)]:
+    for path in old[:max(0, len(old) - keep)]:
         _delete(spark, path)
-    return location
 
 
 def upsert_partitions(spark: SparkSession, table: str, source: DataFrame, keys: list[str], partition_col: str,
