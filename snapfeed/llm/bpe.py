@@ -39,8 +39,9 @@ WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s
 PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
 NEVER = 1 << 60
-CACHE_PIECES = 300_000  # in each of two generations, about 130 MB in all; dropped at the end of a task
+CACHE_PIECES = 100_000  # in each of two generations, about 45 MB in all; dropped at the end of a task
 CACHE_ARCS = 500_000
+TEXTS, WORDS, LONGEST = 512, 20_000, 64  # texts prepared, words encoded side by side, and their bytes
 
 
 def byte_characters() -> dict[str, int]:
@@ -51,6 +52,46 @@ def byte_characters() -> dict[str, int]:
     return own | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+class Table:
+    """A map from 64-bit keys (not -1) to integers that is read for whole arrays: open
+    addressing, at most half full."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray, room: int = 0):
+        bits = max(4, int(2 * max(len(keys), room)).bit_length())
+        self.mask, self.shift, self.used = (1 << bits) - 1, np.uint64(64 - bits), 0
+        self.keys, self.values = np.full(1 << bits, -1, dtype=np.int64), np.full(1 << bits, -1, dtype=np.int32)
+        self.add(np.asarray(keys, dtype=np.int64), np.asarray(values, dtype=np.int32))
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def add(self, keys: np.ndarray, values: np.ndarray) -> None:
+        """Add distinct keys that are not there yet; there must be room."""
+        self.used += len(keys)
+        at = self._slot(keys)
+        while len(keys):
+            free = np.flatnonzero(self.keys[at] == -1)
+            free = free[np.unique(at[free], return_index=True)[1]]  # one key a slot
+            self.keys[at[free]], self.values[at[free]] = keys[free], values[free]
+            left = np.ones(len(keys), dtype=bool)
+            left[free] = False
+            keys, values, at = keys[left], values[left], (at[left] + 1) & self.mask
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        """The values; -1 where a key is missing."""
+        at = self._slot(keys)
+        found = self.keys[at]
+        out = np.where(found == keys, self.values[at], -1)
+        open_ = np.flatnonzero((found != keys) & (found != -1))
+        while len(open_):
+            at[open_] = (at[open_] + 1) & self.mask
+            found = self.keys[at[open_]]
+            hit = found == keys[open_]
+            out[open_[hit]] = self.values[at[open_[hit]]]
+            open_ = open_[~hit & (found != -1)]
+        return out
+
+
 class Automaton:
     """The compiled automaton of one merge list; see the module docstring."""
 
@@ -96,17 +137,26 @@ class Automaton:
             self.left[whole], self.born[whole], self.target[whole] = first, rank, goes_to
             labels_to[goes_to] += 1
         self.words = {self.label[i]: i for i in self.target}
-        self.arcs: dict[int, bool] = {}  # state << 20 | token -> whether there is an arc, as used so far
-        self.trie: dict[int, tuple] = {}  # byte -> (token or -1, the same for the next byte or None)
-        for word, i in sorted(self.words.items(), key=lambda w: -len(w[0])):  # longer ones first, so a leaf stays one
-            node = self.trie
-            for byte in word[:-1]:
-                token, below = node.get(byte, (-1, None))
-                if below is None:
-                    below = {}
-                    node[byte] = (token, below)
-                node = below
-            node[word[-1]] = (i, node.get(word[-1], (-1, None))[1])
+        self.arcs = Table([], [], CACHE_ARCS)  # state << 20 | token -> 1 for an arc, as used so far
+        steps: dict[int, int] = {}  # token trie: node << 8 | byte -> node
+        token_at = [-1]
+        for word, i in self.words.items():
+            node = 0
+            for byte in word:
+                child = steps.get(node << 8 | byte)
+                if child is None:
+                    child = steps[node << 8 | byte] = len(token_at)
+                    token_at.append(-1)
+                node = child
+            token_at[node] = i
+        self.steps: dict[int, int] = {}  # the trie again, once a long word asks for it
+        self.trie = Table(np.fromiter(steps.keys(), np.int64), np.fromiter(steps.values(), np.int64))
+        self.token_at = np.array(token_at, dtype=np.int32)
+        size = max(self.label, default=-1) + 1
+        self.goes_to, self.length = np.zeros(size, dtype=np.int64), np.zeros(size, dtype=np.int64)
+        for i, to in self.target.items():
+            self.goes_to[i], self.length[i] = to, len(self.label[i])
+        del self.words, self.target
 
     def has_arc(self, state: int, token: int) -> bool:
         """An arc exists if it was never removed and, when it was added, the arc of
@@ -123,75 +173,106 @@ class Automaton:
                 return True
             limit, token = born[token], first
 
+    def has_arcs(self, keys: np.ndarray) -> np.ndarray:
+        """``has_arc`` for an array of state << 20 | token."""
+        out = self.arcs.get(keys)
+        if (out < 0).any():
+            new = np.unique(keys[out < 0])
+            if self.arcs.used + len(new) > CACHE_ARCS:
+                self.arcs = Table([], [], max(CACHE_ARCS, len(new)))
+                new = np.unique(keys)
+            self.arcs.add(new, np.array([self.has_arc(k >> 20, k & 0xFFFFF) for k in new.tolist()], dtype=np.int32))
+            out = self.arcs.get(keys)
+        return out > 0
+
+    def encode_words(self, words: list[bytes]) -> list[bytes]:
+        """The packed ids of each word's only accepted path, for all words side by side.
+
+        A prefix of a word has exactly one accepted path too, so a label that ends it
+        is its last one if the path of what stands before has an arc for it. From
+        each place that a path reaches, the tables give the labels that start there
+        and the arcs of the path's state; the paths are read off backwards."""
+        out: list[bytes] = [b""] * len(words)
+        order = sorted((i for i in range(len(words)) if len(words[i]) <= LONGEST), key=lambda i: len(words[i]))  # words of like length together
+        for i, word in enumerate(words):
+            if len(word) > LONGEST:
+                out[i] = self._encode_long(word)
+        at = 0
+        while at < len(order):
+            some = order[at:at + WORDS]
+            for i, ids in zip(some, self._encode_block([words[i] for i in some]), strict=True):
+                out[i] = ids
+            at += len(some)
+        return out
+
     def encode_word(self, word: bytes) -> list[int]:
-        """The only accepted path whose labels spell ``word``: follow the longest
-        label that the state has an arc for; a word that runs into a dead end is
-        searched prefix by prefix."""
-        whole = self.words.get(word)
-        if whole is not None:
-            return [whole]
-        n, trie, target, arcs = len(word), self.trie, self.target, self.arcs
-        if len(arcs) > CACHE_ARCS:
-            arcs.clear()
-        path: list[int] = []
-        at = state = 0
-        while at < n:
-            node, here = trie, []
-            for i in range(at, n):
-                found = node.get(word[i])
-                if found is None:
-                    break
-                token, node = found
-                if token >= 0:
-                    here.append((token, i + 1))
-                if node is None:
-                    break
-            while here:
-                token, end = here.pop()
-                key = state << 20 | token
-                if (there := arcs.get(key)) is None:
-                    there = arcs[key] = self.has_arc(state, token)
-                if there:
-                    break
-            else:
-                return self.search(word)
-            path.append(token)
-            at, state = end, target[token]
-        return path
-
-    def search(self, word: bytes) -> list[int]:
-        """The accepted path by the last label of each prefix: a prefix has exactly
-        one accepted path too, so a label that ends it is its last one if the path
-        of what stands before has an arc for it."""
-        n, trie, target, arcs = len(word), self.trie, self.target, self.arcs
-        last = [-1] * (n + 1)
-        for at in range(n):
-            if at and last[at] < 0:
+        return np.frombuffer(self.encode_words([word])[0], dtype="<u4").tolist()
+
+    def _encode_long(self, word: bytes) -> bytes:
+        """The same, step by step, for one long word."""
+        if not self.steps:
+            filled = self.trie.keys >= 0
+            self.steps = dict(zip(self.trie.keys[filled].tolist(), self.trie.values[filled].tolist(), strict=True))
+        n, last = len(word), [-1] * (len(word) + 1)
+        known: dict[int, bool] = {}
+        for start in range(n):
+            if start and last[start] < 0:
                 continue
-            state = target[last[at]] << 20 if at else 0
-            node = trie
-            for i in range(at, n):
-                found = node.get(word[i])
-                if found is None:
+            state, node = int(self.goes_to[last[start]]) if start else 0, 0
+            for end in range(start, n):
+                node = self.steps.get(node << 8 | word[end], -1)
+                if node < 0:
                     break
-                token, node = found
-                if token >= 0 and last[i + 1] < 0:
-                    if (there := arcs.get(state | token)) is None:
-                        there = arcs[state | token] = self.has_arc(state >> 20, token)
-                    if there:
-                        last[i + 1] = token
-                if node is None:
-                    break
-        path: list[int] = []
+                token = int(self.token_at[node])
+                if token >= 0 and last[end + 1] < 0:
+                    key = state << 20 | token
+                    if key not in known:
+                        known[key] = self.has_arc(state, token)
+                    if known[key]:
+                        last[end + 1] = token
+        path = []
         while n:
             if last[n] < 0:
-                raise ValueError(f"no token path for {word!r}; the vocabulary lacks single bytes")
+                raise ValueError("no token path for a word; the vocabulary lacks single bytes")
             path.append(last[n])
-            n -= len(self.label[last[n]])
-        return path[::-1]
+            n -= int(self.length[last[n]])
+        return np.array(path[::-1], dtype="<u4").tobytes()
+
+    def _encode_block(self, words: list[bytes]) -> list[bytes]:
+        lens = np.array([len(w) for w in words], dtype=np.int64)
+        n, widest = len(words), int(lens.max(initial=0))
+        data = np.zeros((n, widest), dtype=np.int64)
+        data[np.arange(widest) < lens[:, None]] = np.frombuffer(b"".join(words), dtype=np.uint8)
+        last = np.full((n, widest + 1), -1, dtype=np.int32)
+        for start in range(widest):
+            live = np.flatnonzero((lens > start) & ((last[:, start] >= 0) | (start == 0)))
+            state = self.goes_to[last[live, start]] << 20 if start else np.zeros(len(live), dtype=np.int64)
+            node = np.zeros(len(live), dtype=np.int64)
+            for end in range(start, widest):
+                if not len(live):
+                    break
+                node = self.trie.get(node << 8 | data[live, end]).astype(np.int64)
+                keep = (node >= 0) & (lens[live] > end)
+                live, state, node = live[keep], state[keep], node[keep]
+                token = self.token_at[node]
+                ends = np.flatnonzero((token >= 0) & (last[live, end + 1] < 0))
+                ends = ends[self.has_arcs(state[ends] | token[ends])]
+                last[live[ends], end + 1] = token[ends]
+        place, path = lens.copy(), []
+        while (live := np.flatnonzero(place)).size:
+            token = last[live, place[live]]
+            if (token < 0).any():
+                raise ValueError(f"no token path for {words[live[token < 0][0]]!r}; the vocabulary lacks single bytes")
+            path.append((live, token))
+            place[live] -= self.length[token]
+        word = np.concatenate([w for w, _ in reversed(path)]) if path else np.zeros(0, dtype=np.int64)
+        tokens = np.concatenate([t for _, t in reversed(path)]) if path else np.zeros(0, dtype=np.int32)
+        tokens = tokens[np.argsort(word, kind="stable")].astype("<u4").tobytes()
+        cut = (4 * np.concatenate([[0], np.cumsum(np.bincount(word, minlength=n))])).tolist()
+        return [tokens[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
 
     def __getstate__(self):
-        return self.__dict__ | {"arcs": {}, "lacking": set()}
+        return self.__dict__ | {"arcs": Table([], [], CACHE_ARCS), "lacking": set(), "steps": {}}
 
 
 def load_automaton(path: str) -> Automaton:
@@ -201,8 +282,18 @@ def load_automaton(path: str) -> Automaton:
     return Automaton(spec["model"]["vocab"], spec["model"]["merges"], {t["content"]: t["id"] for t in spec.get("added_tokens", [])})
 
 
+def _texts(column: pa.Array, codec: Codec) -> Iterator[str]:
+    """The texts of a column, prepared some at a time."""
+    for at in range(0, len(column), TEXTS):
+        some = [t or "" for t in column.slice(at, TEXTS).to_pylist()]
+        for cache in (codec.bare, codec.spaced, codec.runs):
+            cache.turn()
+        codec.prepare(some)
+        yield from some
+
+
 class _Recent(dict):
-    """Results of ``make`` for recent keys: two generations of at most ``most``
+    """Results of ``make`` for recent keys: two generations of about ``most``
     keys, so that what is used again stays. Long keys are not kept."""
 
     def __init__(self, make: Callable[[str], bytes], most: int):
@@ -213,12 +304,18 @@ class _Recent(dict):
         value = self.before.get(key)
         if value is None:
             value = self.make(key)
+        self.keep(key, value)
+        return value
+
+    def keep(self, key: str, value: bytes) -> None:
         if len(key) < 64:
-            if len(self) >= self.most:
-                self.before = dict(self)
-                self.clear()
             self[key] = value
-        return value
+
+    def turn(self) -> None:
+        """Begin a new generation if this one is full."""
+        if len(self) >= self.most:
+            self.before = dict(self)
+            self.clear()
 
 
 class Codec:
@@ -241,17 +338,35 @@ class Codec:
         self.spaced = _Recent(self._spaced, CACHE_PIECES)
         self.bare = _Recent(self._bare, CACHE_PIECES // 4)
         self.runs = _Recent(self._split, CACHE_PIECES // 4)
-        self.feed = self._word("\n")
-
-    def _word(self, word: str) -> bytes:
-        ids = self.automaton.encode_word(word.encode())
-        return struct.pack(f"<{len(ids)}I", *ids)
+        self.feed = self._split("\n")
 
     def _split(self, piece: str) -> bytes:
-        words = self.find(piece)
-        if len(words) == 1:
-            return self._word(piece)
-        return b"".join([self.spaced[w[1:]] if w[0] == " " and len(w) > 1 and not w[1].isspace() else self._word(w) for w in words])
+        return b"".join(self.automaton.encode_words([w.encode() for w in self.find(piece)]))
+
+    def prepare(self, texts: list[str]) -> None:
+        """Encode the new pieces of some texts together."""
+        firsts: set[str] = set()
+        others: set[str] = set()
+        for text in texts:
+            for line in text.split("\n"):
+                first, *rest = line.split(" ")
+                firsts.add(first)
+                others.update(rest)
+        new = [(cache, before, p) for cache, before, pieces in ((self.bare, "", firsts), (self.spaced, " ", others)) for p in pieces
+               if p not in cache and p and not p[0].isspace() and not p[-1].isspace()]
+        number: dict[str, int] = {}
+        words = []
+        for cache, before, p in new:
+            if p in cache.before:
+                words.append(None)
+                continue
+            w = [before + p] if p.isalpha() else self.find(before + p)
+            words.append(w)
+            for x in w:
+                number.setdefault(x, len(number))
+        ids = self.automaton.encode_words([x.encode() for x in number])
+        for (cache, _, p), w in zip(new, words, strict=True):
+            cache.keep(p, cache.before[p] if w is None else b"".join([ids[number[x]] for x in w]))
 
     def _spaced(self, piece: str) -> bytes:
         if not piece or piece[0].isspace() or piece[-1].isspace():
@@ -307,7 +422,7 @@ def encode(df: DataFrame, path: str, text_col: str = "text", id_col: str = "doc_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(shared.value)
         for batch in batches:
-            ids = [np.frombuffer(codec.packed(t or ""), dtype="<u4") for t in batch.column(1).to_pylist()]
+            ids = [np.frombuffer(codec.packed(t), dtype="<u4") for t in _texts(batch.column(1), codec)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], [id_col, ids_col])
 
     kind = df.schema[id_col].dataType.simpleString()
@@ -339,8 +454,8 @@ def digests(df: DataFrame, path: str, text_col: str = "text", id_col: str = "doc
         codec = Codec(shared.value)
         for batch in batches:
             counts, of_ids, of_text = [], [], []
-            for value in batch.column(1):
-                packed = codec.packed(value.as_py() or "")
+            for text in _texts(batch.column(1), codec):
+                packed = codec.packed(text)
                 ids = np.frombuffer(packed, dtype="<u4").tolist()
                 counts.append(len(ids))
                 of_ids.append(hashlib.sha256(packed).hexdigest())
