@@ -41,7 +41,7 @@ PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 NEVER = 1 << 60
 CACHE_PIECES = 100_000  # in each of two generations, about 45 MB in all; dropped at the end of a task
 CACHE_ARCS = 500_000
-TEXTS, WORDS, LONGEST = 512, 20_000, 64  # texts prepared, words encoded side by side, and their bytes
+TEXTS, WORDS, LONGEST, FEW = 512, 20_000, 64, 50  # texts prepared, words encoded side by side, their bytes, and how many go alone
 
 
 def byte_characters() -> dict[str, int]:
@@ -149,7 +149,8 @@ class Automaton:
                     token_at.append(-1)
                 node = child
             token_at[node] = i
-        self.steps: dict[int, int] = {}  # the trie again, once a long word asks for it
+        self.steps: dict[int, int] = {}  # the trie and arcs again, as single words ask for them
+        self.known: dict[int, bool] = {}
         self.trie = Table(np.fromiter(steps.keys(), np.int64), np.fromiter(steps.values(), np.int64))
         self.token_at = np.array(token_at, dtype=np.int32)
         size = max(self.label, default=-1) + 1
@@ -194,9 +195,11 @@ class Automaton:
         and the arcs of the path's state; the paths are read off backwards."""
         out: list[bytes] = [b""] * len(words)
         order = sorted((i for i in range(len(words)) if len(words[i]) <= LONGEST), key=lambda i: len(words[i]))  # words of like length together
+        if len(words) < FEW:
+            return [self._encode_alone(w) for w in words]
         for i, word in enumerate(words):
             if len(word) > LONGEST:
-                out[i] = self._encode_long(word)
+                out[i] = self._encode_alone(word)
         at = 0
         while at < len(order):
             some = order[at:at + WORDS]
@@ -208,13 +211,15 @@ class Automaton:
     def encode_word(self, word: bytes) -> list[int]:
         return np.frombuffer(self.encode_words([word])[0], dtype="<u4").tolist()
 
-    def _encode_long(self, word: bytes) -> bytes:
-        """The same, step by step, for one long word."""
+    def _encode_alone(self, word: bytes) -> bytes:
+        """The same, step by step, for a single or a long word."""
         if not self.steps:
             filled = self.trie.keys >= 0
             self.steps = dict(zip(self.trie.keys[filled].tolist(), self.trie.values[filled].tolist(), strict=True))
         n, last = len(word), [-1] * (len(word) + 1)
-        known: dict[int, bool] = {}
+        known = self.known
+        if len(known) > CACHE_ARCS // 4:
+            known.clear()
         for start in range(n):
             if start and last[start] < 0:
                 continue
@@ -272,7 +277,7 @@ class Automaton:
         return [tokens[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
 
     def __getstate__(self):
-        return self.__dict__ | {"arcs": Table([], [], CACHE_ARCS), "lacking": set(), "steps": {}}
+        return self.__dict__ | {"arcs": Table([], [], CACHE_ARCS), "lacking": set(), "steps": {}, "known": {}}
 
 
 def load_automaton(path: str) -> Automaton:

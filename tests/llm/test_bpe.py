@@ -48,7 +48,7 @@ def test_toy_merges():
 def test_random_texts(codec, library):
     rnd = random.Random(7)
     odd = [chr(x) for x in [*range(0x180), 0x85, 0xA0, 0x1680, 0x180E, 0x2000, 0x200B, 0x2028, 0x202F, 0x205F, 0x3000, 0xFEFF, 0x4E2D, 0x1F600, 0x301, 0x660, 0x2167, 0x10FFFF]]
-    labels = [codec.automaton.label[i].decode("utf-8", "ignore") for i in codec.automaton.target]
+    labels = [codec.automaton.label[i].decode("utf-8", "ignore") for i in codec.automaton.left]
     for k in range(1500):
         if k % 3 == 0:
             text = "".join(rnd.choice(odd) for _ in range(rnd.randint(0, 40)))
@@ -59,6 +59,20 @@ def test_random_texts(codec, library):
         agree(codec, library, text + "<|endoftext|>" * (k % 50 == 0) + text * (k % 50 == 0))
 
 
+def test_words_side_by_side(codec):
+    """Blocks of words, single words and long words take the same paths."""
+    rnd = random.Random(3)
+    words = ["".join(rnd.choice("thenaiou .é") for _ in range(rnd.randint(0, 30))).encode() for _ in range(400)] + [b"ab" * 200, b"", b"x"]
+    assert codec.automaton.encode_words(words) == [codec.automaton._encode_alone(w) for w in words]
+
+
+def test_prepared_texts_encode_the_same(codec, library):
+    texts = ["one two\nthree  four", "", "\n\n a", "three four's", "x" * 200 + " y", " lead", "one two"] * 3
+    codec.prepare(texts)
+    for text in texts:
+        agree(codec, library, text)
+
+
 def test_long_runs(codec, library):
     for text in ("a" * 5000, "-" * 3000, " " * 1000 + "x", "ab" * 2500, "\n" * 99, "x \n y", " lead", "trail "):
         agree(codec, library, text)
