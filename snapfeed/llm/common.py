@@ -9,8 +9,6 @@ treated as equal when their 64-bit hashes are equal.
 
 from __future__ import annotations
 
-import gc
-import time
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -41,29 +39,24 @@ def stored(df: DataFrame, name: str, partition_by: list[str] | None = None) -> D
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+    forget_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def forget_at_exit(spark: SparkSession, path: str) -> None:
+    """Remove a folder of intermediate rows when the application ends."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
+
+
 def drop_stored(spark: SparkSession, *frames: DataFrame) -> None:
-    """Remove tables made by ``stored`` that no later step reads, and let the
-    driver forget shuffles whose results are stored (their files then go)."""
+    """Remove tables made by ``stored`` that no later step reads. The shuffles of the
+    steps that made them go with each finished step (see ``registry.ship``)."""
     jvm = spark.sparkContext._jvm
     for frame in frames:
         for file in frame.inputFiles()[:1]:
             folder = jvm.org.apache.hadoop.fs.Path(file).getParent()
             folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
-    release_shuffles(spark)
-
-
-def release_shuffles(spark: SparkSession) -> None:
-    """Shuffle files go when the driver's JVM drops the plans that wrote them; ask
-    for that after a step is stored instead of at the next full collection. Two
-    rounds with a pause, as Python hands over what it dropped with a delay."""
-    for _ in range(2):
-        gc.collect()
-        time.sleep(0.25)
-        spark.sparkContext._jvm.System.gc()
-    time.sleep(0.25)
 
 
 def aside(df: DataFrame, needed: list[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:

@@ -15,7 +15,7 @@
    the class's own neighbours, then range expansion: every vector found within
    the range has all its neighbours visited, until no new one is in range.
 5. Links are verified in double precision (cosine >= ``COSINE``). An audit compares a
-   bounded sample of queries (``AUDIT``) with all classes; while its recall is
+   bounded sample of queries (``AUDITS``) with all classes; while its recall is
    below ``RECALL`` the search is repeated with more cells and a wider beam, and
    all links found count.
 
@@ -43,7 +43,7 @@ CELL_ROWS, MOST_CELLS = 2_000, 1_000
 SHARD_ROWS = 4_000
 DEGREE, ALPHA, BEAM, BATCH = 32, 1.2, 64, 512
 MEDOIDS = 8
-AUDIT, RECALL, ATTEMPTS = 512, 0.97, 3
+AUDITS, AUDIT_LINKS, RECALL, LEAST_RECALL, ATTEMPTS = (512, 4096), 50, 0.97, 0.9, 3
 
 
 def unit(v, width: int) -> np.ndarray | None:
@@ -295,14 +295,22 @@ def search(reps: DataFrame, centres: np.ndarray, overlap: int, beam: int) -> Dat
     return groups.applyInArrow(_search_shard(beam), "u bigint, v bigint").distinct()
 
 
-def audit(reps: DataFrame, links: DataFrame) -> float:
-    """Recall of the links of a bounded sample of classes against all classes."""
-    sample = reps.orderBy(F.xxhash64(F.lit("audit"), "rep"), "rep").limit(AUDIT).collect()
-    if not sample:
-        return 1.0
-    ids = np.array([r["rep"] for r in sample])
-    x = np.stack([np.frombuffer(r["unit"]) for r in sample])
+def audit(reps: DataFrame, links: DataFrame) -> float | None:
+    """Recall of the links of a bounded sample of classes against all classes. Samples of
+    ``AUDITS`` are drawn until one has ``AUDIT_LINKS`` true links; None if the largest
+    has no link at all, so that nothing was measured."""
+    row = None
+    for size in AUDITS:
+        sample = reps.orderBy(F.xxhash64(F.lit("audit"), "rep"), "rep").limit(size).collect()
+        if not sample:
+            return None
+        row = _audited(reps, links, np.array([r["rep"] for r in sample]), np.stack([np.frombuffer(r["unit"]) for r in sample]))
+        if row["n"] >= AUDIT_LINKS or len(sample) < size:
+            break
+    return row["found"] / row["n"] if row["n"] else None
+
 
+def _audited(reps: DataFrame, links: DataFrame, ids: np.ndarray, x: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
@@ -311,8 +319,7 @@ def audit(reps: DataFrame, links: DataFrame) -> float:
                 yield pa.RecordBatch.from_arrays([pa.array(np.maximum(u, v)[u != v]), pa.array(np.minimum(u, v)[u != v])], ["u", "v"])
 
     truth = reps.mapInArrow(run, "u bigint, v bigint").distinct()
-    row = truth.join(links.withColumn("found", F.lit(1)), ["u", "v"], "left").agg(F.count("*").alias("n"), F.count("found").alias("found")).first()
-    return row["found"] / row["n"] if row["n"] else 1.0
+    return truth.join(links.withColumn("found", F.lit(1)), ["u", "v"], "left").agg(F.count("*").alias("n"), F.count("found").alias("found")).first()
 
 
 def near_duplicates(vectors: DataFrame) -> DataFrame:
@@ -335,9 +342,11 @@ def near_duplicates(vectors: DataFrame) -> DataFrame:
         links = stored(found if links is None else links.unionByName(found).distinct(), "vector-links")
         recall = audit(reps.select("rep", "unit"), links)
         drop_stored(spark)
-        if recall >= RECALL or overlap >= len(centres):
+        if recall is None or recall >= RECALL or overlap >= len(centres):
             break
         overlap, beam = min(2 * overlap, len(centres)), 2 * beam
+    if recall is not None and recall < LEAST_RECALL:
+        raise RuntimeError(f"the search found {recall:.3f} of the audited links; raise ATTEMPTS")
     if links is None:
         links = spark.createDataFrame([], "u bigint, v bigint")
     joined = connected_components(links)
@@ -349,4 +358,4 @@ def near_duplicates(vectors: DataFrame) -> DataFrame:
     member = each.join(classes, F.col("unit") == F.col("of_unit")).select(F.col("vec_id").alias("of_id"), "links", "of_class")
     out = rows.select("vec_id").join(member, F.col("vec_id") == F.col("of_id"), "left")
     out = out.select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("of_class", "vec_id").alias("component_id"))
-    return out.withColumn("kept", F.expr("vec_id is null or vec_id = component_id")).withColumn("audit_recall", F.lit(1.0 if recall is None else float(recall)))
+    return out.withColumn("kept", F.expr("vec_id is null or vec_id = component_id")).withColumn("audit_recall", F.lit(recall).cast("double"))

@@ -185,11 +185,12 @@ def pieces(placed: DataFrame) -> DataFrame:
 
 
 def mix(placed: DataFrame, slots: DataFrame) -> DataFrame:
-    """The mix: for each slot the words it takes of each document."""
+    """The mix: for each slot the words it takes of each document. The slots grow with the
+    corpus, whatever size Spark takes them for, so they are merged and not broadcast."""
     slots = slots.withColumnsRenamed({"source": "of_source", "block": "of_block"})
     same = F.col("source").eqNullSafe(F.col("of_source")) & (F.col("block") == F.col("of_block"))
     taken = F.least(F.col("n"), F.col("take") - F.col("offset"))
-    return pieces(placed).join(slots, same).where("offset < take").select("shard", "slot", "epoch", "doc_id", "source", "copy", "size", "first", taken.alias("words"))
+    return pieces(placed).join(slots.hint("merge"), same).where("offset < take").select("shard", "slot", "epoch", "doc_id", "source", "copy", "size", "first", taken.alias("words"))
 
 
 def taken_words(docs: DataFrame) -> DataFrame:
@@ -198,7 +199,7 @@ def taken_words(docs: DataFrame) -> DataFrame:
     keys = ["doc_id", "source", "size", "copy"]
     used = mix(placed, slots).groupBy(*(F.col(k).alias(f"of_{k}") for k in keys)).agg(F.sum("words").alias("words"))
     same = [F.col(k).eqNullSafe(F.col(f"of_{k}")) for k in keys]
-    rows = placed.join(used, same, "left").select("doc_id", "source", "size", F.coalesce("words", F.lit(0)).alias("taken"))
+    rows = placed.join(used.hint("merge"), same, "left").select("doc_id", "source", "size", F.coalesce("words", F.lit(0)).alias("taken"))
     sources = sources.select(F.col("source").alias("of_source"), "source_size", "target")
     return rows.join(sources, F.col("source").eqNullSafe(F.col("of_source"))).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -232,7 +233,7 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     placed, _, slots = plan(docs)
     keys = ["doc_id", "source", "size", "copy"]
     spans = mix(placed, slots).groupBy(*(F.col(k).alias(f"of_{k}") for k in keys), "epoch")
-    spans = spans.agg(F.collect_list(F.struct("first", "words")).alias("spans"))  # at most one a block of the document
+    spans = spans.agg(F.collect_list(F.struct("first", "words")).alias("spans")).hint("merge")  # at most one a block of the document
     renamed, restore = aside(docs, ["doc_id", "source", "text", "n_chars"])
     rows = renamed.withColumns({"doc_id": F.col("doc_id").cast("long"), "source": F.col("source").cast("string"), "text": F.col("text").cast("string")})
     rows = count_words(rows, renamed.columns)

@@ -16,8 +16,13 @@ ORACLE: dict[str, str] = {}
 
 def ship(spark: SparkSession) -> None:
     """Send this library's modules to the executors once per application (they
-    run its Arrow functions and need not have it installed)."""
+    run its Arrow functions and need not have it installed), let Spark remove the
+    shuffle files of each finished query, as every step here is stored, and keep the
+    batches that Python gets small unless the session says otherwise."""
     sc = spark.sparkContext
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+    if spark.conf.get(_BATCH_ROWS) == "10000":
+        spark.conf.set(_BATCH_ROWS, "2000")
     if any(str(f).rpartition("/")[2] == _ARCHIVE for f in sc.listFiles):
         return
     package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -32,6 +37,7 @@ def ship(spark: SparkSession) -> None:
 
 
 _ARCHIVE = "snapfeed_modules.zip"
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def query(name: str, sql: str | None = None):

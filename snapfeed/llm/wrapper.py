@@ -57,6 +57,9 @@ RAW = _words("script style title textarea xmp iframe noembed noframes plaintext"
 ENDS_PARAGRAPH = _words("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section summary table ul")
 SAME_ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}),
              "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
+# Elements of running text: where every page has the same one between its own blocks, it
+# is a heading or a line of the article, while a constant div is a notice.
+PROSE = _words("h1 h2 h3 h4 h5 h6 p li dt dd td th caption figcaption blockquote pre")
 # Elements whose content a page doesn't show as text.
 NOT_TEXT = _words("head script style noscript template select textarea iframe object svg canvas audio video map title noembed noframes")
 # Elements, roles and class or id words that hint at something else than the article.
@@ -356,6 +359,11 @@ def merged(skeletons: list[str]) -> str:
     return write_skeleton(template)
 
 
+def element_of(row: str) -> str:
+    """The element of a skeleton's line."""
+    return re.match(r"\d+ !?([a-z0-9]*)", row)[1]
+
+
 def hinted_above(skeleton: str, slots: list[int]) -> list[list[int]]:
     """The slots of the hinted elements that each line lies in, itself included."""
     out, path = [], [[]]
@@ -402,18 +410,19 @@ def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         slots = [align(parse_skeleton(t), parse_skeleton(s)) for t, s in zip(batch.column("template").to_pylist(), batch.column("skeleton").to_pylist(), strict=True)]
         hints = [hinted_above(s, at) for s, at in zip(batch.column("skeleton").to_pylist(), slots, strict=True)]
-        columns = [batch.column("host"), batch.column("sid"), pa.array(slots, pa.list_(pa.int32())), pa.array(hints, pa.list_(pa.list_(pa.int32())))]
-        yield pa.RecordBatch.from_arrays(columns, ["host", "sid", "slots", "hints"])
+        prose = [[element_of(row) in PROSE for row in s.split("\n")] for s in batch.column("skeleton").to_pylist()]
+        columns = [batch.column("host"), batch.column("sid"), pa.array(slots, pa.list_(pa.int32())), pa.array(hints, pa.list_(pa.list_(pa.int32()))), pa.array(prose, pa.list_(pa.bool_()))]
+        yield pa.RecordBatch.from_arrays(columns, ["host", "sid", "slots", "hints", "prose"])
 
 
 def _write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = zip(*(batch.column(c).to_pylist() for c in ("text", "node", "paragraph", "main", "drop", "known")), strict=True)
+        rows = zip(*(batch.column(c).to_pylist() for c in ("text", "node", "paragraph", "main", "drop", "edge", "known")), strict=True)
         texts = []
-        for packed, nodes, paragraphs, mains, drop, known in rows:
-            drop = set(drop)
+        for packed, nodes, paragraphs, mains, drop, edge, known in rows:
+            drop, edge = set(drop), set(edge)
             pieces = zip(zlib.decompress(packed).decode().split("\n"), nodes, paragraphs, mains, strict=True) if nodes else ()
-            kept = [(t, p, m) for t, n, p, m in pieces if n not in drop]
+            kept = inside_article([(t, p, m, n in edge) for t, n, p, m in pieces if n not in drop])
             if not known and any(m for *_, m in kept) and sum(len(t) * (1 if m else -1) for t, _, m in kept) >= 0:
                 kept = [k for k in kept if k[2]]
             out, last = [], None
@@ -425,6 +434,17 @@ def _write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          ["page_id", "url", "text", "n_chars"])
 
 
+def inside_article(pieces: list[tuple[str, int, bool, bool]]) -> list[tuple[str, int, bool]]:
+    """Pieces (text, paragraph, main, constant) without the constant ones that stand
+    before or after all varying text of the article: a heading that every page has
+    between its own blocks, and a fixed word in a block with text of its own, are part
+    of the article."""
+    varying = [i for i, (_, _, main, constant) in enumerate(pieces) if main and not constant]
+    low, high = (varying[0], varying[-1]) if varying else (0, -1)
+    blocks = {pieces[i][1] for i in varying}
+    return [(t, p, m) for i, (t, p, m, constant) in enumerate(pieces) if not constant or low < i < high or p in blocks]
+
+
 def is_template(pages="pages", texts="texts", different="different", chars="chars", all_chars="all_chars", main="main") -> str:
     """SQL of the rule: enough distinct articles, a small part of the host's text, and texts
     that repeat; within the article nearly all must be equal."""
@@ -449,10 +469,10 @@ def extract(pages: DataFrame) -> DataFrame:
     shape = "host string, skeleton string, n bigint"
     parts = distinct.withColumn("part", part).groupBy("host", "part").applyInArrow(_templates, shape)
     templates = parts.groupBy("host").applyInArrow(_templates, shape).select(F.col("host").alias("of"), F.col("skeleton").alias("template"))
-    aligned = distinct.join(templates, F.col("host") == F.col("of")).select("host", "sid", "skeleton", "template").mapInArrow(_align, "host string, sid bigint, slots array<int>, hints array<array<int>>")
+    aligned = distinct.join(templates, F.col("host") == F.col("of")).select("host", "sid", "skeleton", "template").mapInArrow(_align, "host string, sid bigint, slots array<int>, hints array<array<int>>, prose array<boolean>")
     aligned = stored(aligned, "aligned")
 
-    slots = aligned.withColumnsRenamed({"host": "h", "sid": "s"})
+    slots = aligned.drop("prose").withColumnsRenamed({"host": "h", "sid": "s"})
     # copies of an article count once, by the smallest of their pages
     page = F.struct("sid", "node", "hash", "main", "size")
     articles = stored(parsed.groupBy("host", "article").agg(F.min(page).alias("page")).select("host", "page.*"), "articles")
@@ -472,12 +492,16 @@ def extract(pages: DataFrame) -> DataFrame:
     votes = votes.agg(F.sum("chars").alias("held"), F.max("main").alias("holds_main")).join(varying, "host").join(hosts, "host")
     votes = votes.where(stays()).groupBy("host").agg(F.collect_set("hint").alias("stay"))
     hosts = hosts.join(votes, "host", "left").withColumn("stay", F.coalesce("stay", F.array().cast("array<int>")))
-    dropped = judged.join(hosts, "host").where("constant or size(array_except(hints, stay)) > 0").select("host", F.col("slot").alias("dropped"))
-
-    lines = aligned.select("host", "sid", F.posexplode("slots").alias("line", "dropped")).join(dropped, ["host", "dropped"])
-    drops = lines.groupBy("host", "sid").agg(F.collect_set("line").alias("drop"))
+    hinted = F.expr("size(array_except(hints, stay)) > 0")
+    dropped = judged.join(hosts, "host").where(F.col("constant") | hinted)
+    dropped = dropped.select("host", F.col("slot").alias("dropped"), (F.col("main") & ~hinted).alias("at_edge"))  # constant prose of the article goes at its edges only
+
+    lines = aligned.select("host", "sid", F.posexplode(F.arrays_zip("slots", "prose")).alias("line", "of"))
+    lines = lines.select("host", "sid", "line", F.col("of.slots").alias("dropped"), F.col("of.prose").alias("prose")).join(dropped, ["host", "dropped"])
+    lines = lines.withColumn("at_edge", F.col("at_edge") & F.col("prose"))
+    drops = lines.groupBy("host", "sid").agg(F.collect_set(F.when(~F.col("at_edge"), F.col("line"))).alias("drop"), F.collect_set(F.when(F.col("at_edge"), F.col("line"))).alias("edge"))
     drops = aligned.select("host", "sid").join(drops, ["host", "sid"], "left").join(hosts.select("host", "known"), "host")
-    drops = drops.select(F.col("host").alias("h"), F.col("sid").alias("s"), F.coalesce("drop", F.array().cast("array<int>")).alias("drop"), "known")
+    drops = drops.select(F.col("host").alias("h"), F.col("sid").alias("s"), *(F.coalesce(c, F.array().cast("array<int>")).alias(c) for c in ("drop", "edge")), "known")
     rows = parsed.join(drops, [F.col("host") == F.col("h"), F.col("sid") == F.col("s")])
-    rows = rows.select("page_id", "url", "text", "node", "paragraph", "main", "drop", "known")
+    rows = rows.select("page_id", "url", "text", "node", "paragraph", "main", "drop", "edge", "known")
     return rows.mapInArrow(_write, "page_id bigint, url string, text string, n_chars bigint")

@@ -53,3 +53,16 @@ def test_robust_prune_keeps_directions():
     x /= np.linalg.norm(x, axis=1)[:, None]
     got = flatgraph.robust_prune(x, np.array([0]), np.array([[1, 2, 3, 4, -1, 0, 1]]), degree=3)[0]
     assert got[0] == 1 and 2 not in got and len(set(got[got >= 0])) == (got >= 0).sum()
+
+
+def test_audit_says_when_it_measured_nothing(spark, monkeypatch):
+    """Without a true link in the sample the recall is null, and a search that misses
+    most links is refused instead of returned."""
+    apart = spark.createDataFrame([(i, np.eye(8)[i].tolist()) for i in range(8)], "vec_id long, embedding array<double>")
+    assert {r.audit_recall for r in flatgraph.near_duplicates(apart).collect()} == {None}
+    x = planted()
+    linked = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<double>")
+    assert {r.audit_recall >= 0.97 for r in flatgraph.near_duplicates(linked).collect()} == {True}
+    monkeypatch.setattr(flatgraph, "search", lambda reps, *_: spark.createDataFrame([], "u bigint, v bigint"))
+    with pytest.raises(RuntimeError, match="audited links"):
+        flatgraph.near_duplicates(linked)

@@ -63,3 +63,11 @@ def test_permutations(n):
     p = mixing.permuted(np.arange(n), n, 99)
     assert sorted(p) == list(range(n))
     assert (mixing.permuted(p, n, 99, back=True) == np.arange(n)).all()
+
+
+def test_slots_are_never_broadcast(spark, hard):
+    """The slots' size estimate comes from a few rows of counts, so only a hint keeps
+    a growing table from being broadcast."""
+    placed, _, slots = mixing.plan(hard)
+    plan = mixing.mix(placed, slots)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan and "BroadcastNestedLoopJoin" not in plan

@@ -98,3 +98,14 @@ def test_copies_count_once(spark):
         assert got[i] == f"Head 0\n\nPoint 0\n\nStory 0{much}\n\nTell a friend"
     for n in range(10):
         assert {got[100 + 60 * n + i] for i in range(60)} == {f"Head {n}\n\nPoint {n}\n\nStory {n}{much}\n\nSeen in {n}"}
+
+
+def test_headings_that_all_pages_share_stay_in_the_article(spark):
+    """Constant headings and lines between varying blocks, and constant words in a block of its
+    own text, are article text; constant runs at the article's edges and constant divs are not."""
+    much = " and so on with more to tell" * 4
+    pages = [(i, f"http://cook.example/{i}", f"<nav>Go</nav><article><div class=aa>Our kitchen</div><h1>Dish {i}</h1><h2>Ingredients</h2><ul><li><b>Salt:</b> {i} g<li>Pepper {i}</ul>"
+              f"<h3>Method</h3><p>Stir dish {i}{much}</p><p>Serve.</p><div class=yy>Buy now</div><p>Taste of {i}{much}</p><div class=zz>Tell a friend</div></article><footer>Foot</footer>") for i in range(30)]
+    got = {r.page_id: r.text for r in wrapper.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    for i in range(30):
+        assert got[i] == f"Dish {i}\n\nIngredients\n\nSalt: {i} g\n\nPepper {i}\n\nMethod\n\nStir dish {i}{much}\n\nServe.\n\nTaste of {i}{much}"
