@@ -263,7 +263,8 @@ class SummaryIngest(FeedIngest):
             return F.when(reduce(lambda a, b: a | b, found), value).otherwise(missing).alias(name)
 
         named = body.select(*map(column, SUMMARY_COLUMNS), *POSITION)
-        return na_to_null(keep_filled_rows(named, SUMMARY_COLUMNS), cols=SUMMARY_COLUMNS)
+        # Matched once: the election of date formats and the cleaning both read these rows.
+        return materialise(na_to_null(keep_filled_rows(named, SUMMARY_COLUMNS), cols=SUMMARY_COLUMNS), "summary-rows")
 
     def clean(self, rows: DataFrame, day: Column) -> DataFrame:
         return clean_summary(rows.select(*SUMMARY_COLUMNS, SOURCE_FILE), day, carry=[SOURCE_FILE], ts_fmts=self.timestamp_formats,

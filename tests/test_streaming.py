@@ -157,8 +157,8 @@ def test_summary_ingest(spark, tmp_dir):
         with open(os.path.join(land, name), "w") as f:
             f.write("\n".join(lines) + "\n")
 
-    write("20240105- BENEFIT SUMMARY.csv", [("7", "12", "2024-01-04 10:00:00"), ("", "x", "1/4/2024 11:00"), ("", "", "")], headers)
-    write("20240106- BENEFIT SUMMARY.csv", [("8", "13", "2024-01-05")], ["EXTRA", *reversed(headers)])
+    write("20240105- BENEFIT SUMMARY.csv", [("7", "12", "2024-01-04 10:00:00"), ("", "x", "2024-01-04 11:00:00"), ("", "", "")], headers)
+    write("20240106- BENEFIT SUMMARY.csv", [("8", "13", "1/5/2024 9:30")], ["EXTRA", *reversed(headers)])
     write("summary without date.csv", [("8", "1", "2024-01-04 10:00:00")], headers)
     write("RX_FEED_2024-01-05.csv", [("9", "1", "2024-01-04 10:00:00")], headers)
     handler = SummaryIngest(spark, os.path.join(tmp_dir, "summary_hist"), "BENEFIT SUMMARY", rx_prefix="RX_FEED")
@@ -175,6 +175,9 @@ def test_summary_ingest(spark, tmp_dir):
         f.write(",".join(headers) + "\n" + "1," * len(headers) + "1\n")
     with pytest.raises(Exception, match="longer than its header"):
         handler(csv_file_batch(spark, land, cells, header=False), 2)
+    write("20240107- BENEFIT SUMMARY.csv", [("9", "14", "2024-01-05"), ("9", "15", "1/5/2024")], headers)
+    with pytest.raises(Exception, match="no one date format fits all values"):  # a column has one format per file
+        handler(csv_file_batch(spark, land, cells, header=False), 2)
 
 
 def test_cli_sql_script(spark, tmp_dir, capsys):
