@@ -28,13 +28,13 @@ def elect_formats(df: DataFrame, cols: list[str], formats: tuple[str, ...], by:
         text, dates = F.col(c).isNotNull(), _dates(c, formats, kind)
         counts += [F.count(F.when(text & d.isNull(), 1)).alias(f"__unfit_{n}_{i}") for i, d in enumerate(dates)]
         counts += [F.count(F.when(dates[i] != dates[j], 1)).alias(f"__differ_{n}_{i}_{j}") for j in range(len(formats)) for i in range(j)]
-        counts.append(F.min(F.when(text, F.col(c).cast("string"))).alias(f"__example_{n}"))
+        counts.append(F.min(F.when(text, F.col(c).cast("string"))).alias(f"__one_{n}"))
     seen = df.groupBy(*by).agg(*counts)
     out = []
     for n, c in enumerate(cols):
         fits = [F.col(f"__unfit_{n}_{i}") == 0 for i in range(len(formats))]
         clash = reduce(lambda a, b: a | b, [fits[i] & fits[j] & (F.col(f"__differ_{n}_{i}_{j}") > 0) for j in range(len(formats)) for i in range(j)], F.lit(False))
-        message = lambda text: F.raise_error(F.concat(F.lit(f"column {c}: {text}, e.g. "), F.coalesce(f"__example_{n}", F.lit("NULL")))).cast("int")  # noqa: E731, B023
+        message = lambda text: F.raise_error(F.concat(F.lit(f"column {c}: {text}, e.g. "), F.coalesce(f"__one_{n}", F.lit("NULL")))).cast("int")  # noqa: E731, B023
         first = F.coalesce(*[F.when(f, F.lit(i)) for i, f in enumerate(fits)])
         out.append(F.when(clash, message("several date formats fit and give different dates")).when(first.isNull(), message("no one date format fits all values"))
                    .otherwise(first).alias(f"__format_{n}"))
