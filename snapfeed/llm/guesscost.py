@@ -66,7 +66,7 @@ THRESHOLD = 10.0  # log10 of the guesses
 # Passwords and words of passwords that are known to be common, by rank.
 COMMON = """password qwerty letmein welcome admin login abc monkey dragon master iloveyou sunshine princess football baseball shadow superman batman trustno
 starwars secret freedom whatever hello charlie michael jordan hunter soccer summer winter spring autumn love pass test guest user root default changeme
-example sample dummy placeholder required optional none null true false unknown public private token key value string name email company server mysql
+sample dummy placeholder required optional none null true false unknown public private token key value string name email company server mysql
 oracle system demo temp temporary access account security house home family mother father brother sister daniel thomas robert george andrew jessica
 jennifer ashley amanda maggie pepper ginger cookie banana orange purple yellow silver golden diamond flower butterfly chocolate computer internet samsung
 google facebook killer ranger tigger buster thunder falcon eagle tiger lion bear wolf horse star moon sky blue red green black white happy lucky magic

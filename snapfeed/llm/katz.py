@@ -180,7 +180,7 @@ class _Chunk:
         self.pairs = ranked[at]
         self.pair_of = np.empty(len(keys), dtype=np.int64)
         self.pair_of[order] = np.cumsum(new) - 1
-        self.example = order[at]  # a token that is this pair
+        self.at_first = order[at]  # a token that is this pair
 
     def requests(self, chunk: int, buckets: int) -> list[dict]:
         rows = []
@@ -293,7 +293,7 @@ def _evaluate(model: Model, buckets: int):
             backs = ~seen & (as_history[c.history] > 0)
 
             own = np.flatnonzero(owner)
-            h, w = c.history[c.example[own]], c.tokens[c.example[own]]
+            h, w = c.history[c.at_first[own]], c.tokens[c.at_first[own]]
             after = np.bincount(h, weights=model.p_pair(pairs[own], as_history[h]), minlength=len(c.names))
             lower = np.bincount(h, weights=p[w], minlength=len(c.names))
             needed = np.bincount(c.history[backs], minlength=len(c.names)) > 0

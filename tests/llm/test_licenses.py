@@ -34,7 +34,7 @@ def test_whole_documents(spark):
 
 MIT = """The MIT License (MIT)
 
-Copyright (c) 2011-2024 The Example Authors
+Copyright (c) 2011-2024 The Sample Authors
 
 Permission is hereby granted, free of charge, to any person obtaining a copy of
 this software and associated documentation files (the "Software"), to deal in
@@ -67,7 +67,7 @@ def test_wrapped_and_inline_notices(spark):
             "inline.txt": f"{code} . Licensed under the Apache License, Version 2.0. {code}", "split.txt": f"{code} Licensed under\nCC BY-NC\n4.0. {code}",
             "mit.js": "/* " + MIT + "*/\n" + code, "bsd.c": "/* " + OPENING + "*/" + code, "none.c": code + " the program is free and you can modify the version of this public work under its terms"}
     want = {"gpl.py": "GPL-3.0", "gpl.c": "GPL-3.0", "gpl.bas": "GPL-3.0", "lesser.h": "LGPL-2.1", "inline.txt": "Apache-2.0", "split.txt": "CC-BY-NC-4.0", "mit.js": "MIT", "bsd.c": "BSD", "none.c": None}
-    bsd3 = dict(licenses.license_texts())["BSD-3-Clause"].replace("the copyright holder", "Example Corp.")
+    bsd3 = dict(licenses.license_texts())["BSD-3-Clause"].replace("the copyright holder", "Sample Corp.")
     rows["bsd3.c"], want["bsd3.c"] = "/*\n * " + bsd3.replace("\n", "\n * ") + "*/" + code, "BSD-3-Clause"
     got = licenses.scan(spark.createDataFrame(list(rows.items()), "path string, text string")).collect()
     assert {r.path: r.own_license for r in got} == want and all(r.file_license is None for r in got if r.path not in ("mit.js", "bsd3.c"))
@@ -75,7 +75,7 @@ def test_wrapped_and_inline_notices(spark):
 
 def test_license_files(spark):
     texts = dict(licenses.license_texts())
-    holder = "Copyright (c) 2019, Example Corp. and its contributors\nAll rights reserved.\n\n"
+    holder = "Copyright (c) 2019, Sample Corp. and its contributors\nAll rights reserved.\n\n"
     rows = [("m/LICENSE", MIT), ("m/src/a.py", "x = 1"), ("o/LICENSE", OPENING), ("o/a.py", "x = 1")]
     want = {"m/LICENSE": ("MIT", "file", None), "m/src/a.py": ("MIT", "inherited", "m"), "o/LICENSE": ("BSD", "file", None), "o/a.py": ("BSD", "inherited", "o")}
     for name, text in texts.items():

@@ -43,9 +43,9 @@ def test_constant_slots_go(spark):
     """Same-host pages without telling names: the slots that repeat are template."""
     pages, much = [], " and so on with more to tell" * 6  # template is a small part of a page
     for i in range(30):
-        pages.append((i, f"http://h.example/{i}", f"<body><div class=k1>Welcome to us</div><div class=k2><p>Story {i} begins{much}<p>and goes on {i * 7}</div><div class=k3>Read our terms {i % 2}</div></body>"))
-        pages.append((100 + i, f"http://g.example/{i}", f"<article><p>Only {i}{much}</p><div class=zz>Like this? Tell a friend</div><p>More of {i * 3}</p></article>"))
-    pages += [(200, None, "<p>alone"), (201, "http://one.example/", "<p>single page"), (202, "x", None), (202, "x", ""), (None, "http://h.example/x", "<div class=k2><p>odd")]
+        pages.append((i, f"http://h.test/{i}", f"<body><div class=k1>Welcome to us</div><div class=k2><p>Story {i} begins{much}<p>and goes on {i * 7}</div><div class=k3>Read our terms {i % 2}</div></body>"))
+        pages.append((100 + i, f"http://g.test/{i}", f"<article><p>Only {i}{much}</p><div class=zz>Like this? Tell a friend</div><p>More of {i * 3}</p></article>"))
+    pages += [(200, None, "<p>alone"), (201, "http://one.test/", "<p>single page"), (202, "x", None), (202, "x", ""), (None, "http://h.test/x", "<div class=k2><p>odd")]
     df = spark.createDataFrame([(*p, "s") for p in pages], "page_id long, url string, html string, slot string")
     rows = wrapper.extract(df).collect()
     got = {r.page_id: r.text for r in rows}
@@ -69,11 +69,11 @@ def test_hints_are_votes(spark):
     pages, much = [], " and so on with more to tell" * 6
     for i in range(12):
         story = f"<h1>Head {i}</h1><p>Story {i} begins{much}"
-        pages += [(i, f"http://wrap.example/{i}", f"<nav>Go {i}</nav><div class='content-sidebar-wrap'><article>{story}</article><aside>Aside {i}</aside></div><div>All rights</div>"),
-                  (100 + i, f"http://form.example/{i}", f"<form><div class='page sidebar-right'>{story}<p>Then <span class=ad>buy {i}</span> more</div></form><footer>Foot {i}</footer>"),
-                  (200 + i, f"http://teaser.example/{i}", f"<article>Short {i}</article><div id=story>{story}</div><div>Terms of use</div>")]
-    pages += [(300, "http://few.example/", f"<nav>Go</nav><div class='content-sidebar-wrap'><article><p>One{much}</article><aside>no</aside></div><p>out"),
-              (400, "http://two.example/", f"<article>Small</article><div><p>Much{much}</div><footer>no</footer>")]
+        pages += [(i, f"http://wrap.test/{i}", f"<nav>Go {i}</nav><div class='content-sidebar-wrap'><article>{story}</article><aside>Aside {i}</aside></div><div>All rights</div>"),
+                  (100 + i, f"http://form.test/{i}", f"<form><div class='page sidebar-right'>{story}<p>Then <span class=ad>buy {i}</span> more</div></form><footer>Foot {i}</footer>"),
+                  (200 + i, f"http://teaser.test/{i}", f"<article>Short {i}</article><div id=story>{story}</div><div>Terms of use</div>")]
+    pages += [(300, "http://few.test/", f"<nav>Go</nav><div class='content-sidebar-wrap'><article><p>One{much}</article><aside>no</aside></div><p>out"),
+              (400, "http://two.test/", f"<article>Small</article><div><p>Much{much}</div><footer>no</footer>")]
     got = {r.page_id: r.text for r in wrapper.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
     for i in range(12):
         story = f"Head {i}\n\nStory {i} begins{much}"
@@ -88,7 +88,7 @@ def test_copies_count_once(spark):
     pages, much = [], " and so on with more to tell" * 6
 
     def page(i, host, n, at):
-        return i, f"http://{host}.example/{i}", f"<nav>Go {at}</nav><article><h1>Head {n}</h1><ul><li>Point {n}</ul><p>Story {n}{much}</p><div class=zz>Tell a friend</div></article><div>Seen in {n}</div>"
+        return i, f"http://{host}.test/{i}", f"<nav>Go {at}</nav><article><h1>Head {n}</h1><ul><li>Point {n}</ul><p>Story {n}{much}</p><div class=zz>Tell a friend</div></article><div>Seen in {n}</div>"
 
     pages += [page(i, "one", 0, i) for i in range(40)]
     pages += [page(100 + 60 * n + i, "many", n, i) for n in range(10) for i in range(60)]
@@ -104,7 +104,7 @@ def test_headings_that_all_pages_share_stay_in_the_article(spark):
     """Constant headings and lines between varying blocks, and constant words in a block of its
     own text, are article text; constant runs at the article's edges and constant divs are not."""
     much = " and so on with more to tell" * 4
-    pages = [(i, f"http://cook.example/{i}", f"<nav>Go</nav><article><div class=aa>Our kitchen</div><h1>Dish {i}</h1><h2>Ingredients</h2><ul><li><b>Salt:</b> {i} g<li>Pepper {i}</ul>"
+    pages = [(i, f"http://cook.test/{i}", f"<nav>Go</nav><article><div class=aa>Our kitchen</div><h1>Dish {i}</h1><h2>Ingredients</h2><ul><li><b>Salt:</b> {i} g<li>Pepper {i}</ul>"
               f"<h3>Method</h3><p>Stir dish {i}{much}</p><p>Serve.</p><div class=yy>Buy now</div><p>Taste of {i}{much}</p><div class=zz>Tell a friend</div></article><footer>Foot</footer>") for i in range(30)]
     got = {r.page_id: r.text for r in wrapper.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
     for i in range(30):
