@@ -23,6 +23,10 @@
    ``FEWEST_PAGES`` articles have nothing to compare: there a page's article or main
    part is read alone if it has at least half of the remaining text.
 
+Steps 1 to 4 keep hashes and sizes of the pieces only. The texts are parsed again for
+step 5, so they are never stored, and shuffled only if the lines to drop of all
+skeletons are too many to broadcast. Both readings of ``pages`` must give the same rows.
+
 Defined results: null and empty pages give the empty text; a null url is a host of
 its own; white space inside a block becomes one space, character references are
 decoded, blocks are joined by an empty line; repeated rows are separate pages;
@@ -35,13 +39,13 @@ from __future__ import annotations
 import html
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapfeed.llm.common import stored
+from snapfeed.llm.common import drop_stored, stored
 
 MOST_DEPTH = 100
 PARTS = 16
@@ -375,30 +379,46 @@ def hinted_above(skeleton: str, slots: list[int]) -> list[list[int]]:
     return out
 
 
-# ``sid``: hash of the skeleton; ``text``: a page's pieces, one a line (none holds a line end), deflated.
-PARSED = "page_id bigint, url string, host string, skeleton string, sid bigint, node array<int>, paragraph array<int>, text binary, size array<int>, hash array<bigint>, main array<boolean>, article binary"
+# Of a parsed page. ``sid``: hash of the skeleton; ``text``: its pieces, one a line (none holds a line end), deflated.
+KINDS = {"page_id": "bigint", "url": "string", "host": "string", "skeleton": "string", "sid": "bigint", "node": "array<int>", "paragraph": "array<int>", "text": "binary", "size": "array<int>",
+         "hash": "array<bigint>", "main": "array<boolean>", "article": "binary"}
+ARROW = {"string": pa.string(), "bigint": pa.int64(), "array<int>": pa.list_(pa.int32()), "binary": pa.binary(), "array<bigint>": pa.list_(pa.int64()), "array<boolean>": pa.list_(pa.bool_())}
+SHAPES = ["host", "skeleton", "sid", "node", "size", "hash", "main", "article"]
+TEXTS = ["page_id", "url", "host", "sid", "node", "paragraph", "text", "main"]
 
 
-def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    import xxhash
+def _parse(columns: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A function from pages to ``columns`` of the parsed pages."""
 
-    for batch in batches:
-        out = {c: [] for c in ("skeleton", "sid", "node", "paragraph", "text", "size", "hash", "main", "article")}
-        for value in batch.column("html"):
-            page = Page(value.as_py() or "")
-            skeleton, line_of = page.skeleton()
-            out["skeleton"].append(skeleton)
-            out["sid"].append(xxhash.xxh3_64_intdigest(skeleton) - (1 << 63))
-            out["node"].append([line_of[n] for n, *_ in page.pieces])
-            out["paragraph"].append([p for _, p, _, _ in page.pieces])
-            out["text"].append(zlib.compress("\n".join(t for _, _, t, _ in page.pieces).encode()))
-            out["size"].append([len(t) for _, _, t, _ in page.pieces])
-            out["hash"].append([xxhash.xxh3_64_intdigest(t) - (1 << 63) for _, _, t, _ in page.pieces])
-            out["main"].append([m for *_, m in page.pieces])
-            out["article"].append(xxhash.xxh3_128_digest(page.article()))
-        kinds = (pa.string(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.binary())
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("page_id", "url", "host")), *(pa.array(out[c], k) for c, k in zip(out, kinds, strict=True))],
-                                         ["page_id", "url", "host", *out])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        read = {
+            "skeleton": lambda page, skeleton, line_of: skeleton,
+            "sid": lambda page, skeleton, line_of: xxhash.xxh3_64_intdigest(skeleton) - (1 << 63),
+            "node": lambda page, skeleton, line_of: [line_of[n] for n, *_ in page.pieces],
+            "paragraph": lambda page, skeleton, line_of: [p for _, p, _, _ in page.pieces],
+            "text": lambda page, skeleton, line_of: zlib.compress("\n".join(t for _, _, t, _ in page.pieces).encode(), 1),
+            "size": lambda page, skeleton, line_of: [len(t) for _, _, t, _ in page.pieces],
+            "hash": lambda page, skeleton, line_of: [xxhash.xxh3_64_intdigest(t) - (1 << 63) for _, _, t, _ in page.pieces],
+            "main": lambda page, skeleton, line_of: [m for *_, m in page.pieces],
+            "article": lambda page, skeleton, line_of: xxhash.xxh3_128_digest(page.article()),
+        }
+        for batch in batches:
+            out = {c: [] for c in columns if c in read}
+            for value in batch.column("html"):
+                page = Page(value.as_py() or "")
+                skeleton, line_of = page.skeleton()
+                for c, values in out.items():
+                    values.append(read[c](page, skeleton, line_of))
+            yield pa.RecordBatch.from_arrays([pa.array(out[c], ARROW[KINDS[c]]) if c in out else batch.column(c) for c in columns], columns)
+
+    return run
+
+
+def parse(pages: DataFrame, columns: list[str]) -> DataFrame:
+    """``columns`` (see ``KINDS``) of the parsed ``pages``."""
+    return pages.mapInArrow(_parse(columns), ", ".join(f"{c} {KINDS[c]}" for c in columns))
 
 
 def _templates(table: pa.Table) -> pa.Table:
@@ -462,7 +482,8 @@ def extract(pages: DataFrame) -> DataFrame:
     """``pages``: (page_id, url, html, ...). One row per page: page_id, url, text, n_chars."""
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
-    parsed = stored(pages.withColumn("host", host).mapInArrow(_parse, PARSED), "parsed")
+    pages = pages.withColumn("host", host)
+    parsed = stored(parse(pages, SHAPES), "parsed")
 
     distinct = parsed.groupBy("host", "sid").agg(F.count("*").alias("n"), F.min("skeleton").alias("skeleton"))
     part = F.pmod(F.xxhash64("skeleton"), F.lit(PARTS))
@@ -502,6 +523,9 @@ def extract(pages: DataFrame) -> DataFrame:
     drops = lines.groupBy("host", "sid").agg(F.collect_set(F.when(~F.col("at_edge"), F.col("line"))).alias("drop"), F.collect_set(F.when(F.col("at_edge"), F.col("line"))).alias("edge"))
     drops = aligned.select("host", "sid").join(drops, ["host", "sid"], "left").join(hosts.select("host", "known"), "host")
     drops = drops.select(F.col("host").alias("h"), F.col("sid").alias("s"), *(F.coalesce(c, F.array().cast("array<int>")).alias(c) for c in ("drop", "edge")), "known")
-    rows = parsed.join(drops, [F.col("host") == F.col("h"), F.col("sid") == F.col("s")])
+    # read from a table, its size is known: broadcast where it is small, else merged
+    drops = stored(drops, "drops")
+    drop_stored(pages.sparkSession, parsed, aligned, articles, judged)
+    rows = parse(pages, TEXTS).join(drops, [F.col("host") == F.col("h"), F.col("sid") == F.col("s")])
     rows = rows.select("page_id", "url", "text", "node", "paragraph", "main", "drop", "edge", "known")
     return rows.mapInArrow(_write, "page_id bigint, url string, text string, n_chars bigint")

@@ -1,8 +1,10 @@
 import html
+import random
 import re
+from pathlib import Path
 
 from snapfeed.llm import wrapper
-from snapfeed.session import read_table
+from snapfeed.session import ensure_checkpoint_dir, read_table
 from llm_cases import SF_SMALL
 
 PAGE = """<html><body class="has-sidebar"><header><h1>Site</h1></header><div id="cookie-notice">We use cookies</div><main><article class="post">
@@ -109,3 +111,33 @@ def test_headings_that_all_pages_share_stay_in_the_article(spark):
     got = {r.page_id: r.text for r in wrapper.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
     for i in range(30):
         assert got[i] == f"Dish {i}\n\nIngredients\n\nSalt: {i} g\n\nPepper {i}\n\nMethod\n\nStir dish {i}{much}\n\nServe.\n\nTaste of {i}{much}"
+
+
+def test_texts_are_neither_stored_nor_shuffled(spark, monkeypatch):
+    """Between the steps only hashes, sizes and lines to drop are written; the texts are not dealt
+    out where those lines are few, and give the same rows where they are too many to broadcast."""
+    draw = random.Random(4)
+    pages = [(i, f"http://long.test/{i}", f"<div class=k1>Welcome</div><div class=k2><p>Story {i} {draw.randbytes(10_000).hex()}</div>") for i in range(20)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    wrote = []
+
+    def stored(frame, *args, keep=wrapper.stored):
+        out = keep(frame, *args)
+        wrote.append(sum(f.stat().st_size for file in out.inputFiles() for f in [Path(file.removeprefix("file://"))]))
+        return out
+
+    monkeypatch.setattr(wrapper, "stored", stored)
+    out = wrapper.extract(df)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert sum(wrote) < 10_000 * len(pages) / 2 and not list(Path(ensure_checkpoint_dir(spark).removeprefix("file:")).glob("parsed-*/*.parquet"))
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    got = sorted(map(tuple, out.collect()))
+    assert [r[2] for r in got] == [re.search("<p>(.*)</div>", p[2])[1] for p in pages]
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = wrapper.extract(df)
+        assert "SortMergeJoin" in merged._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(tuple, merged.collect())) == got
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
