@@ -154,7 +154,8 @@ def plan(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Documents with their place in the stream (row_id, doc_id, source, size,
     start), sources with targets, and slots (source, shard, slot, epoch, block, take)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.col("text").cast("string").alias("text"))
-    sized = stored(count_words(docs, ["doc_id", "source"]), "sized")
+    files = docs.sparkSession.sparkContext.defaultParallelism  # of a few numbers a document: one a core, however many parts the texts have
+    sized = stored(count_words(docs, ["doc_id", "source"]).repartition(files), "sized")
     buckets = max(1, -(-sized.count() // BUCKET_ROWS))
     sized = sized.withColumn("bucket", F.pmod(F.xxhash64(F.lit(SEED), F.coalesce("doc_id", F.lit(-1))), F.lit(buckets)))
     parts = sized.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
@@ -166,7 +167,7 @@ def plan(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     parts = parts.select(F.col("source").alias("of_source"), F.col("bucket").alias("of_bucket"), "before")
     same = F.col("source").eqNullSafe(F.col("of_source")) & (F.col("bucket") == F.col("of_bucket"))
     placed = placed.join(parts, same).select("doc_id", "source", "size", "copy", (F.col("inside") + F.coalesce("before", F.lit(0))).alias("start"))
-    placed = stored(placed, "placed")
+    placed = stored(placed.repartition(files), "placed")
     sources = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")))
     sources = stored(sources.withColumn("source_key", F.xxhash64(F.lit(SEED), "source")), "targets")
     drawn = sources.where("source_size > 0").mapInArrow(_draws, "source string, source_key bigint, words bigint, want bigint, shard int, first bigint, count bigint")

@@ -71,3 +71,19 @@ def test_slots_are_never_broadcast(spark, hard):
     placed, _, slots = mixing.plan(hard)
     plan = mixing.mix(placed, slots)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_few_files_between_steps(spark, monkeypatch):
+    """Documents in many parts don't make as many small files of their sizes and places."""
+    files = []
+
+    def stored(df, *args, keep=mixing.stored):
+        out = keep(df, *args)
+        files.append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(mixing, "stored", stored)
+    docs = spark.range(200).selectExpr("id as doc_id", "repeat('some words ', int(id % 5)) as text", "concat('s', id % 3) as source").repartition(50)
+    rows = mixing.taken_words(docs).collect()
+    assert len(rows) == 200 and sum(r["size"] for r in rows) == 800
+    assert max(files) <= spark.sparkContext.defaultParallelism
