@@ -23,25 +23,31 @@ tokenizers library does by default. Extra columns are passed over.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
-import struct
-from collections.abc import Callable, Iterator
+import sys
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
+from snapfeed.llm.common import slices
+
 # Fixed values of the byte-level pre-tokenizer: the word pattern and the
 # printable character that stands for each byte.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
 NEVER = 1 << 60
-CACHE_PIECES = 100_000  # in each of two generations, about 45 MB in all; dropped at the end of a task
+CACHE_WORDS = 250_000  # about 12 MB; dropped at the end of a task
 CACHE_ARCS = 500_000
-TEXTS, WORDS, LONGEST, FEW = 512, 20_000, 64, 50  # texts prepared, words encoded side by side, their bytes, and how many go alone
+TEXT_BYTES = 2 << 20  # of the texts encoded together
+WORDS, LONGEST, FEW = 20_000, 64, 50  # words encoded side by side, their bytes, and how many go alone
+SPACE, LETTER, NUMBER, OTHER = range(4)
 
 
 def byte_characters() -> dict[str, int]:
@@ -187,26 +193,34 @@ class Automaton:
         return out > 0
 
     def encode_words(self, words: list[bytes]) -> list[bytes]:
-        """The packed ids of each word's only accepted path, for all words side by side.
+        """The packed ids of each word's only accepted path."""
+        return self.encode_array(pa.array(words, pa.large_binary())).to_pylist()
+
+    def encode_array(self, words: pa.LargeBinaryArray) -> pa.LargeBinaryArray:
+        """The same for an array of words, all side by side.
 
         A prefix of a word has exactly one accepted path too, so a label that ends it
         is its last one if the path of what stands before has an arc for it. From
         each place that a path reaches, the tables give the labels that start there
         and the arcs of the path's state; the paths are read off backwards."""
-        out: list[bytes] = [b""] * len(words)
-        order = sorted((i for i in range(len(words)) if len(words[i]) <= LONGEST), key=lambda i: len(words[i]))  # words of like length together
         if len(words) < FEW:
-            return [self._encode_alone(w) for w in words]
-        for i, word in enumerate(words):
-            if len(word) > LONGEST:
-                out[i] = self._encode_alone(word)
-        at = 0
-        while at < len(order):
-            some = order[at:at + WORDS]
-            for i, ids in zip(some, self._encode_block([words[i] for i in some]), strict=True):
-                out[i] = ids
-            at += len(some)
-        return out
+            return pa.array([self._encode_alone(w) for w in words.to_pylist()], pa.large_binary())
+        data, cuts = _bytes_of(words)
+        lens = np.diff(cuts)
+        order = np.argsort(lens, kind="stable")  # words of like length together
+        short = int(np.searchsorted(lens[order], LONGEST, side="right"))
+        tokens, counts = [], []
+        for at in range(0, short, WORDS):
+            some = order[at:min(at + WORDS, short)]
+            t, n = self._encode_block(data, cuts[some], lens[some])
+            tokens.append(t)
+            counts.append(n)
+        for i in order[short:].tolist():
+            tokens.append(np.frombuffer(self._encode_alone(words[i].as_py()), dtype="<u4"))
+            counts.append(np.array([len(tokens[-1])]))
+        place = np.empty(len(order), dtype=np.int64)
+        place[order] = np.arange(len(order))
+        return _binary(np.concatenate(tokens), 4 * _cuts(np.concatenate(counts))).take(pa.array(place))
 
     def encode_word(self, word: bytes) -> list[int]:
         return np.frombuffer(self.encode_words([word])[0], dtype="<u4").tolist()
@@ -243,38 +257,38 @@ class Automaton:
             n -= int(self.length[last[n]])
         return np.array(path[::-1], dtype="<u4").tobytes()
 
-    def _encode_block(self, words: list[bytes]) -> list[bytes]:
-        lens = np.array([len(w) for w in words], dtype=np.int64)
-        n, widest = len(words), int(lens.max(initial=0))
-        data = np.zeros((n, widest), dtype=np.int64)
-        data[np.arange(widest) < lens[:, None]] = np.frombuffer(b"".join(words), dtype=np.uint8)
-        last = np.full((n, widest + 1), -1, dtype=np.int32)
+    def _encode_block(self, data: np.ndarray, at: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the words at these places of ``data``, and how many each has."""
+        n, widest = len(lens), int(lens.max(initial=0))
+        rows = np.zeros((widest, n), dtype=np.int64)  # byte by byte
+        for i in range(widest):
+            rows[i] = data[np.minimum(at + i, len(data) - 1)]
+        last = np.full((widest + 1, n), -1, dtype=np.int32)
         for start in range(widest):
-            live = np.flatnonzero((lens > start) & ((last[:, start] >= 0) | (start == 0)))
-            state = self.goes_to[last[live, start]] << 20 if start else np.zeros(len(live), dtype=np.int64)
+            live = np.flatnonzero((lens > start) & ((last[start] >= 0) | (start == 0)))
+            state = self.goes_to[last[start, live]] << 20 if start else np.zeros(len(live), dtype=np.int64)
             node = np.zeros(len(live), dtype=np.int64)
             for end in range(start, widest):
                 if not len(live):
                     break
-                node = self.trie.get(node << 8 | data[live, end]).astype(np.int64)
+                node = self.trie.get(node << 8 | rows[end, live]).astype(np.int64)
                 keep = (node >= 0) & (lens[live] > end)
                 live, state, node = live[keep], state[keep], node[keep]
                 token = self.token_at[node]
-                ends = np.flatnonzero((token >= 0) & (last[live, end + 1] < 0))
+                ends = np.flatnonzero((token >= 0) & (last[end + 1, live] < 0))
                 ends = ends[self.has_arcs(state[ends] | token[ends])]
-                last[live[ends], end + 1] = token[ends]
+                last[end + 1, live[ends]] = token[ends]
         place, path = lens.copy(), []
         while (live := np.flatnonzero(place)).size:
-            token = last[live, place[live]]
+            token = last[place[live], live]
             if (token < 0).any():
-                raise ValueError(f"no token path for {words[live[token < 0][0]]!r}; the vocabulary lacks single bytes")
+                bad = live[token < 0][0]
+                raise ValueError(f"no token path for {data[at[bad]:at[bad] + lens[bad]].tobytes()!r}; the vocabulary lacks single bytes")
             path.append((live, token))
             place[live] -= self.length[token]
         word = np.concatenate([w for w, _ in reversed(path)]) if path else np.zeros(0, dtype=np.int64)
         tokens = np.concatenate([t for _, t in reversed(path)]) if path else np.zeros(0, dtype=np.int32)
-        tokens = tokens[np.argsort(word, kind="stable")].astype("<u4").tobytes()
-        cut = (4 * np.concatenate([[0], np.cumsum(np.bincount(word, minlength=n))])).tolist()
-        return [tokens[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
+        return tokens[np.argsort(word, kind="stable")].astype("<u4"), np.bincount(word, minlength=n)
 
     def __getstate__(self):
         return self.__dict__ | {"arcs": Table([], [], CACHE_ARCS), "lacking": set(), "steps": {}, "known": {}}
@@ -287,131 +301,172 @@ def load_automaton(path: str) -> Automaton:
     return Automaton(spec["model"]["vocab"], spec["model"]["merges"], {t["content"]: t["id"] for t in spec.get("added_tokens", [])})
 
 
-def _texts(column: pa.Array, codec: Codec) -> Iterator[str]:
-    """The texts of a column, prepared some at a time."""
-    for at in range(0, len(column), TEXTS):
-        some = [t or "" for t in column.slice(at, TEXTS).to_pylist()]
-        for cache in (codec.bare, codec.spaced, codec.runs):
-            cache.turn()
-        codec.prepare(some)
-        yield from some
-
-
-class _Recent(dict):
-    """Results of ``make`` for recent keys: two generations of about ``most``
-    keys, so that what is used again stays. Long keys are not kept."""
-
-    def __init__(self, make: Callable[[str], bytes], most: int):
-        super().__init__()
-        self.make, self.most, self.before = make, most, {}
-
-    def __missing__(self, key: str) -> bytes:
-        value = self.before.get(key)
-        if value is None:
-            value = self.make(key)
-        self.keep(key, value)
-        return value
-
-    def keep(self, key: str, value: bytes) -> None:
-        if len(key) < 64:
-            self[key] = value
-
-    def turn(self) -> None:
-        """Begin a new generation if this one is full."""
-        if len(self) >= self.most:
-            self.before = dict(self)
-            self.clear()
+def _bytes_of(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a large string or binary array without nulls, and where each
+    entry starts in them (one more than entries)."""
+    if not len(array):
+        return np.zeros(0, dtype=np.uint8), np.zeros(1, dtype=np.int64)
+    cuts = np.frombuffer(array.buffers()[1], dtype=np.int64)[array.offset:array.offset + len(array) + 1]
+    low, high = int(cuts[0]), int(cuts[-1])
+    return np.frombuffer(array.buffers()[2], dtype=np.uint8)[low:high] if high > low else np.zeros(0, dtype=np.uint8), cuts - low
+
+
+def _binary(data: np.ndarray, cuts: np.ndarray) -> pa.LargeBinaryArray:
+    """The array whose entries are the bytes of ``data`` between the cuts."""
+    cuts = np.ascontiguousarray(cuts, dtype=np.int64)
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(cuts) - 1, [None, pa.py_buffer(cuts), pa.py_buffer(np.ascontiguousarray(data))])
+
+
+def _cuts(counts: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
+
+
+@functools.cache
+def _kinds() -> np.ndarray:
+    """For every code point the class that the word pattern puts it in."""
+    out = np.full(sys.maxunicode + 1, OTHER, dtype=np.uint8)
+    every = "".join(map(chr, [*range(0xD800), *range(0xE000, sys.maxunicode + 1)]))
+    for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\s+")):
+        for m in regex.finditer(pattern, every):
+            out[ord(every[m.start()]):ord(every[m.end() - 1]) + 1] = kind
+    return out
+
+
+def _code_points(buf: np.ndarray, chars: np.ndarray) -> np.ndarray:
+    """The code points of the characters of more than one byte that start at ``chars``."""
+    out = buf[chars].astype(np.int64)
+    size = 2 + (out >= 0xE0) + (out >= 0xF0)
+    out &= 0x7F >> size
+    for i in range(1, 4):
+        more = size > i
+        out[more] = out[more] << 6 | (buf[chars[more] + i] & 0x3F)
+    return out
+
+
+def word_starts(buf: np.ndarray, texts: np.ndarray) -> np.ndarray:
+    """Where the words of ``WORD_PATTERN`` start in the UTF-8 bytes of texts that start
+    at ``texts``. The words cover the texts without gaps.
+
+    A word starts: with a text; where the class changes after a visible character;
+    with the white-space character right before a visible one; with a visible
+    character right after white space other than a single space. What is left to
+    the contractions: one is matched at an apostrophe that starts a word."""
+    n = len(buf)
+    chars = None if not n or buf.max() < 0x80 else np.flatnonzero((buf & 0xC0) != 0x80)
+    char = buf if chars is None else buf[chars]
+    kind = _kinds()[char]
+    if chars is not None:
+        wide = np.flatnonzero(char >= 0x80)
+        kind[wide] = _kinds()[_code_points(buf, chars[wide])]
+    first = np.zeros(len(char) + 1, dtype=bool)
+    first[-1] = True
+    own = texts[texts < n]
+    first[own if chars is None else np.searchsorted(chars, own)] = True
+    start = first.copy()
+    space = kind == SPACE
+    start[1:-1] |= np.where(space[:-1], ~space[1:] & (char[:-1] != 0x20), kind[1:] != kind[:-1])
+    start[:-2] |= space[:-1] & ~space[1:] & ~first[1:-1]
+    quote = np.flatnonzero(char == 0x27)
+    quote = quote[start[quote]]
+    one, two = (np.where(quote + i < len(char), char[np.minimum(quote + i, max(len(char) - 1, 0))], 0) for i in (1, 2))
+    one[first[quote + 1]] = 0
+    two[first[np.minimum(quote + 2, len(char))]] = 0
+    long = np.isin(one.astype(np.int64) << 8 | two, [int.from_bytes(x, "big") for x in (b"re", b"ve", b"ll")])
+    short = np.isin(one, list(b"stmd"))
+    start[quote[long | short] + 1] = False
+    start[quote[short] + 2] = True
+    start[quote[long] + 3] = True
+    at = np.flatnonzero(start[:-1])
+    return at if chars is None else chars[at]
+
+
+class _Recent:
+    """The packed ids of recent words. When there are too many, those that were not
+    used for the longest time go; long words are not kept."""
+
+    def __init__(self, automaton: Automaton, most: int):
+        self.automaton, self.most, self.turn = automaton, most, 0
+        self.words = self.packed = pa.array([], pa.large_binary())
+        self.used = np.zeros(0, dtype=np.int64)
+
+    def of(self, words: pa.LargeBinaryArray) -> pa.LargeBinaryArray:
+        """The packed ids of distinct words."""
+        self.turn += 1
+        have = len(self.words)
+        place = pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy().astype(np.int64)
+        fresh = np.flatnonzero(place < 0)
+        place[fresh] = have + np.arange(len(fresh))
+        new = words.take(pa.array(fresh))
+        packed = pa.concat_arrays([self.packed, self.automaton.encode_array(new)])
+        out = packed.take(pa.array(place))
+        used = np.concatenate([self.used, np.zeros(len(fresh), dtype=np.int64)])
+        used[place] = self.turn
+        kept = np.flatnonzero(np.concatenate([np.ones(have, dtype=bool), np.diff(_bytes_of(new)[1]) <= LONGEST]))
+        if len(kept) > self.most:
+            kept = np.sort(kept[np.argsort(-used[kept], kind="stable")[:self.most // 2]])
+        self.words, self.packed = (pa.concat_arrays([self.words, new]), packed) if len(kept) == len(used) else (
+            pa.concat_arrays([self.words, new]).take(pa.array(kept)), packed.take(pa.array(kept)))
+        self.used = used[kept]
+        return out
 
 
 class Codec:
-    """Encodes and decodes texts with an automaton; keeps the ids of recent pieces,
-    as packed little-endian 32-bit numbers.
+    """Encodes and decodes blocks of texts with an automaton; keeps the ids of recent
+    words, as packed little-endian 32-bit numbers.
 
-    Pre-splitting: a word of the pattern starts at every single space that has
-    visible characters on both sides, and a single line feed between visible
-    characters is a word of its own. So a text is cut there first, and each
-    distinct piece is split by the pattern and encoded once. A text with other
-    white space at a cut is cut before each run of white space instead: no word
-    of the pattern reaches over that place."""
+    A block's texts are cut into words at once, each distinct word that is not
+    known yet is encoded, and the ids are put together by the words' numbers: no
+    step is made in Python for a single word or token."""
 
     def __init__(self, automaton: Automaton):
         self.automaton = automaton
-        self.find = regex.compile(WORD_PATTERN).findall
-        self.runs_of = regex.compile(r"\s*\S+|\s+").findall
         specials = sorted(automaton.specials, key=len, reverse=True)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, specials)) + ")") if specials else None
-        self.spaced = _Recent(self._spaced, CACHE_PIECES)
-        self.bare = _Recent(self._bare, CACHE_PIECES // 4)
-        self.runs = _Recent(self._split, CACHE_PIECES // 4)
-        self.feed = self._split("\n")
-
-    def _split(self, piece: str) -> bytes:
-        return b"".join(self.automaton.encode_words([w.encode() for w in self.find(piece)]))
+        self.recent = _Recent(automaton, CACHE_WORDS)
+        self.labels = pa.array([automaton.label.get(i) for i in range(max(automaton.label, default=-1) + 1)], pa.large_binary())
+
+    def tokens(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts (null: empty), and where each text's begin (one more
+        entry than texts)."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        texts.validate(full=True)
+        specials = self.automaton.specials
+        if not any(pc.any(pc.match_substring(texts, s)).as_py() for s in specials):
+            return self._plain(texts)
+        parts, first = [], [0]
+        for text in texts.to_pylist():
+            parts += self.cut.split(text)
+            first.append(len(parts))
+        fixed = np.array([specials.get(p, -1) for p in parts], dtype=np.int64)
+        ids, at = self._plain(pa.array(["" if p in specials else p for p in parts], pa.large_string()))
+        ids = np.insert(ids, at[:-1][fixed >= 0], fixed[fixed >= 0])
+        return ids, (at + _cuts(fixed >= 0))[first]
+
+    def _plain(self, texts: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
+        buf, cuts = _bytes_of(texts)
+        starts = word_starts(buf, cuts[:-1])
+        words = _binary(buf, np.append(starts, len(buf))).dictionary_encode()
+        ids, at = _bytes_of(self.recent.of(words.dictionary).take(words.indices))
+        return ids.view("<u4"), at[np.searchsorted(starts, cuts)] // 4
+
+    def texts(self, ids: np.ndarray | pa.Array, at: np.ndarray) -> list[str]:
+        """The texts whose ids begin at ``at`` (one more entry than texts)."""
+        labels = self.labels.take(ids)
+        if labels.null_count:
+            raise KeyError("an id without a token")
+        buf, cuts = _bytes_of(labels)
+        data, cuts = memoryview(buf), cuts[at].tolist()
+        return [str(data[a:b], "utf-8", "replace") for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
     def prepare(self, texts: list[str]) -> None:
-        """Encode the new pieces of some texts together."""
-        firsts: set[str] = set()
-        others: set[str] = set()
-        for text in texts:
-            for line in text.split("\n"):
-                first, *rest = line.split(" ")
-                firsts.add(first)
-                others.update(rest)
-        new = [(cache, before, p) for cache, before, pieces in ((self.bare, "", firsts), (self.spaced, " ", others)) for p in pieces
-               if p not in cache and p and not p[0].isspace() and not p[-1].isspace()]
-        number: dict[str, int] = {}
-        words = []
-        for cache, before, p in new:
-            if p in cache.before:
-                words.append(None)
-                continue
-            w = [before + p] if p.isalpha() else self.find(before + p)
-            words.append(w)
-            for x in w:
-                number.setdefault(x, len(number))
-        ids = self.automaton.encode_words([x.encode() for x in number])
-        for (cache, _, p), w in zip(new, words, strict=True):
-            cache.keep(p, cache.before[p] if w is None else b"".join([ids[number[x]] for x in w]))
-
-    def _spaced(self, piece: str) -> bytes:
-        if not piece or piece[0].isspace() or piece[-1].isspace():
-            raise _WhiteSpaceAtCut
-        return self._split(" " + piece)
-
-    def _bare(self, piece: str) -> bytes:
-        if not piece or piece[0].isspace() or piece[-1].isspace():
-            raise _WhiteSpaceAtCut
-        return self._split(piece)
-
-    def packed(self, text: str) -> bytes:
-        """The ids of a text as little-endian unsigned 32-bit numbers."""
-        if self.cut is None or not any(s in text for s in self.automaton.specials):
-            return self._plain(text)
-        specials = self.automaton.specials
-        return b"".join([struct.pack("<I", specials[part]) if part in specials else self._plain(part) for part in self.cut.split(text) if part])
+        """Encode the new words of some texts together."""
+        self.tokens(pa.array(texts, pa.large_string()))
 
     def encode(self, text: str) -> list[int]:
-        return np.frombuffer(self.packed(text), dtype="<u4").tolist()
-
-    def _plain(self, text: str) -> bytes:
-        try:
-            out: list[bytes] = []
-            for k, line in enumerate(text.split("\n")):
-                if k:
-                    out.append(self.feed)
-                first, *others = line.split(" ")
-                out.append(self.bare[first])
-                out += map(self.spaced.__getitem__, others)
-            return b"".join(out)
-        except _WhiteSpaceAtCut:
-            return b"".join(map(self.runs.__getitem__, self.runs_of(text)))
+        return self.tokens(pa.array([text], pa.large_string()))[0].tolist()
 
     def decode(self, ids) -> str:
-        return b"".join(map(self.automaton.label.__getitem__, ids)).decode("utf-8", "replace")
-
-
-class _WhiteSpaceAtCut(Exception):
-    pass
+        return self.texts(np.array(ids, dtype=np.int64), np.array([0, len(ids)]))[0]
 
 
 def share_automaton(spark: SparkSession, path: str):
@@ -420,15 +475,20 @@ def share_automaton(spark: SparkSession, path: str):
     return spark.sparkContext.broadcast(load_automaton(path))
 
 
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield from slices(batch, batch.schema.names[1], TEXT_BYTES)
+
+
 def encode(df: DataFrame, path: str, text_col: str = "text", id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """(id, ids array<int>) of every row's whole text."""
     shared = share_automaton(df.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(shared.value)
-        for batch in batches:
-            ids = [np.frombuffer(codec.packed(t), dtype="<u4") for t in _texts(batch.column(1), codec)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], [id_col, ids_col])
+        for some in _blocks(batches):
+            ids, at = codec.tokens(some.column(1))
+            yield pa.RecordBatch.from_arrays([some.column(0), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids.view("<i4")))], [id_col, ids_col])
 
     kind = df.schema[id_col].dataType.simpleString()
     return df.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, `{ids_col}` array<int>")
@@ -441,7 +501,9 @@ def decode(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(shared.value)
         for batch in batches:
-            texts = [codec.decode(x or ()) for x in batch.column(1).to_pylist()]
+            lists = batch.column(1)
+            at = _cuts(pc.fill_null(pc.list_value_length(lists), 0).to_numpy())
+            texts = codec.texts(lists.flatten(), at)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], [id_col, text_col])
 
     kind = df.schema[id_col].dataType.simpleString()
@@ -457,16 +519,13 @@ def digests(df: DataFrame, path: str, text_col: str = "text", id_col: str = "doc
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(shared.value)
-        for batch in batches:
-            counts, of_ids, of_text = [], [], []
-            for text in _texts(batch.column(1), codec):
-                packed = codec.packed(text)
-                ids = np.frombuffer(packed, dtype="<u4").tolist()
-                counts.append(len(ids))
-                of_ids.append(hashlib.sha256(packed).hexdigest())
-                of_text.append(hashlib.sha256(codec.decode(ids).encode()).hexdigest())
+        for some in _blocks(batches):
+            ids, at = codec.tokens(some.column(1))
+            data, cuts = memoryview(ids.view(np.uint8)), (4 * at).tolist()
+            of_ids = [hashlib.sha256(data[a:b]).hexdigest() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+            of_text = [hashlib.sha256(text.encode()).hexdigest() for text in codec.texts(ids, at)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())],
+                [some.column(0), pa.array(np.diff(at)), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())],
                 [id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
 
     kind = df.schema[id_col].dataType.simpleString()

@@ -1,8 +1,11 @@
 import hashlib
 import random
+import sys
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import regex
 from tokenizers import Tokenizer
 
 from llm_cases import HARD
@@ -93,3 +96,63 @@ def test_round_trip(spark, hard):
     encoded = bpe.encode(hard, tokenizer_path())
     back = bpe.decode(encoded, tokenizer_path())
     assert sorted((r.doc_id, r.text) for r in back.where("doc_id is not null").collect()) == sorted((d, t or "") for d, t, *_ in HARD if d is not None)
+
+
+def test_no_step_for_each_word(codec):
+    """New words cost no Python steps of their own (their arcs may, once)."""
+    texts = [" ".join(f"word{i}x{k}" for i in range(500)) + f"\nénd's {k}" for k in range(40)]
+    bpe.Codec(codec.automaton).prepare(texts)
+    fresh = bpe.Codec(codec.automaton)
+    calls = 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    sys.setprofile(count)
+    try:
+        fresh.prepare(texts)
+    finally:
+        sys.setprofile(None)
+    assert calls < 40 * 500 // 10
+
+
+def test_word_starts():
+    """All words of many texts at once, as the pattern finds them in each."""
+    rnd = random.Random(5)
+    find = regex.compile(bpe.WORD_PATTERN).findall
+    odd = [*"aZ09'strevldm  \n\t\r.,-", "'s", "'ll", "''t", "'re've", "\u00a0", "\u3000", "\u0301", "\u0660", "é", "中", "\U0001f600", "\x1c", "\x85", "\u2028"]
+    texts = ["".join(rnd.choices(odd, k=rnd.randint(0, 12))) for _ in range(20_000)] + ["'", "s", "'", "r", "", "'l", "l"]
+    data = [t.encode() for t in texts]
+    cuts = np.cumsum([0] + [len(x) for x in data])
+    buf = np.frombuffer(b"".join(data), dtype=np.uint8)
+    want = [w.encode() for t in texts for w in find(t)]
+    starts = bpe.word_starts(buf, cuts[:-1])
+    assert [buf[a:b].tobytes() for a, b in zip(starts, [*starts[1:], len(buf)], strict=True)] == want
+
+
+def test_every_code_point_in_its_class():
+    chars = [c for c in map(chr, range(sys.maxunicode + 1)) if not 0xD800 <= ord(c) < 0xE000]
+    kinds = bpe._kinds()
+    for kind, pattern in ((bpe.SPACE, r"\s"), (bpe.LETTER, r"\p{L}"), (bpe.NUMBER, r"\p{N}")):
+        of = set(regex.findall(pattern, "".join(chars)))
+        assert all((kinds[ord(c)] == kind) == (c in of) for c in chars)
+
+
+def test_forgotten_words_encode_the_same(codec, library, monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE_WORDS", 20)
+    small = bpe.Codec(codec.automaton)
+    rnd = random.Random(9)
+    for _ in range(60):
+        texts = [" ".join(f"{rnd.choice('abcde')}{rnd.randint(0, 40)}" for _ in range(15)) + "y" * 70 * rnd.randint(0, 1) for _ in range(3)] + [None, "a<|endoftext|><|endoftext|> b"]
+        ids, at = small.tokens(pa.array(texts))
+        assert len(small.recent.words) <= 20
+        want = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+        assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)] == want
+        assert small.texts(ids, at) == [library.decode(i, skip_special_tokens=False) for i in want]
+
+
+def test_unknown_ids_are_refused(codec):
+    for ids in ([1, 10**6], [-1], [1, None]):
+        with pytest.raises((KeyError, IndexError)):
+            codec.texts(pa.array(ids, pa.int64()), np.array([0, len(ids)]))
